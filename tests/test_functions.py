@@ -1,0 +1,52 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from turnstile import functions as tf
+
+
+def one(spark, expr, rows, schema):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(expr).collect()]
+
+
+def test_blank_predicates_treat_null_as_neither(spark):
+    rows = [("   ",), ("",), (None,), ("Ann",), ("  Ann  ",)]
+    assert one(spark, tf.is_blank("x"), rows, "x string") == [True, True, None, False, False]
+    assert one(spark, tf.is_not_blank("x"), rows, "x string") == [False, False, None, True, True]
+
+
+def test_len_ignores_trailing_spaces(spark):
+    assert one(spark, tf.tsql_len("x"), [("ab  ",), ("  ab",), (None,)], "x string") == [2, 4, None]
+
+
+def test_time_formats_and_midnight_wrap(spark):
+    rows = [(dt.datetime(2014, 10, 1, 23, 50, 59), 45), (dt.datetime(2014, 10, 1, 9, 5), None)]
+    schema = "ts timestamp_ntz, m int"
+    assert one(spark, tf.hhmm("ts"), rows, schema) == ["23:50", "09:05"]
+    assert one(spark, tf.hhmm(tf.add_minutes("ts", "m")), rows, schema) == ["00:35", None]
+    assert one(spark, tf.mmddyyyy("ts"), rows, schema) == ["10/01/2014", "10/01/2014"]
+
+
+def test_minutes_of_day(spark):
+    rows = [("00:35",), ("23:50",), (None,)]
+    assert one(spark, tf.minutes_of_day("t"), rows, "t string") == [35, 1430, None]
+
+
+def test_plus_concat_propagates_null(spark):
+    rows = [("a",), (None,)]
+    assert one(spark, tf.plus_concat(F.col("x"), ".test"), rows, "x string") == ["a.test", None]
+
+
+def test_labels_and_sentinels(spark):
+    rows = [(9,), (1,), (None,)]
+    assert one(spark, tf.label("s", 9, "Return", "Sale"), rows, "s int") == ["Return", "Sale", "Sale"]
+    assert one(spark, tf.zero_to_null("s"), [(0,), (5,)], "s int") == [None, 5]
+    assert one(spark, tf.isnull("s", 0), rows, "s int") == [9, 1, 0]
+
+
+def test_xml_escape_and_attribute(spark):
+    rows = [('<p card_name="Ann &amp; Co" other="x"/>',), ('<p other="1"/>',), ("not xml",),
+            (None,), ('<p card_name=""/>',), ("<p\tcard_name = \"A&lt;B\"/>",)]
+    assert one(spark, tf.xml_attribute("card_name", "x"), rows, "x string") == [
+        "Ann & Co", None, None, None, None, "A<B"]
+    assert one(spark, tf.xml_escape("x"), [("a<b>&c",)], "x string") == ["a&lt;b&gt;&amp;c"]
