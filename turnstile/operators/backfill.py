@@ -14,10 +14,12 @@ which is what the grouped form yields.
 
 Plan: ``groupBy(class keys).min(id)`` -- partial aggregation, so a hot class
 (one contact holding a third of the rows) is reduced on the map side -- then
-an equi-join back on the class keys.  A hot class on the probe side is split
-by AQE's skew-join handling.  Rows with a NULL strict key cannot match; they
-get a hash salt in the join key so they spread over all partitions instead of
-landing together in the partition of the NULL key.
+an inner equi-join back on the class keys; a hot class on the probe side is
+split by AQE's skew-join handling (inner joins split either side).  Rows with
+a NULL strict key cannot match anything, so they are not shuffled at all:
+they take the default and are unioned back.  (A NULL key in a join would
+hash every such row -- e.g. all walk-in sales without a contact -- into one
+partition.)  Both branches read the same upstream shuffles (exchange reuse).
 """
 
 from __future__ import annotations
@@ -30,8 +32,6 @@ from pyspark.sql import functions as F
 
 from turnstile.functions.scalar import col_of
 
-SALT_BUCKETS = 1 << 16
-
 
 def class_min(df: DataFrame, value: str | Column, strict: Sequence[str],
               sentinel: Mapping[str, object], out: str, default=0) -> DataFrame:
@@ -57,14 +57,16 @@ def class_min(df: DataFrame, value: str | Column, strict: Sequence[str],
     value_type = types[value.lower()] if isinstance(value, str) else "bigint"
     keyed = df.select("*", *[k.alias(n) for k, n in zip(keys, names)],
                       valid.alias("__valid"), v.alias("__v"))
-    mins = (keyed.filter("__valid").groupBy(*names).agg(F.min("__v").alias("__min"))
-            .withColumn("__salt", F.lit(0).cast("bigint")))
-    salt = F.when(F.col("__valid"), F.lit(0).cast("bigint")).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SALT_BUCKETS)) + 1)
-    probe = keyed.withColumn("__salt", salt)
-    joined = probe.join(mins, [*names, "__salt"], "left")
-    result = F.coalesce(F.col("__min"), F.lit(default).cast(value_type))
-    return joined.select(*[F.col(c) for c in df.columns], result.alias(out))
+    good = keyed.filter(F.col("__valid"))
+    mins = good.groupBy(*names).agg(F.min("__v").alias("__min"))
+    # every valid row finds its own class: an inner join on NULL-free keys
+    matched = good.join(mins, names, "inner").select(
+        *[F.col(c) for c in df.columns],
+        F.coalesce(F.col("__min"), F.lit(default).cast(value_type)).alias(out))
+    # rows with a NULL strict key are in no class; they skip the shuffle
+    unmatched = keyed.filter(~F.col("__valid")).select(
+        *[F.col(c) for c in df.columns], F.lit(default).cast(value_type).alias(out))
+    return matched.unionByName(unmatched)
 
 
 def group_min_backfill(df: DataFrame, value: str, strict_keys: Sequence[str],
