@@ -44,8 +44,16 @@ def money_as_double(df: DataFrame) -> DataFrame:
                        for c in df.columns])
 
 
+_SOURCES: dict[tuple[int, str], dict[str, DataFrame]] = {}
+
+
 def _src(spark: SparkSession, sf_dir: str):
-    return driver_sources(spark, sf_dir)
+    """The role source set, built once per session and folder (file listing
+    and plan analysis of ~20 role frames is driver work worth doing once)."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _SOURCES or _SOURCES[key]["tickets"].sparkSession is not spark:
+        _SOURCES[key] = driver_sources(spark, sf_dir)
+    return _SOURCES[key]
 
 
 def _ws(spark, sf_dir, group_by="show"):
