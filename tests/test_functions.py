@@ -50,3 +50,21 @@ def test_xml_escape_and_attribute(spark):
     assert one(spark, tf.xml_attribute("card_name", "x"), rows, "x string") == [
         "Ann & Co", None, None, None, None, "A<B"]
     assert one(spark, tf.xml_escape("x"), [("a<b>&c",)], "x string") == ["a&lt;b&gt;&amp;c"]
+
+
+def test_mask_card_and_collation(spark):
+    rows = [("4111222233334444",), ("123",), (None,)]
+    assert one(spark, tf.mask_card("x"), rows, "x string") == ["************4444", "123", None]
+    df = spark.createDataFrame([("Cash",), ("CASH ",), ("card",)], "x string")
+    assert df.select(tf.collated("x").alias("k")).distinct().count() == 2
+
+
+def test_with_collation_merges_case_variants_in_backfill(spark):
+    from turnstile.operators.backfill import group_min_backfill
+    from turnstile.sources.tables import with_collation
+    df = spark.createDataFrame([(1, "Cash"), (2, "CASH "), (3, "Card")], "id long, p string")
+    binary = {r.id: r.m for r in group_min_backfill(df, "id", ["p"], {}, "m").collect()}
+    assert binary == {1: 1, 2: 2, 3: 3}
+    ci = with_collation({"t": df}, {"t": ["p"]})["t"]
+    folded = {r.id: r.m for r in group_min_backfill(ci, "id", ["p"], {}, "m").collect()}
+    assert folded == {1: 1, 2: 1, 3: 3}

@@ -4,11 +4,13 @@
 from turnstile.functions.scalar import (  # noqa: F401
     add_minutes,
     col_of,
+    collated,
     hhmm,
     is_blank,
     is_not_blank,
     isnull,
     label,
+    mask_card,
     minutes_of_day,
     mmddyyyy,
     plus_concat,

@@ -23,6 +23,21 @@ def isnull(c: str | Column, default) -> Column:
     return F.coalesce(col_of(c), F.lit(default))
 
 
+def collated(c: str | Column, collation: str = "UTF8_LCASE_RTRIM") -> Column:
+    """String key compared case-insensitively and ignoring trailing blanks,
+    the way the operational database's default collation does.  Grouping,
+    DISTINCT and equi-joins on the result follow the collation."""
+    return F.collate(col_of(c), collation)
+
+
+def mask_card(c: str | Column, keep: int = 4) -> Column:
+    """Card number with all but the last ``keep`` characters replaced by '*'."""
+    x = col_of(c)
+    n = F.length(x)
+    return F.when(n > keep, F.concat(F.repeat(F.lit("*"), n - keep), F.substring(x, -keep, keep))
+                  ).otherwise(x)
+
+
 def zero_to_null(c: str | Column) -> Column:
     """``case when x = 0 then null else x end``."""
     return F.nullif(col_of(c), F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.functions.scalar import label, xml_attribute, zero_to_null
+from turnstile.functions.scalar import label, mask_card, xml_attribute, zero_to_null
 
 TICKET_GROUP_KEYS = ["minticode", "tipricetype", "tifullprice", "eveventdate", "shcode",
                      "tilcode", "timailinglist", "tistatus", "guideid", "fees", "paymentid"]
@@ -79,7 +79,7 @@ def card_lookup(credit: DataFrame, card_default: str | None) -> DataFrame:
 
 
 def payment_rollup(ws: DataFrame, credit: DataFrame, card_default: str | None = "",
-                   txn_amount: str = "_txn_amount") -> DataFrame:
+                   txn_amount: str = "_txn_amount", mask: bool = False) -> DataFrame:
     """Payments: one row per (payment id, contact, pay type, shift date,
     cash-in/out) with ``paymentid > 0``; contact is grouped on but not output,
     so a payment id can repeat.
@@ -89,6 +89,7 @@ def payment_rollup(ws: DataFrame, credit: DataFrame, card_default: str | None =
     through MAX, they are aggregated per receipt id first and joined to the
     much smaller grouped result.  ``card_default=""`` is the procedure form
     (``max(isnull(num, ''))``), ``None`` the dump form (NULL without a card).
+    ``mask=True`` publishes only the last four digits of the card number.
     """
     p = ws.filter(F.col("paymentid") > 0)
     g = p.groupBy(*PAYMENT_GROUP_KEYS).agg(F.max("titransactnum").alias("last_transact_no"))
@@ -99,6 +100,8 @@ def payment_rollup(ws: DataFrame, credit: DataFrame, card_default: str | None =
     card_num: Column = F.col("lastCardNum")
     if card_default is not None:
         card_num = F.coalesce(card_num, F.lit(card_default))
+    if mask:
+        card_num = mask_card(card_num)
     return j.select(
         "paymentid",
         F.col("ptdescr").alias("type"),

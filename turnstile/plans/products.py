@@ -57,10 +57,11 @@ def tickets(ws: DataFrame, schedule: DataFrame | None = None,
     return ticket_rollup(ws, schedule_id)
 
 
-def payments(ws: DataFrame, src: Mapping[str, DataFrame], card_default: str | None = "") -> DataFrame:
+def payments(ws: DataFrame, src: Mapping[str, DataFrame], card_default: str | None = "",
+             mask_card: bool = False) -> DataFrame:
     """Payment roll-up; ``ws`` must carry the internal transaction columns
     (``build_working_set(..., keep_internal=True)``)."""
-    return payment_rollup(ws, src["recieptcredit"], card_default)
+    return payment_rollup(ws, src["recieptcredit"], card_default, mask=mask_card)
 
 
 @dataclass(frozen=True)

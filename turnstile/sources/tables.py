@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from turnstile.sources.schemas import SOURCE_SCHEMAS
 
@@ -58,3 +59,20 @@ def load_jdbc(spark: SparkSession, url: str, table: str, *, properties: Mapping[
                   .option("upperBound", str(upper_bound))
                   .option("numPartitions", str(num_partitions)))
     return reader.load()
+
+
+def with_collation(src: Mapping[str, DataFrame], columns: Mapping[str, Iterable[str]],
+                   collation: str = "UTF8_LCASE_RTRIM") -> dict[str, DataFrame]:
+    """Source set whose listed string columns carry ``collation`` (default:
+    binary).  Use it when the operational database compares text keys
+    case-insensitively, so ``'Cash'`` and ``'CASH '`` match in the id
+    backfills and group together in the roll-ups."""
+    from turnstile.functions.scalar import collated
+
+    out = dict(src)
+    for table, cols in columns.items():
+        cols = set(c.lower() for c in cols)
+        df = out[table]
+        out[table] = df.select(*[collated(c, collation).alias(c) if c.lower() in cols else F.col(c)
+                                 for c in df.columns])
+    return out
