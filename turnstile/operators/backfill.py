@@ -33,15 +33,8 @@ from pyspark.sql import functions as F
 from turnstile.functions.scalar import col_of
 
 
-def class_min(df: DataFrame, value: str | Column, strict: Sequence[str],
-              sentinel: Mapping[str, object], out: str, default=0) -> DataFrame:
-    """``df`` plus ``out`` = min(value) over the row's class, ``default`` if none.
-
-    Sentinels are cast to their key column's type (``isnull`` keeps the type
-    of its first argument), so ``"2000-01-01"`` works for a timestamp key.
-    Rows whose own ``value`` is NULL still take the class minimum; a class
-    whose values are all NULL yields ``default``.
-    """
+def _keys(df: DataFrame, strict: Sequence[str], sentinel: Mapping[str, object]):
+    """Class-key expressions, their names, and the all-strict-keys-present flag."""
     types = {f.name.lower(): f.dataType for f in df.schema.fields}
     # datetimes go in as ISO text so no session/system time zone is involved
     sentinel = {c: (s.isoformat(" ") if isinstance(s, _dt.datetime)
@@ -53,22 +46,50 @@ def class_min(df: DataFrame, value: str | Column, strict: Sequence[str],
     valid = F.lit(True)
     for c in strict:
         valid = valid & F.col(c).isNotNull()
-    v = col_of(value)
-    value_type = types[value.lower()] if isinstance(value, str) else "bigint"
-    keyed = df.select("*", *[k.alias(n) for k, n in zip(keys, names)],
-                      valid.alias("__valid"), v.alias("__v"))
-    good = keyed.filter(F.col("__valid"))
-    mins = good.groupBy(*names).agg(F.min("__v").alias("__min"))
+    return [k.alias(n) for k, n in zip(keys, names)], names, valid
+
+
+def class_mins(df: DataFrame, value: str | Column, strict: Sequence[str],
+               sentinel: Mapping[str, object]) -> DataFrame:
+    """``(class keys..., __min)``: min(value) per class over rows whose strict
+    keys are all present.  Partial aggregation runs before the shuffle."""
+    keys, names, valid = _keys(df, strict, sentinel)
+    return (df.filter(valid).select(*keys, col_of(value).alias("__v"))
+            .groupBy(*names).agg(F.min("__v").alias("__min")))
+
+
+def attach_class_min(df: DataFrame, mins: DataFrame, strict: Sequence[str],
+                     sentinel: Mapping[str, object], out: str, default=0,
+                     value_type: str = "bigint") -> DataFrame:
+    """``df`` plus ``out`` from a :func:`class_mins` table (``default`` when
+    the row has a NULL strict key or its class has no minimum)."""
+    keys, names, valid = _keys(df, strict, sentinel)
+    good = df.filter(valid).select("*", *keys)
     # every valid row finds its own class: an inner join on NULL-free keys
     matched = good.join(mins, names, "inner").select(
         *[F.col(c) for c in df.columns],
         F.coalesce(F.col("__min"), F.lit(default).cast(value_type)).alias(out))
     # rows with a NULL strict key are in no class; they skip the shuffle
-    unmatched = keyed.filter(~F.col("__valid")).select(
+    unmatched = df.filter(~valid).select(
         *[F.col(c) for c in df.columns], F.lit(default).cast(value_type).alias(out))
     return matched.unionByName(unmatched)
 
 
+def class_min(df: DataFrame, value: str | Column, strict: Sequence[str],
+              sentinel: Mapping[str, object], out: str, default=0) -> DataFrame:
+    """``df`` plus ``out`` = min(value) over the row's class, ``default`` if none.
+
+    Sentinels are cast to their key column's type (``isnull`` keeps the type
+    of its first argument), so ``"2000-01-01"`` works for a timestamp key.
+    Rows whose own ``value`` is NULL still take the class minimum; a class
+    whose values are all NULL yields ``default``.
+    """
+    value_type = (df.schema[value].dataType.simpleString() if isinstance(value, str)
+                  else "bigint")
+    return attach_class_min(df, class_mins(df, value, strict, sentinel), strict, sentinel,
+                            out, default, value_type)
+
+
 def group_min_backfill(df: DataFrame, value: str, strict_keys: Sequence[str],
                        sentinel_keys: Mapping[str, object], out: str = "minticode",
                        default=0) -> DataFrame:

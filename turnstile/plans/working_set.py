@@ -13,7 +13,9 @@ Physical shape: the receipts are reduced to one row per transaction in a
 single partial aggregation (first pay-type description, first shift date and
 cash-in/out flag, lowest receipt id, receipt total) and the commissions to
 one row per ticket; both are equi-joined to the scope.  The two id backfills
-are aggregate + join (see :mod:`turnstile.operators.backfill`).
+are aggregate + join (see :mod:`turnstile.operators.backfill`); these are the
+operations of ``group_min_backfill`` and ``payment_backfill``, with both
+aggregates taken from the same pre-backfill rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.operators.backfill import group_min_backfill, payment_backfill
+from turnstile.operators.backfill import attach_class_min, class_mins
 from turnstile.operators.lookup import sum_by_key
 from turnstile.operators.scope import ticket_scope
 
@@ -81,9 +83,13 @@ def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "sho
     cols += ["shcode", "tilcode", "timailinglist", "titransactnum", "ptdescr",
              "rcbshiftdate", "rcbcachinout", "fees",
              F.col("gogguidenumber").alias("guideid"), "tistatus", *INTERNAL]
-    ws = ws.select(*cols)
-    ws = group_min_backfill(ws, "ticode", minticode_keys(group_by), SENTINELS, "minticode")
-    ws = payment_backfill(ws, PAYMENT_KEYS, "_txn_min_rcb", "paymentid")
+    base = ws.select(*cols)
+    # both class-minimum tables come from the same base rows, so their
+    # aggregations run side by side; the two joins then attach them in turn
+    ticket_mins = class_mins(base, "ticode", minticode_keys(group_by), SENTINELS)
+    payment_mins = class_mins(base, "_txn_min_rcb", PAYMENT_KEYS, {})
+    ws = attach_class_min(base, ticket_mins, minticode_keys(group_by), SENTINELS, "minticode")
+    ws = attach_class_min(ws, payment_mins, PAYMENT_KEYS, {}, "paymentid")
     if not keep_internal:
         ws = ws.drop(*INTERNAL)
     return ws

@@ -3,8 +3,9 @@ driver's tables (through :mod:`turnstile.sources.roles`).
 
 Each entry is ``(spark, sf_dir) -> DataFrame``; money columns are returned
 as DOUBLE so results compare with the DuckDB oracle.  All queries read whole
-tables: the date window below covers most of the orders (1995-2001) and is
-the staging jobs' own scope parameter, not a sampling device.
+tables: the date window below (the staging jobs' own scope parameter) spans
+every order date of the driver data (1995-2001), so no row is left out; the
+inclusive-bound semantics are tested on the fixtures instead.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from turnstile.plans.working_set import build_working_set, published, receipts_b
 from turnstile.sources.roles import driver_sources
 
 # Parameters of the driver instantiation.
-LO = "1996-01-01 00:00:00"
-HI = "2000-12-31 23:59:00"
+LO = "1995-01-01 00:00:00"
+HI = "2001-12-31 23:59:00"
 HWM_PREV_HI = "1997-12-31 23:59:00"
 HWM_NOW = "1998-06-30 23:59:00"
 PROFILE = P.UserProfile(email_suffix="@crm.example", profile_id="PROFILE-01")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,11 +39,17 @@ def start_sync_stream(tickets_stream: DataFrame, static_src: Mapping[str, DataFr
     def process(batch: DataFrame, epoch_id: int) -> None:
         src = dict(static_src)
         src["tickets"] = to_tickets(batch) if to_tickets is not None else batch
-        ws = build_working_set(src, lo, hi, keep_internal=True)
-        products = reformat(src, ws, lo, hi)
-        for name in PRODUCTS:
-            (products[name].write.mode("overwrite")
-             .parquet(f"{out_dir}/{name}/epoch={epoch_id}"))
+        # three products read the working set: keep it for this epoch only
+        # (a lost executor recomputes its blocks from the batch's files)
+        ws = build_working_set(src, lo, hi, keep_internal=True).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        try:
+            products = reformat(src, ws, lo, hi)
+            for name in PRODUCTS:
+                (products[name].write.mode("overwrite")
+                 .parquet(f"{out_dir}/{name}/epoch={epoch_id}"))
+        finally:
+            ws.unpersist()
 
     writer = (tickets_stream.writeStream.foreachBatch(process)
               .option("checkpointLocation", checkpoint_location))
