@@ -33,6 +33,36 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+# Settings for a large cluster (100 TB input, ~1000 executors).  Pass them to
+# the session builder or spark-submit; nothing in the library requires them.
+CLUSTER_CONF: dict[str, str] = {
+    # AQE: start with many shuffle partitions and let AQE merge small ones to
+    # ~256 MB, split skewed join partitions, and turn joins whose runtime
+    # shuffle output is small into broadcast joins.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.shuffle.partitions": "32768",
+    # scans: ~256 MB splits (Parquet row groups of 128-256 MB)
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # runtime bloom filters prune the receipt/commission scans to in-scope keys
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # ANSI: overflow raises instead of wrapping (money sums, packed ids)
+    "spark.sql.ansi.enabled": "true",
+    # executor loss: keep shuffle output of lost executors reachable and
+    # migrate blocks off decommissioned nodes
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting one only when unset.
 
