@@ -82,3 +82,9 @@ def test_working_set_event_form_keeps_evcode(src):
     ws = build_working_set(src, LO, HI, group_by="event")
     assert "evcode" in ws.columns and ws.columns.index("evcode") == 4
     assert ws.count() == 8
+
+
+def test_prune_to_scope_gives_the_same_working_set(src):
+    a = build_working_set(src, LO, HI, keep_internal=True)
+    b = build_working_set(src, LO, HI, keep_internal=True, prune_to_scope=True)
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))

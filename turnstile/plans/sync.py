@@ -101,7 +101,7 @@ def sync(spark: SparkSession, src: Mapping[str, DataFrame], state_dir: str, now,
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     previous = _latest_state(spark, state_dir)
     lo, hi = increment_bounds(previous, now, lookback=lookback)
-    ws = materialize(build_working_set(src, lo, hi, keep_internal=True))
+    ws = materialize(build_working_set(src, lo, hi, keep_internal=True, prune_to_scope=True))
     state_path = f"{state_dir.rstrip('/')}/v={run_id}"
     published(ws).write.mode("errorifexists").parquet(state_path)
     # the run counts as done only once its working set is fully written

@@ -63,13 +63,29 @@ def receipts_by_transaction(src: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "show",
-                      keep_internal: bool = False) -> DataFrame:
+                      keep_internal: bool = False, prune_to_scope: bool = False) -> DataFrame:
     """Working set for events in ``[lo, hi]`` (inclusive).
 
     ``keep_internal=True`` keeps the per-transaction helper columns
     ``_txn_min_rcb`` and ``_txn_amount`` that the payment roll-up reuses.
+
+    ``prune_to_scope=True`` semi-joins the receipts and commissions to the
+    scope's distinct transactions / tickets *before* aggregating them.  Use it
+    when the window is small compared with the history (incremental sync,
+    streaming micro-batches): AQE sees a small key set at runtime and
+    broadcasts it, so only in-scope receipts are read past the scan.  For a
+    window covering most of the history leave it off: the receipts are then
+    partially aggregated before their only shuffle.
     """
     scope = ticket_scope(src, lo, hi)
+    if prune_to_scope:
+        src = dict(src)
+        txns = scope.select(F.col("titransactnum").alias("__scope_txn")).distinct()
+        src["recieptbase"] = src["recieptbase"].join(
+            txns, F.col("rcbtransactnum") == F.col("__scope_txn"), "left_semi")
+        tickets = scope.select(F.col("ticode").alias("__scope_ticket")).distinct()
+        src["calculatedcommission"] = src["calculatedcommission"].join(
+            tickets, F.col("clcticketnum") == F.col("__scope_ticket"), "left_semi")
     guides = src["get_orderguides"].select("gogordernumber", "gogticketid", "gogguidenumber")
     ws = scope.join(guides, (F.col("tiorder") == F.col("gogordernumber"))
                     & (F.col("ticode") == F.col("gogticketid")), "left")

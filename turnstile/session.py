@@ -49,7 +49,8 @@ CLUSTER_CONF: dict[str, str] = {
     "spark.sql.shuffle.partitions": "32768",
     # scans: ~256 MB splits (Parquet row groups of 128-256 MB)
     "spark.sql.files.maxPartitionBytes": "256m",
-    # runtime bloom filters prune the receipt/commission scans to in-scope keys
+    # runtime bloom filters for selective joins whose filter sits on the key's
+    # own table (the working set prunes receipts explicitly, see prune_to_scope)
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # ANSI: overflow raises instead of wrapping (money sums, packed ids)
     "spark.sql.ansi.enabled": "true",

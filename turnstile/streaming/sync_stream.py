@@ -41,7 +41,7 @@ def start_sync_stream(tickets_stream: DataFrame, static_src: Mapping[str, DataFr
         src["tickets"] = to_tickets(batch) if to_tickets is not None else batch
         # three products read the working set: keep it for this epoch only
         # (a lost executor recomputes its blocks from the batch's files)
-        ws = build_working_set(src, lo, hi, keep_internal=True).persist(
+        ws = build_working_set(src, lo, hi, keep_internal=True, prune_to_scope=True).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
             products = reformat(src, ws, lo, hi)
