@@ -25,6 +25,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnstile.functions.scalar import exact_sum
 from turnstile.operators.backfill import attach_class_min, class_mins
 from turnstile.operators.lookup import sum_by_key
 from turnstile.operators.scope import ticket_scope
@@ -57,7 +58,7 @@ def receipts_by_transaction(src: Mapping[str, DataFrame]) -> DataFrame:
     return (r.groupBy("rcbtransactnum")
             .agg(typed.alias("ptdescr"), first.alias("__first"),
                  F.min("rcbcode").alias("_txn_min_rcb"),
-                 F.sum("rcbpayamount").alias("_txn_amount"))
+                 exact_sum("rcbpayamount", r.schema["rcbpayamount"].dataType).alias("_txn_amount"))
             .select("rcbtransactnum", "ptdescr", "__first.rcbshiftdate",
                     "__first.rcbcachinout", "_txn_min_rcb", "_txn_amount"))
 
