@@ -50,17 +50,27 @@ def minticode_keys(group_by: str = "show") -> list[str]:
 def receipts_by_transaction(src: Mapping[str, DataFrame]) -> DataFrame:
     """One row per transaction: ``ptdescr`` of its first receipt that has a
     pay type, ``rcbshiftdate``/``rcbcachinout`` of its first receipt, the
-    lowest receipt id and the receipt total ("first" = lowest receipt id)."""
-    r = src["recieptbase"].join(src["paytype"].select("ptcode", "ptdescr"),
-                                F.col("rcbpaytype") == F.col("ptcode"), "left")
-    first = F.min_by(F.struct("rcbshiftdate", "rcbcachinout"), F.col("rcbcode"))
-    typed = F.min_by(F.col("ptdescr"), F.when(F.col("ptcode").isNotNull(), F.col("rcbcode")))
-    return (r.groupBy("rcbtransactnum")
-            .agg(typed.alias("ptdescr"), first.alias("__first"),
-                 F.min("rcbcode").alias("_txn_min_rcb"),
-                 exact_sum("rcbpayamount", r.schema["rcbpayamount"].dataType).alias("_txn_amount"))
-            .select("rcbtransactnum", "ptdescr", "__first.rcbshiftdate",
-                    "__first.rcbcachinout", "_txn_min_rcb", "_txn_amount"))
+    lowest receipt id and the receipt total ("first" = lowest receipt id).
+
+    Every aggregate keeps a fixed-width buffer (ids, timestamps, flags, a
+    long sum), so Spark runs a hash aggregation -- no sort of the receipts --
+    partial on the map side.  The pay-type *code* is picked and its text is
+    looked up afterwards, on one row per transaction.
+    """
+    codes = src["paytype"].select(F.col("ptcode").alias("__known")).distinct()
+    r = src["recieptbase"].join(codes, F.col("rcbpaytype") == F.col("__known"), "left")
+    typed = F.when(F.col("__known").isNotNull(), F.col("rcbcode"))
+    agg = r.groupBy("rcbtransactnum").agg(
+        F.min_by("rcbpaytype", typed).alias("__ptcode"),
+        F.min_by("rcbshiftdate", "rcbcode").alias("rcbshiftdate"),
+        F.min_by("rcbcachinout", "rcbcode").alias("rcbcachinout"),
+        F.min("rcbcode").alias("_txn_min_rcb"),
+        exact_sum("rcbpayamount", r.schema["rcbpayamount"].dataType).alias("_txn_amount"))
+    texts = src["paytype"].groupBy(F.col("ptcode").alias("__pc")).agg(
+        F.min("ptdescr").alias("ptdescr"))
+    return (agg.join(texts, F.col("__ptcode") == F.col("__pc"), "left")
+            .select("rcbtransactnum", "ptdescr", "rcbshiftdate", "rcbcachinout",
+                    "_txn_min_rcb", "_txn_amount"))
 
 
 def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "show",
