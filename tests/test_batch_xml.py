@@ -95,3 +95,11 @@ def test_xml_batches_timestamp_and_decimal_text(spark):
     body = xml_batches(product, "tickets").first().body
     assert "<Price__c>10.5000</Price__c><Date_Time__c>2014-10-01T09:05:00</Date_Time__c>" in body
     assert "<Guide__c>" not in body and "<Fees__c>" not in body
+
+
+def test_empty_product_gives_no_batches(spark):
+    product = spark.createDataFrame([], "cltcode long, cltfirstname string, cltSurName string, "
+                                        "cltEmail string")
+    assert number_batches(product, ["cltcode"]).count() == 0
+    assert xml_batches(product, "contacts").count() == 0
+    assert load(product, "contacts", echo).count() == 0
