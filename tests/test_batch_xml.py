@@ -30,7 +30,7 @@ def test_all_equal_keys_exact_vs_closure(spark):
     exact = number_batches(df, ["tickid", "t"]).groupBy("batch_id").count().collect()
     assert sorted(r["count"] for r in exact) == [50, 100, 100]
     closure = sorted(tuple(r) for r in key_closure(df, "tickid", ["tickid", "t"]).collect())
-    # the reference re-sends all 250 rows of key 0 in each of the three batches
+    # the original loader re-sends all 250 rows of key 0 in each of the three batches
     assert closure == [(0, 0, 250), (1, 0, 250), (2, 0, 250)]
 
 

@@ -1,4 +1,4 @@
-"""Spark products vs the reference-shaped SQL (DuckDB) on the edge-case fixture,
+"""Spark products vs the SQL shaped like the original statements (DuckDB) on the edge-case fixture,
 and the driver contract at sf0.001."""
 
 import math

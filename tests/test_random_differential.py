@@ -1,5 +1,5 @@
 """Randomized differential test: random ticketing databases (NULLs, duplicate
-keys, fan-outs, ties) -> every product in Spark vs the reference-shaped SQL
+keys, fan-outs, ties) -> every product in Spark vs the SQL shaped like the original statements
 on DuckDB."""
 
 import datetime as dt

@@ -8,7 +8,7 @@ class.  The class is defined by
 * *sentinel* keys, compared as ``isnull(a, s) = isnull(b, s)``: NULL and the
   sentinel value are the same class member.
 
-When the reference's UPDATE finds several matching groups (NULL vs 0 guide,
+When the original UPDATE finds several matching groups (NULL vs 0 guide,
 say) it takes an arbitrary one; here the lowest id of the whole class wins,
 which is what the grouped form yields.
 
@@ -115,9 +115,9 @@ def payment_backfill(df: DataFrame, keys: Sequence[str], txn_min: str,
     each row (the working-set build computes it in the same pass over the
     receipts as the first-receipt lookups, see
     :func:`turnstile.plans.working_set.receipts_by_transaction`).  Joining
-    receipts per row and grouping, as the reference does, gives the same
+    receipts per row and grouping, as the original job does, gives the same
     minimum, because every ticket of a transaction sees the same receipts.
-    The receipt-credit left join of the reference cannot change a MIN and is
+    The receipt-credit left join of the original job cannot change a MIN and is
     not performed.
     """
     return class_min(df, txn_min, keys, {}, out, default)

@@ -68,7 +68,8 @@ def number_batches(df: DataFrame, order_by: Sequence[str | Column], size: int =
 
 def key_closure(df: DataFrame, key: str, order_by: Sequence[str | Column],
                 size: int = BATCH_SIZE) -> DataFrame:
-    """The reference's batch selection: ``key IN (keys of rows rn in [a, a+size))``.
+    """The original loader's batch selection: ``key IN (keys of rows numbered
+    a .. a+size-1)``.
 
     A batch carries *every* row whose key appears among its numbered rows, so
     a key spanning several batches is sent in each of them and a batch can
@@ -78,10 +79,9 @@ def key_closure(df: DataFrame, key: str, order_by: Sequence[str | Column],
     its size is bounded by the input, not by rows x batches.  Pushes use
     :func:`number_batches` (each row once).
     """
-    numbered = number_batches(df.select(key, *[c for c in order_by if isinstance(c, str)
-                                                 and c != key]), order_by, size)
-    members = (numbered.filter(F.col(key).isNotNull())
-               .select("batch_id", key).distinct())
-    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    columns = [key] + [c for c in order_by if isinstance(c, str) and c != key]
+    numbered = number_batches(df.select(*columns), order_by, size)   # checkpointed
+    keyed = numbered.filter(F.col(key).isNotNull())
+    members = keyed.select("batch_id", key).distinct()
+    per_key = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     return members.join(per_key, key).select("batch_id", key, "n_rows")

@@ -84,7 +84,7 @@ def payment_rollup(ws: DataFrame, credit: DataFrame, card_default: str | None =
     cash-in/out) with ``paymentid > 0``; contact is grouped on but not output,
     so a payment id can repeat.
 
-    The reference left-joins the receipt-credit rows *before* grouping; since
+    The original job left-joins the receipt-credit rows *before* grouping; since
     those rows depend only on the payment id (a group key) and are only read
     through MAX, they are aggregated per receipt id first and joined to the
     much smaller grouped result.  ``card_default=""`` is the procedure form

@@ -39,7 +39,7 @@ def ticket_scope(src: Mapping[str, DataFrame], lo, hi) -> DataFrame:
     existence checks and are tiny, so Spark broadcasts them from their size
     statistics (or AQE does so at runtime from the actual shuffle size).
 
-    The reference also left-joins ``clients`` here without reading a column
+    The original job also left-joins ``clients`` here without reading a column
     of it; with ``cltcode`` a key that join cannot change the result, so it
     is not performed (inside the IN-subqueries Catalyst would remove it too).
 

@@ -3,7 +3,7 @@
 A *source set* is a plain ``dict[str, DataFrame]`` keyed by lower-case
 ticketing table name.  Every operator reads from it, so tables may come from
 Parquet folders, a catalog, or a JDBC database (the cross-database scans of
-the reference are simply entries loaded from a second location).
+the original jobs are simply entries loaded from a second location).
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ instead of appending twice (exactly-once output).
 
 The per-batch products only see tickets of that batch: equivalent tickets
 that arrive in different batches get different canonical ids -- the same
-limitation the reference has across sync runs (no late-data handling).
+limitation the original jobs have across sync runs (no late-data handling).
 """
 
 from __future__ import annotations
