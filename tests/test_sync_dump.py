@@ -50,6 +50,28 @@ def test_sync_incremental_from_mark(spark, src, scratch):
     assert again.lo == dt.datetime(2014, 10, 1, 23, 50)
 
 
+def fail(endpoint, body, key):
+    return 500, "down"
+
+
+def test_failed_push_does_not_advance_the_mark(spark, src, scratch):
+    state = f"{scratch}/state"
+    prev = spark.createDataFrame([(dt.datetime(2014, 10, 1, 23, 50),)], "eveventdate timestamp_ntz")
+    prev.write.parquet(f"{state}/v=seed")
+    spark.createDataFrame([("seed", f"{state}/v=seed", "", "")],
+                          "run_id string, path string, lo string, hi string"
+                          ).write.parquet(f"{state}/_runs")
+    now = dt.datetime(2014, 10, 2, 23, 59)
+    bad = sync(spark, src, state, now=now, transport=fail, run_id="b")
+    assert bad.failed_batches == 1 and list(bad.responses) == ["contacts"]  # stops at the failure
+    # the mark did not move: the next run sends the same increment again
+    good = sync(spark, src, state, now=now, transport=ok, run_id="c")
+    assert good.lo == bad.lo == dt.datetime(2014, 10, 1, 23, 50) and good.failed_batches == 0
+    assert set(good.responses) == {"contacts", "payments", "tickets"}
+    persisted = spark.read.parquet(f"{state}/responses")
+    assert {r.run for r in persisted.select("run").distinct().collect()} == {"b", "c"}
+
+
 def test_full_and_day_dump(src):
     profile = P.UserProfile(email_suffix="@crm.test", profile_id="P1")
     full = dump(src, LO, HI, profile, "full")

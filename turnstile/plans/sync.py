@@ -76,6 +76,7 @@ class SyncReport:
     counts: dict[str, int] = field(default_factory=dict)
     responses: dict[str, DataFrame] = field(default_factory=dict)
     state_path: str | None = None
+    failed_batches: int = 0
 
 
 def _run_log(state_dir: str) -> str:
@@ -96,22 +97,47 @@ def _latest_state(spark: SparkSession, state_dir: str) -> DataFrame | None:
 def sync(spark: SparkSession, src: Mapping[str, DataFrame], state_dir: str, now,
          transport: Transport | None = None, run_id: str | None = None,
          lookback: dt.timedelta | None = None) -> SyncReport:
-    """One incremental run.  The mark is read (an eager scalar) before the new
-    working set is written; products whose count is 0 are not loaded."""
+    """One incremental run.
+
+    1. the mark is read (one scalar) before anything is written;
+    2. the working set is built (receipts pruned to the scope), checkpointed
+       and written to ``<state_dir>/v=<run_id>``;
+    3. contacts, payments, tickets are built and counted; an empty product is
+       not loaded;
+    4. each non-empty product is pushed in that order and its responses are
+       written to ``<state_dir>/responses/run=<run_id>/entity=<name>``;
+    5. only if every batch answered 2xx is the run appended to the run log --
+       so a failed push leaves the mark where it was and the next run sends
+       the same increment again (at-least-once, with idempotency keys).
+
+    Without a transport nothing is pushed and the run is logged.
+    """
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     previous = _latest_state(spark, state_dir)
     lo, hi = increment_bounds(previous, now, lookback=lookback)
     ws = materialize(build_working_set(src, lo, hi, keep_internal=True, prune_to_scope=True))
     state_path = f"{state_dir.rstrip('/')}/v={run_id}"
     published(ws).write.mode("errorifexists").parquet(state_path)
-    # the run counts as done only once its working set is fully written
-    spark.createDataFrame([(run_id, state_path, str(lo), str(hi))],
-                          "run_id string, path string, lo string, hi string").write.mode("append").parquet(_run_log(state_dir))
     products = reformat(src, ws, lo, hi)
     counts = {r["entity"]: r["n_rows"] for r in record_counts(products).collect()}
     report = SyncReport(lo, hi, counts, state_path=state_path)
+    failed = 0
     if transport is not None:
         for name in LOAD_ORDER:
-            if counts[name] > 0:
-                report.responses[name] = load(products[name], name, transport, run_id)
+            if counts[name] == 0:
+                continue
+            path = f"{state_dir.rstrip('/')}/responses/run={run_id}/entity={name}"
+            load(products[name], name, transport, run_id).write.mode("overwrite").parquet(path)
+            responses = spark.read.parquet(path)
+            report.responses[name] = responses
+            failed += responses.filter(~F.col("status").between(200, 299)).count()
+            if failed:
+                break   # keep the referential order: nothing after a failed entity
+    report.failed_batches = failed
+    if not failed:
+        # the run counts as done only once its working set is written and
+        # every batch was accepted
+        spark.createDataFrame([(run_id, state_path, str(lo), str(hi))],
+                              "run_id string, path string, lo string, hi string"
+                              ).write.mode("append").parquet(_run_log(state_dir))
     return report
