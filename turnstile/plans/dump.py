@@ -16,7 +16,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from turnstile.operators.schedule import activity_schedule, lookup_times, price_schedule
-from turnstile.operators.scope import ticket_scope
 from turnstile.plans import products as P
 from turnstile.plans.working_set import build_working_set, published
 from turnstile.session import ensure_checkpoint_dir
@@ -31,15 +30,20 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def dump(src: Mapping[str, DataFrame], lo, hi, profile: P.UserProfile,
          variant: str = "full", reuse: bool = True) -> dict[str, DataFrame]:
-    """All products of a dump as DataFrames (``reuse`` checkpoints the scope
-    and the working set, which several products read)."""
+    """All products of a dump as DataFrames.
+
+    ``reuse`` checkpoints the working set, which every product reads.  The
+    dimension products only need the distinct contacts, price types, shows
+    and tills of the scope; the working set has those columns with the same
+    value sets (it only adds left-join fan-out), so the scope itself is not
+    computed or stored a second time.
+    """
     if variant not in ("full", "day"):
         raise ValueError("variant must be 'full' or 'day'")
-    scope = ticket_scope(src, lo, hi)
     ws = build_working_set(src, lo, hi, group_by="event", keep_internal=True)
     if reuse:
-        scope = materialize(scope)
         ws = materialize(ws)
+    scope = ws
     out: dict[str, DataFrame] = {
         "contacts": P.contacts(src, scope),
         "pricetypes": P.pricetypes(src, scope),

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from turnstile.operators.scope import ticket_scope
 from turnstile.plans import products as P
 from turnstile.plans.dump import materialize
 from turnstile.plans.load import load
@@ -50,11 +49,15 @@ def increment_bounds(previous: DataFrame | None, now, default_start=INITIAL_STAR
     return lo, now
 
 
-def reformat(src: Mapping[str, DataFrame], ws: DataFrame, lo, hi) -> dict[str, DataFrame]:
+def reformat(src: Mapping[str, DataFrame], ws: DataFrame, lo=None, hi=None) -> dict[str, DataFrame]:
     """Procedure products: contacts, tickets (no schedule id), payments
-    (card number '' without a card row)."""
-    scope = ticket_scope(src, lo, hi)
-    return {"contacts": P.contacts(src, scope),
+    (card number '' without a card row).
+
+    The contacts are the clients referenced by the working set: its contact
+    values are exactly those of the scope (the working set only adds
+    left-join fan-out), so the scope is not rebuilt.  ``lo``/``hi`` are kept
+    for call compatibility."""
+    return {"contacts": P.contacts(src, ws),
             "tickets": P.tickets(ws),
             "payments": P.payments(ws, src, card_default="")}
 
