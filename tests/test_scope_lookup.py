@@ -69,3 +69,12 @@ def test_scope_pushes_date_filter_to_scan(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert "PushedFilters" in plan and "GreaterThanOrEqual(eveventdate" in plan
     assert "ReadSchema: struct<evcode:bigint,eveventdate:timestamp_ntz>" in plan
+
+
+def test_inclusive_bounds_at_minute_precision(spark):
+    from turnstile.operators.scope import in_range
+    rows = [(T("2014-10-01 00:00"),), (T("2014-10-01 23:59"),), (T("2014-10-01 23:59:30"),),
+            (T("2014-09-30 23:59:59"),), (None,)]
+    df = spark.createDataFrame(rows, "d timestamp_ntz")
+    got = [r.d for r in df.filter(in_range("d", LO, HI)).collect()]
+    assert sorted(got) == [T("2014-10-01 00:00"), T("2014-10-01 23:59")]
