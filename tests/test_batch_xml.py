@@ -103,3 +103,12 @@ def test_empty_product_gives_no_batches(spark):
     assert number_batches(product, ["cltcode"]).count() == 0
     assert xml_batches(product, "contacts").count() == 0
     assert load(product, "contacts", echo).count() == 0
+
+
+def test_timestamp_text_shows_milliseconds_only_when_present(spark):
+    import datetime as dt
+    from turnstile.operators.xml import xml_text
+    df = spark.createDataFrame([(dt.datetime(2014, 10, 1, 9, 5),), (dt.datetime(2014, 10, 1, 9, 5, 7, 123000),)],
+                               "t timestamp_ntz")
+    assert [r[0] for r in df.select(xml_text(df, "t")).collect()] == [
+        "2014-10-01T09:05:00", "2014-10-01T09:05:07.123"]

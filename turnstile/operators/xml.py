@@ -55,11 +55,14 @@ def entity(name: str) -> Entity:
 
 def xml_text(df: DataFrame, column: str) -> Column:
     """Text of a value as an XML serializer prints it: timestamps as
-    ``yyyy-MM-ddTHH:mm:ss``, numbers and decimals in plain notation."""
+    ``yyyy-MM-ddTHH:mm:ss`` plus ``.SSS`` only when the milliseconds are not
+    zero, numbers and decimals in plain notation."""
     dtype = df.schema[column].dataType
     c = F.col(column)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+        whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+        millis = F.date_format(c, "SSS")
+        return F.when(millis == F.lit("000"), whole).otherwise(F.concat(whole, F.lit("."), millis))
     if isinstance(dtype, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
