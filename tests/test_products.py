@@ -102,3 +102,12 @@ def test_accounts_contacts_orders(src):
     assert orders == [(7000, 900, 1, "10/01/2014", "09/30/2014"),
                       (7002, 902, 4, "10/01/2014", "10/01/2014"),
                       (7004, 2, 0, "10/01/2014", "09/30/2014")]
+
+
+def test_id_kind_option(src):
+    acc = {r.recid: r.id_kind for r in A.accounts(src, LO, HI, with_id_kind=True).collect()}
+    assert acc == {2: "client", 900: "order_contact", 902: "order_contact"}
+    out = P.users(src, ticket_scope(src, LO, HI), P.tickets(ws_of(src)), PROFILE, with_id_kind=True)
+    assert sorted((r.externalid, r.id_kind) for r in out.collect()) == [
+        (1, "till"), (2, "till"), (5, "guide")]
+    assert "id_kind" not in A.accounts(src, LO, HI).columns

@@ -53,7 +53,7 @@ def _client_tickets(src: Mapping[str, DataFrame], lo, hi) -> DataFrame:
             .join(events, F.col("tievent") == F.col("evcode")))
 
 
-def accounts(src: Mapping[str, DataFrame], lo, hi) -> DataFrame:
+def accounts(src: Mapping[str, DataFrame], lo, hi, with_id_kind: bool = False) -> DataFrame:
     """``recid, cltEmail, orcfullname, <address>, phone``.
 
     Named branch: one row per (client, e-mail, order-contact name, address)
@@ -61,6 +61,10 @@ def accounts(src: Mapping[str, DataFrame], lo, hi) -> DataFrame:
     client's own code as ``recid`` and surname as ``orcfullname``; the order
     contacts only have to exist.  The UNION removes duplicates.  No shift
     filter here (wider scope than the orders product).
+
+    ``recid`` mixes two id spaces (order-contact records and client codes);
+    ``with_id_kind=True`` adds ``id_kind`` ('order_contact' / 'client') so a
+    consumer can tell them apart.  The default output is the original one.
     """
     base = _client_tickets(src, lo, hi)
     oc = src["ordercontacts"]
@@ -70,7 +74,8 @@ def accounts(src: Mapping[str, DataFrame], lo, hi) -> DataFrame:
     named = (named.groupBy("cltcode", "cltemail", "orcfullname", *ADDRESS_COLUMNS)
              .agg(F.min("orcrecordid").alias("recid")))
     named = _with_phone(named, src).select(
-        "recid", F.col("cltemail").alias("cltEmail"), "orcfullname", *ADDRESS_COLUMNS, "phone")
+        "recid", F.col("cltemail").alias("cltEmail"), "orcfullname", *ADDRESS_COLUMNS, "phone",
+        *([F.lit("order_contact").alias("id_kind")] if with_id_kind else []))
     blank = base.filter(is_blank("cltfirstname"))
     blank = blank.join(oc.select("orcordernumber"),
                        F.col("tiorder") == F.col("orcordernumber"), "left_semi")
@@ -78,7 +83,8 @@ def accounts(src: Mapping[str, DataFrame], lo, hi) -> DataFrame:
     blank = blank.select("cltcode", "cltsurname", "cltemail", *ADDRESS_COLUMNS).distinct()
     blank = _with_phone(blank, src).select(
         F.col("cltcode").alias("recid"), F.col("cltemail").alias("cltEmail"),
-        F.col("cltsurname").alias("orcfullname"), *ADDRESS_COLUMNS, "phone")
+        F.col("cltsurname").alias("orcfullname"), *ADDRESS_COLUMNS, "phone",
+        *([F.lit("client").alias("id_kind")] if with_id_kind else []))
     return named.union(blank).distinct()
 
 

@@ -84,9 +84,12 @@ USER_COLUMNS = ["username", "first_name", "last_name", "email", "externalid",
 
 
 def users(src: Mapping[str, DataFrame], scope: DataFrame, ticket_product: DataFrame,
-          profile: UserProfile) -> DataFrame:
+          profile: UserProfile, with_id_kind: bool = False) -> DataFrame:
     """Guides with a CRM user that appear on a published ticket, plus one
-    pseudo-user per till used in scope (bag union, as the INSERT appends)."""
+    pseudo-user per till used in scope (bag union, as the INSERT appends).
+
+    ``externalid`` holds guide codes and till codes; ``with_id_kind=True``
+    adds ``id_kind`` ('guide' / 'till').  The default output is the original."""
     def constants():
         return [F.lit(profile.time_zone).alias("TimeZoneSidKey"),
                 F.lit(profile.locale).alias("LocaleSidKey"),
@@ -109,7 +112,8 @@ def users(src: Mapping[str, DataFrame], scope: DataFrame, ticket_product: DataFr
         plus_concat(F.col("last_name"), profile.nickname_suffix).alias("communityNickname"),
         *constants(),
         plus_concat(F.col("last_name"), profile.nickname_suffix).alias("Alias"),
-        F.lit(profile.profile_id).alias("ProfileId"))
+        F.lit(profile.profile_id).alias("ProfileId"),
+        *([F.lit("guide").alias("id_kind")] if with_id_kind else []))
     tills = referenced_rows(src["till"], "tilcode", scope, "tilcode")
     name = spaces_to_underscores("tildescr")
     part2 = tills.select(
@@ -121,5 +125,6 @@ def users(src: Mapping[str, DataFrame], scope: DataFrame, ticket_product: DataFr
         plus_concat(name, profile.nickname_suffix).alias("communityNickname"),
         *constants(),
         plus_concat(name, profile.nickname_suffix).alias("Alias"),
-        F.lit(profile.profile_id).alias("ProfileId"))
+        F.lit(profile.profile_id).alias("ProfileId"),
+        *([F.lit("till").alias("id_kind")] if with_id_kind else []))
     return part1.unionByName(part2)
