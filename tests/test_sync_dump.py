@@ -85,3 +85,28 @@ def test_full_and_day_dump(src):
     assert full["activitypriceschedule"].count() == 7 and day["activitypriceschedule"].count() == 6
     assert full["payments"].filter(F.col("lastCardNum").isNull()).count() == 1
     assert "activityscheduleid" in day["tickets"].columns
+
+
+def test_retry_resends_only_failed_batches(spark, src, scratch):
+    from turnstile.plans.sync import retry_failed
+    state = f"{scratch}/state"
+    prev = spark.createDataFrame([(dt.datetime(2014, 10, 1, 23, 50),)], "eveventdate timestamp_ntz")
+    prev.write.parquet(f"{state}/v=seed")
+    spark.createDataFrame([("seed", f"{state}/v=seed", "", "")],
+                          "run_id string, path string, lo string, hi string"
+                          ).write.parquet(f"{state}/_runs")
+    now = dt.datetime(2014, 10, 2, 23, 59)
+    bad = sync(spark, src, state, now=now, transport=fail, run_id="r1")
+    assert bad.failed_batches == 1
+    assert retry_failed(spark, state, "r1", fail) == 1          # still down
+    assert retry_failed(spark, state, "r1", ok) == 0            # recovered: everything sent
+    responses = spark.read.parquet(f"{state}/responses").filter("run = 'r1'")
+    per_entity = {r.entity: r.n for r in responses.filter("status = 200").groupBy("entity")
+                  .agg(F.count("*").alias("n")).collect()}
+    assert per_entity == {"contacts": 1, "payments": 1, "tickets": 1}   # one batch each, once
+    # the run is logged now, so the next sync starts from its mark
+    mark = spark.read.parquet(f"{state}/v=r1").agg(F.max("eveventdate")).first()[0]
+    assert mark == dt.datetime(2014, 10, 1, 23, 59, 30)     # ticket 8's event joined the window
+    nxt = sync(spark, src, state, now=now, run_id="a0")       # id sorts before "r1": order is by time
+    assert nxt.lo == mark
+    assert retry_failed(spark, state, "r1", ok) == 0

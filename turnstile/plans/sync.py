@@ -20,9 +20,10 @@ from pyspark.errors import AnalysisException
 
 from turnstile.plans import products as P
 from turnstile.plans.dump import materialize
-from turnstile.plans.load import load
+from turnstile.operators.xml import entity
+from turnstile.plans.load import xml_batches
 from turnstile.plans.working_set import build_working_set, published
-from turnstile.sources.sinks import Transport
+from turnstile.sources.sinks import Transport, push_batches
 
 # Fixed value: start of the first sync when no previous working set exists.
 INITIAL_START = "2016-02-01"
@@ -87,16 +88,67 @@ def _run_log(state_dir: str) -> str:
 
 
 def _latest_state(spark: SparkSession, state_dir: str) -> DataFrame | None:
-    """The working set of the newest completed run, from the run log (a
-    small Parquet dataset with one row per completed run)."""
+    """The working set of the most recently completed run, from the run log
+    (a small Parquet dataset with one row per completed run, stamped with the
+    time it was logged; caller-chosen run ids need not sort in time)."""
     try:
-        log = spark.read.parquet(_run_log(state_dir))
+        log = spark.read.option("mergeSchema", "true").parquet(_run_log(state_dir))
     except AnalysisException:
         return None
-    last = log.orderBy(F.col("run_id").desc()).select("path").first()
+    if "logged_at" not in log.columns:
+        log = log.withColumn("logged_at", F.lit(None).cast("timestamp"))
+    last = log.orderBy(F.col("logged_at").desc_nulls_last(), F.col("run_id").desc()) \
+        .select("path").first()
     return None if last is None else spark.read.parquet(last["path"])
 
 
+def _run_dir(state_dir: str, kind: str, run_id: str, name: str) -> str:
+    return f"{state_dir.rstrip('/')}/{kind}/run={run_id}/entity={name}"
+
+
+def _push_stored(spark: SparkSession, state_dir: str, run_id: str, name: str,
+                 transport: Transport) -> int:
+    """Push the stored bodies of one entity of a run that have no accepted
+    response yet (all of them on the first attempt), append the responses,
+    and return how many batches are still not accepted."""
+    ent = entity(name)
+    bodies_path = _run_dir(state_dir, "bodies", run_id, name)
+    responses_path = _run_dir(state_dir, "responses", run_id, name)
+    bodies = spark.read.parquet(bodies_path)
+    if _has(spark, responses_path):
+        accepted = (spark.read.parquet(responses_path)
+                    .filter(F.col("status").between(200, 299)).select("batch_id"))
+        bodies = bodies.join(accepted, "batch_id", "left_anti")
+    push_batches(bodies, ent.name, ent.endpoint, transport, run_id) \
+        .write.mode("append").parquet(responses_path)
+    accepted = (spark.read.parquet(responses_path)
+                .filter(F.col("status").between(200, 299)).select("batch_id").distinct())
+    return spark.read.parquet(bodies_path).join(accepted, "batch_id", "left_anti").count()
+
+
+def _log_run(spark: SparkSession, state_dir: str, run_id: str) -> None:
+    """Move the run's pending record into the run log (advances the mark)."""
+    pending = spark.read.parquet(f"{state_dir.rstrip('/')}/pending/run={run_id}")
+    pending.withColumn("logged_at", F.current_timestamp()) \
+        .write.mode("append").parquet(_run_log(state_dir))
+
+
+def _push_run(spark: SparkSession, state_dir: str, run_id: str, transport: Transport,
+              report: SyncReport | None = None) -> int:
+    """Push every stored entity of a run in load order; stop at the first
+    entity that still has unaccepted batches and return their number."""
+    for name in LOAD_ORDER:
+        if not _has(spark, _run_dir(state_dir, "bodies", run_id, name)):
+            continue
+        remaining = _push_stored(spark, state_dir, run_id, name, transport)
+        if report is not None:
+            report.responses[name] = spark.read.parquet(
+                _run_dir(state_dir, "responses", run_id, name))
+        if remaining:
+            return remaining
+    return 0
+
+
 def sync(spark: SparkSession, src: Mapping[str, DataFrame], state_dir: str, now,
          transport: Transport | None = None, run_id: str | None = None,
          lookback: dt.timedelta | None = None) -> SyncReport:
@@ -104,43 +156,65 @@ def sync(spark: SparkSession, src: Mapping[str, DataFrame], state_dir: str, now,
 
     1. the mark is read (one scalar) before anything is written;
     2. the working set is built (receipts pruned to the scope), checkpointed
-       and written to ``<state_dir>/v=<run_id>``;
+       and written to ``<state_dir>/v=<run_id>``; the run's bounds go to a
+       pending record ``pending/run=<run_id>``;
     3. contacts, payments, tickets are built and counted; an empty product is
        not loaded;
-    4. each non-empty product is pushed in that order and its responses are
-       written to ``<state_dir>/responses/run=<run_id>/entity=<name>``;
-    5. only if every batch answered 2xx is the run appended to the run log --
-       so a failed push leaves the mark where it was and the next run sends
-       the same increment again (at-least-once, with idempotency keys).
+    4. every non-empty product is numbered and serialized, and its request
+       bodies are stored under ``bodies/run=<run_id>/entity=<name>`` (fixed
+       batch ids) before anything is sent;
+    5. the bodies are pushed in load order, responses appended under
+       ``responses/run=<run_id>/entity=<name>``; pushing stops at the first
+       entity with a rejected batch;
+    6. only when every batch is accepted does the pending record move into
+       the run log -- which advances the mark.  :func:`retry_failed` re-sends
+       just the batches without an accepted response (and the entities not
+       reached yet) and completes the run.
 
     Without a transport nothing is pushed and the run is logged.
     """
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    root = state_dir.rstrip("/")
     previous = _latest_state(spark, state_dir)
     lo, hi = increment_bounds(previous, now, lookback=lookback)
     ws = materialize(build_working_set(src, lo, hi, keep_internal=True, prune_to_scope=True))
-    state_path = f"{state_dir.rstrip('/')}/v={run_id}"
+    state_path = f"{root}/v={run_id}"
     published(ws).write.mode("errorifexists").parquet(state_path)
+    spark.createDataFrame([(run_id, state_path, str(lo), str(hi))],
+                          "run_id string, path string, lo string, hi string"
+                          ).write.mode("overwrite").parquet(f"{root}/pending/run={run_id}")
     products = reformat(src, ws, lo, hi)
     counts = {r["entity"]: r["n_rows"] for r in record_counts(products).collect()}
     report = SyncReport(lo, hi, counts, state_path=state_path)
-    failed = 0
     if transport is not None:
         for name in LOAD_ORDER:
-            if counts[name] == 0:
-                continue
-            path = f"{state_dir.rstrip('/')}/responses/run={run_id}/entity={name}"
-            load(products[name], name, transport, run_id).write.mode("overwrite").parquet(path)
-            responses = spark.read.parquet(path)
-            report.responses[name] = responses
-            failed += responses.filter(~F.col("status").between(200, 299)).count()
-            if failed:
-                break   # keep the referential order: nothing after a failed entity
-    report.failed_batches = failed
-    if not failed:
-        # the run counts as done only once its working set is written and
-        # every batch was accepted
-        spark.createDataFrame([(run_id, state_path, str(lo), str(hi))],
-                              "run_id string, path string, lo string, hi string"
-                              ).write.mode("append").parquet(_run_log(state_dir))
+            if counts[name] > 0:
+                xml_batches(products[name], name).write.mode("overwrite").parquet(
+                    _run_dir(state_dir, "bodies", run_id, name))
+        report.failed_batches = _push_run(spark, state_dir, run_id, transport, report)
+    if not report.failed_batches:
+        _log_run(spark, state_dir, run_id)
     return report
+
+
+def retry_failed(spark: SparkSession, state_dir: str, run_id: str,
+                 transport: Transport) -> int:
+    """Complete a run whose push failed: re-send only its batches without an
+    accepted response, in load order, then log the run (advancing the mark)
+    once nothing is left.  Returns the number of batches still not accepted;
+    0 for a run that is already logged."""
+    if _has(spark, _run_log(state_dir)) and spark.read.parquet(_run_log(state_dir)) \
+            .filter(F.col("run_id") == run_id).count():
+        return 0
+    remaining = _push_run(spark, state_dir, run_id, transport)
+    if not remaining:
+        _log_run(spark, state_dir, run_id)
+    return remaining
+
+
+def _has(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
