@@ -1,11 +1,17 @@
 """Incremental sync (X4, X5, I1-I3): high-water mark -> rebuild -> reformat ->
 count gates -> load.
 
-State is a folder of working-set versions under ``state_dir`` (a shared
-location).  Each run writes a new ``v=<run_id>`` folder and is appended to
-the ``_runs`` log only after that folder is complete; the newest logged run
-is the previous working set, so a failed run never destroys the state the
-next run reads.
+State lives under ``state_dir`` (a shared location)::
+
+    v=<run>/                          working set of the run
+    pending/run=<run>/                the run's bounds, until it completes
+    bodies/run=<run>/entity=<e>/      request bodies with fixed batch ids
+    responses/run=<run>/entity=<e>/   one row per push attempt and batch
+    _runs/                            completed runs (appended last)
+
+The most recently completed run is the previous working set.  A run counts as
+completed only when its working set is written and every batch was accepted,
+so a failure never moves the mark; ``retry_failed`` finishes such a run.
 """
 
 from __future__ import annotations
@@ -18,9 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from turnstile.operators.xml import entity
 from turnstile.plans import products as P
 from turnstile.plans.dump import materialize
-from turnstile.operators.xml import entity
 from turnstile.plans.load import xml_batches
 from turnstile.plans.working_set import build_working_set, published
 from turnstile.sources.sinks import Transport, push_batches
