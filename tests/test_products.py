@@ -111,3 +111,10 @@ def test_id_kind_option(src):
     assert sorted((r.externalid, r.id_kind) for r in out.collect()) == [
         (1, "till"), (2, "till"), (5, "guide")]
     assert "id_kind" not in A.accounts(src, LO, HI).columns
+
+
+def test_card_pruning_gives_the_same_payments(src):
+    ws = ws_of(src)
+    a = P.payments(ws, src, prune_cards=False).collect()
+    b = P.payments(ws, src, prune_cards=True).collect()
+    assert sorted(map(repr, a)) == sorted(map(repr, b))

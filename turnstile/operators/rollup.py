@@ -79,25 +79,27 @@ def card_lookup(credit: DataFrame, card_default: str | None) -> DataFrame:
 
 
 def payment_rollup(ws: DataFrame, credit: DataFrame, card_default: str | None = "",
-                   txn_amount: str = "_txn_amount", mask: bool = False) -> DataFrame:
+                   txn_amount: str = "_txn_amount", mask: bool = False,
+                   prune_cards: bool = False) -> DataFrame:
     """Payments: one row per (payment id, contact, pay type, shift date,
     cash-in/out) with ``paymentid > 0``; contact is grouped on but not output,
     so a payment id can repeat.
 
     The original job left-joins the receipt-credit rows *before* grouping; since
     those rows depend only on the payment id (a group key) and are only read
-    through MAX, they are restricted to the payment ids, aggregated per
-    receipt id and joined to the much smaller grouped result.  ``card_default=""`` is the procedure form
+    through MAX, they are aggregated per receipt id and joined to the much
+    smaller grouped result.  ``prune_cards=True`` (incremental runs) first
+    semi-joins the card rows to the payment ids: a small id set is broadcast
+    by AQE, so only the card rows of this run's payments are read past the
+    scan.  ``card_default=""`` is the procedure form
     (``max(isnull(num, ''))``), ``None`` the dump form (NULL without a card).
     ``mask=True`` publishes only the last four digits of the card number.
     """
     p = ws.filter(F.col("paymentid") > 0)
     g = p.groupBy(*PAYMENT_GROUP_KEYS).agg(F.max("titransactnum").alias("last_transact_no"))
-    # only the card rows of receipts that became payment ids are read past
-    # the scan: a small id set is broadcast by AQE, a large one shuffles the
-    # card rows once, and the per-receipt aggregation reuses that partitioning
-    ids = p.select(F.col("paymentid").alias("__pid")).distinct()
-    credit = credit.join(ids, F.col("rcccode") == F.col("__pid"), "left_semi")
+    if prune_cards:
+        ids = p.select(F.col("paymentid").alias("__pid")).distinct()
+        credit = credit.join(ids, F.col("rcccode") == F.col("__pid"), "left_semi")
     cards = card_lookup(credit, card_default)
     amounts = payment_amounts(ws, txn_amount).withColumnRenamed("paymentid", "__amt_pid")
     j = (g.join(cards, F.col("paymentid") == F.col("rcccode"), "left")

@@ -58,10 +58,12 @@ def tickets(ws: DataFrame, schedule: DataFrame | None = None,
 
 
 def payments(ws: DataFrame, src: Mapping[str, DataFrame], card_default: str | None = "",
-             mask_card: bool = False) -> DataFrame:
+             mask_card: bool = False, prune_cards: bool = False) -> DataFrame:
     """Payment roll-up; ``ws`` must carry the internal transaction columns
-    (``build_working_set(..., keep_internal=True)``)."""
-    return payment_rollup(ws, src["recieptcredit"], card_default, mask=mask_card)
+    (``build_working_set(..., keep_internal=True)``).  ``prune_cards`` as in
+    :func:`turnstile.operators.rollup.payment_rollup` (use it for small windows)."""
+    return payment_rollup(ws, src["recieptcredit"], card_default, mask=mask_card,
+                          prune_cards=prune_cards)
 
 
 @dataclass(frozen=True)

@@ -56,17 +56,19 @@ def increment_bounds(previous: DataFrame | None, now, default_start=INITIAL_STAR
     return lo, now
 
 
-def reformat(src: Mapping[str, DataFrame], ws: DataFrame, lo=None, hi=None) -> dict[str, DataFrame]:
+def reformat(src: Mapping[str, DataFrame], ws: DataFrame, lo=None, hi=None,
+             incremental: bool = False) -> dict[str, DataFrame]:
     """Procedure products: contacts, tickets (no schedule id), payments
     (card number '' without a card row).
 
     The contacts are the clients referenced by the working set: its contact
     values are exactly those of the scope (the working set only adds
     left-join fan-out), so the scope is not rebuilt.  ``lo``/``hi`` are kept
-    for call compatibility."""
+    for call compatibility; ``incremental`` restricts the card rows to the
+    run's payment ids (small windows)."""
     return {"contacts": P.contacts(src, ws),
             "tickets": P.tickets(ws),
-            "payments": P.payments(ws, src, card_default="")}
+            "payments": P.payments(ws, src, card_default="", prune_cards=incremental)}
 
 
 def record_counts(products: Mapping[str, DataFrame]) -> DataFrame:
@@ -189,7 +191,7 @@ def sync(spark: SparkSession, src: Mapping[str, DataFrame], state_dir: str, now,
     spark.createDataFrame([(run_id, state_path, str(lo), str(hi))],
                           "run_id string, path string, lo string, hi string"
                           ).write.mode("overwrite").parquet(f"{root}/pending/run={run_id}")
-    products = reformat(src, ws, lo, hi)
+    products = reformat(src, ws, lo, hi, incremental=True)
     counts = {r["entity"]: r["n_rows"] for r in record_counts(products).collect()}
     report = SyncReport(lo, hi, counts, state_path=state_path)
     if transport is not None:

@@ -44,7 +44,7 @@ def start_sync_stream(tickets_stream: DataFrame, static_src: Mapping[str, DataFr
         ws = build_working_set(src, lo, hi, keep_internal=True, prune_to_scope=True).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
-            products = reformat(src, ws, lo, hi)
+            products = reformat(src, ws, lo, hi, incremental=True)
             for name in PRODUCTS:
                 (products[name].write.mode("overwrite")
                  .parquet(f"{out_dir}/{name}/epoch={epoch_id}"))
