@@ -1,6 +1,5 @@
 from decimal import Decimal as D
 
-from pyspark.sql import functions as F
 
 from tests.fixtures import HI, LO, T
 from turnstile.operators.lookup import first_match, range_lookup, sum_lookup
