@@ -1,6 +1,5 @@
 from decimal import Decimal as D
 
-
 from tests.fixtures import HI, LO, T
 from turnstile.operators.lookup import first_match, range_lookup, sum_lookup
 from turnstile.operators.scope import referenced_rows, ticket_scope
