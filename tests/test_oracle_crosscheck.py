@@ -91,7 +91,7 @@ def test_entry_smoke(spark):
     assert df.columns == ["tickid", "pricetypeid", "price", "evEventDate", "Activity", "userid",
                           "contactid", "qty", "status", "guideid", "fees", "paymentid",
                           "last_transact_no"]
-    assert set(E.oracle_sql()) == set(E.queries()) - {"sync_stream"}
+    assert set(E.oracle_sql()) == set(E.queries())
 
 
 @pytest.mark.parametrize("name", ["working_set", "payment_rollup", "range_lookup", "accounts_union",

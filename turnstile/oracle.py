@@ -403,6 +403,9 @@ FROM d"""
                              f"rcbcachinout, paymentid FROM s_ws")
     q["working_set"] = f"{_with(ws_show)}\nSELECT {ws_columns('show')} FROM s_ws"
     q["ticket_rollup"] = f"{_with(ws_show)}\n{tickets_sql('s_ws')}"
+    # one micro-batch holding every order: the streamed ticket product is the
+    # batch roll-up
+    q["sync_stream"] = q["ticket_rollup"]
     q["payment_rollup"] = f"{_with(ws_show)}\n{payments_sql('s_ws', True)}"
     q["dump_working_set"] = f"{_with(ws_event)}\nSELECT {ws_columns('event')} FROM e_ws"
     q["dump_tickets"] = f"{_with(ws_event)}\n{tickets_sql('e_ws', 'min_evcode')}"
