@@ -17,6 +17,7 @@ limitation the original jobs have across sync runs (no late-data handling).
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -45,9 +46,14 @@ def start_sync_stream(tickets_stream: DataFrame, static_src: Mapping[str, DataFr
             StorageLevel.MEMORY_AND_DISK)
         try:
             products = reformat(src, ws, lo, hi, incremental=True)
-            for name in PRODUCTS:
-                (products[name].write.mode("overwrite")
-                 .parquet(f"{out_dir}/{name}/epoch={epoch_id}"))
+            # the three products are independent jobs: submit them together
+            # so their stages share the executors instead of queueing
+            with ThreadPoolExecutor(max_workers=len(PRODUCTS)) as pool:
+                futures = [pool.submit(products[name].write.mode("overwrite").parquet,
+                                       f"{out_dir}/{name}/epoch={epoch_id}")
+                           for name in PRODUCTS]
+                for f in futures:
+                    f.result()
         finally:
             ws.unpersist()
 
