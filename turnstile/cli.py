@@ -17,6 +17,7 @@ import argparse
 import datetime as dt
 import importlib
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -65,8 +66,12 @@ def main(argv: list[str] | None = None) -> int:
         products = dump(src, args.lo, args.hi,
                         UserProfile(email_suffix=args.email_suffix, profile_id=args.profile_id),
                         variant=args.variant)
-        for name, df in products.items():
-            write_folder(df, f"{args.out.rstrip('/')}/{name}")
+        # independent products of one checkpointed working set: submit the
+        # writes together so their jobs share the cluster
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            for f in [pool.submit(write_folder, df, f"{args.out.rstrip('/')}/{name}")
+                      for name, df in products.items()]:
+                f.result()
         print(json.dumps({"job": "dump", "products": sorted(products)}))
     elif args.job == "accounts":
         accounts = A.accounts(src, args.lo, args.hi)
