@@ -17,13 +17,15 @@ _RCB = "((l_orderkey * 1000000 + l_partkey) * 10000 + l_suppkey) * 8 + l_linenum
 
 ROLES = f"""
 tk_tickets AS (
-  SELECT o_orderkey AS ticode, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS tipricetype,
+  SELECT lp.l_orderkey * 8 + lp.l_linenumber AS ticode,
+         CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS tipricetype,
          CAST(o_totalprice AS DECIMAL(19,4)) AS tifullprice,
          CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS timailinglist,
          o_orderkey AS titransactnum,
          CAST(CASE WHEN o_orderstatus = 'F' THEN 9 WHEN o_orderstatus = 'O' THEN 0 END AS INTEGER) AS tistatus,
          o_orderkey AS tievent, o_orderkey AS tishift, o_orderkey AS tiorder
-  FROM orders),
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) lp
+  JOIN orders ON lp.l_orderkey = o_orderkey),
 tk_events AS (
   SELECT o.o_orderkey AS evcode, CAST(c.c_nationkey AS BIGINT) AS evshow,
          o.o_orderdate + to_minutes(CAST((o.o_orderkey % 96) * 15 AS BIGINT)) AS eveventdate,
@@ -62,11 +64,11 @@ tk_recieptcredit AS (
          '<params card_name="Holder ' || CAST(l_suppkey AS VARCHAR) || ' &amp; Co" type="visa"/>' AS rccparamsdata
   FROM lineitem WHERE l_returnflag = 'A'),
 tk_calculatedcommission AS (
-  SELECT l_orderkey AS clcticketnum,
+  SELECT l_orderkey * 8 + l_linenumber AS clcticketnum,
          CAST(CAST(l_extendedprice AS DECIMAL(19,4)) * CAST(l_tax AS DECIMAL(19,4)) AS DECIMAL(19,4)) AS clcsum
   FROM lineitem),
 tk_get_orderguides AS (
-  SELECT l_orderkey AS gogordernumber, l_orderkey AS gogticketid,
+  SELECT l_orderkey AS gogordernumber, l_orderkey * 8 + 1 AS gogticketid,
          CASE WHEN l_discount <> 0 THEN l_suppkey END AS gogguidenumber
   FROM lineitem WHERE l_linenumber = 1),
 tk_pricetype AS (

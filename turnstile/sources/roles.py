@@ -7,9 +7,11 @@ this module maps them onto ticketing roles with plain projections and
 key-preserving joins.  Every role reads the given tables, so its size grows
 with the scale factor; nothing here is sampled or capped.
 
-Role map (one ticket per order, one receipt per line item)::
+Role map (one ticket per order line, one receipt per line item)::
 
-    tickets               <- orders
+    tickets               <- distinct (order, line number) x orders
+                             (id = order * 8 + line; all tickets of an order
+                             share its price, date, contact and status)
     events                <- orders x customer      (show = customer nation,
                                                      time of day in 15-min slots)
     shows                 <- nation                 (duration 30 + 5*key min;
@@ -22,9 +24,10 @@ Role map (one ticket per order, one receipt per line item)::
     recieptbase           <- lineitem  (pay type A=1, N=2, R=9: 9 has no paytype)
     paytype               <- region
     recieptcredit         <- lineitem with return flag A (card receipts)
-    calculatedcommission  <- lineitem  (extended price x tax)
-    get_orderguides       <- lineitem with line number 1 (guide = supplier,
-                                        none when the discount is 0)
+    calculatedcommission  <- lineitem  (extended price x tax, per ticket)
+    get_orderguides       <- lineitem with line number 1 (guide of the line-1
+                                        ticket = supplier, none when the
+                                        discount is 0)
     pricetype             <- distinct order priorities
     pricediscount         <- part
     pricelist             <- nation
@@ -60,10 +63,18 @@ def receipt_id() -> F.Column:
             + F.col("l_suppkey")) * 8 + F.col("l_linenumber")
 
 
-def tickets_from_orders(o: DataFrame) -> DataFrame:
-    """The tickets role of an ``orders`` frame (also used per micro-batch)."""
-    return o.select(
-        F.col("o_orderkey").alias("ticode"),
+def ticket_id() -> F.Column:
+    """Ticket id of an (order, line number) pair."""
+    return F.col("l_orderkey") * 8 + F.col("l_linenumber")
+
+
+def tickets_from_orders(o: DataFrame, lines: DataFrame) -> DataFrame:
+    """The tickets role: one ticket per distinct (order, line number) of
+    ``lines`` (a line-item frame), carrying its order's attributes.  Used on
+    the whole orders table and on each streamed batch of orders."""
+    pairs = lines.select("l_orderkey", "l_linenumber").distinct()
+    return o.join(pairs, o.o_orderkey == pairs.l_orderkey).select(
+        ticket_id().alias("ticode"),
         F.substring("o_orderpriority", 1, 1).cast("bigint").alias("tipricetype"),
         _dec("o_totalprice").alias("tifullprice"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).alias("timailinglist"),
@@ -82,7 +93,7 @@ def driver_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     o, l, c, n, r = t["orders"], t["lineitem"], t["customer"], t["nation"], t["region"]
     p, s = t["part"], t["supplier"]
 
-    tickets = tickets_from_orders(o)
+    tickets = tickets_from_orders(o, l)
     cust_nation = c.select("c_custkey", F.col("c_nationkey").cast("bigint").alias("nk"))
     oc = o.join(cust_nation, o.o_custkey == cust_nation.c_custkey)
     events = oc.select(
@@ -136,12 +147,12 @@ def driver_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                  F.lit(' &amp; Co" type="visa"/>')).alias("rccparamsdata"),
     )
     calculatedcommission = l.select(
-        F.col("l_orderkey").alias("clcticketnum"),
+        ticket_id().alias("clcticketnum"),
         (_dec("l_extendedprice") * _dec("l_tax")).cast("decimal(19,4)").alias("clcsum"),
     )
     get_orderguides = l.filter(F.col("l_linenumber") == 1).select(
         F.col("l_orderkey").alias("gogordernumber"),
-        F.col("l_orderkey").alias("gogticketid"),
+        ticket_id().alias("gogticketid"),
         F.when(F.col("l_discount") != 0, F.col("l_suppkey")).alias("gogguidenumber"),
     )
     pricetype = o.select(
