@@ -96,12 +96,19 @@ def payment_rollup(ws: DataFrame, credit: DataFrame, card_default: str | None =
     ``mask=True`` publishes only the last four digits of the card number.
     """
     p = ws.filter(F.col("paymentid") > 0)
-    g = p.groupBy(*PAYMENT_GROUP_KEYS).agg(F.max("titransactnum").alias("last_transact_no"))
+    # one pass over the working set: per payment group and transaction (the
+    # transaction total is a function of the transaction); the grouped
+    # payments and the amounts are both derived from this smaller frame,
+    # whose shuffle output Spark reuses for the two
+    per_txn = p.groupBy(*PAYMENT_GROUP_KEYS, "titransactnum").agg(
+        F.max(txn_amount).alias("__amt"))
+    g = per_txn.groupBy(*PAYMENT_GROUP_KEYS).agg(
+        F.max("titransactnum").alias("last_transact_no"))
     if prune_cards:
         ids = p.select(F.col("paymentid").alias("__pid")).distinct()
         credit = credit.join(ids, F.col("rcccode") == F.col("__pid"), "left_semi")
     cards = card_lookup(credit, card_default)
-    amounts = payment_amounts(ws, txn_amount).withColumnRenamed("paymentid", "__amt_pid")
+    amounts = payment_amounts(per_txn, "__amt").withColumnRenamed("paymentid", "__amt_pid")
     j = (g.join(cards, F.col("paymentid") == F.col("rcccode"), "left")
          .join(amounts, F.col("paymentid") == F.col("__amt_pid"), "left"))
     card_num: Column = F.col("lastCardNum")
