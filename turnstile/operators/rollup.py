@@ -55,14 +55,16 @@ def ticket_rollup(ws: DataFrame, schedule_id: str | None = None) -> DataFrame:
     return g.select(*cols)
 
 
-def payment_amounts(ws: DataFrame, txn_amount: str = "_txn_amount") -> DataFrame:
+def payment_amounts(rows: DataFrame, txn_amount: str = "_txn_amount") -> DataFrame:
     """Per payment id, the sum of the receipts of the *set* of its
     transactions (a transaction shared by several tickets counts once).
 
-    ``txn_amount`` is the per-transaction receipt total already attached to
-    the working-set rows; the distinct (payment, transaction) pairs are summed.
+    ``rows`` has ``paymentid``, ``titransactnum`` and ``txn_amount`` -- the
+    per-transaction receipt total -- e.g. working-set rows or their
+    per-transaction aggregate; the distinct (payment, transaction) pairs are
+    summed.
     """
-    return (ws.filter(F.col("paymentid") > 0)
+    return (rows.filter(F.col("paymentid") > 0)
             .select("paymentid", "titransactnum", txn_amount).distinct()
             .groupBy("paymentid").agg(F.sum(txn_amount).alias("amount")))
 
