@@ -51,3 +51,11 @@ def test_row_numbering_is_range_partitioned(spark):
     plan = plan_of(number_rows(df, ["k"], num_partitions=4), "simple")
     assert "SinglePartition" not in plan and "Window" not in plan
     assert "BroadcastExchange" in plan   # the per-partition offset table
+
+
+def test_receipt_pass_is_a_hash_aggregation(spark):
+    # min_by over fixed-width values keeps Spark on HashAggregate (no sort of
+    # every receipt); a string or struct buffer would fall back to SortAggregate
+    plan = plan_of(E.queries()["first_match"](spark, SF), "simple")
+    assert "HashAggregate(keys=[rcbtransactnum" in plan
+    assert "SortAggregate(key=[rcbtransactnum" not in plan
