@@ -75,6 +75,46 @@ def attach_class_min(df: DataFrame, mins: DataFrame, strict: Sequence[str],
     return matched.unionByName(unmatched)
 
 
+def attach_class_mins(df: DataFrame, backfills: Sequence[tuple]) -> DataFrame:
+    """Attach several class minima at once.
+
+    ``backfills`` holds ``(mins, strict, sentinel, out, default, value_type)``
+    tuples.  The rows are split once by which backfills they can match (all
+    strict keys present), so each row takes each of its joins exactly once --
+    attaching them one after the other would re-split the first union and
+    run its join again for every branch of the second.  Rows matching none
+    skip the shuffles entirely.
+    """
+    prepared = []
+    for i, (mins, strict, sentinel, out, default, value_type) in enumerate(backfills):
+        keys, names, valid = _keys(df, strict, sentinel)
+        renamed = [f"__b{i}{n}" for n in names]
+        keys = [k.alias(r) for k, r in zip(keys, renamed)]
+        mins = mins.select(*[F.col(n).alias(r) for n, r in zip(names, renamed)],
+                           F.col("__min").alias(f"__m{i}"))
+        prepared.append((keys, renamed, valid, mins, out, default, value_type, i))
+    branches = []
+    n = len(prepared)
+    for mask in range(1 << n):
+        cond = F.lit(True)
+        part = df
+        for keys, renamed, valid, mins, out, default, value_type, i in prepared:
+            cond = cond & (valid if mask >> i & 1 else ~valid)
+        part = df.filter(cond)
+        outs = []
+        for keys, renamed, valid, mins, out, default, value_type, i in prepared:
+            if mask >> i & 1:
+                part = part.select("*", *keys).join(mins, renamed, "inner")
+                outs.append(F.coalesce(F.col(f"__m{i}"), F.lit(default).cast(value_type)).alias(out))
+            else:
+                outs.append(F.lit(default).cast(value_type).alias(out))
+        branches.append(part.select(*[F.col(c) for c in df.columns], *outs))
+    result = branches[0]
+    for b in branches[1:]:
+        result = result.unionByName(b)
+    return result
+
+
 def class_min(df: DataFrame, value: str | Column, strict: Sequence[str],
               sentinel: Mapping[str, object], out: str, default=0) -> DataFrame:
     """``df`` plus ``out`` = min(value) over the row's class, ``default`` if none.

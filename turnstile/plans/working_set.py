@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.functions.scalar import exact_sum
-from turnstile.operators.backfill import attach_class_min, class_mins
+from turnstile.operators.backfill import attach_class_mins, class_mins
 from turnstile.operators.lookup import sum_by_key
 from turnstile.operators.scope import ticket_scope
 
@@ -112,11 +112,15 @@ def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "sho
              F.col("gogguidenumber").alias("guideid"), "tistatus", *INTERNAL]
     base = ws.select(*cols)
     # both class-minimum tables come from the same base rows, so their
-    # aggregations run side by side; the two joins then attach them in turn
+    # aggregations run side by side; each row then takes the joins it can
+    # match, once (see attach_class_mins)
     ticket_mins = class_mins(base, "ticode", minticode_keys(group_by), SENTINELS)
     payment_mins = class_mins(base, "_txn_min_rcb", PAYMENT_KEYS, {})
-    ws = attach_class_min(base, ticket_mins, minticode_keys(group_by), SENTINELS, "minticode")
-    ws = attach_class_min(ws, payment_mins, PAYMENT_KEYS, {}, "paymentid")
+    ws = attach_class_mins(base, [
+        (ticket_mins, minticode_keys(group_by), SENTINELS, "minticode", 0,
+         base.schema["ticode"].dataType.simpleString()),
+        (payment_mins, PAYMENT_KEYS, {}, "paymentid", 0,
+         base.schema["_txn_min_rcb"].dataType.simpleString())])
     if not keep_internal:
         ws = ws.drop(*INTERNAL)
     return ws
