@@ -88,3 +88,36 @@ def test_prune_to_scope_gives_the_same_working_set(src):
     a = build_working_set(src, LO, HI, keep_internal=True)
     b = build_working_set(src, LO, HI, keep_internal=True, prune_to_scope=True)
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
+row2 = st.tuples(st.sampled_from([None, 1, 2]), st.sampled_from([None, "x", "y"]),
+                 st.sampled_from([None, 10, 20]), st.sampled_from([None, 5, 7]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(row2, min_size=1, max_size=30))
+def test_two_backfills_in_one_split_match_separate_ones(spark, rows):
+    """attach_class_mins == each backfill on its own (brute force per row)."""
+    from turnstile.operators.backfill import attach_class_mins, class_mins
+    rows = [(i + 1, *r) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "id long, a long, b string, c long, v long")
+    m1 = class_mins(df, "id", ["a", "b"], {})
+    m2 = class_mins(df, "v", ["c"], {"b": ""})
+    out = attach_class_mins(df, [(m1, ["a", "b"], {}, "m1", 0, "bigint"),
+                                 (m2, ["c"], {"b": ""}, "m2", 0, "bigint")])
+    got = {r.id: (r.m1, r.m2) for r in out.collect()}
+    assert len(got) == len(rows) == out.count()
+
+    def want1(r):
+        if r[1] is None or r[2] is None:
+            return 0
+        return min(o[0] for o in rows if o[1] == r[1] and o[2] == r[2])
+
+    def want2(r):
+        if r[3] is None:
+            return 0
+        vals = [o[4] for o in rows if o[3] == r[3] and (o[2] or "") == (r[2] or "")
+                and o[4] is not None]
+        return min(vals) if vals else 0
+
+    assert got == {r[0]: (want1(r), want2(r)) for r in rows}
