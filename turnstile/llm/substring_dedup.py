@@ -48,7 +48,7 @@ def equal_groups(h: np.ndarray, x: superkmer.Units, at: np.ndarray, k: int) -> n
 
 def _count(k: int):
     def kernel(p: superkmer.Packed, kept: np.ndarray, x: superkmer.Units):
-        dup, later = np.zeros(len(x.u), bool), np.zeros(len(x.u), bool)
+        dup, later = np.zeros(x.first[-1], bool), np.zeros(x.first[-1], bool)
         at = np.flatnonzero(flat.inside(x.first, k))
         if len(at):
             group = equal_groups(flat.windows_hash(x.u, k)[at], x, at, k)
@@ -65,7 +65,7 @@ def _count(k: int):
 
 def _apply(spec: superkmer.Spec, keep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in flat.rounds(batches, "_z"):
             texts = [superkmer.unsqueeze(z) for z in batch.column("_z").to_pylist()]
             x = flat.Words(pa.array(texts, pa.binary()).cast(pa.string()), flat.byte_class(spec.spaces))
             gone = removed(batch.column("hits"), x.first, keep)

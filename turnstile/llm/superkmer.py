@@ -29,9 +29,9 @@ CELLS = 1 << 20
 #: an m-gram cell with more than this share of all units is frequent
 SHARE = 1 / (1 << 16)
 #: packed bytes that a task holds before it sends them
-FLUSH_BYTES = 48 << 20
+FLUSH_BYTES = 24 << 20
 #: packed bytes that one bucket is planned for
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 8 << 20
 _BYTES = [flat.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(c)) for c in (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)]
 BLOB = "bucket int, body binary"
 FLAGS = "h1 long, h2 long, spans array<int>, later array<int>, od long, os long"
@@ -56,15 +56,30 @@ class Units:
             self.u = w.hashes()
         else:
             self.data, self.first = flat.utf8(col)
-            self.start = np.arange(len(self.data))
-            self.end = self.start + 1
-            self.u = _BYTES[0][self.data]
         self.spec = spec
 
-    def second(self) -> np.ndarray:
+    def hashes(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """Both hashes of the units lo to hi."""
         if self.spec.unit == "word":
-            return flat.mix(self.u ^ np.uint64(0x5851F42D4C957F2D))
-        return _BYTES[1][self.data]
+            return self.u[lo:hi], flat.mix(self.u[lo:hi] ^ np.uint64(0x5851F42D4C957F2D))
+        return _BYTES[0][self.data[lo:hi]], _BYTES[1][self.data[lo:hi]]
+
+    def bytes_of(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Byte ranges of the unit ranges [lo, hi)."""
+        return (self.start[lo], self.end[hi - 1]) if self.spec.unit == "word" else (lo, hi)
+
+    def row_hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Both hashes of each row, a round of units at a time."""
+        rows = len(self.first) - 1
+        out = np.empty((2, rows), np.uint64)
+        at = 0
+        while at < rows:
+            lo = self.first[at]
+            to = max(at + 1, int(np.searchsorted(self.first, lo + flat.ROUND_BYTES, "right")) - 1)
+            for h, u in zip(out, self.hashes(lo, self.first[to])):
+                h[at:to] = flat.ranges_hash(flat.prefix(u), self.first[at:to] - lo, self.first[at + 1:to + 1] - lo)
+            at = to
+        return out[0], out[1]
 
 
 def gram_hashes(u: np.ndarray, m: int) -> np.ndarray:
@@ -100,7 +115,8 @@ class Segments:
     def __init__(self, units: Units, hot: np.ndarray):
         k, m = units.spec.k, units.spec.m
         self.units = units
-        grams = gram_hashes(units.u, m)
+        u = units.hashes(0, int(units.first[-1]))
+        grams = gram_hashes(u[0], m)
         order = grams | (hot[grams >> np.uint32(10)].astype(np.uint32) << np.uint32(30))
         key = least(order, k - m + 1)
         valid = flat.inside(units.first, k)[:len(key)]
@@ -117,8 +133,7 @@ class Segments:
         self.key = key[self.at]
         self.to = self.at + self.windows + k - 1
         self.row = np.searchsorted(units.first, self.at, "right") - 1
-        self.h1, self.h2 = (flat.ranges_hash(flat.prefix(u), self.at, self.to)
-                            for u in (units.u, units.second()))
+        self.h1, self.h2 = (flat.ranges_hash(flat.prefix(v), self.at, self.to) for v in u)
 
 
 def _cells(spec: Spec) -> Callable:
@@ -126,8 +141,9 @@ def _cells(spec: Spec) -> Callable:
         count, units, size = np.zeros(CELLS, np.int64), 0, 0
         for batch in flat.rounds(batches):
             x = Units(batch.column("_text"), spec)
-            units, size = units + len(x.u), size + len(x.data)
-            grams = gram_hashes(x.u, spec.m)
+            n = int(x.first[-1])
+            units, size = units + n, size + len(x.data)
+            grams = gram_hashes(x.hashes(0, n)[0], spec.m)
             if len(grams):
                 count += np.bincount(grams >> np.uint32(10), minlength=CELLS)
         # a cell over twice a task's share in none of the tasks isn't frequent overall
@@ -236,7 +252,7 @@ def _pack(spec: Spec, bits: bytes, buckets: int) -> Callable:
             s = Segments(x, hot)
             if len(s.at) == 0:
                 continue
-            start, end = x.start[s.at], x.end[s.to - 1]
+            start, end = x.bytes_of(s.at, s.to)
             parts.append({"key": s.key, "size": (end - start).astype(np.int32),
                           "count": np.ones(len(s.at), np.int64), "repeats": s.repeats.view(np.uint8),
                           "od": row_numbers(batch.column("_id"))[s.row], "os": s.at - x.first[s.row],
@@ -274,9 +290,7 @@ def _judge(spec: Spec, kernel: Callable) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         p = Packed.read([b.as_py() for b in table.column("body")])
         text = flat.strings(p.data, np.append(p.start, len(p.data)), pa.binary())
-        x = Units(text if spec.unit == "byte" else _as_text(text), spec)
-        h1, h2 = (flat.ranges_hash(flat.prefix(u), x.first[:-1], x.first[1:]) for u in (x.u, x.second()))
-        kept = p.merge(h1, h2)
+        kept = p.merge(*Units(text if spec.unit == "byte" else _as_text(text), spec).row_hashes())
         kept = kept[np.lexsort((p.os[kept], p.od[kept]))]
         size = p.size[kept].astype(np.int64)
         data = p.data[flat.spread(p.start[kept], size)]
@@ -295,8 +309,7 @@ def _judge(spec: Spec, kernel: Callable) -> Callable:
             both = np.stack([lo, hi], 1).reshape(-1)
             out += [both[2 * a:2 * b] for a, b in cut.T]
         pick = kept[rows]
-        h = [flat.ranges_hash(flat.prefix(u), x.first[rows], x.first[rows + 1]).view(np.int64)
-             for u in (x.u, x.second())]
+        h = [v[rows].view(np.int64) for v in x.row_hashes()]
         ints = pa.list_(pa.int32())
         return pa.table([pa.array(h[0]), pa.array(h[1]), pa.array(spans[0], ints), pa.array(spans[1], ints),
                          pa.array(p.od[pick]), pa.array(p.os[pick])],
