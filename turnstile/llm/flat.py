@@ -38,7 +38,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *extra: Column) -> DataFr
     """(_id, _th, _text): rows are told apart by id and text hash, so null or
     repeated ids neither get lost nor mix their texts."""
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th"),
+    return docs.select(F.col(id_col).alias("_id"), F.hash(text).alias("_th"),
                        text.alias("_text"), *extra)
 
 

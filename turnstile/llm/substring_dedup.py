@@ -24,40 +24,44 @@ from pyspark.sql import functions as F
 from turnstile.llm import flat, superkmer
 
 
-def equal_groups(h: np.ndarray, x: superkmer.Units, at: np.ndarray, k: int) -> np.ndarray:
-    """Group numbers of the windows at the unit positions ``at``, exact by content."""
+def equal_groups(h: np.ndarray, x: superkmer.Units, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(indices, group numbers) of the windows at unit positions ``at`` that share
+    their hash with another one; groups are exact by content."""
     order = np.argsort(h)
+    same = np.zeros(len(h) + 1, bool)
+    same[1:-1] = h[order[1:]] == h[order[:-1]]
+    some = np.flatnonzero(same[:-1] | same[1:])
+    order, same = order[some], same[some]
     start = x.start[at[order]]
     size = x.end[at[order] + k - 1] - start
-    same = np.zeros(len(h), bool)
-    same[1:] = h[order[1:]] == h[order[:-1]]
     pair = np.flatnonzero(same)
     equal = size[pair] == size[pair - 1]
     equal[equal] = flat.ranges_equal(x.data, start[pair[equal]], start[pair[equal] - 1], size[pair[equal]])
     if not equal.all():  # different windows with one hash: order them by their bytes
-        bad = np.isin(h[order], h[order[pair[~equal]]])
-        where = np.flatnonzero(bad)
+        where = np.flatnonzero(np.isin(h[order], h[order[pair[~equal]]]))
         body = [x.data[a:a + n].tobytes() for a, n in zip(start[where], size[where])]
         turn = sorted(range(len(where)), key=lambda i: (h[order[where[i]]], body[i]))
         order[where] = order[where[turn]]
         same[where] = [i > 0 and body[turn[i]] == body[turn[i - 1]] for i in range(len(turn))]
-    group = np.empty(len(h), np.int64)
-    group[order] = np.cumsum(~same) - 1
-    return group
+    return order, np.cumsum(~same) - 1
 
 
 def _count(k: int):
-    def kernel(p: superkmer.Packed, kept: np.ndarray, x: superkmer.Units):
+    def kernel(p: superkmer.Packed, x: superkmer.Units, kept: np.ndarray):
         dup, later = np.zeros(x.first[-1], bool), np.zeros(x.first[-1], bool)
-        at = np.flatnonzero(flat.inside(x.first, k))
+        count = np.zeros(len(x.first) - 1, np.int64)
+        count[kept] = p.count[kept]
+        count = np.repeat(count, np.diff(x.first))
+        at = np.flatnonzero(flat.inside(x.first, k) & (count > 0))
+        dup[at] = count[at] >= 2
         if len(at):
-            group = equal_groups(flat.windows_hash(x.u, k)[at], x, at, k)
-            row = np.searchsorted(x.first, at, "right") - 1
-            total = np.bincount(group, p.count[kept][row])
-            earliest = np.full(len(total), len(x.u))
-            np.minimum.at(earliest, group, at)
-            dup[at] = total[group] >= 2
-            later[at] = dup[at] & (at != earliest[group])
+            tied, group = equal_groups(flat.windows_hash(x.u, k)[at], x, at, k)
+            where = at[tied]
+            total = np.bincount(group, count[where])
+            earliest = np.full(len(total), x.first[-1])
+            np.minimum.at(earliest, group, where)
+            dup[where] |= total[group] >= 2
+            later[where] = dup[where] & (where != earliest[group])
         return dup, later
 
     return kernel

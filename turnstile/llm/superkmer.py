@@ -35,7 +35,7 @@ BUCKET_BYTES = 8 << 20
 _BYTES = [flat.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(c)) for c in (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)]
 BLOB = "bucket int, body binary"
 FLAGS = "h1 long, h2 long, spans array<int>, later array<int>, od long, os long"
-IDS = "h1 long, h2 long, _id {id}, _th long, start long, od long"
+IDS = "h1 long, h2 long, _id {id}, _th int, start long, od long"
 
 
 @dataclass(frozen=True)
@@ -58,6 +58,20 @@ class Units:
             self.data, self.first = flat.utf8(col)
         self.spec = spec
 
+    @classmethod
+    def packed(cls, data: np.ndarray, off: np.ndarray, spec: Spec) -> Units:
+        """Units of packed segments; words have their spaces with them."""
+        out = cls.__new__(cls)
+        out.spec, out.data, out.first = spec, data, off
+        if spec.unit == "word":
+            w = flat.Words.__new__(flat.Words)
+            w.data, w.end = data, np.flatnonzero(data == 32)
+            w.start = np.zeros_like(w.end)
+            w.start[1:] = w.end[:-1] + 1
+            out.start, out.end, out.first = w.start, w.end, np.searchsorted(w.end, off)
+            out.u = w.hashes()
+        return out
+
     def hashes(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
         """Both hashes of the units lo to hi."""
         if self.spec.unit == "word":
@@ -65,8 +79,8 @@ class Units:
         return _BYTES[0][self.data[lo:hi]], _BYTES[1][self.data[lo:hi]]
 
     def bytes_of(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Byte ranges of the unit ranges [lo, hi)."""
-        return (self.start[lo], self.end[hi - 1]) if self.spec.unit == "word" else (lo, hi)
+        """Byte ranges of the unit ranges [lo, hi), with the space after each word."""
+        return (self.start[lo], self.end[hi - 1] + 1) if self.spec.unit == "word" else (lo, hi)
 
     def row_hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """Both hashes of each row, a round of units at a time."""
@@ -185,9 +199,21 @@ class Packed:
         self.data = np.concatenate([p["data"] for p in parts] or [np.zeros(0, np.uint8)])
         self.start = np.cumsum(self.size, dtype=np.int64) - self.size
 
+    def reorder(self, order: np.ndarray) -> None:
+        self.data = self.data[flat.spread(self.start[order], self.size[order].astype(np.int64))]
+        for name, _ in self.fields:
+            setattr(self, name, getattr(self, name)[order])
+        self.start = np.cumsum(self.size, dtype=np.int64) - self.size
+
     def merge(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         """Indices of one segment of each content; counts and least origins go to it."""
-        order = np.lexsort((self.os, self.od, h2, h1))
+        order = np.argsort(h1)
+        tied = np.zeros(len(order), bool)
+        tied[1:] = h1[order[1:]] == h1[order[:-1]]
+        tied[:-1] |= tied[1:]
+        at = np.flatnonzero(tied)
+        few = order[at]
+        order[at] = few[np.lexsort((self.os[few], self.od[few], h2[few], h1[few]))]
         same = np.zeros(len(order), bool)
         a, b = order[:-1], order[1:]
         same[1:] = (h1[a] == h1[b]) & (h2[a] == h2[b]) & (self.size[a] == self.size[b])
@@ -286,18 +312,17 @@ def _ids(spec: Spec, bits: bytes) -> Callable:
 
 
 def _judge(spec: Spec, kernel: Callable) -> Callable:
-    """kernel(packed, units, segment starts, window mask) -> (any, later) masks over unit positions."""
+    """kernel(packed, units, kept rows) -> (any, later): masks over units of repeated window starts.
+
+    Rows are in the order of their first copies.
+    """
     def run(table: pa.Table) -> pa.Table:
         p = Packed.read([b.as_py() for b in table.column("body")])
-        text = flat.strings(p.data, np.append(p.start, len(p.data)), pa.binary())
-        kept = p.merge(*Units(text if spec.unit == "byte" else _as_text(text), spec).row_hashes())
-        kept = kept[np.lexsort((p.os[kept], p.od[kept]))]
-        size = p.size[kept].astype(np.int64)
-        data = p.data[flat.spread(p.start[kept], size)]
-        off = np.concatenate([[0], np.cumsum(size)])
-        text = flat.strings(data, off, pa.binary())
-        x = Units(text if spec.unit == "byte" else _as_text(text), spec)
-        dup, later = kernel(p, kept, x)
+        p.reorder(np.lexsort((p.os, p.od)))
+        x = Units.packed(p.data, np.append(p.start, len(p.data)), spec)
+        h1, h2 = x.row_hashes()
+        kept = np.sort(p.merge(h1, h2))
+        dup, later = kernel(p, x, kept)
         rows = np.flatnonzero(flat.row_sums(dup, x.first))
         spans = [[], []]
         for out, mask in zip(spans, (dup, later)):
@@ -308,21 +333,15 @@ def _judge(spec: Spec, kernel: Callable) -> Callable:
             cut = np.searchsorted(row, np.stack([rows, rows + 1]))
             both = np.stack([lo, hi], 1).reshape(-1)
             out += [both[2 * a:2 * b] for a, b in cut.T]
-        pick = kept[rows]
-        h = [v[rows].view(np.int64) for v in x.row_hashes()]
+        h = [v[rows].view(np.int64) for v in (h1, h2)]
         ints = pa.list_(pa.int32())
         return pa.table([pa.array(h[0]), pa.array(h[1]), pa.array(spans[0], ints), pa.array(spans[1], ints),
-                         pa.array(p.od[pick]), pa.array(p.os[pick])],
+                         pa.array(p.od[rows]), pa.array(p.os[rows])],
                         names=["h1", "h2", "spans", "later", "od", "os"])
 
     return run
 
 
-def _as_text(col: pa.Array) -> pa.Array:
-    return pa.Array.from_buffers(pa.large_string() if pa.types.is_large_binary(col.type) else pa.string(),
-                                 len(col), col.buffers())
-
-
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as zstd frames, so that the last join moves less."""
     codec = pa.Codec("zstd", compression_level=3)
@@ -361,5 +380,5 @@ def repeated_spans(docs: DataFrame, spec: Spec, kernel: Callable) -> DataFrame:
                                            F.when(first, F.col("later")).otherwise(F.col("spans")).alias("later")
                                            ).alias("hit"))
             .groupBy("_id", "_th").agg(F.collect_list("hit").alias("hits")))
-    packed = docs.mapInArrow(_squeeze, f"_id {id_type}, _th long, _z binary")
+    packed = docs.mapInArrow(_squeeze, f"_id {id_type}, _th int, _z binary")
     return packed.join(hits, flat.same_row(packed, hits), "left").select(packed["_id"], packed["_th"], "_z", "hits")
