@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -192,6 +193,20 @@ def spread(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.cumsum(out)
 
 
+def gather(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The bytes of the ranges [lo, hi), one range after another; for ranges of some hundred bytes."""
+    view = memoryview(np.ascontiguousarray(data))
+    return np.frombuffer(b"".join([view[a:b] for a, b in zip(lo.tolist(), hi.tolist())]), np.uint8)
+
+
+def digests(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit hashes of the bytes of the ranges [lo, hi), as two arrays."""
+    view = memoryview(np.ascontiguousarray(data))
+    both = b"".join([xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(lo.tolist(), hi.tolist())])
+    both = np.frombuffer(both, np.uint64).reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
+
+
 def ranges_equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray,
                  step: int = 1 << 22) -> np.ndarray:
     """Whether data[a:a+length] and data[b:b+length] hold the same bytes, for each pair."""

@@ -32,7 +32,7 @@ SHARE = 1 / (1 << 16)
 FLUSH_BYTES = 24 << 20
 #: packed bytes that one bucket is planned for
 BUCKET_BYTES = 8 << 20
-_BYTES = [flat.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(c)) for c in (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)]
+_BYTES = flat.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 BLOB = "bucket int, body binary"
 FLAGS = "h1 long, h2 long, spans array<int>, later array<int>, od long, os long"
 IDS = "h1 long, h2 long, _id {id}, _th int, start long, od long"
@@ -47,7 +47,7 @@ class Spec:
 
 
 class Units:
-    """Units of a text column with two hashes each."""
+    """The units of a text column."""
 
     def __init__(self, col: pa.Array, spec: Spec):
         if spec.unit == "word":
@@ -72,28 +72,16 @@ class Units:
             out.u = w.hashes()
         return out
 
-    def hashes(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-        """Both hashes of the units lo to hi."""
-        if self.spec.unit == "word":
-            return self.u[lo:hi], flat.mix(self.u[lo:hi] ^ np.uint64(0x5851F42D4C957F2D))
-        return _BYTES[0][self.data[lo:hi]], _BYTES[1][self.data[lo:hi]]
+    def hashes(self) -> np.ndarray:
+        return self.u if self.spec.unit == "word" else byte_hashes(self.data)
 
     def bytes_of(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte ranges of the unit ranges [lo, hi), with the space after each word."""
         return (self.start[lo], self.end[hi - 1] + 1) if self.spec.unit == "word" else (lo, hi)
 
-    def row_hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Both hashes of each row, a round of units at a time."""
-        rows = len(self.first) - 1
-        out = np.empty((2, rows), np.uint64)
-        at = 0
-        while at < rows:
-            lo = self.first[at]
-            to = max(at + 1, int(np.searchsorted(self.first, lo + flat.ROUND_BYTES, "right")) - 1)
-            for h, u in zip(out, self.hashes(lo, self.first[to])):
-                h[at:to] = flat.ranges_hash(flat.prefix(u), self.first[at:to] - lo, self.first[at + 1:to + 1] - lo)
-            at = to
-        return out[0], out[1]
+
+def byte_hashes(data: np.ndarray) -> np.ndarray:
+    return _BYTES[data]
 
 
 def gram_hashes(u: np.ndarray, m: int) -> np.ndarray:
@@ -129,8 +117,7 @@ class Segments:
     def __init__(self, units: Units, hot: np.ndarray):
         k, m = units.spec.k, units.spec.m
         self.units = units
-        u = units.hashes(0, int(units.first[-1]))
-        grams = gram_hashes(u[0], m)
+        grams = gram_hashes(units.hashes(), m)
         order = grams | (hot[grams >> np.uint32(10)].astype(np.uint32) << np.uint32(30))
         key = least(order, k - m + 1)
         valid = flat.inside(units.first, k)[:len(key)]
@@ -147,7 +134,8 @@ class Segments:
         self.key = key[self.at]
         self.to = self.at + self.windows + k - 1
         self.row = np.searchsorted(units.first, self.at, "right") - 1
-        self.h1, self.h2 = (flat.ranges_hash(flat.prefix(v), self.at, self.to) for v in u)
+        self.start, self.end = units.bytes_of(self.at, self.to)
+        self.h1, self.h2 = flat.digests(units.data, self.start, self.end)
 
 
 def _cells(spec: Spec) -> Callable:
@@ -157,7 +145,7 @@ def _cells(spec: Spec) -> Callable:
             x = Units(batch.column("_text"), spec)
             n = int(x.first[-1])
             units, size = units + n, size + len(x.data)
-            grams = gram_hashes(x.hashes(0, n)[0], spec.m)
+            grams = gram_hashes(x.hashes(), spec.m)
             if len(grams):
                 count += np.bincount(grams >> np.uint32(10), minlength=CELLS)
         # a cell over twice a task's share in none of the tasks isn't frequent overall
@@ -200,7 +188,7 @@ class Packed:
         self.start = np.cumsum(self.size, dtype=np.int64) - self.size
 
     def reorder(self, order: np.ndarray) -> None:
-        self.data = self.data[flat.spread(self.start[order], self.size[order].astype(np.int64))]
+        self.data = flat.gather(self.data, self.start[order], self.start[order] + self.size[order])
         for name, _ in self.fields:
             setattr(self, name, getattr(self, name)[order])
         self.start = np.cumsum(self.size, dtype=np.int64) - self.size
@@ -229,7 +217,7 @@ class Packed:
     def body(self, pick: np.ndarray) -> bytes:
         parts = [np.array([len(pick)], np.int64).tobytes()]
         parts += [np.ascontiguousarray(getattr(self, n)[pick]).astype(k).tobytes() for n, k in self.fields]
-        parts.append(self.data[flat.spread(self.start[pick], self.size[pick].astype(np.int64))].tobytes())
+        parts.append(flat.gather(self.data, self.start[pick], self.start[pick] + self.size[pick]).tobytes())
         raw = b"".join(parts)
         return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
 
@@ -278,11 +266,10 @@ def _pack(spec: Spec, bits: bytes, buckets: int) -> Callable:
             s = Segments(x, hot)
             if len(s.at) == 0:
                 continue
-            start, end = x.bytes_of(s.at, s.to)
-            parts.append({"key": s.key, "size": (end - start).astype(np.int32),
+            parts.append({"key": s.key, "size": (s.end - s.start).astype(np.int32),
                           "count": np.ones(len(s.at), np.int64), "repeats": s.repeats.view(np.uint8),
                           "od": row_numbers(batch.column("_id"))[s.row], "os": s.at - x.first[s.row],
-                          "data": x.data[flat.spread(start, end - start)]})
+                          "data": flat.gather(x.data, s.start, s.end)})
             ids.append((s.h1, s.h2))
             held += len(parts[-1]["data"])
             if held >= FLUSH_BYTES:
@@ -320,7 +307,7 @@ def _judge(spec: Spec, kernel: Callable) -> Callable:
         p = Packed.read([b.as_py() for b in table.column("body")])
         p.reorder(np.lexsort((p.os, p.od)))
         x = Units.packed(p.data, np.append(p.start, len(p.data)), spec)
-        h1, h2 = x.row_hashes()
+        h1, h2 = flat.digests(p.data, p.start, p.start + p.size)
         kept = np.sort(p.merge(h1, h2))
         dup, later = kernel(p, x, kept)
         rows = np.flatnonzero(flat.row_sums(dup, x.first))
