@@ -235,8 +235,12 @@ def covered(first: np.ndarray, start: np.ndarray, length: np.ndarray | int, n: i
 
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true values."""
-    edge = np.diff(np.concatenate([[0], mask.view(np.int8), [0]]))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    change = np.flatnonzero(mask[1:] != mask[:-1]) + 1
+    if len(mask) and mask[0]:
+        change = np.concatenate([[0], change])
+    if len(mask) and mask[-1]:
+        change = np.append(change, len(mask))
+    return change[::2], change[1::2]
 
 
 def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:

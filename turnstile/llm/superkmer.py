@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnstile.llm import flat
 from turnstile.session import ensure_checkpoint_dir
@@ -34,8 +35,8 @@ FLUSH_BYTES = 24 << 20
 BUCKET_BYTES = 8 << 20
 _BYTES = flat.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 BLOB = "bucket int, body binary"
-FLAGS = "h1 long, h2 long, spans array<int>, later array<int>, od long, os long"
-IDS = "h1 long, h2 long, _id {id}, _th int, start long, od long"
+FLAGS = "h1 long, h2 int, spans array<int>, later array<int>, od long, os int"
+IDS = "h1 long, h2 int, _id {id}, _th int, start int"
 
 
 @dataclass(frozen=True)
@@ -92,8 +93,11 @@ def gram_hashes(u: np.ndarray, m: int) -> np.ndarray:
     return (x >> np.uint64(34)).astype(np.uint32)
 
 
-def least(order: np.ndarray, w: int) -> np.ndarray:
-    """Twice the least value of each w consecutive ones, plus 1 if it occurs twice in there."""
+def least(order: np.ndarray, w: int, ties: bool) -> np.ndarray:
+    """Twice the least value of each w consecutive ones, plus 1 if it occurs twice in there (with ``ties``)."""
+    if not ties:
+        return flat.sliding_min(order << np.uint32(1), w)
+
     def join(a, b):
         return np.minimum(a, b) | ((a ^ b) <= 1).astype(np.uint32)
 
@@ -114,12 +118,12 @@ def least(order: np.ndarray, w: int) -> np.ndarray:
 class Segments:
     """The segments of a text column, in text order."""
 
-    def __init__(self, units: Units, hot: np.ndarray):
+    def __init__(self, units: Units, hot: np.ndarray, ties: bool = True):
         k, m = units.spec.k, units.spec.m
         self.units = units
         grams = gram_hashes(units.hashes(), m)
         order = grams | (hot[grams >> np.uint32(10)].astype(np.uint32) << np.uint32(30))
-        key = least(order, k - m + 1)
+        key = least(order, k - m + 1, ties)
         valid = flat.inside(units.first, k)[:len(key)]
         tie = (key & np.uint32(1)).astype(bool)
         key >>= np.uint32(1)
@@ -129,8 +133,8 @@ class Segments:
         bounds = np.append(self.at, len(key))
         n_valid = np.concatenate([[0], np.cumsum(valid)])
         self.windows = n_valid[bounds[1:]] - n_valid[bounds[:-1]]
-        ties = np.concatenate([[0], np.cumsum(tie & valid)])
-        self.repeats = (ties[bounds[1:]] > ties[bounds[:-1]]) | (self.windows > k - m + 1)
+        n_ties = np.concatenate([[0], np.cumsum(tie & valid)])
+        self.repeats = (n_ties[bounds[1:]] > n_ties[bounds[:-1]]) | (self.windows > k - m + 1)
         self.key = key[self.at]
         self.to = self.at + self.windows + k - 1
         self.row = np.searchsorted(units.first, self.at, "right") - 1
@@ -219,7 +223,7 @@ class Packed:
         parts += [np.ascontiguousarray(getattr(self, n)[pick]).astype(k).tobytes() for n, k in self.fields]
         parts.append(flat.gather(self.data, self.start[pick], self.start[pick] + self.size[pick]).tobytes())
         raw = b"".join(parts)
-        return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
+        return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=2).compress(raw, asbytes=True)
 
     @classmethod
     def read(cls, bodies: list[bytes]) -> Packed:
@@ -286,14 +290,14 @@ def _ids(spec: Spec, bits: bytes) -> Callable:
         hot = _mask(bits)
         for batch in flat.rounds(batches):
             x = Units(batch.column("_text"), spec)
-            s = Segments(x, hot)
+            s = Segments(x, hot, ties=False)
             if len(s.at):
                 row = pa.array(s.row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(s.h1.view(np.int64)), pa.array(s.h2.view(np.int64)),
+                    [pa.array(s.h1.view(np.int64)), pa.array((s.h2 & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)),
                      batch.column("_id").take(row), batch.column("_th").take(row),
-                     pa.array(s.at - x.first[s.row]), pa.array(row_numbers(batch.column("_id"))[s.row])],
-                    ["h1", "h2", "_id", "_th", "start", "od"])
+                     pa.array((s.at - x.first[s.row]).astype(np.int32))],
+                    ["h1", "h2", "_id", "_th", "start"])
 
     return run
 
@@ -309,21 +313,18 @@ def _judge(spec: Spec, kernel: Callable) -> Callable:
         x = Units.packed(p.data, np.append(p.start, len(p.data)), spec)
         h1, h2 = flat.digests(p.data, p.start, p.start + p.size)
         kept = np.sort(p.merge(h1, h2))
-        dup, later = kernel(p, x, kept)
-        rows = np.flatnonzero(flat.row_sums(dup, x.first))
-        spans = [[], []]
-        for out, mask in zip(spans, (dup, later)):
-            lo, hi = flat.runs(mask)
-            hi = hi + spec.k - 1  # windows to the units they cover
+        masks = kernel(p, x, kept)
+        edges = [flat.runs(mask) for mask in masks]
+        rows = np.unique(np.searchsorted(x.first, edges[0][0], "right") - 1)
+        spans = []
+        for lo, hi in edges:
             row = np.searchsorted(x.first, lo, "right") - 1
-            lo, hi = lo - x.first[row], hi - x.first[row]
-            cut = np.searchsorted(row, np.stack([rows, rows + 1]))
-            both = np.stack([lo, hi], 1).reshape(-1)
-            out += [both[2 * a:2 * b] for a, b in cut.T]
-        h = [v[rows].view(np.int64) for v in (h1, h2)]
-        ints = pa.list_(pa.int32())
-        return pa.table([pa.array(h[0]), pa.array(h[1]), pa.array(spans[0], ints), pa.array(spans[1], ints),
-                         pa.array(p.od[rows]), pa.array(p.os[rows])],
+            base = x.first[row]
+            both = np.stack([lo - base, hi - base + spec.k - 1], 1).reshape(-1)  # windows to the units they cover
+            cut = 2 * np.append(np.searchsorted(row, rows), len(row))
+            spans.append(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(both, pa.int32())))
+        return pa.table([pa.array(h1[rows].view(np.int64)), pa.array((h2[rows] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)), *spans,
+                         pa.array(p.od[rows]), pa.array(p.os[rows].astype(np.int32))],
                         names=["h1", "h2", "spans", "later", "od", "os"])
 
     return run
@@ -331,7 +332,7 @@ def _judge(spec: Spec, kernel: Callable) -> Callable:
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as zstd frames, so that the last join moves less."""
-    codec = pa.Codec("zstd", compression_level=3)
+    codec = pa.Codec("zstd", compression_level=1)
     for batch in batches:
         texts = [None if t is None else len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True)
                  for t in batch.column("_text").cast(pa.binary()).to_pylist()]
@@ -361,7 +362,8 @@ def repeated_spans(docs: DataFrame, spec: Spec, kernel: Callable) -> DataFrame:
     flags = (docs.select("_id", "_text").mapInArrow(_pack(spec, bits, buckets), BLOB)
              .groupBy("bucket").applyInArrow(_judge(spec, kernel), FLAGS))
     ids = docs.mapInArrow(_ids(spec, bits), IDS.format(id=id_type))
-    first = (ids["od"] == flags["od"]) & (ids["start"] == flags["os"])
+    number = ids["_id"].cast("long") if isinstance(docs.schema["_id"].dataType, T.IntegralType) else F.lit(None)
+    first = (F.coalesce(number, F.lit(-2**63).cast("long")) == flags["od"]) & (ids["start"] == flags["os"])
     hits = (ids.join(flags, (ids["h1"] == flags["h1"]) & (ids["h2"] == flags["h2"]))
             .select("_id", "_th", F.struct(F.col("start"), F.col("spans"),
                                            F.when(first, F.col("later")).otherwise(F.col("spans")).alias("later")
