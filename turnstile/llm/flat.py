@@ -43,6 +43,13 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *extra: Column) -> DataFr
                        text.alias("_text"), *extra)
 
 
+def revive(cls: type, state: dict):
+    """An object from its attributes; only those are broadcast, as plain arrays."""
+    out = cls.__new__(cls)
+    vars(out).update(state)
+    return out
+
+
 def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["_id"].eqNullSafe(right["_id"]) & (left["_th"] == right["_th"])
 
