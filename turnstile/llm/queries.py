@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnstile.llm import (decontaminate, pii, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup,
-                           suffix_dedup, url_filter, warc)
+from turnstile.llm import (decontaminate, jaccard_join, pii, quality_classifier, quality_rules, sentencepiece_codec,
+                           substring_dedup, suffix_dedup, url_filter, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest(_table(spark, sf_dir, "documents"), model_path())
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.digest(_table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,6 @@ def model_path() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_substring_dedup, op2_url_filter, op3_suffix_dedup, op4_quality_classifier, op5_warc, op6_quality_rules,
-    op7_decontaminate, op8_sentencepiece, op10_pii)}
+    op7_decontaminate, op8_sentencepiece, op9_jaccard_join, op10_pii)}
 
 ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE}
