@@ -82,7 +82,7 @@ def test_price_schedule_full_and_day(src):
 
 def test_users(src):
     ws = ws_of(src)
-    out = P.users(src, ticket_scope(src, LO, HI), P.tickets(ws), PROFILE).collect()
+    out = P.users(src, ticket_scope(src, LO, HI), ws, PROFILE).collect()
     got = sorted((r.username, r.externalid, r.email, r.first_name) for r in out)
     assert got == sorted([("guide5@crm.test", 5, "ann@x.test.test", "Gina"),
                           ("Main_Desk@crm.test", 1, "Main_Desk@crm.test", ""),
@@ -107,7 +107,7 @@ def test_accounts_contacts_orders(src):
 def test_id_kind_option(src):
     acc = {r.recid: r.id_kind for r in A.accounts(src, LO, HI, with_id_kind=True).collect()}
     assert acc == {2: "client", 900: "order_contact", 902: "order_contact"}
-    out = P.users(src, ticket_scope(src, LO, HI), P.tickets(ws_of(src)), PROFILE, with_id_kind=True)
+    out = P.users(src, ticket_scope(src, LO, HI), ws_of(src), PROFILE, with_id_kind=True)
     assert sorted((r.externalid, r.id_kind) for r in out.collect()) == [
         (1, "till"), (2, "till"), (5, "guide")]
     assert "id_kind" not in A.accounts(src, LO, HI).columns

@@ -153,6 +153,6 @@ UNION SELECT finishtime, {O._minute_of('finishtime')} FROM sched""")
     profile = P.UserProfile(email_suffix="@crm.example", profile_id="PROFILE-01")
     wsp = build_working_set(src, LO, HI, keep_internal=True)
     wp = O.working_set_ctes("s_", LO_SQL, HI_SQL, "show")
-    same(P.users(src, scope, P.tickets(wsp), profile), con,
+    same(P.users(src, scope, wsp, profile), con,
          f"{ctes(wp, 'tix AS (' + O.tickets_sql('s_ws') + ')')}\n"
          f"{O.users_sql(LO_SQL, HI_SQL, 'tix')}")

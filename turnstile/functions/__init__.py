@@ -5,7 +5,6 @@ from turnstile.functions.scalar import (  # noqa: F401
     add_minutes,
     col_of,
     collated,
-    exact_sum,
     hhmm,
     is_blank,
     is_not_blank,

@@ -38,25 +38,6 @@ def mask_card(c: str | Column, keep: int = 4) -> Column:
                   ).otherwise(x)
 
 
-def exact_sum(c: str | Column, dtype) -> Column:
-    """``sum(c)`` for a decimal column, computed on unscaled longs.
-
-    Spark sums ``decimal(p, s)`` into ``decimal(p + 10, s)`` with a
-    BigDecimal-backed buffer once ``p + 10 > 18``; summing the unscaled value
-    as a long is exact, about twice as fast, and (under ANSI) raises on
-    overflow instead of wrapping.  The result has Spark's own sum type, so it
-    is a drop-in replacement.  Non-decimal columns use the plain ``sum``.
-    """
-    from pyspark.sql.types import DecimalType
-
-    x = col_of(c)
-    if not isinstance(dtype, DecimalType) or dtype.precision + 10 > 38:
-        return F.sum(x)
-    unscaled = (x * F.lit(10 ** dtype.scale)).cast("bigint")
-    total = F.sum(unscaled).cast(f"decimal({dtype.precision + 10},0)")
-    return (total / F.lit(10 ** dtype.scale)).cast(f"decimal({dtype.precision + 10},{dtype.scale})")
-
-
 def zero_to_null(c: str | Column) -> Column:
     """``case when x = 0 then null else x end``."""
     return F.nullif(col_of(c), F.lit(0))
@@ -117,12 +98,12 @@ def minutes_of_day(hhmm_text: str | Column) -> Column:
 
 
 # The five predefined XML entities and their characters.
-_XML_ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")]
+_XML_ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#xD;")]
 _XML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
 
 
 def xml_escape(c: str | Column) -> Column:
-    """Escape text for XML element content (``&``, ``<``, ``>``)."""
+    """Escape text for XML element content (``&``, ``<``, ``>``, carriage return)."""
     out = col_of(c)
     for raw, ent in _XML_ESCAPES:
         out = F.replace(out, F.lit(raw), F.lit(ent))
@@ -147,6 +128,6 @@ def xml_attribute(name: str, text: str | Column) -> Column:
     """
     if not name.replace("_", "").replace("-", "").isalnum():
         raise ValueError(f"invalid attribute name {name!r}")
-    pattern = rf'[ \t\r\n]{name}[ \t\r\n]*=[ \t\r\n]*"([^"]*)"'
+    pattern = rf"""[ \t\r\n]{name}[ \t\r\n]*=[ \t\r\n]*("[^"]*"|'[^']*')"""
     raw = F.regexp_extract(col_of(text), pattern, 1)
-    return xml_unescape(F.nullif(raw, F.lit("")))
+    return xml_unescape(F.nullif(F.substring(raw, F.lit(2), F.length(raw) - 2), F.lit("")))

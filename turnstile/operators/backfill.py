@@ -53,9 +53,9 @@ def class_mins(df: DataFrame, value: str | Column, strict: Sequence[str],
                sentinel: Mapping[str, object]) -> DataFrame:
     """``(class keys..., __min)``: min(value) per class over rows whose strict
     keys are all present.  Partial aggregation runs before the shuffle."""
-    keys, names, valid = _keys(df, strict, sentinel)
-    return (df.filter(valid).select(*keys, col_of(value).alias("__v"))
-            .groupBy(*names).agg(F.min("__v").alias("__min")))
+    keys, names, _ = _keys(df, strict, sentinel)
+    # rows with a NULL strict key collapse before the shuffle and match nothing
+    return df.select(*keys, col_of(value).alias("__v")).groupBy(*names).agg(F.min("__v").alias("__min"))
 
 
 def attach_class_min(df: DataFrame, mins: DataFrame, strict: Sequence[str],
@@ -63,55 +63,30 @@ def attach_class_min(df: DataFrame, mins: DataFrame, strict: Sequence[str],
                      value_type: str = "bigint") -> DataFrame:
     """``df`` plus ``out`` from a :func:`class_mins` table (``default`` when
     the row has a NULL strict key or its class has no minimum)."""
-    keys, names, valid = _keys(df, strict, sentinel)
-    good = df.filter(valid).select("*", *keys)
-    # every valid row finds its own class: an inner join on NULL-free keys
-    matched = good.join(mins, names, "inner").select(
-        *[F.col(c) for c in df.columns],
-        F.coalesce(F.col("__min"), F.lit(default).cast(value_type)).alias(out))
-    # rows with a NULL strict key are in no class; they skip the shuffle
-    unmatched = df.filter(~valid).select(
-        *[F.col(c) for c in df.columns], F.lit(default).cast(value_type).alias(out))
-    return matched.unionByName(unmatched)
+    return attach_class_mins(df, [(mins, strict, sentinel, out, default, value_type)])
 
 
 def attach_class_mins(df: DataFrame, backfills: Sequence[tuple]) -> DataFrame:
     """Attach several class minima at once.
 
     ``backfills`` holds ``(mins, strict, sentinel, out, default, value_type)``
-    tuples.  The rows are split once by which backfills they can match (all
-    strict keys present), so each row takes each of its joins exactly once --
-    attaching them one after the other would re-split the first union and
-    run its join again for every branch of the second.  Rows matching none
-    skip the shuffles entirely.
+    tuples.  Each is one left join of all rows.  Rows with a NULL strict key
+    match nothing; a salt that only they have spreads them over the partitions,
+    so they don't meet in one task.
     """
-    prepared = []
+    columns = list(df.columns)
+    result = df
     for i, (mins, strict, sentinel, out, default, value_type) in enumerate(backfills):
         keys, names, valid = _keys(df, strict, sentinel)
         renamed = [f"__b{i}{n}" for n in names]
-        keys = [k.alias(r) for k, r in zip(keys, renamed)]
-        mins = mins.select(*[F.col(n).alias(r) for n, r in zip(names, renamed)],
-                           F.col("__min").alias(f"__m{i}"))
-        prepared.append((keys, renamed, valid, mins, out, default, value_type, i))
-    branches = []
-    n = len(prepared)
-    for mask in range(1 << n):
-        cond = F.lit(True)
-        part = df
-        for keys, renamed, valid, mins, out, default, value_type, i in prepared:
-            cond = cond & (valid if mask >> i & 1 else ~valid)
-        part = df.filter(cond)
-        outs = []
-        for keys, renamed, valid, mins, out, default, value_type, i in prepared:
-            if mask >> i & 1:
-                part = part.select("*", *keys).join(mins, renamed, "inner")
-                outs.append(F.coalesce(F.col(f"__m{i}"), F.lit(default).cast(value_type)).alias(out))
-            else:
-                outs.append(F.lit(default).cast(value_type).alias(out))
-        branches.append(part.select(*[F.col(c) for c in df.columns], *outs))
-    result = branches[0]
-    for b in branches[1:]:
-        result = result.unionByName(b)
+        salt = F.when(valid, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(1 << 15)))
+        found = mins.select(*[F.col(n).alias(r) for n, r in zip(names, renamed)], F.lit(0).cast("bigint").alias(f"__s{i}"),
+                            F.col("__min").alias(f"__m{i}"))
+        result = (result.select("*", *[k.alias(r) for k, r in zip(keys, renamed)], salt.cast("bigint").alias(f"__s{i}"))
+                  .join(found, [f"__s{i}", *renamed], "left")
+                  .withColumn(out, F.coalesce(F.col(f"__m{i}"), F.lit(default).cast(value_type))))
+        columns_out = [*columns, *[b[3] for b in backfills[:i + 1]]]
+        result = result.select(*columns_out)
     return result
 
 

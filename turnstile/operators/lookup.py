@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.functions.scalar import col_of, exact_sum
+from turnstile.functions.scalar import col_of
 
 
 def first_by_key(df: DataFrame, key: str, order_by: Sequence[str | Column],
@@ -42,8 +42,8 @@ def first_match(left: DataFrame, left_key: str, right: DataFrame, right_key: str
 
 def sum_by_key(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """``groupBy(key).sum(value)`` (partial on the map side; decimals summed
-    exactly on unscaled longs, see :func:`turnstile.functions.scalar.exact_sum`)."""
-    return df.groupBy(key).agg(exact_sum(value, df.schema[value].dataType).alias(out))
+    in the decimal type itself)."""
+    return df.groupBy(key).agg(F.sum(value).alias(out))
 
 
 def sum_lookup(left: DataFrame, left_key: str, right: DataFrame, right_key: str,

@@ -55,18 +55,19 @@ def entity(name: str) -> Entity:
 
 def xml_text(df: DataFrame, column: str) -> Column:
     """Text of a value as an XML serializer prints it: timestamps as
-    ``yyyy-MM-ddTHH:mm:ss`` plus ``.SSS`` only when the milliseconds are not
-    zero, numbers and decimals in plain notation."""
+    ``yyyy-MM-ddTHH:mm:ss`` plus the stored fraction (three or six digits) when
+    it is not zero, decimals in plain notation, doubles with all their digits."""
     dtype = df.schema[column].dataType
     c = F.col(column)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-        millis = F.date_format(c, "SSS")
-        return F.when(millis == F.lit("000"), whole).otherwise(F.concat(whole, F.lit("."), millis))
+        # whole milliseconds print three digits, finer fractions all six
+        micros = F.regexp_replace(F.date_format(c, "SSSSSS"), "000$", "")
+        return F.when(micros == F.lit("000"), whole).otherwise(F.concat(whole, F.lit("."), micros))
     if isinstance(dtype, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return c.cast("decimal(38,10)").cast("string")
+        return c.cast("string")  # every digit of the value; an exponent where it needs one
     return c.cast("string")
 
 

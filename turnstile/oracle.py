@@ -130,50 +130,37 @@ def scope_keys(column: str, lo: str, hi: str) -> str:
 
 
 def working_set_ctes(p: str, lo: str, hi: str, group_by: str = "show") -> str:
-    """CTEs ``{p}base .. {p}ws``: build, then the two UPDATE backfills."""
-    gk = "shcode" if group_by == "show" else "evcode"
+    """CTEs ending in ``{p}ws``: ranked receipts and summed fees joined to the
+    scope, class minima as window aggregates."""
+    strict = ["tipricetype", "tifullprice", "eveventdate", "shcode" if group_by == "show" else "evcode",
+              "tilcode", "timailinglist", "tistatus"]
+    loose = ["COALESCE(guideid, 0)", "COALESCE(ptdescr, '')", "COALESCE(rcbshiftdate, TIMESTAMP '2000-01-01 00:00:00')"]
+    paid_by = ["timailinglist", "ptdescr", "rcbshiftdate", "rcbcachinout"]
+
+    def lowest(value: str, keys: list[str], more: list[str]) -> str:
+        known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        return f"CASE WHEN {known} THEN COALESCE(min({value}) OVER (PARTITION BY {', '.join(keys + more)}), 0) ELSE 0 END"
+
     return f"""
-{p}base AS (
-  SELECT sc.ticode, sc.tipricetype, sc.tifullprice, sc.eveventdate, sc.evcode, sc.shcode, sc.tilcode,
-         sc.timailinglist, sc.titransactnum,
-         (SELECT pt.ptdescr FROM tk_recieptbase r JOIN tk_paytype pt ON r.rcbpaytype = pt.ptcode
-           WHERE r.rcbtransactnum = sc.titransactnum ORDER BY r.rcbcode LIMIT 1) AS ptdescr,
-         (SELECT r.rcbshiftdate FROM tk_recieptbase r
-           WHERE r.rcbtransactnum = sc.titransactnum ORDER BY r.rcbcode LIMIT 1) AS rcbshiftdate,
-         (SELECT r.rcbcachinout FROM tk_recieptbase r
-           WHERE r.rcbtransactnum = sc.titransactnum ORDER BY r.rcbcode LIMIT 1) AS rcbcachinout,
-         (SELECT sum(cc.clcsum) FROM tk_calculatedcommission cc WHERE cc.clcticketnum = sc.ticode) AS fees,
-         g.gogguidenumber AS guideid, sc.tistatus
+{p}receipt AS (
+  SELECT rcbtransactnum AS txn, rcbshiftdate, rcbcachinout, min(rcbcode) OVER (PARTITION BY rcbtransactnum) AS low_receipt,
+         row_number() OVER (PARTITION BY rcbtransactnum ORDER BY rcbcode) AS place
+  FROM tk_recieptbase),
+{p}paytype AS (
+  SELECT rcbtransactnum AS txn, ptdescr, row_number() OVER (PARTITION BY rcbtransactnum ORDER BY rcbcode) AS place
+  FROM tk_paytype JOIN tk_recieptbase ON ptcode = rcbpaytype),
+{p}fee AS (SELECT clcticketnum AS ticket, sum(clcsum) AS fees FROM tk_calculatedcommission GROUP BY ALL),
+{p}joined AS (
+  SELECT sc.*, pay.ptdescr, one.rcbshiftdate, one.rcbcachinout, one.low_receipt, fee.fees, gogguidenumber AS guideid
   FROM ({scope_sql(lo, hi)}) sc
-  LEFT JOIN tk_get_orderguides g ON g.gogordernumber = sc.tiorder AND g.gogticketid = sc.ticode),
-{p}grp AS (
-  SELECT min(ticode) AS m, tipricetype, tifullprice, eveventdate, {gk}, tilcode, timailinglist,
-         tistatus, guideid, ptdescr, rcbshiftdate
-  FROM {p}base
-  GROUP BY tipricetype, tifullprice, eveventdate, {gk}, tilcode, timailinglist, tistatus, guideid,
-           ptdescr, rcbshiftdate),
-{p}ws1 AS (
-  SELECT b.*, COALESCE((
-    SELECT min(g.m) FROM {p}grp g
-    WHERE b.tipricetype = g.tipricetype AND b.tifullprice = g.tifullprice
-      AND b.eveventdate = g.eveventdate AND b.{gk} = g.{gk} AND b.tilcode = g.tilcode
-      AND b.timailinglist = g.timailinglist AND b.tistatus = g.tistatus
-      AND COALESCE(b.guideid, 0) = COALESCE(g.guideid, 0)
-      AND COALESCE(b.ptdescr, '') = COALESCE(g.ptdescr, '')
-      AND COALESCE(b.rcbshiftdate, TIMESTAMP '2000-01-01 00:00:00')
-        = COALESCE(g.rcbshiftdate, TIMESTAMP '2000-01-01 00:00:00')), 0) AS minticode
-  FROM {p}base b),
-{p}pgrp AS (
-  SELECT min(r.rcbcode) AS pm, w.timailinglist, w.ptdescr, w.rcbshiftdate, w.rcbcachinout
-  FROM {p}ws1 w JOIN tk_recieptbase r ON w.titransactnum = r.rcbtransactnum
-  LEFT JOIN tk_recieptcredit rc ON rc.rcccode = r.rcbcode
-  GROUP BY w.timailinglist, w.ptdescr, w.rcbshiftdate, w.rcbcachinout),
+  LEFT JOIN {p}receipt one ON one.txn = sc.titransactnum AND one.place = 1
+  LEFT JOIN {p}paytype pay ON pay.txn = sc.titransactnum AND pay.place = 1
+  LEFT JOIN {p}fee fee ON fee.ticket = sc.ticode
+  LEFT JOIN tk_get_orderguides ON gogticketid = sc.ticode AND gogordernumber = sc.tiorder),
 {p}ws AS (
-  SELECT w.*, COALESCE((
-    SELECT min(g.pm) FROM {p}pgrp g
-    WHERE w.timailinglist = g.timailinglist AND w.ptdescr = g.ptdescr
-      AND w.rcbshiftdate = g.rcbshiftdate AND w.rcbcachinout = g.rcbcachinout), 0) AS paymentid
-  FROM {p}ws1 w)"""
+  SELECT *, {lowest('ticode', strict, loose)} AS minticode,
+         {lowest('low_receipt', paid_by, [])} AS paymentid
+  FROM {p}joined)"""
 
 
 def ws_columns(group_by: str = "show", alias: str = "") -> str:
@@ -213,17 +200,20 @@ def xml_attr_sql(name: str, text: str) -> str:
 
 
 def payments_sql(ws: str, card_default: bool = True) -> str:
-    card = "max(COALESCE(rc.rcccreditnum, ''))" if card_default else "max(rc.rcccreditnum)"
-    return f"""SELECT t.paymentid, t.ptdescr AS type, t.rcbshiftdate AS trandate,
-       CASE WHEN t.rcbcachinout = 1 THEN 'Refund' ELSE 'Receipt' END AS mode,
-       max(t.titransactnum) AS last_transact_no, {card} AS lastCardNum,
-       max({xml_attr_sql('card_name', 'rc.rccparamsdata')}) AS lastCardName,
-       CAST((SELECT sum(r.rcbpayamount) FROM tk_recieptbase r
-             WHERE r.rcbtransactnum IN (SELECT t2.titransactnum FROM {ws} t2
-                                        WHERE t2.paymentid = t.paymentid)) AS DOUBLE) AS amount
-FROM {ws} t LEFT JOIN tk_recieptcredit rc ON rc.rcccode = t.paymentid
-WHERE t.paymentid > 0
-GROUP BY t.paymentid, t.timailinglist, t.ptdescr, t.rcbshiftdate, t.rcbcachinout"""
+    """payments_temp from three grouped parts: payments, their cards, their amounts."""
+    number = "COALESCE(card.number, '')" if card_default else "card.number"
+    return f"""SELECT pay.paymentid, pay.ptdescr AS type, pay.rcbshiftdate AS trandate,
+       if(pay.rcbcachinout = 1, 'Refund', 'Receipt') AS mode, pay.last_no AS last_transact_no,
+       {number} AS lastCardNum, card.holder AS lastCardName, CAST(total.amount AS DOUBLE) AS amount
+FROM (SELECT paymentid, timailinglist, ptdescr, rcbshiftdate, rcbcachinout, max(titransactnum) AS last_no
+      FROM {ws} GROUP BY ALL HAVING paymentid > 0) pay
+LEFT JOIN (SELECT rcccode, max(rcccreditnum) AS number, max({xml_attr_sql('card_name', 'rccparamsdata')}) AS holder
+           FROM tk_recieptcredit GROUP BY rcccode) card ON card.rcccode = pay.paymentid
+LEFT JOIN (SELECT paymentid, sum(paid) AS amount
+           FROM (SELECT DISTINCT paymentid, titransactnum FROM {ws})
+           JOIN (SELECT rcbtransactnum, sum(rcbpayamount) AS paid FROM tk_recieptbase GROUP BY rcbtransactnum)
+             ON rcbtransactnum = titransactnum
+           GROUP BY paymentid) total ON total.paymentid = pay.paymentid"""
 
 
 def contacts_sql(lo: str, hi: str) -> str:
@@ -231,17 +221,22 @@ def contacts_sql(lo: str, hi: str) -> str:
 FROM tk_clients WHERE cltcode IN ({scope_keys('timailinglist', lo, hi)})"""
 
 
+def _slots(lo: str | None = None, hi: str | None = None) -> str:
+    """Events with the text of their start and finish times."""
+    window = f"WHERE eveventdate BETWEEN {lo} AND {hi}" if lo else ""
+    return f"""(SELECT evcode, evshow, evpricelist, eveventdate, strftime(eveventdate, '%H:%M') AS starttime,
+       strftime(eveventdate + to_minutes(shlongminutes), '%H:%M') AS finishtime
+  FROM tk_events JOIN tk_shows ON shcode = evshow {window})"""
+
+
 def schedule_sql(lo: str, hi: str, activities: str | None = None) -> str:
-    restrict = f"AND e.evshow IN (SELECT activityid FROM {activities})" if activities else ""
-    fin = "strftime(e.eveventdate + to_minutes(s.shlongminutes), '%H:%M')"
-    return f"""SELECT min(e.evcode) AS id, e.evshow AS activityid,
-       'True' AS sundayavail, 'True' AS mondayavail, 'True' AS tuesdayavail, 'True' AS wednesdayavail,
-       'True' AS thursdayavail, 'True' AS fridayavail, 'True' AS saturdayavail,
-       min(e.eveventdate) AS startdate, max(e.eveventdate) AS enddate,
-       strftime(e.eveventdate, '%H:%M') AS starttime, {fin} AS finishtime
-FROM tk_events e JOIN tk_shows s ON e.evshow = s.shcode
-WHERE e.eveventdate BETWEEN {lo} AND {hi} {restrict}
-GROUP BY e.evshow, strftime(e.eveventdate, '%H:%M'), {fin}"""
+    days = ", ".join(f"'True' AS {d}avail" for d in
+                     ("sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday"))
+    only = f"SEMI JOIN {activities} chosen ON chosen.activityid = slot.evshow" if activities else ""
+    return f"""SELECT min(evcode) AS id, evshow AS activityid, {days},
+       min(eveventdate) AS startdate, max(eveventdate) AS enddate, starttime, finishtime
+FROM {_slots(lo, hi)} slot {only}
+GROUP BY ALL"""
 
 
 def _minute_of(t: str) -> str:
@@ -249,41 +244,41 @@ def _minute_of(t: str) -> str:
 
 
 def price_sql(lo: str, hi: str, restrict_events: bool) -> str:
-    ev_range = f"AND e.eveventdate BETWEEN {lo} AND {hi}" if restrict_events else ""
-    fin = "strftime(e.eveventdate + to_minutes(s.shlongminutes), '%H:%M')"
-    return f"""SELECT min(e.evcode) AS activityscheduleid, pt.pctcode AS pricetypeid,
-       CAST(min(pd.pdcalculatedprice) AS DOUBLE) AS price
-FROM tk_pricetype pt
-JOIN tk_pricediscount pd ON pt.pctcode = pd.pdpricetype
-JOIN tk_pricelist pl ON pd.pdpricelist = pl.prlcode
-JOIN tk_events e ON e.evpricelist = pl.prlcode {ev_range}
-JOIN tk_shows s ON e.evshow = s.shcode
-WHERE pt.pctcode IN ({scope_keys('tipricetype', lo, hi)})
-GROUP BY e.evshow, strftime(e.eveventdate, '%H:%M'), {fin}, pt.pctcode"""
+    """Lowest event and price of each slot and price type, both reduced by price list first."""
+    slots = _slots(lo, hi) if restrict_events else _slots()
+    return f"""SELECT min(slot.first_event) AS activityscheduleid, offer.pctcode AS pricetypeid,
+       CAST(min(offer.price) AS DOUBLE) AS price
+FROM (SELECT evpricelist, evshow, starttime, finishtime, min(evcode) AS first_event FROM {slots} GROUP BY ALL) slot
+JOIN (SELECT pdpricelist, pctcode, min(pdcalculatedprice) AS price
+      FROM tk_pricediscount JOIN tk_pricetype ON pctcode = pdpricetype
+      SEMI JOIN tk_pricelist ON prlcode = pdpricelist
+      SEMI JOIN ({scope_keys('tipricetype', lo, hi)}) used ON used.tipricetype = pctcode
+      GROUP BY ALL) offer ON offer.pdpricelist = slot.evpricelist
+GROUP BY slot.evshow, slot.starttime, slot.finishtime, offer.pctcode"""
 
 
 _BLANK = "length(rtrim(ltrim(c.cltfirstname))) = 0"
 _NAMED = "length(rtrim(ltrim(c.cltfirstname))) <> 0"
 _ADDR = "a.adraddress1, a.adraddress2, a.adrcitydesc, a.adrstatedesc, a.adrzipcode, a.adrcountrydesc"
+_PLAIN_ADDR = _ADDR.replace("a.", "")
 _PHONE = ("(SELECT min(p.cpnphonenumber) FROM tk_clientphonenumbers p "
           "WHERE p.cpnclientcode = c.cltcode) AS phone")
 
 
 def accounts_sql(lo: str, hi: str) -> str:
-    joins = f"""FROM tk_clients c
-JOIN tk_tickets t ON t.timailinglist = c.cltcode
-JOIN tk_events e ON t.tievent = e.evcode
-JOIN tk_ordercontacts oc ON oc.orcordernumber = t.tiorder
-LEFT JOIN tk_clientaddresses ca ON ca.claclientcode = c.cltcode AND ca.claisformailing = 1
-LEFT JOIN tk_addresses a ON ca.claaddresscode = a.adrcode
-WHERE e.eveventdate BETWEEN {lo} AND {hi}"""
-    return f"""SELECT min(oc.orcrecordid) AS recid, c.cltemail AS cltEmail, oc.orcfullname, {_ADDR}, {_PHONE}
-{joins} AND {_NAMED}
-GROUP BY c.cltcode, c.cltemail, oc.orcfullname, {_ADDR}
-UNION
-SELECT c.cltcode, c.cltemail, c.cltsurname, {_ADDR}, {_PHONE}
-{joins} AND {_BLANK}
-GROUP BY c.cltcode, c.cltsurname, c.cltemail, {_ADDR}"""
+    """Named clients by order contact, unnamed ones by themselves, from one visitor list."""
+    return f"""SELECT DISTINCT * FROM (
+  SELECT CASE WHEN named THEN min(contact) OVER (PARTITION BY named, cltcode, cltEmail, fullname, {_PLAIN_ADDR}) ELSE cltcode END AS recid,
+         cltEmail, CASE WHEN named THEN fullname ELSE cltsurname END AS orcfullname, {_PLAIN_ADDR}, phone
+  FROM (SELECT c.cltcode, c.cltemail AS cltEmail, c.cltsurname, {_NAMED} AS named, oc.orcrecordid AS contact,
+               oc.orcfullname AS fullname, {_ADDR}, {_PHONE}
+        FROM (SELECT DISTINCT timailinglist AS visitor, tiorder FROM tk_tickets
+              SEMI JOIN (SELECT evcode FROM tk_events WHERE eveventdate BETWEEN {lo} AND {hi}) seen ON seen.evcode = tievent) v
+        JOIN tk_clients c ON c.cltcode = v.visitor
+        JOIN tk_ordercontacts oc ON oc.orcordernumber = v.tiorder
+        LEFT JOIN tk_clientaddresses ca ON ca.claisformailing = 1 AND ca.claclientcode = c.cltcode
+        LEFT JOIN tk_addresses a ON a.adrcode = ca.claaddresscode
+        WHERE c.cltfirstname IS NOT NULL))"""
 
 
 def contacts_enriched_sql(lo: str, hi: str) -> str:

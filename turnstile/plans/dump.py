@@ -63,6 +63,6 @@ def dump(src: Mapping[str, DataFrame], lo, hi, profile: P.UserProfile,
     out["tickets"] = tickets
     out["payments"] = P.payments(ws, src, card_default=None)
     out["activitypriceschedule"] = prices
-    out["users"] = P.users(src, scope, tickets, profile)
+    out["users"] = P.users(src, scope, ws, profile)
     out["lookuptimes"] = lookup_times(schedule)
     return out

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from turnstile.functions.scalar import plus_concat, spaces_to_underscores
 from turnstile.operators.lookup import range_lookup
-from turnstile.operators.rollup import GUIDE_ID_OFFSET, payment_rollup, ticket_rollup
+from turnstile.operators.rollup import payment_rollup, ticket_rollup
 from turnstile.operators.scope import referenced_rows
 
 
@@ -85,9 +85,10 @@ USER_COLUMNS = ["username", "first_name", "last_name", "email", "externalid",
                 "LanguageLocaleKey", "Alias", "ProfileId"]
 
 
-def users(src: Mapping[str, DataFrame], scope: DataFrame, ticket_product: DataFrame,
+def users(src: Mapping[str, DataFrame], scope: DataFrame, working_set: DataFrame,
           profile: UserProfile, with_id_kind: bool = False) -> DataFrame:
-    """Guides with a CRM user that appear on a published ticket, plus one
+    """Guides with a CRM user that appear in the working set (the ticket
+    roll-up groups by guide, so on a published ticket too), plus one
     pseudo-user per till used in scope (bag union, as the INSERT appends).
 
     ``externalid`` holds guide codes and till codes; ``with_id_kind=True``
@@ -104,8 +105,8 @@ def users(src: Mapping[str, DataFrame], scope: DataFrame, ticket_product: DataFr
               .join(src["guiders"], F.col("gdrcode") == F.col("pecode"))
               .join(src["clients"].select("cltcode", "cltemail"),
                     F.col("gdrcontactnoinreltable") == F.col("cltcode")))
-    guides = referenced_rows(guides, "pecode", ticket_product,
-                             F.col("guideid") - GUIDE_ID_OFFSET)
+    guides = referenced_rows(guides, "pecode", working_set,
+                             F.col("guideid"))
     part1 = guides.select(
         plus_concat(F.col("user_name"), profile.email_suffix).alias("username"),
         "first_name", "last_name",

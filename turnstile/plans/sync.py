@@ -95,13 +95,20 @@ def _run_log(state_dir: str) -> str:
     return f"{state_dir.rstrip('/')}/_runs"
 
 
+def _absent(exc: AnalysisException) -> bool:
+    """Whether a read failed because there is nothing at the path; any other failure is a damaged log."""
+    return exc.getCondition() == "PATH_NOT_FOUND"
+
+
 def _latest_state(spark: SparkSession, state_dir: str) -> DataFrame | None:
     """The working set of the most recently completed run, from the run log
     (a small Parquet dataset with one row per completed run, stamped with the
     time it was logged; caller-chosen run ids need not sort in time)."""
     try:
         log = spark.read.option("mergeSchema", "true").parquet(_run_log(state_dir))
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not _absent(exc):
+            raise
         return None
     if "logged_at" not in log.columns:
         log = log.withColumn("logged_at", F.lit(None).cast("timestamp"))
@@ -224,5 +231,7 @@ def _has(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not _absent(exc):
+            raise
         return False

@@ -186,7 +186,7 @@ def q_lookup_times(spark, sf_dir):
 
 def q_users_union(spark, sf_dir):
     src, ws = _ws(spark, sf_dir)
-    return P.users(src, ticket_scope(src, LO, HI), P.tickets(ws), PROFILE)
+    return P.users(src, ticket_scope(src, LO, HI), ws, PROFILE)
 
 
 def q_accounts_union(spark, sf_dir):

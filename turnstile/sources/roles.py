@@ -36,9 +36,10 @@ Role map (one ticket per order line, one receipt per line item)::
     clientaddresses / addresses    <- customer (MACHINERY: not a mailing address)
     clientphonenumbers    <- orders (several numbers per client)
 
-The receipt id packs the unique (orderkey, partkey, suppkey, linenumber)
-tuple of a line item; ANSI arithmetic raises on overflow instead of wrapping,
-and it holds for every provided scale factor.  Production ticketing sources
+The receipt id packs the (orderkey, partkey, suppkey, linenumber) tuple of a
+line item with fixed widths.  The tuple repeats in a few given rows, which then
+share an id, and suppkeys of 10,000 and more (above scale factor 1) would
+collide; it is for the test tables only.  Production ticketing sources
 carry their own ids and do not go through this module.
 """
 

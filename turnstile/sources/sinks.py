@@ -45,7 +45,8 @@ def push_batches(bodies: DataFrame, entity: str, endpoint: str, transport: Trans
     """POST each batch body with ``transport``; returns one response row per
     batch (``entity, batch_id, n_rows, status, response``).
 
-    Runs in executor tasks via ``mapInPandas`` -- bodies never pass through
+    An exception of the transport becomes a response with status -1.  Runs in
+    executor tasks via ``mapInPandas`` -- bodies never pass through
     the driver.  The caller persists the responses (a table) and advances its
     sync state only when every batch succeeded.
     """
@@ -53,7 +54,10 @@ def push_batches(bodies: DataFrame, entity: str, endpoint: str, transport: Trans
         for pdf in batches:
             rows = []
             for b, n, body in zip(pdf["batch_id"], pdf["n_rows"], pdf["body"]):
-                status, response = transport(endpoint, body, f"{run_id}/{entity}/{int(b)}")
+                try:
+                    status, response = transport(endpoint, body, f"{run_id}/{entity}/{int(b)}")
+                except Exception as exc:  # noqa: BLE001 -- a failed batch must not lose the others' responses
+                    status, response = -1, f"{type(exc).__name__}: {exc}"
                 rows.append((entity, int(b), int(n), int(status), str(response)))
             yield pd.DataFrame(rows, columns=["entity", "batch_id", "n_rows", "status", "response"])
 
