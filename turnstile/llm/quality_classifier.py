@@ -146,6 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     texts = keyed.join(F.broadcast(marked), F.col("_id") == F.col("_lid")).select("_text", "good", "_turn")
     rows = texts.mapInArrow(_sparse, "good boolean, ids binary, shares binary, _turn long")
     model = rows.orderBy("_turn", "ids").coalesce(1).mapInArrow(_train, "weights binary, bias double").first()
+    if model is None:  # no document to learn from
+        return bytes(4 * BUCKETS), 0.0
     return bytes(model["weights"]), model["bias"]
 
 
