@@ -169,8 +169,9 @@ def calibrate(score: np.ndarray, good: np.ndarray, max_loss: float) -> float:
 
 def _fit(max_loss: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches)).to_pandas()
-        good = rows["good"].to_numpy(bool) if len(rows) else np.zeros(0, bool)
+        held = list(batches)
+        rows = pa.Table.from_batches(held).to_pandas() if held else None
+        good = rows["good"].to_numpy(bool) if held else np.zeros(0, bool)
         if good.any() and not good.all():
             x = features({c: rows[c].to_numpy() for c in COUNTS})
             forest = grow(loosened(x[good]))
