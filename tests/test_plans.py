@@ -30,11 +30,13 @@ def test_no_python_udf_no_cross_join_no_single_partition(spark, name):
             assert "partial_" in lines[i + 1], f"{name}: rows moved to a single partition"
 
 
-def test_backfill_joins_are_inner_equi_joins(spark):
+def test_each_backfill_is_one_salted_left_join(spark):
     plan = plan_of(E.queries()["working_set"](spark, SF), "simple")
-    # both id backfills: keys are NULL-free, so no outer join on the class keys
-    lines = [ln for ln in plan.splitlines() if "__k0" in ln and "Join" in ln]
-    assert lines and all("Inner" in ln for ln in lines)
+    # all rows take each join once; the salt, which only NULL-key rows have, is among its keys
+    for i in range(2):
+        lines = [ln for ln in plan.splitlines() if f"__b{i}__k0" in ln and "Join" in ln]
+        assert len(lines) == 1 and "LeftOuter" in lines[0] and f"__s{i}" in lines[0]
+    assert "Union" not in plan
 
 
 def test_price_schedule_aggregates_before_the_price_list_join(spark):
