@@ -91,7 +91,10 @@ def test_entry_smoke(spark):
     assert df.columns == ["tickid", "pricetypeid", "price", "evEventDate", "Activity", "userid",
                           "contactid", "qty", "status", "guideid", "fees", "paymentid",
                           "last_transact_no"]
-    assert set(E.oracle_sql()) == set(E.queries())
+    from turnstile.registry import QUERIES
+
+    # every query of the ticketing jobs has its SQL; some of the optional modules' can't be written in SQL
+    assert set(QUERIES) | {"sync_stream"} <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", ["working_set", "payment_rollup", "range_lookup", "accounts_union",

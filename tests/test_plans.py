@@ -61,3 +61,48 @@ def test_receipt_pass_is_a_hash_aggregation(spark):
     plan = plan_of(E.queries()["first_match"](spark, SF), "simple")
     assert "HashAggregate(keys=[rcbtransactnum" in plan
     assert "SortAggregate(key=[rcbtransactnum" not in plan
+
+
+def _below(plan, line_has):
+    """Lines of the subtree under the first line with every one of the texts."""
+    lines = plan.splitlines()
+    at = next(i for i, ln in enumerate(lines) if all(t in ln for t in line_has))
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-*"))
+    rest = []
+    for ln in lines[at + 1:]:
+        if len(ln) - len(ln.lstrip(" :+-*")) <= depth:
+            break
+        rest.append(ln)
+    return "\n".join(rest)
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["accounts_union", "orders_visit"])
+def test_the_event_window_is_joined_before_the_clients(spark, no_broadcast, name):
+    plan = plan_of(E.queries()[name](spark, SF), "simple")
+    assert "evcode" in _below(plan, ["Join", "timailinglist", "cltcode"])
+
+
+def test_range_lookup_joins_on_show_and_time_bucket(spark, no_broadcast):
+    plan = plan_of(E.queries()["range_lookup"](spark, SF), "simple")
+    joins = [ln for ln in plan.splitlines() if "Join" in ln and "__rk" in ln and "__tk" in ln]
+    assert joins and all("__rb" in ln and "__tb" in ln for ln in joins)
+
+
+def test_tickets_are_shuffled_by_transaction_once(spark, no_broadcast):
+    from turnstile.plans.working_set import joined_rows
+    from turnstile.registry import HI, LO
+    from turnstile.sources.roles import driver_sources
+
+    rows = plan_of(joined_rows(driver_sources(spark, SF), LO, HI), "simple")
+    assert sum("hashpartitioning(titransactnum" in ln for ln in rows.splitlines()) == 1
+    # the backfills and the rows read what that plan wrote, not the ticketing tables again
+    plan = plan_of(E.queries()["working_set"](spark, SF), "simple")
+    assert "titransactnum#" in plan and "hashpartitioning(titransactnum" not in plan and "l_orderkey" not in plan

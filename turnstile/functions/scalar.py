@@ -103,8 +103,10 @@ _XML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
 
 
 def xml_escape(c: str | Column) -> Column:
-    """Escape text for XML element content (``&``, ``<``, ``>``, carriage return)."""
-    out = col_of(c)
+    """Escape text for XML element content (``&``, ``<``, ``>``, carriage return).
+
+    Control characters that XML 1.0 has no form for become U+FFFD."""
+    out = F.regexp_replace(col_of(c), "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]", "\ufffd")
     for raw, ent in _XML_ESCAPES:
         out = F.replace(out, F.lit(raw), F.lit(ent))
     return out

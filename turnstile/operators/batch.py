@@ -37,9 +37,10 @@ def number_rows(df: DataFrame, order_by: Sequence[str | Column], out: str = "rn"
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
-    tagged = (df.repartitionByRange(n, *order)
+    # without a count, adaptive execution joins neighbouring small ranges
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    tagged = (ranged
               .sortWithinPartitions(*order)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mono", F.monotonically_increasing_id())

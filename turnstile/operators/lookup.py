@@ -55,21 +55,34 @@ def sum_lookup(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
 
 
 def range_lookup(left: DataFrame, left_key: str, left_ts: str, table: DataFrame,
-                 table_key: str, start: str, end: str, value: str, out: str) -> DataFrame:
+                 table_key: str, start: str, end: str, value: str, out: str,
+                 bucket_days: int = 30) -> DataFrame:
     """``left`` plus ``(SELECT TOP 1 value FROM table WHERE left_ts BETWEEN start
     AND end AND table_key = left_key)``, TOP 1 = lowest ``value``.
 
-    Only the distinct ``(left_key, left_ts)`` probes are range-joined, so the
-    range condition is evaluated once per probe, not once per left row; the
-    equi part of the condition lets Spark hash-partition (or broadcast) the
-    table side by key instead of comparing every probe with every row.
+    Time is cut into buckets of ``bucket_days``.  Table rows that cover a whole
+    bucket are reduced to their lowest value there, so a probe meets one row
+    for all of these and only the rows that start or end inside its bucket one
+    by one; key and bucket together are the join key, so one busy key is dealt
+    out over its buckets.  Only distinct ``(left_key, left_ts)`` probes are
+    joined.  Rows without a start, an end or a value, or ending before they
+    start, match nothing.
     """
-    probes = left.select(F.col(left_key).alias("__rk"), F.col(left_ts).alias("__rt")).distinct()
+    def bucket(c: str) -> Column:
+        return F.floor(F.unix_date(F.to_date(F.col(c))) / F.lit(bucket_days))
+
+    probes = (left.select(F.col(left_key).alias("__rk"), F.col(left_ts).alias("__rt")).distinct()
+              .withColumn("__rb", bucket("__rt")))
     tab = table.select(F.col(table_key).alias("__tk"), F.col(start).alias("__ts"),
-                       F.col(end).alias("__te"), F.col(value).alias("__tv"))
-    hits = (probes.join(tab, (F.col("__rk") == F.col("__tk"))
-                        & F.col("__rt").between(F.col("__ts"), F.col("__te")))
-            .groupBy("__rk", "__rt").agg(F.min("__tv").alias(out)))
+                       F.col(end).alias("__te"), F.col(value).alias("__tv")).filter("__ts <= __te")
+    edge = (F.col("__tb") == bucket("__ts")) | (F.col("__tb") == bucket("__te"))
+    cells = (tab.withColumn("__tb", F.explode(F.sequence(bucket("__ts"), bucket("__te"))))
+             .groupBy("__tk", "__tb", F.when(edge, F.col("__ts")).alias("__from"),
+                      F.when(edge, F.col("__te")).alias("__to"))
+             .agg(F.min("__tv").alias("__tv")))
+    hits = (probes.join(cells, (F.col("__rk") == F.col("__tk")) & (F.col("__rb") == F.col("__tb"))
+                        & (F.col("__from").isNull() | F.col("__rt").between(F.col("__from"), F.col("__to"))))
+            .groupBy("__rk", "__rb", "__rt").agg(F.min("__tv").alias(out)).drop("__rb"))
     return (left.join(hits, (F.col(left_key) == F.col("__rk")) & (F.col(left_ts) == F.col("__rt")),
                       "left")
             .drop("__rk", "__rt"))

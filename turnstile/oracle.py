@@ -1,19 +1,21 @@
 """DuckDB oracle SQL for the registered driver queries.
 
-Written independently of the Spark code and close to the original SQL jobs:
-correlated ``TOP 1`` subqueries (``ORDER BY ... LIMIT 1`` with the order the
-library fixes), the UPDATE-join backfills as correlated minimum lookups over
-the grouped working set, the nested ``IN`` for payment amounts, the repeated
-scope subqueries, UNION / UNION ALL.  The ``tk_*`` views present the driver
-tables in ticketing roles exactly as :mod:`turnstile.sources.roles` does.
-Money is compared as DOUBLE (exact decimal sums, then one conversion).
+Written independently of the Spark code: ranked receipts, window minima for the
+two backfills, grouped joins for amounts, cards and prices.  The ``tk_*`` views
+present the driver tables in ticketing roles exactly as
+:mod:`turnstile.sources.roles` does; ``tests/test_sources.py`` checks the roles
+themselves.  Money is compared as DOUBLE (exact decimal sums, then one
+conversion), the 38-digit payment ids as text.
 """
 
 from __future__ import annotations
 
+from turnstile.operators.xml import ENTITIES
 from turnstile.registry import HI, HWM_NOW, HWM_PREV_HI, LO, PROFILE
 
-_RCB = "((l_orderkey * 1000000 + l_partkey) * 10000 + l_suppkey) * 8 + l_linenumber"
+_RCB = """(CAST(l_orderkey AS HUGEINT) * 10000 + date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE))) * 10000000000000000000000
+           + (CASE WHEN l_linestatus = 'F' THEN 3 ELSE 0 END + CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END) * 1000000000000000000000
+           + (CAST(l_partkey AS HUGEINT) * 10 + l_linenumber) * 1000000000 + l_suppkey"""
 
 ROLES = f"""
 tk_tickets AS (
@@ -169,12 +171,16 @@ def ws_columns(group_by: str = "show", alias: str = "") -> str:
     return (f"{a}ticode, {a}tipricetype, CAST({a}tifullprice AS DOUBLE) AS tifullprice, {a}eveventdate, "
             f"{ev}{a}shcode, {a}tilcode, {a}timailinglist, {a}titransactnum, {a}ptdescr, "
             f"{a}rcbshiftdate, {a}rcbcachinout, CAST({a}fees AS DOUBLE) AS fees, {a}guideid, "
-            f"{a}tistatus, {a}minticode, {a}paymentid")
+            f"{a}tistatus, {a}minticode, CAST({a}paymentid AS VARCHAR) AS paymentid")
 
 
-def tickets_sql(ws: str, schedule: str | None = None) -> str:
+def _shown(value: str, kind: str, stored: bool) -> str:
+    return value if stored else f"CAST({value} AS {kind})"
+
+
+def tickets_sql(ws: str, schedule: str | None = None, stored: bool = False) -> str:
     """tickets_temp; ``schedule="min_evcode"`` or the name of a schedule CTE
-    for the range lookup."""
+    for the range lookup; ``stored`` keeps the product's own types."""
     sched = ""
     if schedule == "min_evcode":
         sched = "min(evcode) AS activityscheduleid, "
@@ -182,10 +188,10 @@ def tickets_sql(ws: str, schedule: str | None = None) -> str:
         sched = (f"(SELECT min(s.id) FROM {schedule} s WHERE w.eveventdate BETWEEN s.startdate AND "
                  f"s.enddate AND w.shcode = s.activityid) AS activityscheduleid, ")
     return f"""SELECT minticode AS tickid, {sched}tipricetype AS pricetypeid,
-       CAST(tifullprice AS DOUBLE) AS price, eveventdate AS evEventDate, shcode AS Activity,
+       {_shown('tifullprice', 'DOUBLE', stored)} AS price, eveventdate AS evEventDate, shcode AS Activity,
        tilcode AS userid, timailinglist AS contactid, count(*) AS qty,
        CASE WHEN tistatus = 9 THEN 'Return' ELSE 'Sale' END AS status, guideid + 1000 AS guideid,
-       CAST(fees AS DOUBLE) AS fees, CASE WHEN paymentid = 0 THEN NULL ELSE paymentid END AS paymentid,
+       {_shown('fees', 'DOUBLE', stored)} AS fees, {_shown('nullif(paymentid, 0)', 'VARCHAR', stored)} AS paymentid,
        max(titransactnum) AS last_transact_no
 FROM {ws} w
 GROUP BY minticode, tipricetype, tifullprice, eveventdate, shcode, tilcode, timailinglist, tistatus,
@@ -199,12 +205,12 @@ def xml_attr_sql(name: str, text: str) -> str:
     return raw
 
 
-def payments_sql(ws: str, card_default: bool = True) -> str:
+def payments_sql(ws: str, card_default: bool = True, stored: bool = False) -> str:
     """payments_temp from three grouped parts: payments, their cards, their amounts."""
     number = "COALESCE(card.number, '')" if card_default else "card.number"
-    return f"""SELECT pay.paymentid, pay.ptdescr AS type, pay.rcbshiftdate AS trandate,
+    return f"""SELECT {_shown('pay.paymentid', 'VARCHAR', stored)} AS paymentid, pay.ptdescr AS type, pay.rcbshiftdate AS trandate,
        if(pay.rcbcachinout = 1, 'Refund', 'Receipt') AS mode, pay.last_no AS last_transact_no,
-       {number} AS lastCardNum, card.holder AS lastCardName, CAST(total.amount AS DOUBLE) AS amount
+       {number} AS lastCardNum, card.holder AS lastCardName, {_shown('total.amount', 'DOUBLE', stored)} AS amount
 FROM (SELECT paymentid, timailinglist, ptdescr, rcbshiftdate, rcbcachinout, max(titransactnum) AS last_no
       FROM {ws} GROUP BY ALL HAVING paymentid > 0) pay
 LEFT JOIN (SELECT rcccode, max(rcccreditnum) AS number, max({xml_attr_sql('card_name', 'rccparamsdata')}) AS holder
@@ -340,20 +346,28 @@ def _esc(x: str) -> str:
     return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
-def xml_payload_sql(contacts: str) -> str:
-    fields = [("cltcode", "ExternalCID__c"), ("cltfirstname", "FirstName"),
-              ("cltSurName", "LastName"), ("cltEmail", "Email")]
-    parts = ", ".join(
-        f"CASE WHEN {c} IS NOT NULL THEN '<{f}>' || {_esc(f'CAST({c} AS VARCHAR)')} || '</{f}>' END"
-        for c, f in fields)
-    return f"""WITH x AS (
-  SELECT row_number() OVER (ORDER BY cltcode NULLS FIRST, cltfirstname NULLS FIRST,
-                                     cltSurName NULLS FIRST, cltEmail NULLS FIRST) AS rn,
-         '<contacts>' || concat_ws('', {parts}) || '</contacts>' AS xml
-  FROM {contacts})
+#: columns serialized as timestamps
+_TIMES = {"evEventDate", "trandate"}
+
+
+def xml_payload_sql(rows: str, product: str) -> str:
+    """Request bodies of a product: rows in key order, 100 to a batch."""
+    ent = ENTITIES[product]
+
+    def text(c: str) -> str:
+        return f"strftime({c}, '%Y-%m-%dT%H:%M:%S')" if c in _TIMES else f"CAST({c} AS VARCHAR)"
+
+    columns = [c for c, _ in ent.fields]
+    order = ", ".join(f"{c} NULLS FIRST" for c in [ent.key, *(c for c in columns if c != ent.key)])
+    parts = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN '<{f}>' || {_esc(text(c))} || '</{f}>' END"
+                      for c, f in ent.fields)
+    return f"""numbered AS (
+  SELECT row_number() OVER (ORDER BY {order}) AS rn,
+         '<{ent.element}>' || concat_ws('', {parts}) || '</{ent.element}>' AS xml
+  FROM {rows})
 SELECT (rn - 1) // 100 AS batch_id, count(*) AS n_rows,
        '<request><req>' || string_agg(xml, '' ORDER BY rn) || '</req></request>' AS body
-FROM x GROUP BY (rn - 1) // 100"""
+FROM numbered GROUP BY (rn - 1) // 100"""
 
 
 def _with(*ctes: str) -> str:
@@ -397,7 +411,7 @@ SELECT d.o_orderkey, d.o_custkey, d.status, d.prio,
                  AND COALESCE(d.prio, '5-LOW') = COALESCE(g.prio, '5-LOW')), 0) AS minkey
 FROM d"""
     q["payment_backfill"] = (f"{_with(ws_show)}\nSELECT ticode, timailinglist, ptdescr, rcbshiftdate, "
-                             f"rcbcachinout, paymentid FROM s_ws")
+                             f"rcbcachinout, CAST(paymentid AS VARCHAR) AS paymentid FROM s_ws")
     q["working_set"] = f"{_with(ws_show)}\nSELECT {ws_columns('show')} FROM s_ws"
     q["ticket_rollup"] = f"{_with(ws_show)}\n{tickets_sql('s_ws')}"
     # one micro-batch holding every order: the streamed ticket product is the
@@ -437,14 +451,20 @@ kc AS (SELECT timailinglist, count(*) AS n_rows FROM tk_tickets
        WHERE timailinglist IS NOT NULL GROUP BY timailinglist)
 SELECT DISTINCT nb.batch_id, nb.timailinglist, kc.n_rows
 FROM nb JOIN kc ON nb.timailinglist = kc.timailinglist"""
-    q["xml_payload"] = (f"{_with(f'con AS ({contacts_sql(lo, hi)})')},\n"
-                        + xml_payload_sql("con").removeprefix("WITH "))
+    con = f"con AS ({contacts_sql(lo, hi)})"
+    q["xml_payload"] = f"{_with(con)},\n{xml_payload_sql('con', 'contacts')}"
+    plain_tickets = f"tk AS ({tickets_sql('s_ws', stored=True)})"
+    q["xml_tickets"] = f"{_with(ws_show, plain_tickets)},\n{xml_payload_sql('tk', 'tickets')}"
+    plain_payments = f"pay AS ({payments_sql('s_ws', stored=True)})"
+    q["xml_payments"] = f"{_with(ws_show, plain_payments)},\n{xml_payload_sql('pay', 'payments')}"
     q["xml_attribute"] = f"SELECT page_id, {xml_attr_sql('lang', 'html')} AS lang FROM pages"
     prev = working_set_ctes("p_", lo, ts(HWM_PREV_HI), "show")
     mark = "mark AS (SELECT COALESCE(max(eveventdate), TIMESTAMP '2016-02-01 00:00:00') AS m FROM p_ws)"
     inc = working_set_ctes("i_", "(SELECT m FROM mark)", ts(HWM_NOW), "show")
     q["hwm_increment"] = f"{_with(prev, mark, inc)}\nSELECT {ws_columns('show')} FROM i_ws"
-    con = f"con AS ({contacts_sql(lo, hi)})"
+    q["hwm_contacts"] = f"{_with(prev, mark, inc)}\n{contacts_sql('(SELECT m FROM mark)', ts(HWM_NOW))}"
+    q["hwm_tickets"] = f"{_with(prev, mark, inc)}\n{tickets_sql('i_ws')}"
+    q["hwm_payments"] = f"{_with(prev, mark, inc)}\n{payments_sql('i_ws', True)}"
     tk = f"tk AS ({tickets_sql('s_ws')})"
     pay = f"pay AS ({payments_sql('s_ws', True)})"
     q["record_counts"] = f"""{_with(ws_show, con, tk, pay)}

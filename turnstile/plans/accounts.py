@@ -46,11 +46,13 @@ def _with_phone(df: DataFrame, src: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _client_tickets(src: Mapping[str, DataFrame], lo, hi) -> DataFrame:
+    """Tickets of the window with their client: the window is applied first, so
+    only its tickets are shuffled on the contact."""
     events = src["events"].filter(in_range("eveventdate", lo, hi)).select("evcode", "eveventdate")
-    return (src["clients"]
+    return (events
             .join(src["tickets"].select("timailinglist", "tievent", "tishift", "tiorder"),
-                  F.col("timailinglist") == F.col("cltcode"))
-            .join(events, F.col("tievent") == F.col("evcode")))
+                  F.col("tievent") == F.col("evcode"))
+            .join(src["clients"], F.col("timailinglist") == F.col("cltcode")))
 
 
 def accounts(src: Mapping[str, DataFrame], lo, hi, with_id_kind: bool = False) -> DataFrame:

@@ -18,14 +18,7 @@ from pyspark.sql import DataFrame
 from turnstile.operators.schedule import activity_schedule, lookup_times, price_schedule
 from turnstile.plans import products as P
 from turnstile.plans.working_set import build_working_set, published
-from turnstile.session import ensure_checkpoint_dir
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint a frame that several products read, cutting its lineage at
-    the reliable checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+from turnstile.session import materialize
 
 
 def dump(src: Mapping[str, DataFrame], lo, hi, profile: P.UserProfile,
@@ -36,11 +29,12 @@ def dump(src: Mapping[str, DataFrame], lo, hi, profile: P.UserProfile,
     dimension products only need the distinct contacts, price types, shows
     and tills of the scope; the working set has those columns with the same
     value sets (it only adds left-join fan-out), so the scope itself is not
-    computed or stored a second time.
+    computed or stored a second time.  Receipts, commissions and cards are cut
+    to the window's tickets and payments before they are aggregated.
     """
     if variant not in ("full", "day"):
         raise ValueError("variant must be 'full' or 'day'")
-    ws = build_working_set(src, lo, hi, group_by="event", keep_internal=True)
+    ws = build_working_set(src, lo, hi, group_by="event", keep_internal=True, prune_to_scope=True)
     if reuse:
         ws = materialize(ws)
     scope = ws
@@ -61,7 +55,7 @@ def dump(src: Mapping[str, DataFrame], lo, hi, profile: P.UserProfile,
                                 lo, hi)
     out["activityschedule"] = schedule
     out["tickets"] = tickets
-    out["payments"] = P.payments(ws, src, card_default=None)
+    out["payments"] = P.payments(ws, src, card_default=None, prune_cards=True)
     out["activitypriceschedule"] = prices
     out["users"] = P.users(src, scope, ws, profile)
     out["lookuptimes"] = lookup_times(schedule)

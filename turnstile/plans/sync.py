@@ -26,9 +26,9 @@ from pyspark.errors import AnalysisException
 
 from turnstile.operators.xml import entity
 from turnstile.plans import products as P
-from turnstile.plans.dump import materialize
 from turnstile.plans.load import xml_batches
 from turnstile.plans.working_set import build_working_set, published
+from turnstile.session import materialize
 from turnstile.sources.sinks import Transport, push_batches
 
 # Fixed value: start of the first sync when no previous working set exists.

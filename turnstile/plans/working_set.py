@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from turnstile.operators.backfill import attach_class_mins, class_mins
 from turnstile.operators.lookup import sum_by_key
 from turnstile.operators.scope import ticket_scope
+from turnstile.session import materialize
 
 # Sentinels that make NULL equal to a value when matching
 # equivalent tickets (guide 0, empty pay-type text, 2000-01-01 shift date).
@@ -76,19 +77,40 @@ def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "sho
                       keep_internal: bool = False, prune_to_scope: bool = False) -> DataFrame:
     """Working set for events in ``[lo, hi]`` (inclusive).
 
+    Its joined rows are written once to the shared checkpoint folder: the two
+    class minima and the rows themselves are three readers of them.
+
     ``keep_internal=True`` keeps the per-transaction helper columns
     ``_txn_min_rcb`` and ``_txn_amount`` that the payment roll-up reuses.
 
     ``prune_to_scope=True`` semi-joins the receipts and commissions to the
-    scope's distinct transactions / tickets *before* aggregating them.  Use it
+    scope's distinct transactions / tickets *before* aggregating them; the
+    scope, then read three times, is written once.  Use it
     when the window is small compared with the history (incremental sync,
     streaming micro-batches): AQE sees a small key set at runtime and
     broadcasts it, so only in-scope receipts are read past the scan.  For a
     window covering most of the history leave it off: the receipts are then
     partially aggregated before their only shuffle.
     """
+    base = materialize(joined_rows(src, lo, hi, group_by, prune_to_scope))
+    ticket_mins = class_mins(base, "ticode", minticode_keys(group_by), SENTINELS)
+    payment_mins = class_mins(base, "_txn_min_rcb", PAYMENT_KEYS, {})
+    ws = attach_class_mins(base, [
+        (ticket_mins, minticode_keys(group_by), SENTINELS, "minticode", 0,
+         base.schema["ticode"].dataType.simpleString()),
+        (payment_mins, PAYMENT_KEYS, {}, "paymentid", 0,
+         base.schema["_txn_min_rcb"].dataType.simpleString())])
+    if not keep_internal:
+        ws = ws.drop(*INTERNAL)
+    return ws
+
+
+def joined_rows(src: Mapping[str, DataFrame], lo, hi, group_by: str = "show",
+                prune_to_scope: bool = False) -> DataFrame:
+    """The working set's rows before the two id backfills."""
     scope = ticket_scope(src, lo, hi)
     if prune_to_scope:
+        scope = materialize(scope)
         src = dict(src)
         txns = scope.select(F.col("titransactnum").alias("__scope_txn")).distinct()
         src["recieptbase"] = src["recieptbase"].join(
@@ -109,20 +131,7 @@ def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "sho
     cols += ["shcode", "tilcode", "timailinglist", "titransactnum", "ptdescr",
              "rcbshiftdate", "rcbcachinout", "fees",
              F.col("gogguidenumber").alias("guideid"), "tistatus", *INTERNAL]
-    base = ws.select(*cols)
-    # both class-minimum tables come from the same base rows, so their
-    # aggregations run side by side; each row then takes the joins it can
-    # match, once (see attach_class_mins)
-    ticket_mins = class_mins(base, "ticode", minticode_keys(group_by), SENTINELS)
-    payment_mins = class_mins(base, "_txn_min_rcb", PAYMENT_KEYS, {})
-    ws = attach_class_mins(base, [
-        (ticket_mins, minticode_keys(group_by), SENTINELS, "minticode", 0,
-         base.schema["ticode"].dataType.simpleString()),
-        (payment_mins, PAYMENT_KEYS, {}, "paymentid", 0,
-         base.schema["_txn_min_rcb"].dataType.simpleString())])
-    if not keep_internal:
-        ws = ws.drop(*INTERNAL)
-    return ws
+    return ws.select(*cols)
 
 
 def published(ws: DataFrame) -> DataFrame:

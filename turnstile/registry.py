@@ -26,6 +26,7 @@ from turnstile.plans import products as P
 from turnstile.plans.load import xml_batches
 from turnstile.plans.sync import increment_bounds, record_counts, reformat
 from turnstile.plans.working_set import build_working_set, published, receipts_by_transaction
+from turnstile.session import materialize
 from turnstile.sources.roles import driver_sources
 
 # Parameters of the driver instantiation.
@@ -41,7 +42,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def money_as_double(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("double").alias(c) if c in MONEY else F.col(c)
+    """Money as DOUBLE and the wide payment ids as text, for comparison."""
+    shown = {**dict.fromkeys(MONEY, "double"), "paymentid": "string"}
+    return df.select(*[F.col(c).cast(shown[c]).alias(c) if c in shown else F.col(c)
                        for c in df.columns])
 
 
@@ -115,7 +118,8 @@ def q_group_min_backfill(spark, sf_dir):
 
 def q_payment_backfill(spark, sf_dir):
     _, ws = _ws(spark, sf_dir)
-    return ws.select("ticode", "timailinglist", "ptdescr", "rcbshiftdate", "rcbcachinout", "paymentid")
+    return money_as_double(ws.select("ticode", "timailinglist", "ptdescr", "rcbshiftdate",
+                                     "rcbcachinout", "paymentid"))
 
 
 def q_working_set(spark, sf_dir):
@@ -155,7 +159,8 @@ def _day_schedule(src):
 
 def q_range_lookup(spark, sf_dir):
     src, ws = _ws(spark, sf_dir, "event")
-    return money_as_double(P.tickets(ws, _day_schedule(src), schedule_id="range"))
+    # the roll-up is read twice, for its probes and for its rows
+    return money_as_double(P.tickets(materialize(ws), _day_schedule(src), schedule_id="range"))
 
 
 def q_activity_schedule(spark, sf_dir):
@@ -224,16 +229,38 @@ def q_xml_attribute(spark, sf_dir):
     return pages.select("page_id", xml_attribute("lang", F.col("html")).alias("lang"))
 
 
-def q_hwm_increment(spark, sf_dir):
+def _increment(spark, sf_dir):
+    """Sources and working set of the incremental run after HWM_PREV_HI; the
+    scope of the previous run holds its mark (later joins keep all its rows)."""
     src = _src(spark, sf_dir)
-    previous = build_working_set(src, LO, HWM_PREV_HI)
-    lo, hi = increment_bounds(previous, HWM_NOW)
-    return money_as_double(build_working_set(src, lo, hi))
+    lo, hi = increment_bounds(ticket_scope(src, LO, HWM_PREV_HI), HWM_NOW)
+    return src, build_working_set(src, lo, hi, keep_internal=True, prune_to_scope=True)
+
+
+def q_hwm_increment(spark, sf_dir):
+    return money_as_double(published(_increment(spark, sf_dir)[1]))
+
+
+def _increment_product(name: str) -> Query:
+    def query(spark, sf_dir):
+        src, ws = _increment(spark, sf_dir)
+        return money_as_double(reformat(src, ws, incremental=True)[name])
+    return query
 
 
 def q_record_counts(spark, sf_dir):
     src, ws = _ws(spark, sf_dir)
-    return record_counts(reformat(src, ws, LO, HI))
+    return record_counts(reformat(src, materialize(ws), LO, HI))
+
+
+def q_xml_tickets(spark, sf_dir):
+    _, ws = _ws(spark, sf_dir)
+    return xml_batches(P.tickets(ws), "tickets")
+
+
+def q_xml_payments(spark, sf_dir):
+    src, ws = _ws(spark, sf_dir)
+    return xml_batches(P.payments(ws, src, card_default=""), "payments")
 
 
 QUERIES: dict[str, Query] = {
@@ -266,6 +293,11 @@ QUERIES: dict[str, Query] = {
     "batch_key_closure": q_batch_key_closure,
     "xml_payload": q_xml_payload,
     "xml_attribute": q_xml_attribute,
+    "xml_tickets": q_xml_tickets,
+    "xml_payments": q_xml_payments,
     "hwm_increment": q_hwm_increment,
+    "hwm_contacts": _increment_product("contacts"),
+    "hwm_tickets": _increment_product("tickets"),
+    "hwm_payments": _increment_product("payments"),
     "record_counts": q_record_counts,
 }

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -95,3 +96,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="turnstile-ckpt-", dir="/tmp")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """A frame that is read several times, computed once: written as Parquet to
+    the shared checkpoint folder and read back, so its lineage is cut there (it
+    survives lost executors) and each reader scans only its own columns."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/frame-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

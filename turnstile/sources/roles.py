@@ -36,15 +36,16 @@ Role map (one ticket per order line, one receipt per line item)::
     clientaddresses / addresses    <- customer (MACHINERY: not a mailing address)
     clientphonenumbers    <- orders (several numbers per client)
 
-The receipt id packs the (orderkey, partkey, suppkey, linenumber) tuple of a
-line item with fixed widths.  The tuple repeats in a few given rows, which then
-share an id, and suppkeys of 10,000 and more (above scale factor 1) would
-collide; it is for the test tables only.  Production ticketing sources
-carry their own ids and do not go through this module.
+The receipt id is a 38-digit number of every column that a receipt's values
+depend on (see :func:`receipt_id`), so rows that share an id are equal in all
+that "first receipt" picks, and no pick depends on row order.  Production
+ticketing sources carry their own ids and do not go through this module.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,8 +61,18 @@ def _dec(c) -> F.Column:
 
 
 def receipt_id() -> F.Column:
-    return ((F.col("l_orderkey") * 1000000 + F.col("l_partkey")) * 10000
-            + F.col("l_suppkey")) * 8 + F.col("l_linenumber")
+    """Receipt id of a line item, ``decimal(38,0)``: order (12 digits), ship day
+    since 1990 (4), line status and return flag (1), part (11), line number (1)
+    and supplier (9).  Larger orders overflow, which ANSI arithmetic reports."""
+    day = F.datediff(F.to_date("l_shipdate"), F.lit("1990-01-01").cast("date")).cast("bigint")
+    flag = (F.when(F.col("l_linestatus") == "F", 3).otherwise(0)
+            + F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2))
+    high = (F.col("l_orderkey").cast("bigint") * 10000 + day) * 10 + flag
+    low = F.col("l_partkey").cast("bigint") * 10 + F.col("l_linenumber")
+    wide = "decimal(38,0)"
+    return ((high.cast(wide) * F.lit(Decimal(10) ** 21)).cast(wide)
+            + (low.cast("decimal(19,0)") * F.lit(Decimal(10) ** 9)).cast(wide)
+            + F.col("l_suppkey").cast(wide)).cast(wide)
 
 
 def ticket_id() -> F.Column:
