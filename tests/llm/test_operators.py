@@ -200,6 +200,29 @@ def test_jaccard_join(docs, none):
     assert jaccard_join.digest(none).count() == 0
 
 
+def test_list_search_finds_every_pair_that_may_link():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    rows = []
+    for sh, size in enumerate([1, 2, 5, 40, 200, 3]):  # 200 fill more than a leaf
+        base = rng.integers(0, 1 << 62, 60, dtype=np.uint64)
+        for _ in range(size):
+            own = np.unique(np.concatenate([base[:rng.integers(1, 61)], rng.integers(0, 1 << 62, rng.integers(0, 30), dtype=np.uint64)]))
+            rows.append((sh, 0, len(rows), int(rng.integers(0, 4)), len(own), bool(rng.integers(0, 2)), bool(rng.random() < .1),
+                         jaccard_join.point(own)))
+    names = ["sh", "tree", "doc", "comp", "n", "ask", "only", "point"]
+    table = pa.table([pa.array(list(c)) for c in zip(*rows)], names=names)
+    points = [jaccard_join._read(r[7], r[4]) for r in rows]
+    want = {(min(a[2], b[2]), max(a[2], b[2])) for a in rows for b in rows
+            if a[0] == b[0] and a[5] and not b[6] and a[3] != b[3]
+            and jaccard_join.may_link(a[4], points[a[2]], b[4], points[b[2]], 3, 4)}
+    for size in (7, 64, 1000):
+        found = jaccard_join._search_lists(3, 4)(iter(table.to_batches(max_chunksize=size)))
+        assert {p for b in found for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist())} == want and want
+
+
 def test_rtree_finds_what_reaches_the_bound():
     import numpy as np
 
