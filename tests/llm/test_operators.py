@@ -165,6 +165,15 @@ def test_decontaminate(spark, docs, none):
     assert decontaminate.digest(none, tests).count() == 0 and decontaminate.digest(docs, tests.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_decontaminate_in_blocks_keeps_every_row(spark, docs):
+    tests = spark.createDataFrame([(1, texts()[-1]), (2, "one"), (None, "w1  w2"), (4, "a b c"), (5, texts()[5])], "item_id long, text string")
+    again = [(None, "one"), (None, "one"), (None, None), (None, ""), (None, None), (7, "one"), (7, "one")]
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(again, "doc_id long, text string")).unionByName(docs.select("doc_id", "text"))
+    bag = lambda size: sorted(map(str, decontaminate.find(rows, tests, block_bytes=size, extra=("text",)).collect()))
+    blocks = bag(30)
+    assert len(blocks) == rows.count() == 45 and blocks == bag(8 << 20)
+
+
 def test_sentencepiece(docs, none):
     import pyarrow as pa
     import sentencepiece

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.llm import flat
+from turnstile.session import materialize
 
 #: everything but letters, digits and bytes beyond ASCII separates words
 SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -248,14 +249,16 @@ def find(docs: DataFrame, tests: DataFrame, *, id_col: str = "doc_id", text_col:
     keyed = flat.keyed(docs, id_col, text_col, *(F.col(c).alias(f"_x{i}") for i, c in enumerate(extra)))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields if f.name != "_text")
     context = docs.sparkSession.sparkContext
-    parts = [keyed.mapInArrow(_find(context.broadcast(vars(Phrases(block, window)))), f"{kinds}, {FOUND}")
-             for block in _blocks(tests, block_bytes)]
-    found = functools.reduce(DataFrame.unionByName, parts)
-    if len(parts) > 1:  # spans of several blocks overlap
-        found = found.groupBy(*keyed.drop("_text").columns, "n_words").agg(
+    plans = [context.broadcast(vars(Phrases(block, window))) for block in _blocks(tests, block_bytes)]
+    if len(plans) == 1:
+        found = keyed.mapInArrow(_find(plans[0]), f"{kinds}, {FOUND}")
+    else:  # spans of several blocks overlap; rows may repeat, so their numbers are written with them
+        rows = materialize(keyed.withColumn("_n", F.monotonically_increasing_id()))
+        parts = [rows.select("_n", "_text").mapInArrow(_find(plan), f"_n long, {FOUND}") for plan in plans]
+        merged = functools.reduce(DataFrame.unionByName, parts).groupBy("_n", "n_words").agg(
             F.flatten(F.collect_list("spans")).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        found = found.withColumn("spans", _merged(F.array_sort("spans")))
+        found = rows.drop("_text").join(merged.withColumn("spans", _merged(F.array_sort("spans"))), "_n")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
     out = found.select(F.col("_id").alias(id_col), *(F.col(f"_x{i}").alias(c) for i, c in enumerate(extra)),
                        "n_words", hit.alias("n_hit"), "spans", F.col("items"))
