@@ -121,6 +121,20 @@ def test_quality(spark, docs, none):
         assert f(none, labels).count() == 0 and f(rows, few).count() == 109 and f(rows, labels.limit(0)).count() == 109
 
 
+def test_quality_threshold_counts_all_labelled_rows(spark):
+    rng = random.Random(4)
+    say = lambda n, odd: " ".join(rng.choice(["house", "tree", "of", "running"]) + str(i) + rng.choice(["", "", ",", ". #"][:odd]) for i in range(n))
+    good = [(i, say(rng.randint(60, 300), 3 if i % 9 else 4)) for i in range(300)] + [(300, say(200 + 5 * i, 4)) for i in range(60)]
+    docs = spark.createDataFrame(good + [(1000 + i, "# " * 90) for i in range(5)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(301)] + [(300, 1)] * 40 + [(1000 + i, 0) for i in range(5)], "doc_id long, quality int")
+    for loss in (0.0, 0.02, 1.0):
+        got = quality_rules.judge(docs, labels, sample=20, max_loss=loss, max_repeated=1.1).filter("doc_id < 1000").collect()
+        score = sorted((r["anomaly"] for r in got), reverse=True)
+        limit = score[min(int(loss * len(got)), len(got) - 1)]
+        assert len(got) == 360 and score[0] > score[-1]
+        assert sorted(r["anomaly"] for r in got if r["kept"]) == [x for x in score[::-1] if x <= limit]
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "HTTPS://Example.NET/en/1?q=1#x", "http://a.example.net/de/2", "ftp://shop.example.com/de/",
             "http://x.org/fr", "http://y.org/fr/1", "http://net", "http://net/", "http://badexample.net2/en/"] + [

@@ -5,14 +5,17 @@ works on those rows.  The forest isolates documents by random splits of
 statistics; short mean path lengths mean unusual documents.  It grows on
 good labelled rows; the score above which a document goes is set on labelled
 rows: as many bad ones as possible go, at most ``max_loss`` of the
-good ones.
+good ones that pass the base rules.
 
-Forest and threshold come from at most ``sample`` labelled rows (those with the
-least hash of the id), a bound that doesn't grow with the input.
+The forest grows on at most ``sample`` good labelled ids (those with the least
+hash), a bound that doesn't grow with the input; the threshold comes from the
+scores of all good labelled rows.
 
 Defined cases: a null text has no words and fails the base rule; null or
-repeated ids are judged row by row; without labels of both kinds only the base
-rules decide; an empty table gives an empty result.  Other columns are ignored.
+repeated ids are judged row by row; a labelled id counts each of its document
+rows once, and one of them for the forest; without labels of both kinds only the
+base rules decide; an empty table gives an empty result.  Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -161,25 +164,29 @@ def scores(forest: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray) ->
     return 2.0 ** (-total / TREES / _mean_path(SUBSAMPLE))
 
 
-def calibrate(score: np.ndarray, good: np.ndarray, max_loss: float) -> float:
-    """The least threshold that at most ``max_loss`` of the good rows exceed."""
-    ordered = np.sort(score[good])[::-1]
-    return float(ordered[min(int(max_loss * len(ordered)), len(ordered) - 1)])
+def calibrate(good: DataFrame, max_loss: float) -> float:
+    """The least threshold that at most ``max_loss`` of the rows exceed, from counts in ever finer cells.
 
-
-def _fit(max_loss: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        rows = pa.Table.from_batches(held).to_pandas() if held else None
-        good = rows["good"].to_numpy(bool) if held else np.zeros(0, bool)
-        if good.any() and not good.all():
-            x = features({c: rows[c].to_numpy() for c in COUNTS})
-            forest = grow(loosened(x[good]))
-            limit = calibrate(scores(forest, x), good, max_loss)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a.astype(np.float64).tobytes() for a in forest]), pa.array([limit] * 3)], ["part", "threshold"])
-
-    return run
+    Scores are at least 2**-2, so the last cells hold one value each.
+    """
+    rows, parent = good.count(), None
+    above = min(int(max_loss * rows), rows - 1)
+    for bits in (15, 30, 45, 60):
+        cell = F.floor(F.col("anomaly") * 2.0 ** bits).alias("cell")
+        inside = good if parent is None else good.filter(F.floor(F.col("anomaly") * 2.0 ** (bits - 15)) == parent)
+        for parent, n in sorted(map(tuple, inside.groupBy(cell).count().collect()), reverse=True):
+            if n > above:
+                break
+            above -= n
+    return parent / 2.0 ** 60
+
+
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = list(batches)
+    if held:
+        rows = pa.Table.from_batches(held).to_pandas().sort_values(list(COUNTS))
+        forest = grow(loosened(features({c: rows[c].to_numpy() for c in COUNTS})))
+        yield pa.RecordBatch.from_arrays([pa.array([a.astype(np.float64).tobytes() for a in forest])], ["part"])
 
 
 def _verdicts(parts: list[bytes], threshold: float):
@@ -205,13 +212,18 @@ def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     kind = keyed.schema["_id"].dataType.simpleString()
     counts = ", ".join(f"{c} long" for c in COUNTS)
     stats = keyed.mapInArrow(_statistics, f"_id {kind}, {counts}").checkpoint()
-    marked = (labels.select(F.col(label_id).alias("_lid"), (F.col(label_col) == 1).alias("good"))
-              .dropna().orderBy(F.xxhash64("_lid"), "_lid", "good").limit(sample))
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") > max_repeated * F.col("n_words"))
-    fit_on = (stats.filter(~failed).join(marked, F.col("_id") == F.col("_lid")).select("good", *COUNTS)
-              .orderBy("good", *COUNTS).limit(2 * sample))
-    model = fit_on.mapInArrow(_fit(max_loss), "part binary, threshold double").collect()
-    parts, threshold = [bytes(r["part"]) for r in model], model[0]["threshold"] if model else 1.0
+    marked = (labels.select(F.col(label_id).alias("_lid"), (F.col(label_col) == 1).alias("good"))
+              .dropna().groupBy("_lid").agg(F.max("good").alias("good"), F.max(~F.col("good")).alias("bad")))
+    labelled = (stats.filter(~failed).join(marked, F.col("_id") == F.col("_lid"))
+                .select("_id", "good", "bad", *COUNTS).checkpoint())
+    good = labelled.filter("good").select("_id", *COUNTS)
+    parts, threshold = [], 1.0
+    if all(labelled.agg(F.max("good"), F.max("bad")).first()):
+        fit_on = good.groupBy("_id").agg(F.min(F.struct(*COUNTS)).alias("x")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
+        parts = [bytes(r["part"]) for r in fit_on.select("x.*").mapInArrow(_fit, "part binary").collect()]
+        scored = good.mapInArrow(_verdicts(parts, threshold), f"_id {kind}, {counts}, anomaly double, usual boolean")
+        threshold = calibrate(scored.select("anomaly").checkpoint(), max_loss)
     out = stats.mapInArrow(_verdicts(parts, threshold), f"_id {kind}, {counts}, anomaly double, usual boolean")
     return out.select(F.col("_id").alias(id_col), *COUNTS, failed.alias("base_failed"), "anomaly",
                       (~failed & F.col("usual")).alias("kept"))
