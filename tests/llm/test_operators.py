@@ -272,6 +272,16 @@ def test_pii(spark, none):
     assert pii.digest(none.withColumnRenamed("_id", "base")).count() == 0
 
 
+def test_pii_masks_long_secrets(spark):
+    rng = random.Random(6)
+    some = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    long = [some(257), some(4000), "abcdef" * 20 + some(8), "abcdef" * 50 + "7"]
+    rows = [f"token = {t} end" for t in [*("a1" + some(38) for _ in range(30)), *long]] + ["plain " + "x" * 20 + "1 here"] * 5 + ["x" * 5000]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = pii.find(docs, extra=("text",)).select("doc_id", pii.masked(F.col("text"), F.col("spans")).alias("masked")).orderBy("doc_id").collect()
+    assert [r["masked"] for r in got[:34]] == ["token = <secret> end"] * 34 and got[-1]["masked"] == "x" * 5000
+
+
 def test_reliabilities_rank_labelers():
     counts = {(1, 1, 1): 60, (0, 0, 0): 200, (1, 1, 0): 20, (0, 0, 1): 70, (1, 0, 0): 6, (0, 1, 0): 8}
     share, rate = pii.reliabilities(counts)

@@ -45,7 +45,7 @@ BASE = {
 #: loose patterns of the added kinds; group 0 is the span
 LOOSE = {
     "phone": r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "secret": r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z0-9_+/-]{0,64}[0-9])[A-Za-z0-9_+/-]{16,256}+(?![A-Za-z0-9_+/-])",
+    "secret": r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+",
 }
 STRICT = {"phone": r"^\([0-9]{3}\) [0-9]{3}-[0-9]{4}$", "secret": r"^(?:[0-9a-f]{16,}|AKIA[0-9A-Z]{12,}|(?:sk|ghp|gho|xox[bp])[-_][A-Za-z0-9]+)$"}
 CUES = {"phone": r"(?i)(?:phone|tel|telephone|call|mobile|fax|cell)[ .:]*$",
