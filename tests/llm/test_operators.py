@@ -121,6 +121,18 @@ def test_quality(spark, docs, none):
         assert f(none, labels).count() == 0 and f(rows, few).count() == 109 and f(rows, labels.limit(0)).count() == 109
 
 
+def test_classifier_counts_repeated_labels_and_ids_once(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["house", "tree", "of"] if i % 2 else ["###", "|||", "of"]) for _ in range(30))) for i in range(40)]
+    marks = [(i, i % 2) for i in range(40)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int")
+    repeated = spark.createDataFrame(rows + [r for r in rows[:3] for _ in range(20)], docs.schema)
+    often = spark.createDataFrame(marks + [m for m in marks[:20] for _ in range(9)], labels.schema)
+    want = quality_classifier.fit(docs, labels, sample=30)
+    assert any(want[0]) and quality_classifier.fit(docs, often, sample=30) == want
+    assert quality_classifier.fit(repeated, labels, sample=30) == want
+
+
 def test_quality_threshold_counts_all_labelled_rows(spark):
     rng = random.Random(4)
     say = lambda n, odd: " ".join(rng.choice(["house", "tree", "of", "running"]) + str(i) + rng.choice(["", "", ",", ". #"][:odd]) for i in range(n))

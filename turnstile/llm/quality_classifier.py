@@ -8,9 +8,10 @@ learned together with plain minibatch SGD in numpy.
 
 The classifier learns from at most ``sample`` labelled documents (those with
 the least hash of the id among the rows that ``train_on`` admits), whole texts
-each; that bound doesn't grow with the input.  Scoring covers every text.  As
-the output is linear in the mean, one number per feature bucket is enough
-there.
+each, one text per id and label (the first one by its features); that bound
+doesn't grow with the input, however often labels and ids repeat.  Scoring
+covers every text.  As the output is linear in the mean, one number per
+feature bucket is enough there.
 
 Defined cases: a null or empty text has no features and scores as the output
 bias alone; null ids are scored but never learned from; labels that disagree
@@ -66,7 +67,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = [k.astype(np.int32).tobytes() for k in np.split(key % BUCKETS, cut)]
         shares = [(c / max(c.sum(), 1)).astype(np.float32).tobytes() for c in np.split(count, cut)]
         yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(ids, pa.binary()), pa.array(shares, pa.binary()),
-                                          batch.column("_turn")], ["good", "ids", "shares", "_turn"])
+                                          batch.column("_turn"), batch.column("_lid")], ["good", "ids", "shares", "_turn", "_lid"])
 
 
 def train(docs: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, seed: int = 11) -> tuple[np.ndarray, float]:
@@ -139,13 +140,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         sample: int = 4096) -> tuple[bytes, float]:
     """(bucket weights, bias).  ``train_on`` is a condition on the label table's columns."""
     marked = labels if train_on is None else labels.filter(train_on)
-    marked = (marked.select(F.col(label_id).alias("_lid"), (F.col(label_col) == 1).alias("good")).dropna()
+    marked = (marked.select(F.col(label_id).alias("_lid"), (F.col(label_col) == 1).alias("good")).dropna().distinct()
               .withColumn("_turn", F.xxhash64("_lid")).orderBy("_turn", "_lid", "good").limit(sample))
     keyed = flat.keyed(docs, id_col, text_col).select("_id", "_text")
     # the sample has a fixed bound of some bytes a row, so it is broadcast
-    texts = keyed.join(F.broadcast(marked), F.col("_id") == F.col("_lid")).select("_text", "good", "_turn")
-    rows = texts.mapInArrow(_sparse, "good boolean, ids binary, shares binary, _turn long")
-    model = rows.orderBy("_turn", "ids").coalesce(1).mapInArrow(_train, "weights binary, bias double").first()
+    texts = keyed.join(F.broadcast(marked), F.col("_id") == F.col("_lid")).select("_text", "good", "_turn", "_lid")
+    kind = marked.schema["_lid"].dataType.simpleString()
+    rows = texts.mapInArrow(_sparse, f"good boolean, ids binary, shares binary, _turn long, _lid {kind}")
+    rows = rows.groupBy("_turn", "_lid", "good").agg(F.min(F.struct("ids", "shares")).alias("x")).select("_turn", "good", "x.*")
+    model = rows.orderBy("_turn", "ids", "good").coalesce(1).mapInArrow(_train, "weights binary, bias double").first()
     if model is None:  # no document to learn from
         return bytes(4 * BUCKETS), 0.0
     return bytes(model["weights"]), model["bias"]
