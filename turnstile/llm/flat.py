@@ -126,6 +126,32 @@ def windows_hash(u: np.ndarray, n: int) -> np.ndarray:
     return (sums[n:] - sums[:-n]) * powers(len(sums))[1][:len(u) - n + 1]
 
 
+#: ranges of more bytes than this are hashed one by one
+LANES_BYTES = 128
+
+
+def content_hash(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each [lo, hi), eight at a time through a bijective
+    scrambling, so that no structure of the bytes makes hashes meet."""
+    size = hi - lo
+    out = mix(size.astype(np.uint64) + np.uint64(_P))
+    lanes = np.lib.stride_tricks.as_strided(np.concatenate([data, np.zeros(8, np.uint8)]), (len(data) + 1, 8), (1, 1))
+    left = np.flatnonzero((size > 0) & (size <= LANES_BYTES))
+    at = 0
+    while len(left):
+        lane = lanes[lo[left] + at].view(np.uint64).ravel()
+        rest = size[left] - at
+        short = rest < 8
+        lane[short] &= (np.uint64(1) << (8 * rest[short]).astype(np.uint64)) - np.uint64(1)
+        out[left] = mix(out[left] ^ lane)
+        at += 8
+        left = left[rest > 8]
+    view = memoryview(np.ascontiguousarray(data))
+    for i in np.flatnonzero(size > LANES_BYTES).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(view[lo[i]:hi[i]])
+    return out
+
+
 class Words:
     """The words of a text column: ``data`` holds each word and one space after it.
 

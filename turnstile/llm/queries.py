@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnstile.llm import (decontaminate, jaccard_join, pii, quality_classifier, quality_rules, sentencepiece_codec,
-                           substring_dedup, suffix_dedup, url_filter, vector_codes, warc)
+from turnstile.llm import (decontaminate, jaccard_join, pii, quality_classifier, quality_rules, run_detection,
+                           sentencepiece_codec, substring_dedup, suffix_dedup, url_filter, vector_codes, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_detection.digest(_table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.digest(_table(spark, sf_dir, "embeddings"))
 
@@ -66,6 +70,7 @@ def model_path() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_substring_dedup, op2_url_filter, op3_suffix_dedup, op4_quality_classifier, op5_warc, op6_quality_rules,
-    op7_decontaminate, op8_sentencepiece, op9_jaccard_join, op10_pii, op12_vector_codes)}
+    op7_decontaminate, op8_sentencepiece, op9_jaccard_join, op10_pii, op11_run_detection,
+    op12_vector_codes)}
 
-ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE, "op12_vector_codes": vector_codes.ORACLE}
+ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE, "op11_run_detection": run_detection.ORACLE, "op12_vector_codes": vector_codes.ORACLE}
