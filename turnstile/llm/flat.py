@@ -180,15 +180,7 @@ class Words:
         return len(self.end)
 
     def hashes(self) -> np.ndarray:
-        out = np.empty(len(self), np.uint64)
-        at = 0
-        while at < len(self):  # a round of bytes at a time: the sums take eight times as much
-            lo = self.start[at]
-            to = max(at + 1, int(np.searchsorted(self.end, lo + ROUND_BYTES, "right")))
-            sums = prefix(self.data[lo:self.end[to - 1]].astype(np.uint64) + np.uint64(1))
-            out[at:to] = ranges_hash(sums, self.start[at:to] - lo, self.end[at:to] - lo)
-            at = to
-        return mix(out)
+        return content_hash(self.data, self.start, self.end)
 
     def inside(self, n: int) -> np.ndarray:
         """For each word, whether n words of its row start there."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnstile.llm import (decontaminate, jaccard_join, pii, quality_classifier, quality_rules, run_detection,
+from turnstile.llm import (decontaminate, jaccard_join, minhash_dedup, pii, quality_classifier, quality_rules, run_detection,
                            sentencepiece_codec, substring_dedup, suffix_dedup, url_filter, vector_codes, warc)
 
 
@@ -62,6 +62,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.digest(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 def model_path() -> str:
     import public_tokenizers
 
@@ -71,6 +75,8 @@ def model_path() -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_substring_dedup, op2_url_filter, op3_suffix_dedup, op4_quality_classifier, op5_warc, op6_quality_rules,
     op7_decontaminate, op8_sentencepiece, op9_jaccard_join, op10_pii, op11_run_detection,
-    op12_vector_codes)}
+    op12_vector_codes, op13_minhash_dedup)}
 
-ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE, "op11_run_detection": run_detection.ORACLE, "op12_vector_codes": vector_codes.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_warc": warc.ORACLE, "op9_jaccard_join": jaccard_join.ORACLE, "op11_run_detection": run_detection.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE, "op13_minhash_dedup": minhash_dedup.ORACLE}
