@@ -36,10 +36,11 @@ SPACES = b" \t\n\v\f\r"
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, *extra: Column) -> DataFrame:
-    """(_id, _th, _text): rows are told apart by id and text hash, so null or
-    repeated ids neither get lost nor mix their texts."""
+    """(_id, _k1, _k2, _text): rows are told apart by a 128-bit hash of id and
+    text, so null or repeated ids neither get lost nor mix their texts."""
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).alias("_id"), F.hash(text).alias("_th"),
+    content = (F.col(id_col).isNull(), F.col(id_col), text.isNull(), text)
+    return docs.select(F.col(id_col).alias("_id"), F.xxhash64(*content).alias("_k1"), F.xxhash64(F.lit("second"), *content).alias("_k2"),
                        text.alias("_text"), *extra)
 
 
@@ -50,10 +51,6 @@ def revive(cls: type, state: dict):
     return out
 
 
-def same_row(left: DataFrame, right: DataFrame) -> Column:
-    return left["_id"].eqNullSafe(right["_id"]) & (left["_th"] == right["_th"])
-
-
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

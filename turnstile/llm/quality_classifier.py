@@ -157,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: tuple[bytes, float], *, id_col: str = "doc_id", text_col: str = "text",
           extra: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: id, the ``extra`` columns and score."""
-    keyed = flat.keyed(docs, id_col, text_col, *(F.col(c).alias(f"_x{i}") for i, c in enumerate(extra))).drop("_th")
+    keyed = flat.keyed(docs, id_col, text_col, *(F.col(c).alias(f"_x{i}") for i, c in enumerate(extra))).drop("_k1", "_k2")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields if f.name != "_text")
     out = keyed.mapInArrow(_score(*model), f"{kinds}, score double")
     return out.select(F.col("_id").alias(id_col), *(F.col(f"_x{i}").alias(c) for i, c in enumerate(extra)), "score")

@@ -71,11 +71,7 @@ def repeated_lines(data: np.ndarray, off: np.ndarray, words: np.ndarray) -> tupl
     at = np.flatnonzero(words)
     some = np.searchsorted(at, lo) < np.searchsorted(at, hi)
     lo, hi, row = lo[some], hi[some], row[some]
-    h = np.empty(len(lo), np.uint64)
-    if len(lo):
-        sums = flat.prefix(data.astype(np.uint64) + np.uint64(1))
-        h = flat.mix(flat.ranges_hash(sums, lo, hi) + (hi - lo).astype(np.uint64))
-    order, new = _groups(row, h)
+    order, new = _groups(row, flat.content_hash(data, lo, hi))
     return np.bincount(row[order[~new]], minlength=rows), np.bincount(row, minlength=rows)
 
 

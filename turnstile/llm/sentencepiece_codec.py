@@ -340,7 +340,7 @@ def _code(model, decode: bool):
 def encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text",
            decode: bool = True, extra: tuple = ()) -> DataFrame:
     """One row per document: id, the ``extra`` columns, ids (with begin and end) and decoded."""
-    keyed = flat.keyed(docs, id_col, text_col, *(F.col(c).alias(f"_x{i}") for i, c in enumerate(extra))).drop("_th")
+    keyed = flat.keyed(docs, id_col, text_col, *(F.col(c).alias(f"_x{i}") for i, c in enumerate(extra))).drop("_k1", "_k2")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields if f.name != "_text")
     model = docs.sparkSession.sparkContext.broadcast(vars(Model(model_path)))
     out = keyed.mapInArrow(_code(model, decode), f"{kinds}, ids array<int>" + ", decoded string" * decode)
@@ -366,7 +366,7 @@ def _digests(model):
 
 def digest(docs: DataFrame, model_path: str) -> DataFrame:
     """op8: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    keyed = flat.keyed(docs, "doc_id", "text").drop("_th")
+    keyed = flat.keyed(docs, "doc_id", "text").drop("_k1", "_k2")
     model = docs.sparkSession.sparkContext.broadcast(vars(Model(model_path)))
     kind = keyed.schema["_id"].dataType.simpleString()
     out = keyed.mapInArrow(_digests(model), f"_id {kind}, n_tokens long, ids_sha256 string, decoded string")

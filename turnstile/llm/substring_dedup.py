@@ -67,12 +67,12 @@ def _count(k: int):
     return kernel
 
 
-def _apply(spec: superkmer.Spec, keep: str):
+def _apply(spec: superkmer.Spec):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in flat.rounds(batches, "_z"):
             texts = [superkmer.unsqueeze(z) for z in batch.column("_z").to_pylist()]
             x = flat.Words(pa.array(texts, pa.binary()).cast(pa.string()), flat.byte_class(spec.spaces))
-            gone = removed(batch.column("hits"), x.first, keep)
+            gone = removed(batch.column("hits"), x.first)
             keep_byte = np.repeat(~gone, x.end - x.start + 1)
             off = np.concatenate([[0], np.cumsum(keep_byte)])[np.append(x.start, len(x.data))[x.first]]
             kept = flat.strings(x.data[keep_byte], off, pa.string())
@@ -105,7 +105,7 @@ def _trim(col: pa.Array) -> pa.Array:
     return pc.utf8_rtrim(col, " ")
 
 
-def removed(hits: pa.Array, first: np.ndarray, keep: str) -> np.ndarray:
+def removed(hits: pa.Array, first: np.ndarray) -> np.ndarray:
     """Mask of removed units from the hits of each row."""
     n = int(first[-1])
     if isinstance(hits, pa.ChunkedArray):
@@ -114,7 +114,7 @@ def removed(hits: pa.Array, first: np.ndarray, keep: str) -> np.ndarray:
     counts = np.diff(np.asarray(hits.offsets))
     base = np.repeat(first[:-1], np.where(hits.is_valid().to_numpy(zero_copy_only=False), counts, 0))
     start = base + values.field("start").to_numpy(zero_copy_only=False)
-    pairs = values.field("spans" if keep == "none" else "later")
+    pairs = values.field("spans")
     each = np.diff(np.asarray(pairs.offsets)) if len(pairs) else np.zeros(0, np.int64)
     edge = pairs.flatten().to_numpy(zero_copy_only=False) + np.repeat(start, each)
     return flat.covered(first, edge[::2], edge[1::2] - edge[::2], n)
@@ -128,9 +128,9 @@ def remove_repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col
     if keep not in ("none", "first") or not 1 <= gram <= window:
         raise ValueError("keep is none or first; gram is at most the window")
     spec = superkmer.Spec("word", window, gram, spaces)
-    found = superkmer.repeated_spans(flat.keyed(docs, id_col, text_col), spec, _count(window))
+    found = superkmer.repeated_spans(flat.keyed(docs, id_col, text_col), spec, _count(window), later=keep == "first")
     kind = found.schema["_id"].dataType.simpleString()
-    out = found.mapInArrow(_apply(spec, keep),
+    out = found.mapInArrow(_apply(spec),
                            f"_id {kind}, n_words long, n_removed long, spans {SPANS}, kept_text string")
     return out.withColumnRenamed("_id", id_col)
 

@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnstile.llm import flat
-from turnstile.session import ensure_checkpoint_dir
 
 CELLS = 1 << 20
 #: an m-gram cell with more than this share of all units is frequent
@@ -33,10 +32,13 @@ SHARE = 1 / (1 << 16)
 FLUSH_BYTES = 24 << 20
 #: packed bytes that one bucket is planned for
 BUCKET_BYTES = 8 << 20
+#: text bytes that a bucket is for at least
+LEAST_BYTES = 1 << 18
 _BYTES = flat.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 BLOB = "bucket int, body binary"
-FLAGS = "h1 long, h2 int, spans array<int>, later array<int>, od long, os int"
-IDS = "h1 long, h2 int, _id {id}, _th int, start int"
+FLAGS = "h1 long, h2 int, spans array<int>"
+LATER = ", later array<int>, od long, os int"
+IDS = "h1 long, h2 int, _k1 long, _k2 long, start int"
 
 
 @dataclass(frozen=True)
@@ -163,6 +165,8 @@ def _cells(spec: Spec) -> Callable:
 
 def frequent(docs: DataFrame, spec: Spec) -> tuple[np.ndarray, int]:
     """(mask of frequent cells, bytes of all units).  At most 1 / SHARE cells reach the driver."""
+    from turnstile.session import ensure_checkpoint_dir  # not above: this module goes to tasks, the package may not
+
     ensure_checkpoint_dir(docs.sparkSession)
     seen = docs.select("_text").mapInArrow(_cells(spec), "cell int, n long").groupBy("cell").agg(
         F.sum("n").alias("n"))
@@ -285,7 +289,7 @@ def _pack(spec: Spec, bits: bytes, buckets: int) -> Callable:
     return run
 
 
-def _ids(spec: Spec, bits: bytes) -> Callable:
+def _ids(spec: Spec, bits: bytes, later: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = _mask(bits)
         for batch in flat.rounds(batches):
@@ -295,14 +299,14 @@ def _ids(spec: Spec, bits: bytes) -> Callable:
                 row = pa.array(s.row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.h1.view(np.int64)), pa.array((s.h2 & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)),
-                     batch.column("_id").take(row), batch.column("_th").take(row),
-                     pa.array((s.at - x.first[s.row]).astype(np.int32))],
-                    ["h1", "h2", "_id", "_th", "start"])
+                     batch.column("_k1").take(row), batch.column("_k2").take(row), pa.array((s.at - x.first[s.row]).astype(np.int32)),
+                     *([batch.column("_id").take(row)] if later else [])],
+                    ["h1", "h2", "_k1", "_k2", "start", *(["_id"] if later else [])])
 
     return run
 
 
-def _judge(spec: Spec, kernel: Callable) -> Callable:
+def _judge(spec: Spec, kernel: Callable, later: bool) -> Callable:
     """kernel(packed, units, kept rows) -> (any, later): masks over units of repeated window starts.
 
     Rows are in the order of their first copies.
@@ -314,7 +318,7 @@ def _judge(spec: Spec, kernel: Callable) -> Callable:
         h1, h2 = flat.digests(p.data, p.start, p.start + p.size)
         kept = np.sort(p.merge(h1, h2))
         masks = kernel(p, x, kept)
-        edges = [flat.runs(mask) for mask in masks]
+        edges = [flat.runs(mask) for mask in masks[:1 + later]]
         rows = np.unique(np.searchsorted(x.first, edges[0][0], "right") - 1)
         spans = []
         for lo, hi in edges:
@@ -323,9 +327,9 @@ def _judge(spec: Spec, kernel: Callable) -> Callable:
             both = np.stack([lo - base, hi - base + spec.k - 1], 1).reshape(-1)  # windows to the units they cover
             cut = 2 * np.append(np.searchsorted(row, rows), len(row))
             spans.append(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(both, pa.int32())))
-        return pa.table([pa.array(h1[rows].view(np.int64)), pa.array((h2[rows] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)), *spans,
-                         pa.array(p.od[rows]), pa.array(p.os[rows].astype(np.int32))],
-                        names=["h1", "h2", "spans", "later", "od", "os"])
+        origin = [pa.array(p.od[rows]), pa.array(p.os[rows].astype(np.int32))] if later else []
+        return pa.table([pa.array(h1[rows].view(np.int64)), pa.array((h2[rows] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)), *spans, *origin],
+                        names=["h1", "h2", "spans", *(["later", "od", "os"] if later else [])])
 
     return run
 
@@ -336,8 +340,8 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [None if t is None else len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True)
                  for t in batch.column("_text").cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_th"), pa.array(texts, pa.binary())],
-                                         ["_id", "_th", "_z"])
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_k1"), batch.column("_k2"), pa.array(texts, pa.binary())],
+                                         ["_id", "_k1", "_k2", "_z"])
 
 
 def unsqueeze(z: bytes | None) -> bytes:
@@ -346,28 +350,30 @@ def unsqueeze(z: bytes | None) -> bytes:
     return pa.Codec("zstd").decompress(z[8:], int.from_bytes(z[:8], "little"), asbytes=True)
 
 
-def repeated_spans(docs: DataFrame, spec: Spec, kernel: Callable) -> DataFrame:
-    """(_id, _th, _z, hits): texts with the unit ranges that repeated windows cover.
+def repeated_spans(docs: DataFrame, spec: Spec, kernel: Callable, *, later: bool) -> DataFrame:
+    """(_id, _z, hits): texts with the unit ranges that repeated windows cover.
 
-    ``docs`` is keyed().  hits: array of (start, spans, later): ``spans`` are
-    pairs of unit offsets from ``start``; ``later`` leaves out the windows
-    whose first copy this is.
+    ``docs`` is keyed().  hits: array of (start, spans): ``spans`` are pairs of
+    unit offsets from ``start``.  With ``later``, those of windows whose first copy this is are
+    left out.
     """
     spark: SparkSession = docs.sparkSession
     id_type = docs.schema["_id"].dataType.simpleString()
     hot, size = frequent(docs, spec)
     bits = np.packbits(hot).tobytes()
     deal = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(4 * deal, -(-3 * size // BUCKET_BYTES))
+    # by bytes; little data is cut finer, so that all tasks have some of it
+    buckets = max(-(-3 * size // BUCKET_BYTES), min(4 * deal, -(-size // LEAST_BYTES)), 1)
     flags = (docs.select("_id", "_text").mapInArrow(_pack(spec, bits, buckets), BLOB)
-             .groupBy("bucket").applyInArrow(_judge(spec, kernel), FLAGS))
-    ids = docs.mapInArrow(_ids(spec, bits), IDS.format(id=id_type))
-    number = ids["_id"].cast("long") if isinstance(docs.schema["_id"].dataType, T.IntegralType) else F.lit(None)
-    first = (F.coalesce(number, F.lit(-2**63).cast("long")) == flags["od"]) & (ids["start"] == flags["os"])
+             .groupBy("bucket").applyInArrow(_judge(spec, kernel, later), FLAGS + LATER * later))
+    ids = docs.mapInArrow(_ids(spec, bits, later), IDS + f", _id {id_type}" * later)
+    spans = F.col("spans")
+    if later:
+        number = ids["_id"].cast("long") if isinstance(docs.schema["_id"].dataType, T.IntegralType) else F.lit(None)
+        first = (F.coalesce(number, F.lit(-2**63).cast("long")) == flags["od"]) & (ids["start"] == flags["os"])
+        spans = F.when(first, F.col("later")).otherwise(spans)
     hits = (ids.join(flags, (ids["h1"] == flags["h1"]) & (ids["h2"] == flags["h2"]))
-            .select("_id", "_th", F.struct(F.col("start"), F.col("spans"),
-                                           F.when(first, F.col("later")).otherwise(F.col("spans")).alias("later")
-                                           ).alias("hit"))
-            .groupBy("_id", "_th").agg(F.collect_list("hit").alias("hits")))
-    packed = docs.mapInArrow(_squeeze, f"_id {id_type}, _th int, _z binary")
-    return packed.join(hits, flat.same_row(packed, hits), "left").select(packed["_id"], packed["_th"], "_z", "hits")
+            .select("_k1", "_k2", F.struct(F.col("start"), spans.alias("spans")).alias("hit"))
+            .groupBy("_k1", "_k2").agg(F.collect_list("hit").alias("hits")))
+    packed = docs.mapInArrow(_squeeze, f"_id {id_type}, _k1 long, _k2 long, _z binary")
+    return packed.join(hits, ["_k1", "_k2"], "left").select("_id", "_z", "hits")

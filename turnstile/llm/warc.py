@@ -68,10 +68,11 @@ def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str
 
 
 _HEADER = re.compile(rb"([A-Za-z-]+): ?(.*)")
+_LENGTH = re.compile(rb"[0-9]{1,15}")
 
 
 def _unescape(text: bytes) -> str:
-    return text.replace(b"%0D", b"\r").replace(b"%0A", b"\n").replace(b"%25", b"%").decode()
+    return text.replace(b"%0D", b"\r").replace(b"%0A", b"\n").replace(b"%25", b"%").decode(errors="replace")
 
 
 def header(segment: bytes) -> tuple[dict[str, bytes], int] | None:
@@ -85,7 +86,7 @@ def header(segment: bytes) -> tuple[dict[str, bytes], int] | None:
         if not m:
             return None
         fields[m[1].decode().lower()] = m[2]
-    if not re.fullmatch(rb"[0-9]{1,15}", fields.get("content-length", b"")) or "warc-type" not in fields:
+    if "warc-type" not in fields or not all(_LENGTH.fullmatch(fields.get(c, d)) for c, d in (("content-length", b""), ("warc-payload-length", b"0"))):
         return None
     return fields, stop + 4
 
@@ -121,7 +122,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     row["uri"] = _unescape(fields["warc-target-uri"])
                 if row["kind"] == "revisit":
                     row["length"] = int(fields.get("warc-payload-length", b"0"))
-                    row["digest"] = fields.get("warc-payload-digest", b"").decode().removeprefix("sha256:")
+                    row["digest"] = fields.get("warc-payload-digest", b"").decode(errors="replace").removeprefix("sha256:")
                 elif len(body) == size:
                     row |= {"length": size, "digest": hashlib.sha256(body).hexdigest()}
             rows.append(row)
