@@ -2,6 +2,14 @@
 
 ``STAGES`` are applied in order; each gets its predecessor's Parquet output and
 keeps the columns of ``documents`` (the last one returns ids instead).
+
+Defined cases: a null text is scored and encoded like an empty one, links with
+nothing, isn't contaminated and stays null; rows without id or with a repeated
+one are judged row by row, but rows that repeat id and text are one in the
+join, which keeps one of them; of linked documents the one of the smallest id
+stays; an empty table goes through every stage.  Further columns of the
+documents are kept up to the last stage, whatever their names; ``n_chars`` is
+optional.
 """
 
 from __future__ import annotations
@@ -17,32 +25,38 @@ from turnstile.llm.queries import model_path
 from turnstile.session import ensure_checkpoint_dir
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """Id and text, and the whole row as one column that can't clash with those of a stage."""
+    return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good ones."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_classifier.fit(docs, labels, train_on=~quality_classifier.held_out(F.col("doc_id")))
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    return quality_classifier.score(docs, model, extra=others).filter("score >= 0.5").select(docs.columns)
+    return quality_classifier.score(_carried(docs), model, extra=("_row",)).filter("score >= 0.5").select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return jaccard_join.one_of_each(docs).select(docs.columns)
+    return jaccard_join.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without much benchmark text."""
     tests = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    return decontaminate.find(docs, tests, extra=others).filter(~F.col("contaminated")).select(docs.columns)
+    return decontaminate.find(_carried(docs), tests, extra=("_row",)).filter(~F.col("contaminated")).select("_row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data masked by its kind."""
-    found = pii.find(docs, extra=tuple(c for c in docs.columns if c != "doc_id"))
-    masked = found.withColumn("text", pii.masked(F.col("text"), F.col("spans")))
-    return masked.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars"))).select(docs.columns)
+    found = pii.find(_carried(docs), extra=("_row",))
+    found = found.withColumn("masked", pii.masked(F.col("_row.text"), F.col("spans")))
+    new = {"text": F.col("masked")}
+    if "n_chars" in docs.columns:
+        size = F.length("masked").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.size("spans") > 0, size).otherwise(F.col("_row")["n_chars"])
+    return found.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
