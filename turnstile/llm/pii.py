@@ -12,7 +12,7 @@ Bayes model over votes and span features, which decides.
 Only DataFrame functions are used: text is split at a pattern, and the lengths
 of what lies between and of the matches give the positions.  Texts without a
 digit or "@" can't hold a span and skip the patterns.  What the driver sees
-are counts by vote pattern, of which there are at most ``MOST_PATTERNS``.
+are counts by vote pattern, of which there are at most 384.
 
 The patterns are written so that Java's matcher neither recurses over long
 runs nor tries every start inside one; the matches are those of the plain
@@ -26,6 +26,7 @@ ignored, or kept if named in ``extra``.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,22 +53,62 @@ CUES = {"phone": r"(?i)(?:phone|tel|telephone|call|mobile|fax|cell)[ .:]*$",
         "secret": r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key|key|credential)[\"' ]*[=:]?[\"' ]*$"}
 AROUND = {"phone": r"[ (:,]$", "secret": r"[=:][ \"']*$"}
 BEFORE = 32  # characters before a span that labelers see
-MOST_PATTERNS = 1024
+
+
+#: elements that a scan appends at a time, at least
+STEP = 128
+#: characters of a piece that masking cuts from
+PIECE = 1024
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _scan(items: Column, state: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column],
+          out: str, keep: Callable[[Column, Column], Column] | None = None) -> Column:
+    """struct(state, out): the states run over the items; ``out`` (of type array ``out``) has what each
+    item emits from the state before it.  Appends go to short arrays, so the work grows little more than the items."""
+    none = F.array().cast(out)
+
+    many = F.greatest(F.lit(STEP), F.sqrt(F.size(items)).cast("int"))  # taking a slice reads all items
+
+    def one(done: Column, x: Column) -> Column:
+        def with_state(t: Column) -> Column:
+            more = F.concat(done["out"], F.array(emit(t, x)))
+            return F.struct(step(t, x).alias("state"), (more if keep is None else F.when(keep(t, x), more).otherwise(done["out"])).alias("out"))
+
+        return with_state(done["state"])
+
+    def some(done: Column, at: Column) -> Column:
+        inner = F.aggregate(F.slice(items, at + 1, many), F.struct(done["state"].alias("state"), none.alias("out")), one)
+        return _bound(inner, lambda r: F.struct(r["state"].alias("state"), F.concat(done["out"], F.array(r["out"])).alias("out")))
+
+    start = F.struct(state.alias("state"), F.array().cast(f"array<{out}>").alias("out"))
+    at = F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), many)
+    return F.aggregate(at, start, some, lambda done: F.struct(done["state"].alias("state"), F.flatten(done["out"]).alias("out")))
+
+
+_BODIES = "array<struct<from: bigint, to: bigint, body: string, before: string>>"
 
 
 def _spans(pattern: str) -> Column:
-    """Matches of a pattern in _text: array of (from, to, body), code points, end exclusive."""
+    """Matches of a pattern in _text: array of (from, to, body, before), code points, end exclusive;
+    before: the characters before it."""
     both = F.arrays_zip(F.split("_text", pattern, -1).alias("gap"), F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)).alias("body"))
-    none = F.array().cast("array<struct<from: bigint, to: bigint, body: string>>")
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("tail"))
+    seen = lambda t, x: F.right(F.concat(t["tail"], F.right(x["gap"], F.lit(BEFORE))), F.lit(BEFORE))
+
+    def step(t: Column, x: Column) -> Column:
+        to = t["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["body"]), F.lit(0))
+        return F.struct(to.alias("at"), F.right(F.concat(seen(t, x), F.coalesce(x["body"], F.lit(""))), F.lit(BEFORE)).alias("tail"))
 
-    def step(done: Column, x: Column) -> Column:
-        at = done["at"] + F.length(x["gap"])
-        to = at + F.coalesce(F.length(x["body"]), F.lit(0))
-        span = F.struct(at.alias("from"), to.alias("to"), x["body"].alias("body"))
-        return F.struct(to.alias("at"), F.when(x["body"].isNull(), done["out"]).otherwise(F.concat(done["out"], F.array(span))).alias("out"))
+    def emit(t: Column, x: Column) -> Column:
+        at = t["at"] + F.length(x["gap"])
+        return F.struct(at.alias("from"), (at + F.length(x["body"])).alias("to"), x["body"].alias("body"), seen(t, x).alias("before"))
 
-    return F.aggregate(both, start, step, lambda done: done["out"])
+    return _bound(both, lambda b: _scan(b, start, step, emit, _BODIES, lambda t, x: x["body"].isNotNull())["out"])
 
 
 def _luhn(digits: Column) -> Column:
@@ -119,8 +160,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 def _votes(kind: str):
     def votes(s: Column) -> Column:
-        before = F.substring("_text", F.greatest(s["from"] - BEFORE + 1, F.lit(1)).cast("int"),
-                             F.least(s["from"], F.lit(BEFORE)).cast("int"))
+        before = s["before"]
         digits = F.length(F.regexp_replace(s["body"], "[^0-9]", ""))
         size = s["to"] - s["from"]
         return F.struct(s["from"].alias("from"), s["to"].alias("to"), F.lit(kind).alias("kind"),
@@ -131,16 +171,38 @@ def _votes(kind: str):
     return votes
 
 
+_LOOSE = "array<struct<from: bigint, to: bigint, kind: string, strict: int, cue: int, around: int, size: int, digits: int>>"
+
+
+def _free(spans: Column) -> Column:
+    """The spans that touch no base span, by a scan to each side over both kinds in order of their starts."""
+    none = F.lit(None).cast(_LOOSE[6:-1])
+    marks = F.array_sort(F.concat(
+        F.transform("base", lambda b: F.struct(b["from"].alias("from"), b["to"].alias("to"), F.lit(None).cast("int").alias("turn"), none.alias("s"))),
+        F.transform(spans, lambda s, i: F.struct(s["from"].alias("from"), s["to"].alias("to"), i.alias("turn"), s.alias("s")))))
+    kind = "array<struct<from: bigint, to: bigint, turn: int, s: " + _LOOSE[6:-1] + ">>"
+    far = F.lit(2**62).cast("long")
+
+    def earlier(done: Column) -> Column:  # no base span that starts before it, or with it, ends after its start
+        return _scan(done, F.lit(0).cast("long"), lambda t, x: F.when(x["s"].isNull(), F.greatest(t, x["to"])).otherwise(t), lambda t, x: x, kind,
+                     lambda t, x: x["s"].isNull() | (t <= x["from"]))["out"]
+
+    def later(done: Column) -> Column:  # none starts before its end
+        return _scan(F.reverse(done), far, lambda t, x: F.when(x["s"].isNull(), x["from"]).otherwise(t), lambda t, x: x["s"], _LOOSE,
+                     lambda t, x: x["s"].isNotNull() & (t >= x["to"]))["out"]
+
+    return _bound(marks, lambda m: _bound(earlier(m), later))
+
+
 def _candidates() -> Column:
     """Loose spans that touch no base span: array of (from, to, kind, strict, cue, around, size, digits)."""
-    every = [F.transform(_spans(pattern), _votes(kind)) for kind, pattern in LOOSE.items()]
-    free = lambda s: ~F.exists("base", lambda b: (b["from"] < s["to"]) & (s["from"] < b["to"]))
-    return F.filter(F.concat(*every), free)
+    every = F.concat(*(F.transform(_spans(pattern), _votes(kind)) for kind, pattern in LOOSE.items()))
+    return _bound(every, lambda spans: F.when(F.size(spans) == 0, spans).otherwise(_free(spans)))
 
 
 def with_candidates(docs: DataFrame) -> DataFrame:
     """Adds ``base`` and ``loose``."""
-    none = F.array().cast("array<struct<from: bigint, to: bigint, kind: string, strict: int, cue: int, around: int, size: int, digits: int>>")
+    none = F.array().cast(_LOOSE)
     return base_spans(docs).withColumn("loose", F.when(F.col("_text").rlike("[0-9]"), _candidates()).otherwise(none))
 
 
@@ -170,7 +232,7 @@ def posterior(votes: tuple[int, ...], share: float, rate: list[tuple[float, floa
 def train(docs: DataFrame) -> dict[str, tuple[float, list[dict[int, float]]]]:
     """Per kind the classifier: (bias, log odds of each feature's values).  docs: with ``loose``."""
     counts = (docs.select(F.explode("loose").alias("s")).groupBy("s.kind", *(f"s.{f}" for f in FEATURES))
-              .agg(F.count("*").alias("n")).limit(MOST_PATTERNS).collect())  # 2 kinds, 2 ** 3 votes, 6 sizes, 4 shares
+              .agg(F.count("*").alias("n")).collect())  # at most 2 kinds, 2 ** 3 votes, 6 sizes, 4 shares
     model = {}
     for kind in LOOSE:
         rows = [r for r in counts if r["kind"] == kind]
@@ -210,9 +272,9 @@ def _accepted(model: dict[str, tuple[float, list[dict[int, float]]]]) -> Column:
     turn = lambda s: F.coalesce(*(F.when(s["kind"] == k, F.lit(i)) for k, i in turns.items()))
     typed = F.transform(F.filter("loose", lambda s: odds(s) > 0), lambda s: F.struct(
         s["from"].alias("from"), turn(s).alias("turn"), s["kind"].alias("kind"), s["to"].alias("to")))
-    none = F.array().cast(_NONE)
-    return F.aggregate(F.array_sort(typed), none, lambda done, s: F.when(
-        (F.size(done) == 0) | (F.get(done, F.size(done) - 1)["to"] <= s["from"]), F.concat(done, F.array(s))).otherwise(done))
+    ends = lambda t, s: t <= s["from"]
+    return _bound(F.array_sort(typed), lambda x: _scan(x, F.lit(0).cast("long"), lambda t, s: F.when(ends(t, s), s["to"]).otherwise(t),
+                                                       lambda t, s: s, _NONE, ends)["out"])
 
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
@@ -227,17 +289,21 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ext
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets; overlapping spans are masked together."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(done: Column, s: Column) -> Column:
-        gap = F.substring(text, (done["at"] + 1).cast("int"), (s["from"] - done["at"]).cast("int"))
-        piece = F.concat(gap, F.lit("<"), s["kind"], F.lit(">"))
-        return F.when(s["from"] >= done["at"], F.struct(s["to"].alias("at"), F.concat(done["out"], F.array(piece)).alias("out"))).otherwise(
-            F.struct(F.greatest(done["at"], s["to"]).alias("at"), done["out"].alias("out")))
-
-    done = F.aggregate(spans, start, step)
-    rest = F.substring(text, (done["at"] + 1).cast("int"), F.length(text))
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(done["out"], ""), rest))
+    def cut(pieces: Column, a: Column, b: Column) -> Column:
+        """Characters [a, b) from pieces of PIECE each."""
+        first, last = F.floor(a / PIECE).cast("int"), F.floor(b / PIECE).cast("int")
+        part = lambda i, x, y: F.substring(F.coalesce(F.get(pieces, i), F.lit("")), (x - i * PIECE + 1).cast("int"), (y - x).cast("int"))
+        whole = F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        return F.when(first == last, part(first, a, b)).otherwise(
+            F.concat(part(first, a, (first + 1) * PIECE), whole, part(last, last * PIECE, b)))
+
+    def joined(pieces: Column) -> Column:
+        done = _scan(spans, F.lit(0).cast("long"), lambda t, s: F.greatest(t, s["to"]), lambda t, s: F.concat(
+            cut(pieces, t, s["from"]), F.lit("<"), s["kind"], F.lit(">")), "array<string>", lambda t, s: s["from"] >= t)
+        return _bound(done, lambda d: F.concat(F.array_join(d["out"], ""), cut(pieces, d["state"], F.length(text).cast("long"))))
+
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return F.when(F.size(spans) == 0, text).otherwise(_bound(pieces, joined))
 
 
 def _listed(spans: Column) -> Column:
