@@ -127,12 +127,20 @@ def windows_hash(u: np.ndarray, n: int) -> np.ndarray:
 LANES_BYTES = 128
 
 
-def content_hash(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+def content_hash(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, step: int = 1 << 16) -> np.ndarray:
     """Hash of the bytes of each [lo, hi), eight at a time through a bijective
     scrambling, so that no structure of the bytes makes hashes meet."""
-    size = hi - lo
-    out = mix(size.astype(np.uint64) + np.uint64(_P))
-    lanes = np.lib.stride_tricks.as_strided(np.concatenate([data, np.zeros(8, np.uint8)]), (len(data) + 1, 8), (1, 1))
+    out = mix((hi - lo).astype(np.uint64) + np.uint64(_P))
+    for at in range(0, len(lo), step):  # some ranges at a time: the work arrays are many
+        _hash_into(out[at:at + step], data, lo[at:at + step], hi[at:at + step])
+    return out
+
+
+def _hash_into(out: np.ndarray, data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> None:
+    base = int(lo.min())
+    data = np.concatenate([data[base:int(hi.max())], np.zeros(8, np.uint8)])
+    lo, size = lo - base, hi - lo
+    lanes = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))
     left = np.flatnonzero((size > 0) & (size <= LANES_BYTES))
     at = 0
     while len(left):
@@ -143,10 +151,9 @@ def content_hash(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray
         out[left] = mix(out[left] ^ lane)
         at += 8
         left = left[rest > 8]
-    view = memoryview(np.ascontiguousarray(data))
+    view = memoryview(data)
     for i in np.flatnonzero(size > LANES_BYTES).tolist():
-        out[i] = xxhash.xxh3_64_intdigest(view[lo[i]:hi[i]])
-    return out
+        out[i] = xxhash.xxh3_64_intdigest(view[lo[i]:lo[i] + size[i]])
 
 
 class Words:

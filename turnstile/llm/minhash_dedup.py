@@ -12,17 +12,19 @@ is kept.
     ``width`` retained values without another one between them (for small sets, by
     counting; else but for one in 10**9).  A list holds the documents of one such
     run of retained values, which unrelated documents rarely share.
-3.  Leaders.  Every document is compared with the least document of most of its lists,
-    then with eight more of each list whose documents are still of several
-    components.  That joins large groups of near copies in few comparisons each.
-4.  The rest.  In lists that still hold several components, all pairs of
-    different components are estimated from their union's sketch.  The best
-    pair of each two components is verified first, then those that still join two.
-5.  Each pair is estimated by its union's sketch (six deviations below the
+3.  Leaders.  Every document is compared with the least document of most of its lists;
+    those with one such leader are a family.  Documents whose lists still
+    hold several components are compared with up to eight others of their family.  That joins
+    large groups of near copies in few comparisons each.
+4.  The rest.  Families, and lists that reach over several families, are gone
+    through whole if they still hold several components: tasks estimate the pairs of different
+    components and verify those that may link, best first, until they are of one.
+5.  Pairs are estimated by their union's sketch (six deviations below the
     bound are let through) and verified on whole sets.
 
-Memory: tasks stream over lists sorted by Spark, blocks of a list hold at most
-2 * BLOCK documents, and pairs are verified a few MB at a time.
+Memory: tasks stream over lists sorted by Spark, long families and lists are compared
+in blocks (all pairs of two parts of about BLOCK documents or BLOCK_SHINGLES shingles), and other
+pairs are verified a few MB at a time.
 
 Defined cases: null text or no words: empty set, linked with nothing; fewer
 words than a shingle: the whole sequence is the one shingle; rows with one id
@@ -46,8 +48,8 @@ from turnstile.llm import flat
 from turnstile.llm.jaccard_join import Sets, components, oracle
 from turnstile.session import ensure_checkpoint_dir, materialize
 
-#: documents of a list that meet all of as many others in one task
-BLOCK = 512
+#: documents, and shingles, of a family or list that meet as many others in one task
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 #: ids that may be broadcast (some 50 MB); more are joined by a shuffle
 BROADCAST_IDS = 1 << 20
 #: bytes of compressed texts, or of sketches, handled at once
@@ -221,11 +223,8 @@ def _verify(spec: Spec):
             k = batch.num_rows
             z, number = np.unique(np.array(batch.column("za").to_pylist() + batch.column("zb").to_pylist(), object), return_inverse=True)
             s = Sets(pa.array([unpack(x) for x in z], pa.binary()).cast(pa.string()), spec.shingle)
-            keep = np.zeros(k, bool)
-            for r, (x, y) in enumerate(zip(number[:k].tolist(), number[k:].tolist())):
-                both = len(np.intersect1d(s.h[s.first[x]:s.first[x + 1]], s.h[s.first[y]:s.first[y + 1]], assume_unique=True))
-                keep[r] = (spec.num + spec.den) * both >= spec.num * int(s.n[x] + s.n[y])
-            yield batch.filter(pa.array(keep)).select(["a", "b"])
+            keep = [linked(s, x, y, spec) for x, y in zip(number[:k].tolist(), number[k:].tolist())]
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     return run
 
@@ -258,41 +257,83 @@ def among(rows: DataFrame, column: str, ids: DataFrame, *, how: str = "left_semi
     return rows.join(side.withColumnRenamed("doc", "_among"), F.col(column) == F.col("_among"), how)
 
 
-def _block_pairs(spec: Spec):
-    """Rows sorted by key and block: pairs of different components that may link, and their estimates.
+def _block_links(spec: Spec):
+    """Rows sorted by key and block: links that join different components.
 
-    A block of two parts of a long list compares only documents of different parts.
+    A block of two parts compares only documents of different parts, one of a list only those of
+    different families.
     """
-    names = ("key", "block", "side", "doc", "comp", "n")
-
-    def compare(rows: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
+    names = ("key", "block", "side", "cross", "doc", "fam", "comp", "n")
+
+    def pairs(r: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        rows = np.arange(len(r["key"]))
+        heads = np.append(np.flatnonzero(np.concatenate([[True], (np.diff(r["key"]) != 0) | (np.diff(r["block"]) != 0)])), len(rows))
+        after = np.repeat(heads[1:], np.diff(heads)) - rows - 1
+        for a, b in _cut(np.cumsum(after), 1 << 20):
+            left, right = np.repeat(rows[a:b], after[a:b]), flat.spread(rows[a:b] + 1, after[a:b])
+            n, m = r["n"][left], r["n"][right]
+            ok = (r["comp"][left] != r["comp"][right]) & (spec.num * np.maximum(n, m) <= spec.den * np.minimum(n, m))
+            ok &= (r["side"][left] != r["side"][right]) | (r["side"][left] == 2)
+            ok &= ~r["cross"][left] | (r["fam"][left] != r["fam"][right])
+            yield left[ok], right[ok]
+
+    def links(rows: list[pa.RecordBatch]) -> tuple[list[int], list[int]]:
         table = pa.Table.from_batches(rows)
         r = {c: table.column(c).to_numpy() for c in names}
-        heads = np.append(np.flatnonzero(np.concatenate([[True], (np.diff(r["key"]) != 0) | (np.diff(r["block"]) != 0)])), table.num_rows)
-        size = np.diff(heads)
-        left = np.repeat(np.arange(table.num_rows), np.repeat(heads[1:], size) - np.arange(table.num_rows) - 1)
-        right = flat.spread(np.arange(table.num_rows) + 1, np.repeat(heads[1:], size) - np.arange(table.num_rows) - 1)
-        n, m = r["n"][left], r["n"][right]
-        other = (r["side"][left] != r["side"][right]) | (r["side"][left] == 2)
-        fits = (r["comp"][left] != r["comp"][right]) & other & (spec.num * np.maximum(n, m) <= spec.den * np.minimum(n, m))
-        left, right = left[fits], right[fits]
-        swap = r["doc"][left] > r["doc"][right]
-        left, right = np.where(swap, right, left), np.where(swap, left, right)
-        order = np.lexsort((r["doc"][right], r["doc"][left]))  # a pair that meets in several lists is estimated once
-        left, right = left[order], right[order]
-        new = np.ones(len(left), bool)
-        new[1:] = (np.diff(r["doc"][left]) != 0) | (np.diff(r["doc"][right]) != 0)
-        left, right = left[new], right[new]
-        ok, estimate = may_link(_padded(table.column("sketch").combine_chunks(), spec.size), r["n"], left, right, spec)
-        return r["doc"][left[ok]], r["doc"][right[ok]], estimate[ok]
+        _, one, number = np.unique(r["doc"], return_index=True, return_inverse=True)
+        unpack = zstandard.ZstdDecompressor().decompress
+        z = table.column("z").take(pa.array(one)).to_pylist()
+        s = Sets(pa.array([unpack(x) for x in z], pa.binary()).cast(pa.string()), spec.shingle)
+        kept = np.minimum(s.n, spec.size)
+        values = np.full((len(one), spec.size), _END)
+        values[np.repeat(np.arange(len(one)), kept), flat.spread(np.zeros(len(one), np.int64), kept)] = s.h[flat.spread(s.first[:-1], kept)]
+        found = []
+        for left, right in pairs(r):
+            left, right = number[left], number[right]
+            both = np.unique(np.minimum(left, right) * len(one) + np.maximum(left, right))  # a pair that meets in several lists is estimated once
+            left, right = both // len(one), both % len(one)
+            ok, estimate = may_link(values, s.n, left, right, spec)
+            found.append((left[ok], right[ok], estimate[ok]))
+        left, right, estimate = (np.concatenate(x) for x in zip(*found))
+        comp = r["comp"][one].tolist()
+        root = {c: c for c in comp}
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        out: tuple[list[int], list[int]] = [], []
+        for i in np.argsort(-estimate, kind="stable").tolist():
+            x, y = int(left[i]), int(right[i])
+            cx, cy = top(comp[x]), top(comp[y])
+            if cx != cy and linked(s, x, y, spec):
+                root[max(cx, cy)] = min(cx, cy)
+                out[0].append(int(r["doc"][one[x]])), out[1].append(int(r["doc"][one[y]]))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_blocks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in compare(rows)], ["a", "b", "estimate"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in links(rows)], ["a", "b"])
 
     return run
 
 
+def _cut(total: np.ndarray, step: int) -> Iterator[tuple[int, int]]:
+    """Ranges [a, b) of rows whose running ``total`` grows by about ``step``."""
+    a = 0
+    while a < len(total):
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + step, "right")))
+        yield a, b
+        a = b
+
+
+def linked(s: Sets, x: int, y: int, spec: Spec) -> bool:
+    """Whether rows x and y of the sets reach the similarity."""
+    both = len(np.intersect1d(s.h[s.first[x]:s.first[x + 1]], s.h[s.first[y]:s.first[y + 1]], assume_unique=True))
+    return (spec.num + spec.den) * both >= spec.num * int(s.n[x] + s.n[y])
+
+
 def whole_blocks(batches: Iterator[pa.RecordBatch], rows: int = 2 * BLOCK) -> Iterator[list[pa.RecordBatch]]:
     """Consecutive rows, cut between blocks, with about ``rows`` rows or one block."""
     kept: list[pa.RecordBatch] = []
@@ -322,36 +363,29 @@ def _open(lists: DataFrame, comps: DataFrame) -> DataFrame:
     return materialize(known.join(several.select("key", "held"), "key"))
 
 
-def _fits(n: str, m: str, spec: Spec):
-    return spec.num * F.greatest(n, m) <= spec.den * F.least(n, m)
-
-
-def _pivots(lists: DataFrame, spec: Spec) -> DataFrame:
-    """Pairs of each document with up to eight others of its lists, one of each component: the one it shares most lists with."""
-    chosen = (lists.groupBy("key", F.pmod(F.xxhash64("doc"), F.lit(8)).alias("_class"))
-              .agg(F.min(F.struct(F.xxhash64("doc").alias("h"), F.col("doc").alias("p"), F.col("comp").alias("pc"), F.col("n").alias("pn"))).alias("x"))
-              .select("key", "x.p", "x.pc", "x.pn"))
-    met = lists.join(chosen, "key").filter((F.col("comp") != F.col("pc")) & _fits("n", "pn", spec))
-    votes = met.groupBy("doc", "pc", "p").agg(F.count("*").alias("v"))
-    best = votes.groupBy("doc", "pc").agg(F.max_by("p", F.struct("v", -F.col("p"))).alias("p"))
-    return best.select(F.least("doc", "p").alias("a"), F.greatest("doc", "p").alias("b")).distinct()
-
-
-def _blocks(lists: DataFrame, sketches: DataFrame, spec: Spec) -> DataFrame:
-    """Pairs (a, b, estimate) of different components of a list that may link."""
-    parts = F.ceil(F.col("held") / BLOCK)
-    mine = F.pmod(F.xxhash64("doc", F.lit(1)), F.col("parts"))
-    dealt = (lists.dropDuplicates(["key", "doc"]).withColumn("parts", parts).withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))))
+def _pivots(members: DataFrame, spec: Spec) -> DataFrame:
+    """Pairs of documents and up to eight others of their family, of other components; members: doc, fam, comp, n."""
+    first = F.min(F.struct(F.xxhash64("doc").alias("h"), F.col("doc").alias("p"), F.col("comp").alias("pc"), F.col("n").alias("pn")))
+    chosen = members.groupBy("fam", F.pmod(F.xxhash64("doc"), F.lit(8)).alias("_class")).agg(first.alias("x")).select("fam", "x.p", "x.pc", "x.pn")
+    fits = spec.num * F.greatest("n", "pn") <= spec.den * F.least("n", "pn")
+    met = members.join(chosen, "fam").filter((F.col("comp") != F.col("pc")) & fits)
+    return met.select(F.least("doc", "p").alias("a"), F.greatest("doc", "p").alias("b")).distinct()
+
+
+def _block_rows(lists: DataFrame, texts: DataFrame) -> DataFrame:
+    """The documents of open families, and of open lists of several families, by blocks; lists: key, doc, n, comp, fam."""
+    families = lists.select(F.xxhash64(F.lit("family"), "fam").alias("key"), F.lit(False).alias("cross"), "doc", "n", "comp", "fam").distinct()
+    several = lists.groupBy("key").agg(F.min("fam").alias("_f1"), F.max("fam").alias("_f2")).filter("_f1 < _f2").select("key")
+    across = lists.join(several, "key").select("key", F.lit(True).alias("cross"), "doc", "n", "comp", "fam").distinct()
+    rows = families.union(across)
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts")
+    sizes = rows.groupBy("key").agg(parts, F.min("comp").alias("_c1"), F.max("comp").alias("_c2")).filter("_c1 < _c2").select("key", "parts")
+    dealt = rows.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("doc", F.lit(1)), F.col("parts"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     block = F.least("mine", "other") * F.col("parts") + F.greatest("mine", "other")
     side = F.when(F.col("mine") == F.col("other"), 2).otherwise((F.col("mine") > F.col("other")).cast("int"))
-    ids = lists.select("doc").distinct()
-    some = among(sketches, "doc", ids).select("doc", "sketch")
-    rows = dealt.select("key", block.alias("block"), side.alias("side"), "doc", "comp", "n").join(some, "doc")
-    partitions = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = (rows.repartition(partitions, "key", "block").sortWithinPartitions("key", "block")
-             .mapInArrow(_block_pairs(spec), "a long, b long, estimate double"))
-    return materialize(found.groupBy("a", "b").agg(F.max("estimate").alias("estimate")))
+    dealt = dealt.select("key", block.alias("block"), side.alias("side"), "cross", "doc", "fam", "comp", "n")
+    return dealt.join(texts.dropDuplicates(["doc"]), "doc")
 
 
 def prepare(docs: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
@@ -366,19 +400,17 @@ def prepare(docs: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
                         .sortWithinPartitions("key", "doc").mapInArrow(_shared, "key long, doc long, n long, leader long"))
     checks = Checks(docs.filter("_id is not null"), named, lists.select("doc").distinct(), spec)
     votes = lists.filter("leader < doc").groupBy("doc", "leader").agg(F.count("*").alias("v"))
-    led = votes.groupBy("doc").agg(F.max_by("leader", F.struct("v", -F.col("leader"))).alias("a")).select("a", F.col("doc").alias("b"))
+    led = materialize(votes.groupBy("doc").agg(F.max_by("leader", F.struct("v", -F.col("leader"))).alias("a")).select("a", F.col("doc").alias("b")))
+    of = led.select(F.col("a").alias("fam"), F.col("b").alias("doc"))
     links = checks.links(led)
     rest = _open(lists.drop("leader"), components(links))
-    links = links.union(checks.links(_pivots(rest, spec)))
-    rest = _open(rest, comps := components(links))
-    hits = _blocks(rest, named, spec)
-    for last in (False, True):
-        of = [comps.select(F.col("doc").alias(c), F.col("comp").alias(f"c{c}")) for c in ("a", "b")]
-        known = hits.join(of[0], "a", "left").join(of[1], "b", "left").withColumns({f"c{c}": F.coalesce(f"c{c}", c) for c in ("a", "b")}).filter("ca <> cb")
-        if not last:  # the best of each two components
-            known = known.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(F.max_by(F.struct("a", "b"), F.struct("estimate", "a", "b")).alias("x")).select("x.*")
-        links = links.union(checks.links(known.select("a", "b")))
-        comps = comps if last else components(links)
+    members = rest.select("doc", "n", "comp").distinct().join(of, "doc", "left").withColumn("fam", F.coalesce("fam", "doc"))
+    links = links.union(checks.links(_pivots(members, spec)))
+    rest = _open(rest, components(links)).join(of, "doc", "left").withColumn("fam", F.coalesce("fam", "doc"))
+    rows = _block_rows(rest, checks.texts)
+    found = materialize(rows.repartition(partitions, "key", "block").sortWithinPartitions("key", "block")
+                        .mapInArrow(_block_links(spec), "a long, b long").distinct())
+    links = links.union(found)
     return base, links.union(equal)
 
 
