@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.functions.scalar import col_of
+from turnstile.operators.envelope import lowest_active
 
 
 def first_by_key(df: DataFrame, key: str, order_by: Sequence[str | Column],
@@ -54,35 +55,27 @@ def sum_lookup(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
     return left.join(sums, F.col(left_key) == F.col("__sum_key"), "left").drop("__sum_key")
 
 
+def _micros(df: DataFrame, c: str) -> Column:
+    """Microseconds since 1970 of a date or timestamp column."""
+    kind = df.schema[c].dataType.simpleString()
+    if kind == "timestamp":
+        return F.unix_micros(c)
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c).cast("timestamp_ntz"))
+
+
 def range_lookup(left: DataFrame, left_key: str, left_ts: str, table: DataFrame,
-                 table_key: str, start: str, end: str, value: str, out: str,
-                 bucket_days: int = 30) -> DataFrame:
+                 table_key: str, start: str, end: str, value: str, out: str) -> DataFrame:
     """``left`` plus ``(SELECT TOP 1 value FROM table WHERE left_ts BETWEEN start
     AND end AND table_key = left_key)``, TOP 1 = lowest ``value``.
 
-    Time is cut into buckets of ``bucket_days``.  Table rows that cover a whole
-    bucket are reduced to their lowest value there, so a probe meets one row
-    for all of these and only the rows that start or end inside its bucket one
-    by one; key and bucket together are the join key, so one busy key is dealt
-    out over its buckets.  Only distinct ``(left_key, left_ts)`` probes are
-    joined.  Rows without a start, an end or a value, or ending before they
-    start, match nothing.
+    Distinct ``(left_key, left_ts)`` pairs are looked up in one sweep over the
+    table's intervals (:mod:`turnstile.operators.envelope`).  Rows without a
+    start, an end or a value, or ending before they start, match nothing.
     """
-    def bucket(c: str) -> Column:
-        return F.floor(F.unix_date(F.to_date(F.col(c))) / F.lit(bucket_days))
-
-    probes = (left.select(F.col(left_key).alias("__rk"), F.col(left_ts).alias("__rt")).distinct()
-              .withColumn("__rb", bucket("__rt")))
-    tab = table.select(F.col(table_key).alias("__tk"), F.col(start).alias("__ts"),
-                       F.col(end).alias("__te"), F.col(value).alias("__tv")).filter("__ts <= __te")
-    edge = (F.col("__tb") == bucket("__ts")) | (F.col("__tb") == bucket("__te"))
-    cells = (tab.withColumn("__tb", F.explode(F.sequence(bucket("__ts"), bucket("__te"))))
-             .groupBy("__tk", "__tb", F.when(edge, F.col("__ts")).alias("__from"),
-                      F.when(edge, F.col("__te")).alias("__to"))
-             .agg(F.min("__tv").alias("__tv")))
-    hits = (probes.join(cells, (F.col("__rk") == F.col("__tk")) & (F.col("__rb") == F.col("__tb"))
-                        & (F.col("__from").isNull() | F.col("__rt").between(F.col("__from"), F.col("__to"))))
-            .groupBy("__rk", "__rb", "__rt").agg(F.min("__tv").alias(out)).drop("__rb"))
-    return (left.join(hits, (F.col(left_key) == F.col("__rk")) & (F.col(left_ts) == F.col("__rt")),
-                      "left")
+    points = (left.select(F.col(left_key).alias("k"), _micros(left, left_ts).alias("t"))
+              .filter("k is not null and t is not null").distinct())
+    spans = table.select(F.col(table_key).alias("k"), _micros(table, start).alias("s"), _micros(table, end).alias("e"),
+                         F.col(value).alias("v")).dropna()
+    found = lowest_active(points, spans).select(F.col("k").alias("__rk"), F.col("t").alias("__rt"), F.col("v").alias(out))
+    return (left.join(found, (F.col(left_key) == F.col("__rk")) & (_micros(left, left_ts) == F.col("__rt")), "left")
             .drop("__rk", "__rt"))

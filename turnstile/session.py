@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -98,10 +101,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_FRAMES: ContextVar[list[str] | None] = ContextVar("turnstile_frames", default=None)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """A frame that is read several times, computed once: written as Parquet to
     the shared checkpoint folder and read back, so its lineage is cut there (it
-    survives lost executors) and each reader scans only its own columns."""
+    survives lost executors) and each reader scans only its own columns.
+
+    Inside :func:`scratch_frames` it is deleted at the end."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/frame-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    held = _FRAMES.get()
+    if held is not None:
+        held.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store holds it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextlib.contextmanager
+def scratch_frames(spark: SparkSession) -> Iterator[None]:
+    """Delete the frames that :func:`materialize` writes in the block when it
+    ends; by then whatever reads them must have been written::
+
+        with scratch_frames(spark):
+            for name, product in dump(src, lo, hi, profile).items():
+                write_folder(product, f"{out}/{name}")
+    """
+    held: list[str] = []
+    token = _FRAMES.set(held)
+    try:
+        yield
+    finally:
+        _FRAMES.reset(token)
+        for path in held:
+            delete_path(spark, path)
