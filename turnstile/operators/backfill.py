@@ -14,12 +14,10 @@ which is what the grouped form yields.
 
 Plan: ``groupBy(class keys).min(id)`` -- partial aggregation, so a hot class
 (one contact holding a third of the rows) is reduced on the map side -- then
-an inner equi-join back on the class keys; a hot class on the probe side is
-split by AQE's skew-join handling (inner joins split either side).  Rows with
-a NULL strict key cannot match anything, so they are not shuffled at all:
-they take the default and are unioned back.  (A NULL key in a join would
-hash every such row -- e.g. all walk-in sales without a contact -- into one
-partition.)  Both branches read the same upstream shuffles (exchange reuse).
+one left equi-join of all rows on the class keys; a hot class on the probe side
+is split by AQE's skew-join handling.  Rows with a NULL strict key match
+nothing; a salt that only they have keeps them out of one partition.
+:mod:`turnstile.operators.identity` keeps the minima over several runs.
 """
 
 from __future__ import annotations
@@ -33,7 +31,7 @@ from pyspark.sql import functions as F
 from turnstile.functions.scalar import col_of
 
 
-def _keys(df: DataFrame, strict: Sequence[str], sentinel: Mapping[str, object]):
+def class_keys(df: DataFrame, strict: Sequence[str], sentinel: Mapping[str, object]):
     """Class-key expressions, their names, and the all-strict-keys-present flag."""
     types = {f.name.lower(): f.dataType for f in df.schema.fields}
     # datetimes go in as ISO text so no session/system time zone is involved
@@ -53,7 +51,7 @@ def class_mins(df: DataFrame, value: str | Column, strict: Sequence[str],
                sentinel: Mapping[str, object]) -> DataFrame:
     """``(class keys..., __min)``: min(value) per class over rows whose strict
     keys are all present.  Partial aggregation runs before the shuffle."""
-    keys, names, _ = _keys(df, strict, sentinel)
+    keys, names, _ = class_keys(df, strict, sentinel)
     # rows with a NULL strict key collapse before the shuffle and match nothing
     return df.select(*keys, col_of(value).alias("__v")).groupBy(*names).agg(F.min("__v").alias("__min"))
 
@@ -77,7 +75,7 @@ def attach_class_mins(df: DataFrame, backfills: Sequence[tuple]) -> DataFrame:
     columns = list(df.columns)
     result = df
     for i, (mins, strict, sentinel, out, default, value_type) in enumerate(backfills):
-        keys, names, valid = _keys(df, strict, sentinel)
+        keys, names, valid = class_keys(df, strict, sentinel)
         renamed = [f"__b{i}{n}" for n in names]
         salt = F.when(valid, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(1 << 15)))
         found = mins.select(*[F.col(n).alias(r) for n, r in zip(names, renamed)], F.lit(0).cast("bigint").alias(f"__s{i}"),

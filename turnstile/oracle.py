@@ -417,7 +417,11 @@ FROM d"""
     # one micro-batch holding every order: the streamed ticket product is the
     # batch roll-up
     q["sync_stream"] = q["ticket_rollup"]
+    # tickets that arrive in several batches or runs end with the ids of one run
+    q["stream_tickets"] = q["ticket_rollup"]
+    q["ids_across_runs"] = f"{_with(ws_show)}\nSELECT ticode, minticode, CAST(paymentid AS VARCHAR) AS paymentid FROM s_ws"
     q["payment_rollup"] = f"{_with(ws_show)}\n{payments_sql('s_ws', True)}"
+    q["stream_payments"] = q["payment_rollup"]
     q["dump_working_set"] = f"{_with(ws_event)}\nSELECT {ws_columns('event')} FROM e_ws"
     q["dump_tickets"] = f"{_with(ws_event)}\n{tickets_sql('e_ws', 'min_evcode')}"
     q["dump_payments"] = f"{_with(ws_event)}\n{payments_sql('e_ws', False)}"

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.operators.backfill import attach_class_mins, class_mins
+from turnstile.operators.identity import ClassMinima, attach, observed
 from turnstile.operators.lookup import sum_by_key
 from turnstile.operators.scope import ticket_scope
 from turnstile.session import materialize
@@ -74,7 +75,8 @@ def receipts_by_transaction(src: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "show",
-                      keep_internal: bool = False, prune_to_scope: bool = False) -> DataFrame:
+                      keep_internal: bool = False, prune_to_scope: bool = False,
+                      minima: ClassMinima | None = None, run_id: str = "run") -> DataFrame:
     """Working set for events in ``[lo, hi]`` (inclusive).
 
     Its joined rows are written once to the shared checkpoint folder: the two
@@ -91,8 +93,14 @@ def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "sho
     broadcasts it, so only in-scope receipts are read past the scan.  For a
     window covering most of the history leave it off: the receipts are then
     partially aggregated before their only shuffle.
+
+    With ``minima`` the canonical ids are the lowest over all runs merged into
+    that table, this one (``run_id``) among them.
     """
     base = materialize(joined_rows(src, lo, hi, group_by, prune_to_scope))
+    if minima is not None:
+        ws = with_ids(base, minima.merge(run_id, observed_classes(base, group_by)), group_by)
+        return ws if keep_internal else ws.drop(*INTERNAL)
     ticket_mins = class_mins(base, "ticode", minticode_keys(group_by), SENTINELS)
     payment_mins = class_mins(base, "_txn_min_rcb", PAYMENT_KEYS, {})
     ws = attach_class_mins(base, [
@@ -105,6 +113,22 @@ def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "sho
     return ws
 
 
+TICKET, PAYMENT = "ticket", "payment"
+
+
+def observed_classes(rows: DataFrame, group_by: str = "show") -> DataFrame:
+    """(kind, class, low) of both id backfills over joined rows."""
+    return (observed(rows, TICKET, "ticode", minticode_keys(group_by), SENTINELS)
+            .unionByName(observed(rows, PAYMENT, "_txn_min_rcb", PAYMENT_KEYS, {})))
+
+
+def with_ids(rows: DataFrame, lows: DataFrame, group_by: str = "show") -> DataFrame:
+    """Joined rows with the canonical ids of ``lows`` (kind, class, low)."""
+    kinds = dict(rows.dtypes)
+    rows = attach(rows, lows, TICKET, minticode_keys(group_by), SENTINELS, "minticode", kinds["ticode"])
+    return attach(rows, lows, PAYMENT, PAYMENT_KEYS, {}, "paymentid", kinds["_txn_min_rcb"])
+
+
 def joined_rows(src: Mapping[str, DataFrame], lo, hi, group_by: str = "show",
                 prune_to_scope: bool = False) -> DataFrame:
     """The working set's rows before the two id backfills."""

@@ -10,6 +10,7 @@ inclusive-bound semantics are tested on the fixtures instead.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from turnstile.functions.scalar import xml_attribute
 from turnstile.operators.backfill import group_min_backfill
 from turnstile.operators.batch import key_closure, number_batches
+from turnstile.operators.identity import ClassMinima, renumbered
 from turnstile.operators.lookup import sum_lookup
 from turnstile.operators.schedule import activity_schedule, lookup_times, price_schedule
 from turnstile.operators.scope import ticket_scope
@@ -25,8 +27,8 @@ from turnstile.plans import accounts as A
 from turnstile.plans import products as P
 from turnstile.plans.load import xml_batches
 from turnstile.plans.sync import increment_bounds, record_counts, reformat
-from turnstile.plans.working_set import build_working_set, published, receipts_by_transaction
-from turnstile.session import materialize
+from turnstile.plans.working_set import PAYMENT, TICKET, build_working_set, published, receipts_by_transaction
+from turnstile.session import ensure_checkpoint_dir, materialize
 from turnstile.sources.roles import driver_sources
 
 # Parameters of the driver instantiation.
@@ -122,6 +124,17 @@ def q_payment_backfill(spark, sf_dir):
                                      "rcbcachinout", "paymentid"))
 
 
+def q_ids_across_runs(spark, sf_dir):
+    """Two increments of tickets, the lower ids of all classes in the later one, with a kept table of class minima."""
+    src = _src(spark, sf_dir)
+    kept = ClassMinima(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/minima-{uuid.uuid4().hex}")
+    late = F.col("ticode") % 8 < 4
+    runs = [materialize(build_working_set({**src, "tickets": src["tickets"].filter(part)}, LO, HI, minima=kept, run_id=run)
+                        .select("ticode", "minticode", "paymentid")) for run, part in (("first", ~late), ("second", late))]
+    lowered, rows = kept.superseded(), runs[0].unionByName(runs[1])
+    return money_as_double(renumbered(renumbered(rows, "minticode", lowered, TICKET), "paymentid", lowered, PAYMENT))
+
+
 def q_working_set(spark, sf_dir):
     _, ws = _ws(spark, sf_dir)
     return money_as_double(published(ws))
@@ -273,6 +286,7 @@ QUERIES: dict[str, Query] = {
     "fees_lookup": q_fees_lookup,
     "group_min_backfill": q_group_min_backfill,
     "payment_backfill": q_payment_backfill,
+    "ids_across_runs": q_ids_across_runs,
     "working_set": q_working_set,
     "ticket_rollup": q_ticket_rollup,
     "payment_rollup": q_payment_rollup,
