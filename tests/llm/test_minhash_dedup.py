@@ -7,8 +7,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from turnstile.llm import flat, minhash_dedup
-from turnstile.llm.jaccard_join import Sets
+from turnstile.llm import families, flat, minhash_dedup
+from turnstile.llm.families import Sets
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, n long, comp string, kept int"
@@ -58,7 +58,7 @@ def some_rows(rng):
 
 
 def test_components(spark, monkeypatch):
-    monkeypatch.setattr(minhash_dedup, "BLOCK", 20)  # long lists fall into several blocks
+    monkeypatch.setattr(families, "BLOCK", 20)  # long lists fall into several blocks
     rows = some_rows(random.Random(7))
     rows += [(5000, None), (5001, ""), (5002, " \n"), (5003, "A b"), (5004, "a B"), (5005, "é é é")]
     docs = spark.createDataFrame([(*r, "clash", 1) for r in [(i, t, 1) for i, t in rows]], SCHEMA)
@@ -123,7 +123,7 @@ def test_rows_sorted_by_key_keep_those_that_share_one():
     count = {k: sum(r[0] == k for r in rows) for k, _, _ in rows}
     want = [(k, d, n, min(r[1] for r in rows if r[0] == k)) for k, d, n in rows if count[k] > 1]
     for size in (1, 2, 7, 1000):
-        out = [tuple(r.values()) for b in minhash_dedup._shared(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        out = [tuple(r.values()) for b in families._shared(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
         assert out == want
 
 

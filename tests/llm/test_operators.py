@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from turnstile.llm import (decontaminate, jaccard_join, pii, quality_classifier, quality_rules, sentencepiece_codec,
+from turnstile.llm import (decontaminate, flat, jaccard_join, pii, quality_classifier, quality_rules, sentencepiece_codec,
                            substring_dedup, suffix_dedup, url_filter, warc)
 from turnstile.llm.queries import model_path
 
@@ -235,27 +235,36 @@ def test_jaccard_join(docs, none):
     assert jaccard_join.digest(none).count() == 0
 
 
-def test_list_search_finds_every_pair_that_may_link():
+def test_blocks_find_every_pair_that_may_link():
     import numpy as np
-    import pyarrow as pa
+
+    from turnstile.llm import families
 
     rng = np.random.default_rng(11)
-    rows = []
-    for sh, size in enumerate([1, 2, 5, 40, 200, 3]):  # 200 fill more than a leaf
+    rows, sets = [], []
+    for key, size in enumerate([1, 2, 5, 40, 200, 3]):  # 200 fill more than a leaf
         base = rng.integers(0, 1 << 62, 60, dtype=np.uint64)
         for _ in range(size):
-            own = np.unique(np.concatenate([base[:rng.integers(1, 61)], rng.integers(0, 1 << 62, rng.integers(0, 30), dtype=np.uint64)]))
-            rows.append((sh, 0, len(rows), int(rng.integers(0, 4)), len(own), bool(rng.integers(0, 2)), bool(rng.random() < .1),
-                         jaccard_join.point(own)))
-    names = ["sh", "tree", "doc", "comp", "n", "ask", "only", "point"]
-    table = pa.table([pa.array(list(c)) for c in zip(*rows)], names=names)
-    points = [jaccard_join._read(r[7], r[4]) for r in rows]
-    want = {(min(a[2], b[2]), max(a[2], b[2])) for a in rows for b in rows
-            if a[0] == b[0] and a[5] and not b[6] and a[3] != b[3]
-            and jaccard_join.may_link(a[4], points[a[2]], b[4], points[b[2]], 3, 4)}
-    for size in (7, 64, 1000):
-        found = jaccard_join._search_lists(3, 4)(iter(table.to_batches(max_chunksize=size)))
-        assert {p for b in found for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist())} == want and want
+            sets.append(np.unique(np.concatenate([base[:rng.integers(1, 61)], rng.integers(0, 1 << 62, rng.integers(0, 30), dtype=np.uint64)])))
+            rows.append((key, 0, int(rng.choice([0, 1, 2])), bool(rng.integers(0, 2)), len(rows), int(rng.integers(0, 3)), int(rng.integers(0, 4)), len(sets[-1])))
+    r = dict(zip(("key", "block", "side", "cross", "doc", "fam", "comp", "n"), map(np.array, zip(*rows))))
+    for key in range(6):  # sides and crossing are a block's own
+        at = r["key"] == key
+        r["cross"][at] = r["cross"][at][0]
+        r["side"][at] = 2 if key % 2 else r["side"][at] % 2
+    n = np.array([len(x) for x in sets])
+    s = flat.revive(families.Sets, {"h": np.concatenate(sets), "first": np.concatenate([[0], np.cumsum(n)]), "n": n})
+    x, y, _ = jaccard_join._candidates(3, 4)(r, s, np.arange(len(n)))
+    points = [jaccard_join._read(jaccard_join.point(v), len(v)) for v in sets]
+    two = lambda i, j: r["side"][i] != r["side"][j] or r["side"][i] == 2
+    want = {(i, j) for i in range(len(n)) for j in range(i + 1, len(n)) if r["key"][i] == r["key"][j] and r["comp"][i] != r["comp"][j]
+            and two(i, j) and (not r["cross"][i] or r["fam"][i] != r["fam"][j]) and jaccard_join.may_link(n[i], points[i], n[j], points[j], 3, 4)}
+    assert set(zip(x.tolist(), y.tolist())) == want and len(want) > 50
+
+
+def test_ids_that_are_no_integers_are_an_error(spark):
+    with pytest.raises(TypeError, match="integers"):
+        jaccard_join.digest(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
 
 
 def test_rtree_finds_what_reaches_the_bound():

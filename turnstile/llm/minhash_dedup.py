@@ -40,20 +40,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm import flat
-from turnstile.llm.jaccard_join import Sets, components, oracle
-from turnstile.session import ensure_checkpoint_dir, materialize
+from turnstile.llm import families, flat
+from turnstile.llm.families import Sets, components, materialize, oracle
 
-#: documents, and shingles, of a family or list that meet as many others in one task
-BLOCK, BLOCK_SHINGLES = 512, 1 << 20
-#: ids that may be broadcast (some 50 MB); more are joined by a shuffle
-BROADCAST_IDS = 1 << 20
-#: bytes of compressed texts, or of sketches, handled at once
-STEP_BYTES = 1 << 20
 _END = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -98,11 +90,8 @@ def _sketches(spec: Spec):
             kept = np.minimum(s.n, spec.size)
             values = s.h[flat.spread(s.first[:-1], kept)]
             off = np.concatenate([[0], np.cumsum(kept)])
-            a, b = flat.digests(s.h.view(np.uint8), 8 * s.first[:-1], 8 * s.first[1:])
-            seal = np.stack([a, b], 1).view(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(s.n.astype(np.int64)), flat.strings(seal.ravel(), 16 * np.arange(len(a) + 1), pa.binary()),
-                 flat.strings(values.view(np.uint8), 8 * off, pa.binary())], ["doc", "n", "seal", "sketch"])
+                [batch.column("_id"), pa.array(s.n.astype(np.int64)), families.seals(s), flat.strings(values.view(np.uint8), 8 * off, pa.binary())], ["doc", "n", "seal", "sketch"])
 
     return run
 
@@ -139,36 +128,12 @@ def _deal(spec: Spec):
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of keys with several rows and the first document of each, from rows sorted by key and document."""
-    held = None  # the last row so far, its leader, and whether a row of its key came before
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        key, doc, n = (batch.column(c).to_numpy() for c in ("key", "doc", "n"))
-        if held:
-            key, doc, n = (np.concatenate([[x], y]) for x, y in zip(held[:3], (key, doc, n)))
-        tied = np.zeros(len(key) + 1, bool)  # to the row before
-        tied[1:-1] = key[1:] == key[:-1]
-        head = np.maximum.accumulate(np.where(tied[:-1], 0, np.arange(len(key))))
-        leader = doc[head]
-        if held and held[4]:
-            tied[0] = True
-        if held:
-            leader[head == 0] = held[3]
-        out = np.flatnonzero((tied[:-1] | tied[1:])[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (key, doc, n, leader)], ["key", "doc", "n", "leader"])
-        held = (key[-1], doc[-1], n[-1], leader[-1], bool(tied[-2]))
-    if held and held[4]:
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in held[:4]], ["key", "doc", "n", "leader"])
-
-
 def may_link(values: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, spec: Spec) -> tuple[np.ndarray, np.ndarray]:
     """(whether pairs of rows may reach the similarity, estimate) from the sketch
     of their union; values: a sketch a row, filled up with the greatest value."""
     t = spec.num / spec.den
     ok, estimate = np.zeros(len(i), bool), np.zeros(len(i))
-    step = max(STEP_BYTES // (16 * values.shape[1]), 1)
+    step = max(families.STEP_BYTES // (16 * values.shape[1]), 1)
     for at in range(0, len(i), step):
         a, b = i[at:at + step], j[at:at + step]
         both = np.concatenate([values[a], values[b]], 1)
@@ -208,220 +173,53 @@ def _estimated(spec: Spec):
     return run
 
 
-def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in flat.rounds(batches):
-        z = [pack((t or "").encode()) for t in batch.column("_text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(z, pa.binary())], ["doc", "z"])
-
-
-def _verify(spec: Spec):
-    """Pairs whose whole sets are similar enough."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in flat.rounds(flat.rounds(batches, "za", STEP_BYTES), "zb", STEP_BYTES):
-            k = batch.num_rows
-            z, number = np.unique(np.array(batch.column("za").to_pylist() + batch.column("zb").to_pylist(), object), return_inverse=True)
-            s = Sets(pa.array([unpack(x) for x in z], pa.binary()).cast(pa.string()), spec.shingle)
-            keep = [linked(s, x, y, spec) for x, y in zip(number[:k].tolist(), number[k:].tolist())]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    return run
-
-
-class Checks:
-    """Estimates and verifies pairs (a, b) of documents."""
-
-    def __init__(self, docs: DataFrame, sketches: DataFrame, ids: DataFrame, spec: Spec):
-        self.spec = spec
-        self.texts = materialize(among(docs, "_id", ids).mapInArrow(_compressed, "doc long, z binary"))
-        self.sketches = sketches
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that link; written, so that they are looked for once."""
-        pairs = materialize(pairs)
+def _near(sketches: DataFrame, spec: Spec):
+    """Sorts out pairs by their union's sketch."""
+    def near(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-        some = among(self.sketches, "doc", ids).select("doc", "n", "sketch")
+        some = families.among(sketches, "doc", ids).select("doc", "n", "sketch")
         left, right = (some.select(F.col("doc").alias(c), F.col("n").alias(f"n{i}"), F.col("sketch").alias(f"s{i}")) for i, c in ((1, "a"), (2, "b")))
-        near = materialize(pairs.join(left, "a").join(right, "b").mapInArrow(_estimated(self.spec), "a long, b long").distinct())
-        ids = near.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-        some = among(self.texts, "doc", ids)
-        left, right = (some.select(F.col("doc").alias(c), F.col("z").alias(f"z{c}")) for c in ("a", "b"))
-        return materialize(near.join(left, "a").join(right, "b").select("a", "b", "za", "zb").mapInArrow(_verify(self.spec), "a long, b long").distinct())
-
+        return materialize(pairs.join(left, "a").join(right, "b").mapInArrow(_estimated(spec), "a long, b long").distinct())
 
-def among(rows: DataFrame, column: str, ids: DataFrame, *, how: str = "left_semi") -> DataFrame:
-    """Rows whose id is among ``ids`` (doc); few ids are broadcast, by their count."""
-    ids = materialize(ids)
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return rows.join(side.withColumnRenamed("doc", "_among"), F.col(column) == F.col("_among"), how)
+    return near
 
 
-def _block_links(spec: Spec):
-    """Rows sorted by key and block: links that join different components.
-
-    A block of two parts compares only documents of different parts, one of a list only those of
-    different families.
-    """
-    names = ("key", "block", "side", "cross", "doc", "fam", "comp", "n")
-
-    def pairs(r: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        rows = np.arange(len(r["key"]))
-        heads = np.append(np.flatnonzero(np.concatenate([[True], (np.diff(r["key"]) != 0) | (np.diff(r["block"]) != 0)])), len(rows))
-        after = np.repeat(heads[1:], np.diff(heads)) - rows - 1
-        for a, b in _cut(np.cumsum(after), 1 << 20):
-            left, right = np.repeat(rows[a:b], after[a:b]), flat.spread(rows[a:b] + 1, after[a:b])
-            n, m = r["n"][left], r["n"][right]
-            ok = (r["comp"][left] != r["comp"][right]) & (spec.num * np.maximum(n, m) <= spec.den * np.minimum(n, m))
-            ok &= (r["side"][left] != r["side"][right]) | (r["side"][left] == 2)
-            ok &= ~r["cross"][left] | (r["fam"][left] != r["fam"][right])
-            yield left[ok], right[ok]
-
-    def links(rows: list[pa.RecordBatch]) -> tuple[list[int], list[int]]:
-        table = pa.Table.from_batches(rows)
-        r = {c: table.column(c).to_numpy() for c in names}
-        _, one, number = np.unique(r["doc"], return_index=True, return_inverse=True)
-        unpack = zstandard.ZstdDecompressor().decompress
-        z = table.column("z").take(pa.array(one)).to_pylist()
-        s = Sets(pa.array([unpack(x) for x in z], pa.binary()).cast(pa.string()), spec.shingle)
+def _candidates(spec: Spec) -> families.Find:
+    """All pairs of a block that may link by their union's sketch."""
+    def find(r: dict[str, np.ndarray], s: Sets, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         kept = np.minimum(s.n, spec.size)
-        values = np.full((len(one), spec.size), _END)
-        values[np.repeat(np.arange(len(one)), kept), flat.spread(np.zeros(len(one), np.int64), kept)] = s.h[flat.spread(s.first[:-1], kept)]
+        values = np.full((len(s.n), spec.size), _END)
+        values[np.repeat(np.arange(len(s.n)), kept), flat.spread(np.zeros(len(s.n), np.int64), kept)] = s.h[flat.spread(s.first[:-1], kept)]
+        rows, heads = np.arange(len(r["key"])), families.block_heads(r)
+        after = np.repeat(heads[1:], np.diff(heads)) - rows - 1
         found = []
-        for left, right in pairs(r):
-            left, right = number[left], number[right]
-            both = np.unique(np.minimum(left, right) * len(one) + np.maximum(left, right))  # a pair that meets in several lists is estimated once
-            left, right = both // len(one), both % len(one)
+        for a, b in families.cut(np.cumsum(after), 1 << 20):
+            left, right = np.repeat(rows[a:b], after[a:b]), flat.spread(rows[a:b] + 1, after[a:b])
+            ok = families.may_meet(r, left, right, spec.num, spec.den)
+            left, right = number[left[ok]], number[right[ok]]
+            both = np.unique(np.minimum(left, right) * len(s.n) + np.maximum(left, right))
+            left, right = both // len(s.n), both % len(s.n)
             ok, estimate = may_link(values, s.n, left, right, spec)
             found.append((left[ok], right[ok], estimate[ok]))
-        left, right, estimate = (np.concatenate(x) for x in zip(*found))
-        comp = r["comp"][one].tolist()
-        root = {c: c for c in comp}
-
-        def top(c: int) -> int:
-            while root[c] != c:
-                root[c] = c = root[root[c]]
-            return c
-
-        out: tuple[list[int], list[int]] = [], []
-        for i in np.argsort(-estimate, kind="stable").tolist():
-            x, y = int(left[i]), int(right[i])
-            cx, cy = top(comp[x]), top(comp[y])
-            if cx != cy and linked(s, x, y, spec):
-                root[max(cx, cy)] = min(cx, cy)
-                out[0].append(int(r["doc"][one[x]])), out[1].append(int(r["doc"][one[y]]))
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_blocks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in links(rows)], ["a", "b"])
-
-    return run
-
+        return tuple(np.concatenate(x) for x in zip(*found))
 
-def _cut(total: np.ndarray, step: int) -> Iterator[tuple[int, int]]:
-    """Ranges [a, b) of rows whose running ``total`` grows by about ``step``."""
-    a = 0
-    while a < len(total):
-        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + step, "right")))
-        yield a, b
-        a = b
-
-
-def linked(s: Sets, x: int, y: int, spec: Spec) -> bool:
-    """Whether rows x and y of the sets reach the similarity."""
-    both = len(np.intersect1d(s.h[s.first[x]:s.first[x + 1]], s.h[s.first[y]:s.first[y + 1]], assume_unique=True))
-    return (spec.num + spec.den) * both >= spec.num * int(s.n[x] + s.n[y])
-
-
-def whole_blocks(batches: Iterator[pa.RecordBatch], rows: int = 2 * BLOCK) -> Iterator[list[pa.RecordBatch]]:
-    """Consecutive rows, cut between blocks, with about ``rows`` rows or one block."""
-    kept: list[pa.RecordBatch] = []
-    for batch in batches:
-        while batch.num_rows:
-            key, block = (batch.column(c).to_numpy() for c in ("key", "block"))
-            last = (kept[-1].column("key")[-1].as_py(), kept[-1].column("block")[-1].as_py()) if kept else None
-            cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(block) != 0)) + 1
-            if kept and (key[0], block[0]) != last:
-                cuts = np.concatenate([[0], cuts])
-            held = sum(b.num_rows for b in kept)
-            far = cuts[(cuts + held >= rows) & (cuts + held > 0)]
-            if len(far) == 0:
-                kept.append(batch)
-                break
-            kept.append(batch.slice(0, int(far[0])))
-            yield [b for b in kept if b.num_rows]
-            kept, batch = [], batch.slice(int(far[0]))
-    if any(b.num_rows for b in kept):
-        yield [b for b in kept if b.num_rows]
-
-
-def _open(lists: DataFrame, comps: DataFrame) -> DataFrame:
-    """The lists that hold several components, with them and their sizes."""
-    known = lists.drop("comp", "held").join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-    several = known.groupBy("key").agg(F.min("comp").alias("_c1"), F.max("comp").alias("_c2"), F.count("*").alias("held")).filter("_c1 < _c2")
-    return materialize(known.join(several.select("key", "held"), "key"))
-
-
-def _pivots(members: DataFrame, spec: Spec) -> DataFrame:
-    """Pairs of documents and up to eight others of their family, of other components; members: doc, fam, comp, n."""
-    first = F.min(F.struct(F.xxhash64("doc").alias("h"), F.col("doc").alias("p"), F.col("comp").alias("pc"), F.col("n").alias("pn")))
-    chosen = members.groupBy("fam", F.pmod(F.xxhash64("doc"), F.lit(8)).alias("_class")).agg(first.alias("x")).select("fam", "x.p", "x.pc", "x.pn")
-    fits = spec.num * F.greatest("n", "pn") <= spec.den * F.least("n", "pn")
-    met = members.join(chosen, "fam").filter((F.col("comp") != F.col("pc")) & fits)
-    return met.select(F.least("doc", "p").alias("a"), F.greatest("doc", "p").alias("b")).distinct()
-
-
-def _block_rows(lists: DataFrame, texts: DataFrame) -> DataFrame:
-    """The documents of open families, and of open lists of several families, by blocks; lists: key, doc, n, comp, fam."""
-    families = lists.select(F.xxhash64(F.lit("family"), "fam").alias("key"), F.lit(False).alias("cross"), "doc", "n", "comp", "fam").distinct()
-    several = lists.groupBy("key").agg(F.min("fam").alias("_f1"), F.max("fam").alias("_f2")).filter("_f1 < _f2").select("key")
-    across = lists.join(several, "key").select("key", F.lit(True).alias("cross"), "doc", "n", "comp", "fam").distinct()
-    rows = families.union(across)
-    parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts")
-    sizes = rows.groupBy("key").agg(parts, F.min("comp").alias("_c1"), F.max("comp").alias("_c2")).filter("_c1 < _c2").select("key", "parts")
-    dealt = rows.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("doc", F.lit(1)), F.col("parts"))).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    block = F.least("mine", "other") * F.col("parts") + F.greatest("mine", "other")
-    side = F.when(F.col("mine") == F.col("other"), 2).otherwise((F.col("mine") > F.col("other")).cast("int"))
-    dealt = dealt.select("key", block.alias("block"), side.alias("side"), "cross", "doc", "fam", "comp", "n")
-    return dealt.join(texts.dropDuplicates(["doc"]), "doc")
+    return find
 
 
 def prepare(docs: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
     """(base, links): a row per document, and links (a, b) whose components are those of all links.  docs: _id (long), _text."""
     base = materialize(docs.mapInArrow(_sketches(spec), "doc long, n long, seal binary, sketch binary"))
     named = base.filter("doc is not null and n > 0")
-    heads = named.groupBy("seal").agg(F.min("doc").alias("a"), F.max("doc").alias("_last")).filter("a < _last").select("seal", "a")
-    equal = materialize(named.select("seal", F.col("doc").alias("b")).join(heads, "seal").filter("a < b").select("a", "b").distinct())
-    single = among(named, "doc", equal.select(F.col("b").alias("doc")).distinct(), how="left_anti")
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = materialize(single.select("doc", "n", "sketch").mapInArrow(_deal(spec), "key long, doc long, n long").repartition(partitions, "key")
-                        .sortWithinPartitions("key", "doc").mapInArrow(_shared, "key long, doc long, n long, leader long"))
-    checks = Checks(docs.filter("_id is not null"), named, lists.select("doc").distinct(), spec)
-    votes = lists.filter("leader < doc").groupBy("doc", "leader").agg(F.count("*").alias("v"))
-    led = materialize(votes.groupBy("doc").agg(F.max_by("leader", F.struct("v", -F.col("leader"))).alias("a")).select("a", F.col("doc").alias("b")))
-    of = led.select(F.col("a").alias("fam"), F.col("b").alias("doc"))
-    links = checks.links(led)
-    rest = _open(lists.drop("leader"), components(links))
-    members = rest.select("doc", "n", "comp").distinct().join(of, "doc", "left").withColumn("fam", F.coalesce("fam", "doc"))
-    links = links.union(checks.links(_pivots(members, spec)))
-    rest = _open(rest, components(links)).join(of, "doc", "left").withColumn("fam", F.coalesce("fam", "doc"))
-    rows = _block_rows(rest, checks.texts)
-    found = materialize(rows.repartition(partitions, "key", "block").sortWithinPartitions("key", "block")
-                        .mapInArrow(_block_links(spec), "a long, b long").distinct())
-    links = links.union(found)
-    return base, links.union(equal)
-
-
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    ensure_checkpoint_dir(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    equal = families.equal_sets(named)
+    single = families.among(named, "doc", equal.select(F.col("b").alias("doc")).distinct(), how="left_anti")
+    lists = families.shared_lists(single.select("doc", "n", "sketch").mapInArrow(_deal(spec), "key long, doc long, n long"))
+    texts = families.Texts(docs.filter("_id is not null"), lists.select("doc").distinct(), spec.shingle, spec.num, spec.den)
+    return base, families.links_of(lists, texts, _near(named, spec), _candidates(spec)).union(equal)
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", spec: Spec = Spec()) -> DataFrame:
     """(doc, n, comp): per row its id, set size and component."""
-    base, links = prepare(_keyed(docs, id_col, text_col), spec)
+    base, links = prepare(families.keyed(docs, id_col, text_col), spec)
     found = components(links)
     return base.select("doc", "n").join(found.withColumnRenamed("doc", "_doc"), F.col("doc") == F.col("_doc"), "left").select(
         "doc", "n", F.coalesce("comp", "doc").alias("comp"))
