@@ -68,3 +68,18 @@ def test_with_collation_merges_case_variants_in_backfill(spark):
     ci = with_collation({"t": df}, {"t": ["p"]})["t"]
     folded = {r.id: r.m for r in group_min_backfill(ci, "id", ["p"], {}, "m").collect()}
     assert folded == {1: 1, 2: 1, 3: 3}
+
+
+def test_references_are_resolved_once_from_left_to_right(spark):
+    cases = {"&#39;": "'", "&#x27;": "'", "&amp;#39;": "&#39;", "&amp;amp;": "&amp;", "&lt;&gt;&quot;&apos;&amp;": "<>\"'&",
+             "&#128512;&#x1F600;": "\U0001F600" * 2, "&#0;&#xD800;&#x110000;": "&#0;&#xD800;&#x110000;", "&nbsp;&": "&nbsp;&",
+             "&#x;&#;&#xZZ;&#39": "&#x;&#;&#xZZ;&#39", "&#0000039;&#x00027;": "''", "a & b; &lt;c": "a & b; <c", "&#9;&#11;": "\t&#11;"}
+    rows = spark.createDataFrame([(k, f'<a t="{k}"/>') for k in cases], "k string, x string")
+    got = {r[0]: (r[1], r[2]) for r in rows.select("k", tf.xml_unescape("k"), tf.xml_attribute("t", "x")).collect()}
+    assert got == {k: (v, v) for k, v in cases.items()}
+
+
+def test_attributes_in_comments_are_skipped(spark):
+    texts = ['<!-- <a t="no"/> --><a t="yes"/>', '<!-- open <a t="no"/>', "<!--x--><!--\n t=\"no\" --><b t='it'/>", '<a t="a<!-- t --></a>"/>', None]
+    rows = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert [r[0] for r in rows.select(tf.xml_attribute("t", "x")).collect()] == ["yes", None, "it", "a</a>", None]

@@ -99,7 +99,7 @@ def minutes_of_day(hhmm_text: str | Column) -> Column:
 
 # The five predefined XML entities and their characters.
 _XML_ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#xD;")]
-_XML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
+_XML_ENTITIES = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")]
 
 
 def xml_escape(c: str | Column) -> Column:
@@ -112,24 +112,36 @@ def xml_escape(c: str | Column) -> Column:
     return out
 
 
+def _reference(piece: Column) -> Column:
+    """What follows an ampersand, with its reference resolved; as it was if it is none."""
+    hexa = F.conv(F.regexp_extract(piece, "^#x0*([0-9A-Fa-f]{1,6});", 1), 16, 10).cast("int")
+    deci = F.regexp_extract(piece, "^#0*([0-9]{1,7});", 1)
+    code = F.when(piece.startswith("#x"), hexa).when(F.length(deci) > 0, deci.cast("int"))
+    is_char = (code.isin(9, 10, 13) | code.between(0x20, 0xD7FF) | code.between(0xE000, 0xFFFD) | code.between(0x10000, 0x10FFFF))
+    sign = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    out = F.when(is_char, F.concat(sign, F.regexp_replace(piece, "^[^;]*;", "")))
+    for name, char in _XML_ENTITIES:
+        out = out.when(piece.startswith(f"{name};"), F.concat(F.lit(char), F.substring(piece, F.lit(len(name) + 2), F.length(piece))))
+    return out.otherwise(F.concat(F.lit("&"), piece))
+
+
 def xml_unescape(c: str | Column) -> Column:
-    """Resolve the predefined entities (``&amp;`` last, so it is not re-read)."""
-    out = col_of(c)
-    for ent, raw in _XML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(raw))
-    return out
+    """Resolve references, each once and from left to right: the five named
+    ones and decimal and hexadecimal characters that XML 1.0 allows; anything else stays."""
+    pieces = F.split(col_of(c), "&", -1)
+    return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), _reference), ""))
 
 
 def xml_attribute(name: str, text: str | Column) -> Column:
     """Value of the first ``name="..."`` attribute in an XML/HTML text.
 
     Contract of the attribute getter the payment roll-up calls: the attribute
-    value with entities resolved, NULL when the attribute is absent or empty
+    value (outside comments) with references resolved, NULL when the attribute is absent or empty
     or the text is NULL.  A regular expression is used instead of an XPath so
     a malformed document yields NULL for that row instead of failing the job.
     """
     if not name.replace("_", "").replace("-", "").isalnum():
         raise ValueError(f"invalid attribute name {name!r}")
     pattern = rf"""[ \t\r\n]{name}[ \t\r\n]*=[ \t\r\n]*("[^"]*"|'[^']*')"""
-    raw = F.regexp_extract(col_of(text), pattern, 1)
+    raw = F.regexp_extract(F.regexp_replace(col_of(text), "(?s)<!--.*?(-->|$)", ""), pattern, 1)
     return xml_unescape(F.nullif(F.substring(raw, F.lit(2), F.length(raw) - 2), F.lit("")))

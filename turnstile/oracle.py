@@ -115,16 +115,13 @@ def ts(text: str) -> str:
 
 
 def scope_sql(lo: str, hi: str) -> str:
-    """The scope join chain (with the pass-through client join)."""
-    return f"""SELECT t.*, e.evcode, e.evshow, e.eveventdate, e.evpricelist, s.shcode,
-       f.sfcode, f.sftill, f.sfactiondate, l.tilcode
-  FROM tk_tickets t
-  JOIN tk_events e ON t.tievent = e.evcode
-  JOIN tk_shows s ON e.evshow = s.shcode
-  JOIN tk_shifts f ON t.tishift = f.sfcode AND f.sfactiontype = 0
-  JOIN tk_till l ON f.sftill = l.tilcode
-  LEFT JOIN tk_clients cl ON t.timailinglist = cl.cltcode
-  WHERE e.eveventdate BETWEEN {lo} AND {hi}"""
+    """Tickets of shown events in the window that were sold at a known till."""
+    return f"""SELECT tk_tickets.*, evcode, evshow, eveventdate, evpricelist, evshow AS shcode,
+       sfcode, sftill, sfactiondate, sftill AS tilcode
+  FROM (SELECT * FROM tk_shifts SEMI JOIN tk_till ON tilcode = sftill WHERE sfactiontype = 0) sale
+  JOIN tk_tickets ON tishift = sfcode
+  JOIN (SELECT * FROM tk_events SEMI JOIN tk_shows ON shcode = evshow
+        WHERE eveventdate >= {lo} AND eveventdate <= {hi}) occasion ON tievent = evcode"""
 
 
 def scope_keys(column: str, lo: str, hi: str) -> str:
@@ -199,10 +196,18 @@ GROUP BY minticode, tipricetype, tifullprice, eveventdate, shcode, tilcode, tima
 
 
 def xml_attr_sql(name: str, text: str) -> str:
-    raw = f"""nullif(regexp_extract({text}, '[ \\t\\r\\n]{name}[ \\t\\r\\n]*=[ \\t\\r\\n]*"([^"]*)"', 1), '')"""
-    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&amp;", "&")]:
-        raw = f"replace({raw}, '{ent}', '{ch}')"
-    return raw
+    """The attribute's value outside comments, its references resolved piece by piece after each ampersand."""
+    body = f"regexp_replace({text}, '(?s)<!--.*?(-->|$)', '', 'g')"
+    found = f"""regexp_extract({body}, '[ \\t\\r\\n]{name}[ \\t\\r\\n]*=[ \\t\\r\\n]*("[^"]*"|''[^'']*'')', 1)"""
+    inner = f"nullif(substr({found}, 2, length({found}) - 2), '')"
+    code = "CASE WHEN p LIKE '#x%' THEN try_cast('0x' || regexp_extract(p, '^#x0*([0-9A-Fa-f]{1,6});', 1) AS INTEGER) " \
+           "ELSE try_cast(regexp_extract(p, '^#0*([0-9]{1,7});', 1) AS INTEGER) END"
+    named = " ".join(f"WHEN p LIKE '{n};%' THEN {c} || substr(p, {len(n) + 2})" for n, c in
+                     (("lt", "'<'"), ("gt", "'>'"), ("quot", "'\"'"), ("apos", "chr(39)"), ("amp", "'&'")))
+    sign = f"({code}) IN (9, 10, 13) OR ({code}) BETWEEN 32 AND 55295 OR ({code}) BETWEEN 57344 AND 65533 OR ({code}) BETWEEN 65536 AND 1114111"
+    piece = f"CASE {named} WHEN {sign} THEN chr({code}) || substr(p, strpos(p, ';') + 1) ELSE '&' || p END"
+    parts = f"string_split({inner}, '&')"
+    return f"array_to_string(list_concat({parts}[1:1], list_transform({parts}[2:], lambda p: {piece})), '')"
 
 
 def payments_sql(ws: str, card_default: bool = True, stored: bool = False) -> str:
@@ -263,83 +268,68 @@ JOIN (SELECT pdpricelist, pctcode, min(pdcalculatedprice) AS price
 GROUP BY slot.evshow, slot.starttime, slot.finishtime, offer.pctcode"""
 
 
-_BLANK = "length(rtrim(ltrim(c.cltfirstname))) = 0"
-_NAMED = "length(rtrim(ltrim(c.cltfirstname))) <> 0"
-_ADDR = "a.adraddress1, a.adraddress2, a.adrcitydesc, a.adrstatedesc, a.adrzipcode, a.adrcountrydesc"
-_PLAIN_ADDR = _ADDR.replace("a.", "")
-_PHONE = ("(SELECT min(p.cpnphonenumber) FROM tk_clientphonenumbers p "
-          "WHERE p.cpnclientcode = c.cltcode) AS phone")
+_NAMED = "trim(cltfirstname) <> ''"
+_ADDRESS = "adraddress1, adraddress2, adrcitydesc, adrstatedesc, adrzipcode, adrcountrydesc"
+#: a client's mailing address, and the smallest of the phone numbers
+_MAIL = f"""(SELECT claclientcode AS resident, {_ADDRESS}
+        FROM tk_addresses JOIN tk_clientaddresses ON claaddresscode = adrcode WHERE claisformailing = 1)"""
+_RING = "(SELECT cpnclientcode AS owner, min(cpnphonenumber) AS phone FROM tk_clientphonenumbers GROUP BY ALL)"
 
 
 def accounts_sql(lo: str, hi: str) -> str:
     """Named clients by order contact, unnamed ones by themselves, from one visitor list."""
     return f"""SELECT DISTINCT * FROM (
-  SELECT CASE WHEN named THEN min(contact) OVER (PARTITION BY named, cltcode, cltEmail, fullname, {_PLAIN_ADDR}) ELSE cltcode END AS recid,
-         cltEmail, CASE WHEN named THEN fullname ELSE cltsurname END AS orcfullname, {_PLAIN_ADDR}, phone
-  FROM (SELECT c.cltcode, c.cltemail AS cltEmail, c.cltsurname, {_NAMED} AS named, oc.orcrecordid AS contact,
-               oc.orcfullname AS fullname, {_ADDR}, {_PHONE}
+  SELECT CASE WHEN named THEN min(contact) OVER (PARTITION BY named, cltcode, cltEmail, fullname, {_ADDRESS}) ELSE cltcode END AS recid,
+         cltEmail, CASE WHEN named THEN fullname ELSE cltsurname END AS orcfullname, {_ADDRESS}, phone
+  FROM (SELECT cltcode, cltemail AS cltEmail, cltsurname, {_NAMED} AS named, orcrecordid AS contact, orcfullname AS fullname,
+               mail.* EXCLUDE (resident), ring.phone
         FROM (SELECT DISTINCT timailinglist AS visitor, tiorder FROM tk_tickets
-              SEMI JOIN (SELECT evcode FROM tk_events WHERE eveventdate BETWEEN {lo} AND {hi}) seen ON seen.evcode = tievent) v
-        JOIN tk_clients c ON c.cltcode = v.visitor
-        JOIN tk_ordercontacts oc ON oc.orcordernumber = v.tiorder
-        LEFT JOIN tk_clientaddresses ca ON ca.claisformailing = 1 AND ca.claclientcode = c.cltcode
-        LEFT JOIN tk_addresses a ON a.adrcode = ca.claaddresscode
-        WHERE c.cltfirstname IS NOT NULL))"""
+              SEMI JOIN (SELECT evcode FROM tk_events WHERE eveventdate BETWEEN {lo} AND {hi}) seen ON seen.evcode = tievent)
+        JOIN tk_clients ON cltcode = visitor
+        JOIN tk_ordercontacts ON orcordernumber = tiorder
+        LEFT JOIN {_MAIL} mail ON resident = cltcode
+        LEFT JOIN {_RING} ring ON owner = cltcode
+        WHERE cltfirstname IS NOT NULL))"""
 
 
 def contacts_enriched_sql(lo: str, hi: str) -> str:
-    inner = scope_sql(lo, hi).replace(
-        "WHERE e.eveventdate", f"WHERE length(rtrim(ltrim(cl.cltfirstname))) <> 0 AND e.eveventdate")
-    return f"""SELECT c.cltcode, c.cltfirstname, c.cltsurname AS cltSurName, c.cltemail AS cltEmail,
-       {_ADDR}, {_PHONE}
-FROM tk_clients c
-LEFT JOIN tk_clientaddresses ca ON ca.claclientcode = c.cltcode AND ca.claisformailing = 1
-LEFT JOIN tk_addresses a ON ca.claaddresscode = a.adrcode
-WHERE c.cltcode IN (SELECT DISTINCT timailinglist FROM ({inner}) q)"""
+    return f"""SELECT cltcode, cltfirstname, cltsurname AS cltSurName, cltemail AS cltEmail, {_ADDRESS}, phone
+FROM (SELECT * FROM tk_clients SEMI JOIN ({scope_keys('timailinglist', lo, hi)}) guest ON timailinglist = cltcode WHERE {_NAMED})
+LEFT JOIN {_RING} ON owner = cltcode
+LEFT JOIN {_MAIL} ON resident = cltcode"""
 
 
 def orders_sql(lo: str, hi: str, accounts: str) -> str:
-    return f"""SELECT t.tiorder AS ordernumber, acc.recid AS accountid, c.cltcode AS billingcontactid,
-       strftime(min(e.eveventdate), '%m/%d/%Y') AS visitdate,
-       strftime(min(f.sfactiondate), '%m/%d/%Y') AS orderstartdate
-FROM tk_clients c
-JOIN tk_tickets t ON t.timailinglist = c.cltcode
-JOIN tk_events e ON t.tievent = e.evcode
-JOIN tk_shifts f ON t.tishift = f.sfcode AND f.sfactiontype = 0
-JOIN tk_ordercontacts oc ON oc.orcordernumber = t.tiorder
-JOIN {accounts} acc ON oc.orcrecordid = acc.recid
-WHERE e.eveventdate BETWEEN {lo} AND {hi} AND {_NAMED}
-GROUP BY t.tiorder, acc.recid, c.cltcode
-UNION
-SELECT t.tiorder, c.cltcode, CAST(0 AS BIGINT), strftime(min(e.eveventdate), '%m/%d/%Y'),
-       strftime(min(f.sfactiondate), '%m/%d/%Y')
-FROM tk_clients c
-JOIN tk_tickets t ON t.timailinglist = c.cltcode
-JOIN tk_shifts f ON t.tishift = f.sfcode AND f.sfactiontype = 0
-JOIN tk_events e ON t.tievent = e.evcode
-WHERE e.eveventdate BETWEEN {lo} AND {hi} AND {_BLANK}
-GROUP BY t.tiorder, c.cltcode"""
+    """Orders by payer, named and unnamed ones from one list of visits; an unnamed payer is their own account."""
+    day = lambda c: f"strftime(min({c}), '%m/%d/%Y')"
+    return f"""SELECT ordernumber, accountid, payer AS billingcontactid, {day('seen')} AS visitdate, {day('ordered')} AS orderstartdate
+FROM (SELECT ordernumber, seen, ordered, if(named, recid, cltcode) AS accountid, if(named, cltcode, 0) AS payer
+      FROM (SELECT tiorder AS ordernumber, cltcode, {_NAMED} AS named, eveventdate AS seen, sfactiondate AS ordered
+            FROM tk_clients JOIN tk_tickets ON timailinglist = cltcode
+            JOIN (SELECT sfcode, sfactiondate FROM tk_shifts WHERE sfactiontype = 0) ON sfcode = tishift
+            JOIN (SELECT evcode, eveventdate FROM tk_events WHERE eveventdate BETWEEN {lo} AND {hi}) ON evcode = tievent
+            WHERE cltfirstname IS NOT NULL)
+      LEFT JOIN (SELECT orcordernumber, orcrecordid AS recid FROM tk_ordercontacts
+                 WHERE orcrecordid IN (SELECT recid FROM {accounts})) ON named AND orcordernumber = ordernumber
+      WHERE recid IS NOT NULL OR NOT named)
+GROUP BY ordernumber, accountid, payer"""
 
 
 def users_sql(lo: str, hi: str, tickets: str) -> str:
-    sfx, tag, nick, pid = (PROFILE.email_suffix, PROFILE.email_tag, PROFILE.nickname_suffix,
-                           PROFILE.profile_id)
-    consts = (f"'{PROFILE.time_zone}' AS TimeZoneSidKey, '{PROFILE.locale}' AS LocaleSidKey, "
-              f"'{PROFILE.email_encoding}' AS EmailEncodingKey, '{PROFILE.language}' AS LanguageLocaleKey")
-    nm = "replace(tildescr, ' ', '_')"
-    return f"""SELECT u.user_name || '{sfx}' AS username, u.first_name, u.last_name,
-       c.cltemail || '{tag}' AS email, x.pecode AS externalid, u.last_name || '{nick}' AS communityNickname,
-       {consts}, u.last_name || '{nick}' AS Alias, '{pid}' AS ProfileId
-FROM tk_crm_users u
-JOIN tk_crossref x ON u.id = x.sugarid AND x.sugarmodule = 'Users'
-JOIN tk_guiders g ON g.gdrcode = x.pecode
-JOIN tk_clients c ON g.gdrcontactnoinreltable = c.cltcode
-WHERE x.pecode IN (SELECT guideid - 1000 FROM {tickets})
-UNION ALL
-SELECT {nm} || '{sfx}', '', {nm}, {nm} || '{sfx}', tilcode, {nm} || '{nick}',
-       '{PROFILE.time_zone}', '{PROFILE.locale}', '{PROFILE.email_encoding}', '{PROFILE.language}',
-       {nm} || '{nick}', '{pid}'
-FROM tk_till WHERE tilcode IN ({scope_keys('tilcode', lo, hi)})"""
+    """Guides on sold tickets and tills in scope as one list of logins, dressed with the profile's constants once."""
+    f = PROFILE
+    return f"""SELECT login || '{f.email_suffix}' AS username, first_name, last_name, email, externalid,
+       last_name || '{f.nickname_suffix}' AS communityNickname, '{f.time_zone}' AS TimeZoneSidKey, '{f.locale}' AS LocaleSidKey,
+       '{f.email_encoding}' AS EmailEncodingKey, '{f.language}' AS LanguageLocaleKey, last_name || '{f.nickname_suffix}' AS Alias,
+       '{f.profile_id}' AS ProfileId
+FROM (SELECT user_name AS login, first_name, last_name, cltemail || '{f.email_tag}' AS email, gdrcode AS externalid
+      FROM tk_guiders JOIN tk_clients ON cltcode = gdrcontactnoinreltable
+      JOIN (SELECT * FROM tk_crossref JOIN tk_crm_users ON sugarid = id WHERE sugarmodule = 'Users') ON pecode = gdrcode
+      SEMI JOIN (SELECT DISTINCT guideid FROM {tickets}) sold ON guideid = gdrcode + 1000
+      UNION ALL
+      SELECT name, '', name, name || '{f.email_suffix}', tilcode
+      FROM (SELECT tilcode, translate(tildescr, ' ', '_') AS name FROM tk_till)
+      SEMI JOIN ({scope_keys('tilcode AS used', lo, hi)}) scope ON used = tilcode)"""
 
 
 def _esc(x: str) -> str:
@@ -390,14 +380,10 @@ def build() -> dict[str, str]:
                             f"FROM ({scope_sql(lo, hi)}) sc LEFT JOIN tk_get_orderguides g "
                             f"ON g.gogordernumber = sc.tiorder AND g.gogticketid = sc.ticode")
     q["first_match"] = f"""{_with()}
-SELECT k.rcbtransactnum,
-  (SELECT pt.ptdescr FROM tk_recieptbase r JOIN tk_paytype pt ON r.rcbpaytype = pt.ptcode
-    WHERE r.rcbtransactnum = k.rcbtransactnum ORDER BY r.rcbcode LIMIT 1) AS ptdescr,
-  (SELECT r.rcbshiftdate FROM tk_recieptbase r WHERE r.rcbtransactnum = k.rcbtransactnum
-    ORDER BY r.rcbcode LIMIT 1) AS rcbshiftdate,
-  (SELECT r.rcbcachinout FROM tk_recieptbase r WHERE r.rcbtransactnum = k.rcbtransactnum
-    ORDER BY r.rcbcode LIMIT 1) AS rcbcachinout
-FROM (SELECT DISTINCT rcbtransactnum FROM tk_recieptbase) k"""
+SELECT rcbtransactnum, arg_min(ptdescr, rcbcode) AS ptdescr, arg_min_null(rcbshiftdate, rcbcode) AS rcbshiftdate,
+       arg_min_null(rcbcachinout, rcbcode) AS rcbcachinout
+FROM tk_recieptbase LEFT JOIN tk_paytype ON ptcode = rcbpaytype
+GROUP BY ALL"""
     q["fees_lookup"] = f"""{_with()}
 SELECT t.ticode, CAST((SELECT sum(cc.clcsum) FROM tk_calculatedcommission cc
                       WHERE cc.clcticketnum = t.ticode) AS DOUBLE) AS fees
@@ -461,7 +447,9 @@ FROM nb JOIN kc ON nb.timailinglist = kc.timailinglist"""
     q["xml_tickets"] = f"{_with(ws_show, plain_tickets)},\n{xml_payload_sql('tk', 'tickets')}"
     plain_payments = f"pay AS ({payments_sql('s_ws', stored=True)})"
     q["xml_payments"] = f"{_with(ws_show, plain_payments)},\n{xml_payload_sql('pay', 'payments')}"
-    q["xml_attribute"] = f"SELECT page_id, {xml_attr_sql('lang', 'html')} AS lang FROM pages"
+    coded = "replace(replace(replace(replace(replace(url, '/', '&#47;'), ':', '&#x3A;'), '.', '&amp;#46;'), 'e', '&#x065;'), 's', '&s;')"
+    tag = f"""'<!-- a t="no" --><a t="' || {coded} || '&#0;&#xD800;&#39;&#x27;&#128512;"/>'"""
+    q["xml_attribute"] = f"SELECT page_id, {xml_attr_sql('lang', 'html')} AS lang, {xml_attr_sql('t', tag)} AS t FROM pages"
     prev = working_set_ctes("p_", lo, ts(HWM_PREV_HI), "show")
     mark = "mark AS (SELECT COALESCE(max(eveventdate), TIMESTAMP '2016-02-01 00:00:00') AS m FROM p_ws)"
     inc = working_set_ctes("i_", "(SELECT m FROM mark)", ts(HWM_NOW), "show")

@@ -113,6 +113,18 @@ def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "sho
     return ws
 
 
+def with_guides(src: Mapping[str, DataFrame], scope: DataFrame) -> DataFrame:
+    """The scope with ``guideid``; a ticket with several guides has a row for each."""
+    guides = src["get_orderguides"].select("gogordernumber", "gogticketid", F.col("gogguidenumber").alias("guideid"))
+    return scope.join(guides, (F.col("tiorder") == F.col("gogordernumber"))
+                      & (F.col("ticode") == F.col("gogticketid")), "left")
+
+
+def guided_scope(src: Mapping[str, DataFrame], lo, hi) -> DataFrame:
+    """Tickets in scope with their guides: what the users product needs of the working set."""
+    return with_guides(src, ticket_scope(src, lo, hi))
+
+
 TICKET, PAYMENT = "ticket", "payment"
 
 
@@ -142,9 +154,7 @@ def joined_rows(src: Mapping[str, DataFrame], lo, hi, group_by: str = "show",
         tickets = scope.select(F.col("ticode").alias("__scope_ticket")).distinct()
         src["calculatedcommission"] = src["calculatedcommission"].join(
             tickets, F.col("clcticketnum") == F.col("__scope_ticket"), "left_semi")
-    guides = src["get_orderguides"].select("gogordernumber", "gogticketid", "gogguidenumber")
-    ws = scope.join(guides, (F.col("tiorder") == F.col("gogordernumber"))
-                    & (F.col("ticode") == F.col("gogticketid")), "left")
+    ws = with_guides(src, scope)
     rcpt = receipts_by_transaction(src).withColumnRenamed("rcbtransactnum", "__txn")
     ws = ws.join(rcpt, F.col("titransactnum") == F.col("__txn"), "left")
     fees = sum_by_key(src["calculatedcommission"], "clcticketnum", "clcsum", "fees")
@@ -154,7 +164,7 @@ def joined_rows(src: Mapping[str, DataFrame], lo, hi, group_by: str = "show",
         cols.append("evcode")
     cols += ["shcode", "tilcode", "timailinglist", "titransactnum", "ptdescr",
              "rcbshiftdate", "rcbcachinout", "fees",
-             F.col("gogguidenumber").alias("guideid"), "tistatus", *INTERNAL]
+             "guideid", "tistatus", *INTERNAL]
     return ws.select(*cols)
 
 

@@ -27,7 +27,7 @@ from turnstile.plans import accounts as A
 from turnstile.plans import products as P
 from turnstile.plans.load import xml_batches
 from turnstile.plans.sync import increment_bounds, record_counts, reformat
-from turnstile.plans.working_set import PAYMENT, TICKET, build_working_set, published, receipts_by_transaction
+from turnstile.plans.working_set import PAYMENT, TICKET, build_working_set, guided_scope, published, receipts_by_transaction
 from turnstile.session import ensure_checkpoint_dir, materialize
 from turnstile.sources.roles import driver_sources
 
@@ -90,11 +90,7 @@ def q_ticket_scope(spark, sf_dir):
 
 def q_guide_left_join(spark, sf_dir):
     src = _src(spark, sf_dir)
-    g = src["get_orderguides"]
-    return (ticket_scope(src, LO, HI)
-            .join(g, (F.col("tiorder") == F.col("gogordernumber"))
-                  & (F.col("ticode") == F.col("gogticketid")), "left")
-            .select("ticode", F.col("gogguidenumber").alias("guideid")))
+    return guided_scope(src, LO, HI).select("ticode", "guideid")
 
 
 def q_first_match(spark, sf_dir):
@@ -203,8 +199,9 @@ def q_lookup_times(spark, sf_dir):
 
 
 def q_users_union(spark, sf_dir):
-    src, ws = _ws(spark, sf_dir)
-    return P.users(src, ticket_scope(src, LO, HI), ws, PROFILE)
+    src = _src(spark, sf_dir)
+    guided = guided_scope(src, LO, HI)  # guides and tills are all that users need of the working set
+    return P.users(src, guided, guided, PROFILE)
 
 
 def q_accounts_union(spark, sf_dir):
@@ -239,7 +236,12 @@ def q_xml_payload(spark, sf_dir):
 
 def q_xml_attribute(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return pages.select("page_id", xml_attribute("lang", F.col("html")).alias("lang"))
+    # urls with their characters written as references of every form, behind a commented-out attribute
+    coded = F.col("url")
+    for char, text in (("/", "&#47;"), (":", "&#x3A;"), (".", "&amp;#46;"), ("e", "&#x065;"), ("s", "&s;")):
+        coded = F.replace(coded, F.lit(char), F.lit(text))
+    tag = F.concat(F.lit('<!-- a t="no" --><a t="'), coded, F.lit('&#0;&#xD800;&#39;&#x27;&#128512;"/>'))
+    return pages.select("page_id", xml_attribute("lang", F.col("html")).alias("lang"), xml_attribute("t", tag).alias("t"))
 
 
 def _increment(spark, sf_dir):

@@ -63,8 +63,10 @@ def _dec(c) -> F.Column:
 def receipt_id() -> F.Column:
     """Receipt id of a line item, ``decimal(38,0)``: order (12 digits), ship day
     since 1990 (4), line status and return flag (1), part (11), line number (1)
-    and supplier (9).  Larger orders overflow, which ANSI arithmetic reports."""
+    and supplier (9).  Larger orders overflow, which ANSI arithmetic reports; days before 1990 or after 2017-05-17 raise."""
     day = F.datediff(F.to_date("l_shipdate"), F.lit("1990-01-01").cast("date")).cast("bigint")
+    late = F.raise_error(F.lit("a receipt's ship day does not fit the four digits of its id")).cast("bigint")
+    day = F.when(day.isNull() | day.between(0, 9999), day).otherwise(late)
     flag = (F.when(F.col("l_linestatus") == "F", 3).otherwise(0)
             + F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2))
     high = (F.col("l_orderkey").cast("bigint") * 10000 + day) * 10 + flag
