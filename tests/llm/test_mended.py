@@ -116,3 +116,17 @@ def test_workers_need_not_have_the_package(tmp_path):
     code = SCRIPT.format(root=str(ROOT), shared=str(tmp_path), names=names)
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
     assert [line.split()[1] for line in out.stdout.splitlines() if line.startswith("DONE")] == names, out.stderr[-3000:]
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    from turnstile.llm import minhash_dedup
+
+    rng = random.Random(2)
+    base = [f"w{rng.randint(0, 900)}" for _ in range(120)]
+    rows = [(i, " ".join(base[:60 + 3 * (i % 20)])) for i in range(60)] + [(3, "a b c d e f g"), (3, " ".join(base)), (7, None), (None, "a b c d e f g"), (900, "a b c d e f g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for op in (jaccard_join, minhash_dedup):
+        got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in op.digest(docs).collect()]
+        assert len(got) == len(rows) and len({r[0::2] for r in got}) == 62  # one component an id
+    left = [r["doc_id"] for r in jaccard_join.one_of_each(docs).collect()]
+    assert left.count(None) == 1 and 0 in left

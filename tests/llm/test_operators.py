@@ -254,7 +254,8 @@ def test_blocks_find_every_pair_that_may_link():
         r["side"][at] = 2 if key % 2 else r["side"][at] % 2
     n = np.array([len(x) for x in sets])
     s = flat.revive(families.Sets, {"h": np.concatenate(sets), "first": np.concatenate([[0], np.cumsum(n)]), "n": n})
-    x, y, _ = jaccard_join._candidates(3, 4)(r, s, np.arange(len(n)))
+    x, y, _, row = jaccard_join._candidates(3, 4)(r, s, np.arange(len(n)))
+    assert (r["key"][row] == r["key"][x]).all()
     points = [jaccard_join._read(jaccard_join.point(v), len(v)) for v in sets]
     two = lambda i, j: r["side"][i] != r["side"][j] or r["side"][i] == 2
     want = {(i, j) for i in range(len(n)) for j in range(i + 1, len(n)) if r["key"][i] == r["key"][j] and r["comp"][i] != r["comp"][j]

@@ -69,6 +69,29 @@ def seals(s: Sets) -> pa.Array:
     return flat.strings(np.stack([a, b], 1).view(np.uint8).ravel(), 16 * np.arange(len(a) + 1), pa.binary())
 
 
+def _sealed(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in flat.rounds(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, seals(Sets(batch.column("_text"), shingle))], [*batch.schema.names, "seal"])
+
+    return run
+
+
+def one_row_each(docs: DataFrame, base: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """docs (_id, _text) and base (doc, seal, ...) without rows that lack an id, and with one row for each
+    id: of rows with one id the one whose set has the least digest."""
+    docs, base = docs.filter("_id is not null").select("_id", "_text"), base.filter("doc is not null")
+    often = materialize(base.groupBy("doc").agg(F.count("*").alias("c"), F.min("seal").alias("seal")).filter("c > 1").select("doc", "seal"))
+    if often.isEmpty():
+        return docs, base
+    ids = often.select("doc")
+    sealed = among(docs, "_id", ids).mapInArrow(_sealed(shingle), "_id long, _text string, seal binary")
+    texts = materialize(sealed.groupBy("_id").agg(F.min_by("_text", "seal").alias("_text")))
+    rest = among(docs, "_id", ids, how="left_anti").select("_id", "_text")
+    rows = base.join(often, ["doc", "seal"]).select(base.columns).dropDuplicates(["doc"])
+    return rest.unionByName(texts), among(base, "doc", ids, how="left_anti").select(base.columns).unionByName(rows)
+
+
 def equal_sets(base: DataFrame) -> DataFrame:
     """(a, b): each document b with the least one of an equal set; base: doc, seal."""
     heads = base.groupBy("seal").agg(F.min("doc").alias("a"), F.max("doc").alias("_last")).filter("a < _last").select("seal", "a")
@@ -173,10 +196,15 @@ def pivots(members: DataFrame, num: int, den: int) -> DataFrame:
     return met.select(F.least("doc", "p").alias("a"), F.greatest("doc", "p").alias("b")).distinct()
 
 
-def block_rows(lists: DataFrame, texts: DataFrame) -> DataFrame:
-    """The documents of open families, and of open lists of several families, by blocks; lists: key, doc, n, comp, fam."""
+def block_rows(lists: DataFrame) -> DataFrame:
+    """The documents of open families, and of open lists of several families, by blocks; lists: key, doc, n, comp, fam.
+
+    Of lists that hold the same documents one is taken.
+    """
     families = lists.select(F.xxhash64(F.lit("family"), "fam").alias("key"), F.lit(False).alias("cross"), "doc", "n", "comp", "fam").distinct()
-    several = lists.groupBy("key").agg(F.min("fam").alias("_f1"), F.max("fam").alias("_f2")).filter("_f1 < _f2").select("key")
+    held = [F.count("*").alias("_n"), F.bit_xor(F.xxhash64("doc")).alias("_h1"), F.sum(F.xxhash64(F.lit(1), "doc").cast("decimal(20,0)")).alias("_h2")]
+    several = (lists.groupBy("key").agg(F.min("fam").alias("_f1"), F.max("fam").alias("_f2"), *held).filter("_f1 < _f2")
+               .groupBy("_n", "_h1", "_h2").agg(F.min("key").alias("key")).select("key"))
     across = lists.join(several, "key").select("key", F.lit(True).alias("cross"), "doc", "n", "comp", "fam").distinct()
     rows = families.union(across)
     parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts")
@@ -185,8 +213,7 @@ def block_rows(lists: DataFrame, texts: DataFrame) -> DataFrame:
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     block = F.least("mine", "other") * F.col("parts") + F.greatest("mine", "other")
     side = F.when(F.col("mine") == F.col("other"), 2).otherwise((F.col("mine") > F.col("other")).cast("int"))
-    dealt = dealt.select("key", block.alias("block"), side.alias("side"), "cross", "doc", "fam", "comp", "n")
-    return dealt.join(texts.dropDuplicates(["doc"]), "doc")
+    return materialize(dealt.select("key", block.alias("block"), side.alias("side"), "cross", "doc", "fam", "comp", "n"))
 
 
 def linked(s: Sets, x: int, y: int, num: int, den: int) -> bool:
@@ -215,22 +242,27 @@ def _verify(shingle: int, num: int, den: int):
 
 
 class Texts:
-    """The compressed texts of the documents that lists hold."""
+    """Whole texts, compressed, of the documents that are to be verified."""
+
+    def __init__(self, docs: DataFrame, shingle: int, num: int, den: int):
+        self.docs, self.shingle, self.num, self.den = docs, shingle, num, den
 
-    def __init__(self, docs: DataFrame, ids: DataFrame, shingle: int, num: int, den: int):
-        self.shingle, self.num, self.den = shingle, num, den
-        self.rows = materialize(among(docs, "_id", ids).mapInArrow(_compressed, "doc long, z binary"))
+    def rows(self, ids: DataFrame) -> DataFrame:
+        """(doc, z) of the documents among ``ids`` (doc); written."""
+        return materialize(among(self.docs, "_id", ids).mapInArrow(_compressed, "doc long, z binary"))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b), which are written already, that link; written."""
-        some = among(self.rows, "doc", pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
+        some = self.rows(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
         left, right = (some.select(F.col("doc").alias(c), F.col("z").alias(f"z{c}")) for c in ("a", "b"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "za", "zb")
         return materialize(both.mapInArrow(_verify(self.shingle, self.num, self.den), "a long, b long").distinct())
 
 
-#: rows of blocks as arrays, their documents' sets, the set of each row -> candidate sets (x, y) and their scores
-Find = Callable[[dict[str, np.ndarray], "Sets", np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: rows of blocks as arrays, their documents' sets, the set of each row -> candidate sets (x, y), their scores, and a row of each
+Find = Callable[[dict[str, np.ndarray], "Sets", np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+#: the same from small columns (light) instead of sets
+FindLight = Callable[[dict[str, np.ndarray], list[bytes], np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def may_meet(r: dict[str, np.ndarray], left: np.ndarray, right: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -248,16 +280,39 @@ def block_heads(r: dict[str, np.ndarray]) -> np.ndarray:
     return np.append(np.flatnonzero(new), len(r["key"]))
 
 
+NAMES = ("key", "block", "side", "cross", "doc", "fam", "comp", "n")
+
+
+def _light_pairs(find: FindLight):
+    """Rows sorted by key and block: candidate pairs (a, b), or only the block where they are many for its size."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_blocks(batches):
+            table = pa.Table.from_batches(rows)
+            r = {c: table.column(c).to_numpy() for c in NAMES}
+            docs, one, number = np.unique(r["doc"], return_index=True, return_inverse=True)
+            x, y, _, row = find(r, table.column("light").take(pa.array(one)).to_pylist(), number)
+            heads = block_heads(r)
+            block = np.searchsorted(heads, row, "right") - 1
+            dense = np.bincount(block, minlength=len(heads) - 1) > 2 * np.diff(heads) + 16
+            send, where = ~dense[block], heads[:-1][dense]
+            pairs = np.unique(np.stack([docs[x[send]], docs[y[send]]]), axis=1) if send.any() else np.zeros((2, 0), np.int64)
+            none = pa.nulls(len(where), pa.int64())
+            zero = pa.nulls(pairs.shape[1], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.chunked_array(c).combine_chunks() for c in (
+                [pa.array(pairs[0]), none], [pa.array(pairs[1]), none], [zero, pa.array(r["key"][where])], [zero, pa.array(r["block"][where])])],
+                ["a", "b", "key", "block"])
+
+    return run
+
+
 def _block_links(find: Find, shingle: int, num: int, den: int):
     """Rows sorted by key and block: links that join different components, best candidates first."""
-    names = ("key", "block", "side", "cross", "doc", "fam", "comp", "n")
-
     def links(rows: list[pa.RecordBatch]) -> tuple[list[int], list[int]]:
         table = pa.Table.from_batches(rows)
-        r = {c: table.column(c).to_numpy() for c in names}
+        r = {c: table.column(c).to_numpy() for c in NAMES}
         docs, one, number = np.unique(r["doc"], return_index=True, return_inverse=True)
         s = unpacked(table.column("z").take(pa.array(one)).to_pylist(), shingle)
-        x, y, score = find(r, s, number)
+        x, y, score, _ = find(r, s, number)
         both = np.minimum(x, y) * len(docs) + np.maximum(x, y)
         _, first = np.unique(both, return_index=True)  # a pair that meets in several lists is compared once
         x, y, score = x[first], y[first], score[first]
@@ -285,11 +340,13 @@ def _block_links(find: Find, shingle: int, num: int, den: int):
     return run
 
 
-def links_of(lists: DataFrame, texts: Texts, near: Callable[[DataFrame], DataFrame], find: Find) -> DataFrame:
+def links_of(lists: DataFrame, texts: Texts, near: Callable[[DataFrame], DataFrame], find: Find,
+             light: DataFrame | None = None, find_light: FindLight | None = None) -> DataFrame:
     """Links (a, b) whose components are those of all links between documents that share a list.
 
     lists: key, doc, n, leader.  ``near`` sorts out written pairs that can't
-    link, ``find`` names a block's candidates.
+    link, ``find`` names a block's candidates.  With ``light`` (doc, light), blocks are first searched
+    with that column instead of whole texts, which only those with many candidates then need.
     """
     led = leaders(lists)
     of = led.select(F.col("a").alias("fam"), F.col("b").alias("doc"))
@@ -299,8 +356,14 @@ def links_of(lists: DataFrame, texts: Texts, near: Callable[[DataFrame], DataFra
     links = links.union(texts.links(near(materialize(pivots(members, texts.num, texts.den)))))
     rest = open_lists(rest, components(links)).join(of, "doc", "left").withColumn("fam", F.coalesce("fam", "doc"))
     partitions = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = (block_rows(rest, texts.rows).repartition(partitions, "key", "block").sortWithinPartitions("key", "block")
-             .mapInArrow(_block_links(find, texts.shingle, texts.num, texts.den), "a long, b long").distinct())
+    blocks = block_rows(rest)
+    dealt = lambda rows: rows.repartition(partitions, "key", "block").sortWithinPartitions("key", "block")
+    if light is not None:
+        hits = materialize(dealt(blocks.join(light, "doc")).mapInArrow(_light_pairs(find_light), "a long, b long, key long, block long"))
+        links = links.union(texts.links(materialize(hits.filter("a is not null").select("a", "b").distinct())))
+        blocks = blocks.join(hits.filter("a is null").select("key", "block").distinct(), ["key", "block"])
+    rows = blocks.join(texts.rows(blocks.select("doc").distinct()), "doc")
+    found = dealt(rows).mapInArrow(_block_links(find, texts.shingle, texts.num, texts.den), "a long, b long").distinct()
     return links.union(materialize(found))
 
 

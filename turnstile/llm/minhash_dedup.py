@@ -27,8 +27,8 @@ in blocks (all pairs of two parts of about BLOCK documents or BLOCK_SHINGLES shi
 pairs are verified a few MB at a time.
 
 Defined cases: null text or no words: empty set, linked with nothing; fewer
-words than a shingle: the whole sequence is the one shingle; rows with one id
-are one document; rows without id link with nothing, get no component and are kept;
+words than a shingle: the whole sequence is the one shingle; of rows with one id
+the one whose set has the least digest stands for the document; rows without id link with nothing, get no component and are kept;
 an empty table gives an empty result.  Ids are integers.  Other columns are
 ignored.
 """
@@ -186,7 +186,7 @@ def _near(sketches: DataFrame, spec: Spec):
 
 def _candidates(spec: Spec) -> families.Find:
     """All pairs of a block that may link by their union's sketch."""
-    def find(r: dict[str, np.ndarray], s: Sets, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def find(r: dict[str, np.ndarray], s: Sets, number: np.ndarray) -> tuple[np.ndarray, ...]:
         kept = np.minimum(s.n, spec.size)
         values = np.full((len(s.n), spec.size), _END)
         values[np.repeat(np.arange(len(s.n)), kept), flat.spread(np.zeros(len(s.n), np.int64), kept)] = s.h[flat.spread(s.first[:-1], kept)]
@@ -196,11 +196,11 @@ def _candidates(spec: Spec) -> families.Find:
         for a, b in families.cut(np.cumsum(after), 1 << 20):
             left, right = np.repeat(rows[a:b], after[a:b]), flat.spread(rows[a:b] + 1, after[a:b])
             ok = families.may_meet(r, left, right, spec.num, spec.den)
-            left, right = number[left[ok]], number[right[ok]]
-            both = np.unique(np.minimum(left, right) * len(s.n) + np.maximum(left, right))
-            left, right = both // len(s.n), both % len(s.n)
+            row, left, right = left[ok], number[left[ok]], number[right[ok]]
+            both, first = np.unique(np.minimum(left, right) * len(s.n) + np.maximum(left, right), return_index=True)
+            row, left, right = row[first], both // len(s.n), both % len(s.n)
             ok, estimate = may_link(values, s.n, left, right, spec)
-            found.append((left[ok], right[ok], estimate[ok]))
+            found.append((left[ok], right[ok], estimate[ok], row[ok]))
         return tuple(np.concatenate(x) for x in zip(*found))
 
     return find
@@ -209,12 +209,13 @@ def _candidates(spec: Spec) -> families.Find:
 def prepare(docs: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
     """(base, links): a row per document, and links (a, b) whose components are those of all links.  docs: _id (long), _text."""
     base = materialize(docs.mapInArrow(_sketches(spec), "doc long, n long, seal binary, sketch binary"))
-    named = base.filter("doc is not null and n > 0")
-    equal = families.equal_sets(named)
-    single = families.among(named, "doc", equal.select(F.col("b").alias("doc")).distinct(), how="left_anti")
+    named, rows = families.one_row_each(docs, base, spec.shingle)
+    rows = rows.filter("n > 0")
+    equal = families.equal_sets(rows)
+    single = families.among(rows, "doc", equal.select(F.col("b").alias("doc")).distinct(), how="left_anti")
     lists = families.shared_lists(single.select("doc", "n", "sketch").mapInArrow(_deal(spec), "key long, doc long, n long"))
-    texts = families.Texts(docs.filter("_id is not null"), lists.select("doc").distinct(), spec.shingle, spec.num, spec.den)
-    return base, families.links_of(lists, texts, _near(named, spec), _candidates(spec)).union(equal)
+    texts = families.Texts(named, spec.shingle, spec.num, spec.den)
+    return base, families.links_of(lists, texts, _near(rows, spec), _candidates(spec)).union(equal)
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", spec: Spec = Spec()) -> DataFrame:
