@@ -21,12 +21,13 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
+from turnstile.operators.identity import ClassMinima
 from turnstile.operators.scope import ticket_scope
 from turnstile.plans import accounts as A
 from turnstile.plans.dump import dump
 from turnstile.plans.products import UserProfile
 from turnstile.plans.sync import sync
-from turnstile.session import ensure_checkpoint_dir
+from turnstile.session import ensure_checkpoint_dir, scratch_frames
 from turnstile.sources.schemas import SOURCE_SCHEMAS
 from turnstile.sources.sinks import write_folder
 from turnstile.sources.tables import load_parquet
@@ -58,21 +59,24 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--now")
     s.add_argument("--transport")
     s.add_argument("--lookback-minutes", type=int)
+    s.add_argument("--delta", action="store_true", help="leave out rows that an accepted run sent")
+    s.add_argument("--stable-ids", action="store_true", help="canonical ids over all runs, kept with the state")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"turnstile-{args.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
     src = load_parquet(spark, args.source, SOURCE_SCHEMAS)
     if args.job == "dump":
-        products = dump(src, args.lo, args.hi,
-                        UserProfile(email_suffix=args.email_suffix, profile_id=args.profile_id),
-                        variant=args.variant)
-        # independent products of one checkpointed working set: submit the
-        # writes together so their jobs share the cluster
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            for f in [pool.submit(write_folder, df, f"{args.out.rstrip('/')}/{name}")
-                      for name, df in products.items()]:
-                f.result()
+        with scratch_frames(spark):
+            products = dump(src, args.lo, args.hi,
+                            UserProfile(email_suffix=args.email_suffix, profile_id=args.profile_id),
+                            variant=args.variant)
+            # independent products of one written working set: submit the
+            # writes together so their jobs share the cluster
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                for f in [pool.submit(write_folder, df, f"{args.out.rstrip('/')}/{name}")
+                          for name, df in products.items()]:
+                    f.result()
         print(json.dumps({"job": "dump", "products": sorted(products)}))
     elif args.job == "accounts":
         accounts = A.accounts(src, args.lo, args.hi)
@@ -85,7 +89,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         now = dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now()
         lookback = dt.timedelta(minutes=args.lookback_minutes) if args.lookback_minutes else None
-        report = sync(spark, src, args.state, now, _transport(args.transport), lookback=lookback)
+        minima = ClassMinima(spark, f"{args.state.rstrip('/')}/minima") if args.stable_ids else None
+        report = sync(spark, src, args.state, now, _transport(args.transport), lookback=lookback, delta=args.delta, minima=minima)
         print(json.dumps({"job": "sync", "from": str(report.lo), "to": str(report.hi),
                           "counts": report.counts, "failed_batches": report.failed_batches,
                           "state": report.state_path}))

@@ -450,6 +450,17 @@ FROM nb JOIN kc ON nb.timailinglist = kc.timailinglist"""
     coded = "replace(replace(replace(replace(replace(url, '/', '&#47;'), ':', '&#x3A;'), '.', '&amp;#46;'), 'e', '&#x065;'), 's', '&s;')"
     tag = f"""'<!-- a t="no" --><a t="' || {coded} || '&#0;&#xD800;&#39;&#x27;&#128512;"/>'"""
     q["xml_attribute"] = f"SELECT page_id, {xml_attr_sql('lang', 'html')} AS lang, {xml_attr_sql('t', tag)} AS t FROM pages"
+    past = working_set_ctes("o_", lo, ts(HWM_PREV_HI), "show")
+    late = working_set_ctes("n_", lo, ts(HWM_NOW), "show")
+    q["ticket_changes"] = f"""{_with(past, late, f"past AS ({tickets_sql('o_ws')})", f"late AS ({tickets_sql('n_ws')})")},
+bag AS (
+  SELECT * EXCLUDE (sign), sum(sign) AS d FROM (SELECT *, 1 AS sign FROM late UNION ALL SELECT *, -1 FROM past) GROUP BY ALL
+  HAVING sum(sign) <> 0)
+SELECT CAST(tickid AS VARCHAR) AS tickid,
+       CASE WHEN d > 0 THEN if(tickid IN (SELECT tickid FROM past), 'change', 'insert')
+            ELSE if(tickid IN (SELECT tickid FROM late), 'replaced', 'tombstone') END AS kind,
+       CAST(sum(abs(d)) AS BIGINT) AS n_rows
+FROM bag GROUP BY ALL"""
     prev = working_set_ctes("p_", lo, ts(HWM_PREV_HI), "show")
     mark = "mark AS (SELECT COALESCE(max(eveventdate), TIMESTAMP '2016-02-01 00:00:00') AS m FROM p_ws)"
     inc = working_set_ctes("i_", "(SELECT m FROM mark)", ts(HWM_NOW), "show")

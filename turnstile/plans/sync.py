@@ -3,7 +3,8 @@ count gates -> load.
 
 State lives under ``state_dir`` (a shared location)::
 
-    v=<run>/                          working set of the run
+    v=<run>/                          working set of the run, with its internal columns
+    snapshots/run=<run>/entity=<e>/   what the run sent, as row digests (only with ``delta``)
     pending/run=<run>/                the run's bounds, until it completes
     bodies/run=<run>/entity=<e>/      request bodies with fixed batch ids
     responses/run=<run>/entity=<e>/   one row per push attempt and batch
@@ -20,15 +21,17 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from turnstile.operators.identity import ClassMinima
 from turnstile.operators.xml import entity
+from turnstile.plans import changes
 from turnstile.plans import products as P
 from turnstile.plans.load import xml_batches
-from turnstile.plans.working_set import build_working_set, published
-from turnstile.session import materialize
+from turnstile.plans.working_set import build_working_set
+from turnstile.session import delete_path, scratch_frames
 from turnstile.sources.sinks import Transport, push_batches
 
 # Fixed value: start of the first sync when no previous working set exists.
@@ -121,6 +124,16 @@ def _run_dir(state_dir: str, kind: str, run_id: str, name: str) -> str:
     return f"{state_dir.rstrip('/')}/{kind}/run={run_id}/entity={name}"
 
 
+def _store_bodies(product: DataFrame, name: str, path: str) -> int:
+    """Write the request bodies of a product, and count its rows in passing; an empty one leaves nothing."""
+    seen = Observation()
+    xml_batches(product, name).observe(seen, F.sum("n_rows").alias("rows")).write.mode("overwrite").parquet(path)
+    rows = seen.get["rows"] or 0
+    if not rows:
+        delete_path(product.sparkSession, path)
+    return rows
+
+
 def _push_stored(spark: SparkSession, state_dir: str, run_id: str, name: str,
                  transport: Transport) -> int:
     """Push the stored bodies of one entity of a run that have no accepted
@@ -166,18 +179,20 @@ def _push_run(spark: SparkSession, state_dir: str, run_id: str, transport: Trans
 
 def sync(spark: SparkSession, src: Mapping[str, DataFrame], state_dir: str, now,
          transport: Transport | None = None, run_id: str | None = None,
-         lookback: dt.timedelta | None = None) -> SyncReport:
+         lookback: dt.timedelta | None = None, delta: bool = False,
+         minima: ClassMinima | None = None) -> SyncReport:
     """One incremental run.
 
     1. the mark is read (one scalar) before anything is written;
-    2. the working set is built (receipts pruned to the scope), checkpointed
-       and written to ``<state_dir>/v=<run_id>``; the run's bounds go to a
-       pending record ``pending/run=<run_id>``;
-    3. contacts, payments, tickets are built and counted; an empty product is
-       not loaded;
-    4. every non-empty product is numbered and serialized, and its request
-       bodies are stored under ``bodies/run=<run_id>/entity=<name>`` (fixed
-       batch ids) before anything is sent;
+    2. the working set is built (receipts pruned to the scope) and written to
+       ``<state_dir>/v=<run_id>``, which the products read; the run's bounds go to
+       a pending record ``pending/run=<run_id>``;
+    3. contacts, payments, tickets are built once each: numbered, serialized and
+       stored as request bodies under ``bodies/run=<run_id>/entity=<name>`` (fixed
+       batch ids) before anything is sent; their rows are counted as they
+       are written, and an empty product is not loaded;
+    4. with ``delta``, rows that an accepted run sent before (at the mark, or
+       within ``lookback``) are left out;
     5. the bodies are pushed in load order, responses appended under
        ``responses/run=<run_id>/entity=<name>``; pushing stops at the first
        entity with a rejected batch;
@@ -186,26 +201,49 @@ def sync(spark: SparkSession, src: Mapping[str, DataFrame], state_dir: str, now,
        just the batches without an accepted response (and the entities not
        reached yet) and completes the run.
 
-    Without a transport nothing is pushed and the run is logged.
+    Without a transport nothing is pushed and the run is logged.  With ``minima``
+    canonical ids hold over all runs.  Temporary frames are deleted at the end.
     """
+    with scratch_frames(spark):
+        return _sync(spark, src, state_dir, now, transport, run_id, lookback, delta, minima)
+
+
+def _accepted(spark: SparkSession, state_dir: str, name: str) -> DataFrame:
+    """What the logged runs have sent of an entity, as a snapshot."""
+    root = f"{state_dir.rstrip('/')}/snapshots"
+    if not _has(spark, root) or not _has(spark, _run_log(state_dir)):
+        return spark.createDataFrame([], changes.SNAPSHOT)
+    logged = spark.read.parquet(_run_log(state_dir)).select(F.col("run_id").alias("run"))
+    rows = spark.read.schema(f"{changes.SNAPSHOT}, run string, entity string").parquet(root)
+    return rows.filter(F.col("entity") == name).join(logged, "run", "left_semi").select("key", "d1", "d2", "n")
+
+
+def _sync(spark, src, state_dir, now, transport, run_id, lookback, delta, minima) -> SyncReport:
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     root = state_dir.rstrip("/")
     previous = _latest_state(spark, state_dir)
     lo, hi = increment_bounds(previous, now, lookback=lookback)
-    ws = materialize(build_working_set(src, lo, hi, keep_internal=True, prune_to_scope=True))
     state_path = f"{root}/v={run_id}"
-    published(ws).write.mode("errorifexists").parquet(state_path)
+    build_working_set(src, lo, hi, keep_internal=True, prune_to_scope=True, minima=minima,
+                      run_id=run_id).write.mode("errorifexists").parquet(state_path)
+    ws = spark.read.parquet(state_path)
     spark.createDataFrame([(run_id, state_path, str(lo), str(hi))],
                           "run_id string, path string, lo string, hi string"
                           ).write.mode("overwrite").parquet(f"{root}/pending/run={run_id}")
     products = reformat(src, ws, lo, hi, incremental=True)
-    counts = {r["entity"]: r["n_rows"] for r in record_counts(products).collect()}
-    report = SyncReport(lo, hi, counts, state_path=state_path)
-    if transport is not None:
+    if delta:
+        for name in LOAD_ORDER:
+            fresh = changes.unsent(products[name], entity(name).key, _accepted(spark, state_dir, name))
+            path = _run_dir(state_dir, "products", run_id, name)  # compared once, then counted, sent and remembered
+            fresh.write.mode("overwrite").parquet(path)
+            products[name] = spark.read.parquet(path)
+            changes.snapshot(products[name], entity(name).key).write.mode("overwrite").parquet(_run_dir(state_dir, "snapshots", run_id, name))
+    report = SyncReport(lo, hi, state_path=state_path)
+    if transport is None:
+        report.counts = {r["entity"]: r["n_rows"] for r in record_counts(products).collect()}
+    else:
         for name in LOAD_ORDER:
-            if counts[name] > 0:
-                xml_batches(products[name], name).write.mode("overwrite").parquet(
-                    _run_dir(state_dir, "bodies", run_id, name))
+            report.counts[name] = _store_bodies(products[name], name, _run_dir(state_dir, "bodies", run_id, name))
         report.failed_batches = _push_run(spark, state_dir, run_id, transport, report)
     if not report.failed_batches:
         _log_run(spark, state_dir, run_id)

@@ -24,6 +24,7 @@ from turnstile.operators.lookup import sum_lookup
 from turnstile.operators.schedule import activity_schedule, lookup_times, price_schedule
 from turnstile.operators.scope import ticket_scope
 from turnstile.plans import accounts as A
+from turnstile.plans import changes
 from turnstile.plans import products as P
 from turnstile.plans.load import xml_batches
 from turnstile.plans.sync import increment_bounds, record_counts, reformat
@@ -263,6 +264,14 @@ def _increment_product(name: str) -> Query:
     return query
 
 
+def q_ticket_changes(spark, sf_dir):
+    """What the tickets up to HWM_NOW have changed since those up to HWM_PREV_HI, by ticket id."""
+    src = _src(spark, sf_dir)
+    before, now = (changes.snapshot(P.tickets(build_working_set(src, LO, hi)), "tickid") for hi in (HWM_PREV_HI, HWM_NOW))
+    return (changes.changes(materialize(before), materialize(now)).groupBy(F.col("key").alias("tickid"), "kind")
+            .agg(F.sum("n").alias("n_rows")))
+
+
 def q_record_counts(spark, sf_dir):
     src, ws = _ws(spark, sf_dir)
     return record_counts(reformat(src, materialize(ws), LO, HI))
@@ -316,4 +325,5 @@ QUERIES: dict[str, Query] = {
     "hwm_tickets": _increment_product("tickets"),
     "hwm_payments": _increment_product("payments"),
     "record_counts": q_record_counts,
+    "ticket_changes": q_ticket_changes,
 }

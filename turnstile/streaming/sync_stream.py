@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from turnstile.plans.sync import reformat
 from turnstile.plans.working_set import build_working_set
-from turnstile.session import materialize
+from turnstile.session import materialize, scratch_frames
 
 PRODUCTS = ("contacts", "tickets", "payments")
 
@@ -38,19 +38,20 @@ def start_sync_stream(tickets_stream: DataFrame, static_src: Mapping[str, DataFr
     out_dir = out_dir.rstrip("/")
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        src = dict(static_src)
-        src["tickets"] = to_tickets(batch) if to_tickets is not None else batch
-        # three products read the working set
-        ws = materialize(build_working_set(src, lo, hi, keep_internal=True, prune_to_scope=True))
-        products = reformat(src, ws, lo, hi, incremental=True)
-        # the three products are independent jobs: submit them together
-        # so their stages share the executors instead of queueing
-        with ThreadPoolExecutor(max_workers=len(PRODUCTS)) as pool:
-            futures = [pool.submit(products[name].write.mode("overwrite").parquet,
-                                   f"{out_dir}/{name}/epoch={epoch_id}")
-                       for name in PRODUCTS]
-            for f in futures:
-                f.result()
+        with scratch_frames(batch.sparkSession):  # a stream must not leave frames behind with every batch
+            src = dict(static_src)
+            src["tickets"] = to_tickets(batch) if to_tickets is not None else batch
+            # three products read the working set
+            ws = materialize(build_working_set(src, lo, hi, keep_internal=True, prune_to_scope=True))
+            products = reformat(src, ws, lo, hi, incremental=True)
+            # the three products are independent jobs: submit them together
+            # so their stages share the executors instead of queueing
+            with ThreadPoolExecutor(max_workers=len(PRODUCTS)) as pool:
+                futures = [pool.submit(products[name].write.mode("overwrite").parquet,
+                                       f"{out_dir}/{name}/epoch={epoch_id}")
+                           for name in PRODUCTS]
+                for f in futures:
+                    f.result()
 
     writer = (tickets_stream.writeStream.foreachBatch(process)
               .option("checkpointLocation", checkpoint_location))
