@@ -99,40 +99,64 @@ def equal_sets(base: DataFrame) -> DataFrame:
 
 
 def shared_lists(dealt: DataFrame) -> DataFrame:
-    """(key, doc, n, leader) of the keys that several rows (key, doc, n) have."""
+    """(key, doc, n, leader, w) of the keys that several rows (key, doc, n) have.
+
+    Of lists that hold the same documents (by a 128-bit hash over them) one is taken, for w of them."""
     partitions = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialize(dealt.repartition(partitions, "key").sortWithinPartitions("key", "doc")
-                       .mapInArrow(_shared, "key long, doc long, n long, leader long"))
+    rows = materialize(dealt.repartition(partitions, "key").sortWithinPartitions("key", "doc").mapInArrow(_shared, SHARED))
+    taken = rows.filter("doc is null").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"), F.count("*").alias("w")).select("key", "w")
+    return materialize(rows.filter("doc is not null").drop("h1", "h2").join(taken, "key"))
 
 
 def leaders(lists: DataFrame) -> DataFrame:
     """(a, b): each document b with the leader a of most of its lists."""
-    votes = lists.filter("leader < doc").groupBy("doc", "leader").agg(F.count("*").alias("v"))
+    votes = lists.filter("leader < doc").groupBy("doc", "leader").agg(F.sum("w").alias("v"))
     return materialize(votes.groupBy("doc").agg(F.max_by("leader", F.struct("v", -F.col("leader"))).alias("a")).select("a", F.col("doc").alias("b")))
 
 
+SHARED = "key long, doc long, n long, leader long, h1 long, h2 long"
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of keys with several rows and the first document of each, from rows sorted by key and document."""
-    held = None  # the last row so far, its leader, and whether a row of its key came before
+    """From rows sorted by key and document: those of keys with several, with the first
+    document; and for each such key a row without document that has their number and a hash over them."""
+    names = [c.split()[0] for c in SHARED.split(", ")]
+
+    def made(key, doc, n, leader, h1=None, h2=None) -> pa.RecordBatch:
+        columns = [pa.array(key), pa.array(doc) if doc is not None else pa.nulls(len(key), pa.int64()), pa.array(n),
+                   pa.array(leader) if leader is not None else pa.nulls(len(key), pa.int64()),
+                   *(pa.array(h.view(np.int64)) if h is not None else pa.nulls(len(key), pa.int64()) for h in (h1, h2))]
+        return pa.RecordBatch.from_arrays([c.cast(pa.int64()) for c in columns], names)
+
+    last = None  # of the key that may go on: key, leader, rows, hashes, and its row if it is the only one so far
     for batch in batches:
         if batch.num_rows == 0:
             continue
         key, doc, n = (batch.column(c).to_numpy() for c in ("key", "doc", "n"))
-        if held:
-            key, doc, n = (np.concatenate([[x], y]) for x, y in zip(held[:3], (key, doc, n)))
-        tied = np.zeros(len(key) + 1, bool)  # to the row before
-        tied[1:-1] = key[1:] == key[:-1]
-        head = np.maximum.accumulate(np.where(tied[:-1], 0, np.arange(len(key))))
-        leader = doc[head]
-        if held and held[4]:
-            tied[0] = True
-        if held:
-            leader[head == 0] = held[3]
-        out = np.flatnonzero((tied[:-1] | tied[1:])[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (key, doc, n, leader)], ["key", "doc", "n", "leader"])
-        held = (key[-1], doc[-1], n[-1], leader[-1], bool(tied[-2]))
-    if held and held[4]:
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in held[:4]], ["key", "doc", "n", "leader"])
+        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(head, len(key)))
+        h = doc.astype(np.uint64)
+        h1 = np.bitwise_xor.reduceat(flat.mix(h + np.uint64(1)), head)
+        h2 = np.add.reduceat(flat.mix(h ^ np.uint64(0x5851F42D4C957F2D)), head)
+        leader, total = doc[head], size.copy()
+        goes_on = last is not None and last[0] == key[0]
+        if goes_on:
+            leader[0], total[0] = last[1], size[0] + last[2]
+            h1[:1] ^= last[3]
+            h2[:1] += last[4]
+            if last[5]:
+                yield made([last[0]], [last[5][0]], [last[5][1]], [last[1]])
+        elif last is not None and last[2] > 1:
+            yield made([last[0]], None, [last[2]], None, np.array([last[3]]), np.array([last[4]]))
+        rows = np.repeat(total > 1, size)
+        yield made(key[rows], doc[rows], n[rows], np.repeat(leader, size)[rows])
+        done = np.flatnonzero(total[:-1] > 1)
+        if len(done):
+            yield made(key[head[done]], None, total[done], None, h1[done], h2[done])
+        only = (int(doc[-1]), int(n[-1])) if total[-1] == 1 else None
+        last = (key[-1], int(leader[-1]), int(total[-1]), h1[-1], h2[-1], only)
+    if last is not None and last[2] > 1:
+        yield made([last[0]], None, [last[2]], None, np.array([last[3]]), np.array([last[4]]))
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,14 +221,9 @@ def pivots(members: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def block_rows(lists: DataFrame) -> DataFrame:
-    """The documents of open families, and of open lists of several families, by blocks; lists: key, doc, n, comp, fam.
-
-    Of lists that hold the same documents one is taken.
-    """
+    """The documents of open families, and of open lists of several families, by blocks; lists: key, doc, n, comp, fam."""
     families = lists.select(F.xxhash64(F.lit("family"), "fam").alias("key"), F.lit(False).alias("cross"), "doc", "n", "comp", "fam").distinct()
-    held = [F.count("*").alias("_n"), F.bit_xor(F.xxhash64("doc")).alias("_h1"), F.sum(F.xxhash64(F.lit(1), "doc").cast("decimal(20,0)")).alias("_h2")]
-    several = (lists.groupBy("key").agg(F.min("fam").alias("_f1"), F.max("fam").alias("_f2"), *held).filter("_f1 < _f2")
-               .groupBy("_n", "_h1", "_h2").agg(F.min("key").alias("key")).select("key"))
+    several = lists.groupBy("key").agg(F.min("fam").alias("_f1"), F.max("fam").alias("_f2")).filter("_f1 < _f2").select("key")
     across = lists.join(several, "key").select("key", F.lit(True).alias("cross"), "doc", "n", "comp", "fam").distinct()
     rows = families.union(across)
     parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts")
@@ -344,14 +363,14 @@ def links_of(lists: DataFrame, texts: Texts, near: Callable[[DataFrame], DataFra
              light: DataFrame | None = None, find_light: FindLight | None = None) -> DataFrame:
     """Links (a, b) whose components are those of all links between documents that share a list.
 
-    lists: key, doc, n, leader.  ``near`` sorts out written pairs that can't
+    lists: key, doc, n, leader, w.  ``near`` sorts out written pairs that can't
     link, ``find`` names a block's candidates.  With ``light`` (doc, light), blocks are first searched
     with that column instead of whole texts, which only those with many candidates then need.
     """
     led = leaders(lists)
     of = led.select(F.col("a").alias("fam"), F.col("b").alias("doc"))
     links = texts.links(near(led))
-    rest = open_lists(lists.drop("leader"), components(links))
+    rest = open_lists(lists.select("key", "doc", "n"), components(links))
     members = rest.select("doc", "n", "comp").distinct().join(of, "doc", "left").withColumn("fam", F.coalesce("fam", "doc"))
     links = links.union(texts.links(near(materialize(pivots(members, texts.num, texts.den)))))
     rest = open_lists(rest, components(links)).join(of, "doc", "left").withColumn("fam", F.coalesce("fam", "doc"))
