@@ -130,3 +130,49 @@ def test_rows_of_one_id_with_different_texts(spark):
         assert len(got) == len(rows) and len({r[0::2] for r in got}) == 62  # one component an id
     left = [r["doc_id"] for r in jaccard_join.one_of_each(docs).collect()]
     assert left.count(None) == 1 and 0 in left
+
+
+def test_decontamination_equals_plain_python(spark):
+    import re
+
+    from turnstile.llm import decontaminate
+
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(30)] + ["Ü9", "x-y", "A"]
+    say = lambda n: rng.choice([" ", ", ", "\n"]).join(rng.choice(words) for _ in range(n))
+    items = [(i, say(rng.choice([1, 2, 5, 12, 13, 14, 30]))) for i in range(40)] + [(None, "q r"), (41, None), (42, "--"), (3, "zz Z9")]
+    texts = []
+    for i in range(120):
+        part = rng.choice([t for _, t in items if t])
+        texts.append((i, f"{say(rng.randint(0, 60))} {part} {say(rng.randint(0, 30))}" if i % 2 else say(rng.randint(0, 80))))
+    texts += [(200, None), (201, ""), (None, "q r"), (None, "q r"), (5, texts[5][1]), (5, "zz z9 other")]
+    low = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    split = lambda t: re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").encode().translate(low))
+    want = []
+    for i, t in texts:
+        w, hit, names = split(t), set(), set()
+        for name, item in items:
+            v = split(item)
+            for k in range(max(len(v) - 12, 1) if v else 0):
+                phrase = v[k:k + 13]
+                for at in range(len(w) - len(phrase) + 1):
+                    if w[at:at + len(phrase)] == phrase:
+                        hit |= set(range(at, at + len(phrase)))
+                        names.add("" if name is None else str(name))
+        want.append((i, len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("n_words", "spans", "_k1")})
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(map(str, map(tuple, decontaminate.digest(docs, tests).collect()))) == sorted(map(str, want))
+    rows = lambda size: sorted(map(str, decontaminate.find(docs, tests, block_bytes=size).collect()))
+    assert rows(100) == rows(8 << 20)
+
+
+def test_classifier_sample_is_the_least_hashes(spark):
+    from turnstile.llm import quality_classifier
+
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice(["house", "tree", "of"] if i % 2 else ["###", "|||", "of"]) for _ in range(20))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1500)], "doc_id long, quality int")
+    taken = [r[0] for r in labels.orderBy(F.xxhash64("doc_id")).limit(30).collect()]
+    assert quality_classifier.fit(docs, labels, sample=30) == quality_classifier.fit(docs, labels.filter(F.col("doc_id").isin(taken)), sample=30)

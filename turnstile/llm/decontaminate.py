@@ -9,8 +9,10 @@ and at the start of each run.  All phrases are searched backwards at once by
 ranks; occurrences are located by stepping back to a sampled position, checked
 against the words themselves, and merged into spans.
 
-The test set is taken in blocks of at most ``block_bytes`` text, each of which
-is broadcast; its size is measured first.  Texts are read once a block.
+The test set is taken in blocks of about ``block_bytes`` text.  One block after
+another is broadcast, the texts are searched for it, its hits are written, and it is
+released; the driver and the tasks hold one block at a time.  Hits of all blocks are
+put together by a 128-bit hash of each row's id and text.
 
 Defined cases: a null or wordless text has no words and isn't contaminated; an
 item without words has no phrase; a null item id counts as the empty string;
@@ -201,32 +203,41 @@ def occurrences(w: flat.Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray
 
 
 SPANS_ARROW = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
-FOUND = "n_words long, spans array<struct<from: long, to: long>>, items array<string>"
+FOUND = "_k1 long, _k2 long, spans array<struct<from: long, to: long>>, items array<string>"
 
 
 def _find(plan):
+    """Spans and items of the rows that hold a phrase."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases, cls = flat.revive(Phrases, plan.value), word_class()
         for batch in flat.rounds(batches, limit=SHARD_BYTES):
             w = flat.Words(batch.column("_text"), cls)
             which, first = occurrences(w, phrases)
             hit = flat.covered(w.first, first, phrases.length[which], len(w))
-            items: list[set[str]] = [set() for _ in range(batch.num_rows)]
-            spans: list[list] = [[] for _ in range(batch.num_rows)]
+            rows = np.flatnonzero(flat.row_sums(hit, w.first))
+            items: dict[int, set[str]] = {r: set() for r in rows.tolist()}
             for r, i in zip((np.searchsorted(w.first, first, "right") - 1).tolist(), which.tolist()):
                 items[r] |= phrases.items[i]
-            for r in np.flatnonzero(flat.row_sums(hit, w.first)).tolist():
+            spans = []
+            for r in rows.tolist():
                 lo, hi = flat.runs(hit[w.first[r]:w.first[r + 1]])
-                spans[r] = [{"from": a, "to": b} for a, b in zip(lo.tolist(), hi.tolist())]
-            keep = [batch.column(n) for n in batch.schema.names if n != "_text"]
+                spans.append([{"from": a, "to": b} for a, b in zip(lo.tolist(), hi.tolist())])
+            at = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
-                [*keep, pa.array(np.diff(w.first)), pa.array(spans, SPANS_ARROW),
-                 pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                [*(n for n in batch.schema.names if n != "_text"), "n_words", "spans", "items"])
+                [batch.column("_k1").take(at), batch.column("_k2").take(at), pa.array(spans, SPANS_ARROW),
+                 pa.array([sorted(x) for x in items.values()], pa.list_(pa.string()))], ["_k1", "_k2", "spans", "items"])
 
     return run
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns but the text, and the number of words."""
+    for batch in flat.rounds(batches, limit=SHARD_BYTES):
+        keep = [n for n in batch.schema.names if n != "_text"]
+        w = flat.Words(batch.column("_text"), word_class())
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(np.diff(w.first))], [*keep, "n_words"])
+
+
 def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
     """The test set in blocks: as many as its measured bytes take, at least one."""
     size = items.agg(F.sum(F.octet_length("_t"))).first()[0] or 0
@@ -248,17 +259,16 @@ def find(docs: DataFrame, tests: DataFrame, *, id_col: str = "doc_id", text_col:
                          F.col(item_text).cast("string").alias("_t"))
     keyed = flat.keyed(docs, id_col, text_col, *(F.col(c).alias(f"_x{i}") for i, c in enumerate(extra)))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields if f.name != "_text")
-    context = docs.sparkSession.sparkContext
-    plans = [context.broadcast(vars(Phrases(block, window))) for block in _blocks(tests, block_bytes)]
-    if len(plans) == 1:
-        found = keyed.mapInArrow(_find(plans[0]), f"{kinds}, {FOUND}")
-    else:  # spans of several blocks overlap; rows may repeat, so their numbers are written with them
-        rows = materialize(keyed.withColumn("_n", F.monotonically_increasing_id()))
-        parts = [rows.select("_n", "_text").mapInArrow(_find(plan), f"_n long, {FOUND}") for plan in plans]
-        merged = functools.reduce(DataFrame.unionByName, parts).groupBy("_n", "n_words").agg(
-            F.flatten(F.collect_list("spans")).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        found = rows.drop("_text").join(merged.withColumn("spans", _merged(F.array_sort("spans"))), "_n")
+    context, parts = docs.sparkSession.sparkContext, []
+    for block in _blocks(tests, block_bytes):
+        plan = context.broadcast(vars(Phrases(block, window)))
+        parts.append(materialize(keyed.select("_k1", "_k2", "_text").mapInArrow(_find(plan), FOUND)))
+        plan.destroy()
+    merged = functools.reduce(DataFrame.unionByName, parts).groupBy("_k1", "_k2").agg(
+        F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    none = F.array().cast("array<struct<from: bigint, to: bigint>>")
+    found = keyed.mapInArrow(_counted, f"{kinds}, n_words long").join(merged.withColumn("spans", _merged("spans")), ["_k1", "_k2"], "left").withColumns(
+        {"spans": F.coalesce("spans", none), "items": F.coalesce("items", F.array().cast("array<string>"))})
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
     out = found.select(F.col("_id").alias(id_col), *(F.col(f"_x{i}").alias(c) for i, c in enumerate(extra)),
                        "n_words", hit.alias("n_hit"), "spans", F.col("items"))

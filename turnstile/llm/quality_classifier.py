@@ -22,6 +22,7 @@ empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,14 +142,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     """(bucket weights, bias).  ``train_on`` is a condition on the label table's columns."""
     marked = labels if train_on is None else labels.filter(train_on)
     marked = (marked.select(F.col(label_id).alias("_lid"), (F.col(label_col) == 1).alias("good")).dropna().distinct()
-              .withColumn("_turn", F.xxhash64("_lid")).orderBy("_turn", "_lid", "good").limit(sample))
+              .withColumn("_turn", F.xxhash64("_lid")))
+    # the least hashes: cut by value first, so that not every task sends as many rows as the sample has
+    rows = marked.count()
+    share = (sample + 8 * math.sqrt(sample) + 8) / max(rows, 1)
+    cut = marked.filter(F.col("_turn") < F.lit(int(-2**63 + share * 2**64))) if share < 0.9 else marked
+    if share < 0.9 and cut.count() < sample:
+        cut = marked
+    marked = cut.orderBy("_turn", "_lid", "good").limit(sample)
     keyed = flat.keyed(docs, id_col, text_col).select("_id", "_text")
     # the sample has a fixed bound of some bytes a row, so it is broadcast
     texts = keyed.join(F.broadcast(marked), F.col("_id") == F.col("_lid")).select("_text", "good", "_turn", "_lid")
     kind = marked.schema["_lid"].dataType.simpleString()
     rows = texts.mapInArrow(_sparse, f"good boolean, ids binary, shares binary, _turn long, _lid {kind}")
     rows = rows.groupBy("_turn", "_lid", "good").agg(F.min(F.struct("ids", "shares")).alias("x")).select("_turn", "good", "x.*")
-    model = rows.orderBy("_turn", "ids", "good").coalesce(1).mapInArrow(_train, "weights binary, bias double").first()
+    # at most ``sample`` rows go to the one training task, without a range sample of them on the driver
+    model = rows.repartition(1).sortWithinPartitions("_turn", "ids", "good").mapInArrow(_train, "weights binary, bias double").first()
     if model is None:  # no document to learn from
         return bytes(4 * BUCKETS), 0.0
     return bytes(model["weights"]), model["bias"]
