@@ -173,24 +173,26 @@ def among(rows: DataFrame, column: str, ids: DataFrame, *, how: str = "left_semi
     return rows.join(side.withColumnRenamed("doc", "_among"), F.col(column) == F.col("_among"), how)
 
 
-def whole_blocks(batches: Iterator[pa.RecordBatch], rows: int = 2 * BLOCK) -> Iterator[list[pa.RecordBatch]]:
-    """Consecutive rows, cut between blocks, with about ``rows`` rows or one block."""
+def whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Consecutive rows, cut between blocks, with about two parts' documents or shingles, or one block."""
     kept: list[pa.RecordBatch] = []
+    held = 0.0  # share of what is taken at once
     for batch in batches:
         while batch.num_rows:
-            key, block = (batch.column(c).to_numpy() for c in ("key", "block"))
+            key, block, n = (batch.column(c).to_numpy() for c in ("key", "block", "n"))
+            weight = np.concatenate([[0], np.cumsum(1 / (2 * BLOCK) + n / (2 * BLOCK_SHINGLES))])
             last = (kept[-1].column("key")[-1].as_py(), kept[-1].column("block")[-1].as_py()) if kept else None
             cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(block) != 0)) + 1
             if kept and (key[0], block[0]) != last:
                 cuts = np.concatenate([[0], cuts])
-            held = sum(b.num_rows for b in kept)
-            far = cuts[(cuts + held >= rows) & (cuts + held > 0)]
+            far = cuts[weight[cuts] + held >= 1]
             if len(far) == 0:
                 kept.append(batch)
+                held += weight[-1]
                 break
             kept.append(batch.slice(0, int(far[0])))
             yield [b for b in kept if b.num_rows]
-            kept, batch = [], batch.slice(int(far[0]))
+            kept, held, batch = [], 0.0, batch.slice(int(far[0]))
     if any(b.num_rows for b in kept):
         yield [b for b in kept if b.num_rows]
 
@@ -242,9 +244,14 @@ def linked(s: Sets, x: int, y: int, num: int, den: int) -> bool:
 
 
 def unpacked(z: list[bytes], shingle: int) -> Sets:
-    """Sets of compressed texts."""
+    """Sets of compressed texts, made some texts at a time: what a set takes while it is made is many times itself."""
     unpack = zstandard.ZstdDecompressor().decompress
-    return Sets(pa.array([unpack(x) for x in z], pa.binary()).cast(pa.string()), shingle)
+    parts, total = [], np.cumsum([len(x) for x in z])
+    for a, b in cut(total, STEP_BYTES // 4):
+        s = Sets(pa.array([unpack(x) for x in z[a:b]], pa.binary()).cast(pa.string()), shingle)
+        parts.append((s.h, s.n))
+    h, n = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    return flat.revive(Sets, {"h": h, "n": n, "first": np.concatenate([[0], np.cumsum(n)])})
 
 
 def _verify(shingle: int, num: int, den: int):
