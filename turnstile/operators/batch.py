@@ -6,9 +6,9 @@ every row into one task.  :func:`number_rows` numbers rows without that:
 1. range-partition on the (total) order and sort inside each partition;
 2. tag each row with its partition and ``monotonically_increasing_id`` --
    sequential within a partition once the rows are sorted;
-3. ``checkpoint()`` the tagged rows to the reliable checkpoint folder, which
-   freezes the sampled range bounds and the ids: a lost executor recomputes
-   from the checkpoint, never from a new sample;
+3. write the tagged rows to the shared checkpoint folder as Parquet, which
+   freezes the sampled range bounds and the ids: a lost executor reads them
+   again, never a new sample;
 4. count rows per partition (one row per partition reaches the driver),
    turn the counts into prefix offsets and broadcast that table -- its size
    is the number of partitions, bounded and known;
@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.session import ensure_checkpoint_dir
+from turnstile.session import materialize
 
 # Fixed value: rows per push request.
 BATCH_SIZE = 100
@@ -36,15 +36,14 @@ def number_rows(df: DataFrame, order_by: Sequence[str | Column], out: str = "rn"
     numbering to be reproducible; NULLs sort first, as in SQL Server.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
     # without a count, adaptive execution joins neighbouring small ranges
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     tagged = (ranged
               .sortWithinPartitions(*order)
               .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mono", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .withColumn("__mono", F.monotonically_increasing_id()))
+    tagged = materialize(tagged)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"),
                                          F.min("__mono").alias("__first")).collect()
     offsets, running = [], 0

@@ -450,6 +450,14 @@ FROM nb JOIN kc ON nb.timailinglist = kc.timailinglist"""
     coded = "replace(replace(replace(replace(replace(url, '/', '&#47;'), ':', '&#x3A;'), '.', '&amp;#46;'), 'e', '&#x065;'), 's', '&s;')"
     tag = f"""'<!-- a t="no" --><a t="' || {coded} || '&#0;&#xD800;&#39;&#x27;&#128512;"/>'"""
     q["xml_attribute"] = f"SELECT page_id, {xml_attr_sql('lang', 'html')} AS lang, {xml_attr_sql('t', tag)} AS t FROM pages"
+    dims = [f"SELECT '{name}' AS product, {key} AS id, {text} AS description FROM {table} WHERE {key} IN ({scope_keys(used, lo, hi)})"
+            for name, key, text, table, used in (("pricetypes", "pctcode", "pctdescr", "tk_pricetype", "tipricetype"),
+                                                 ("activities", "shcode", "shdescr", "tk_shows", "shcode"))]
+    q["published_dimensions"] = f"{_with()}\n{dims[0]}\nUNION ALL\n{dims[1]}"
+    payload = xml_payload_sql("con", "contacts")
+    q["push_receipts"] = (f"{_with(con)},\n" + payload.replace("\nSELECT (rn - 1) // 100", ",\nsent AS (SELECT (rn - 1) // 100", 1) + ")\n"
+                          "SELECT 'contacts' AS entity, batch_id, n_rows, CAST(200 AS INTEGER) AS status, "
+                          "'run/contacts/' || batch_id || ' ' || length(body) AS response FROM sent")
     past = working_set_ctes("o_", lo, ts(HWM_PREV_HI), "show")
     late = working_set_ctes("n_", lo, ts(HWM_NOW), "show")
     q["ticket_changes"] = f"""{_with(past, late, f"past AS ({tickets_sql('o_ws')})", f"late AS ({tickets_sql('n_ws')})")},

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from turnstile.operators.batch import BATCH_SIZE, number_batches
 from turnstile.operators.xml import batch_envelope, entity, to_xml_rows
+from turnstile.session import materialize
 from turnstile.sources.sinks import Transport, push_batches
 
 
@@ -21,7 +22,8 @@ def xml_batches(product: DataFrame, entity_name: str, size: int = BATCH_SIZE,
     ent = entity(entity_name)
     fields = [c for c, _ in ent.fields]
     order = [ent.key, *(tiebreak if tiebreak is not None else [c for c in fields if c != ent.key])]
-    numbered = number_batches(product, order, size)
+    # range partitioning samples its input: written first, the product is built once
+    numbered = number_batches(materialize(product.select(*fields)), order, size)
     rows = to_xml_rows(numbered, ent.element, ent.fields).select("batch_id", "rn", "xml")
     return batch_envelope(rows)
 

@@ -30,6 +30,8 @@ from turnstile.plans.load import xml_batches
 from turnstile.plans.sync import increment_bounds, record_counts, reformat
 from turnstile.plans.working_set import PAYMENT, TICKET, build_working_set, guided_scope, published, receipts_by_transaction
 from turnstile.session import ensure_checkpoint_dir, materialize
+from turnstile.sources.publish import Publication
+from turnstile.sources.push_source import push
 from turnstile.sources.roles import driver_sources
 
 # Parameters of the driver instantiation.
@@ -272,6 +274,29 @@ def q_ticket_changes(spark, sf_dir):
             .agg(F.sum("n").alias("n_rows")))
 
 
+def q_published_dimensions(spark, sf_dir):
+    """Dimensions published, replaced and appended to under one root, read back from a pinned version."""
+    src = _src(spark, sf_dir)
+    scope = materialize(ticket_scope(src, LO, HI).select("tipricetype", "shcode"))
+    out = Publication(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}")
+    prices, shows = P.pricetypes(src, scope), P.activities(src, scope)
+    out.replace({"pricetypes": prices.filter("pricetypeid = 1"), "activities": shows, "scratch": prices})
+    out.replace({"pricetypes": prices.filter("pricetypeid <= 2")}, drop=["scratch"])
+    out.append({"pricetypes": prices.filter("pricetypeid > 2")})
+    now = out.pin()
+    named = [now.read(name).select(F.lit(name).alias("product"), F.col(key).alias("id"), "description")
+             for name, key in (("pricetypes", "pricetypeid"), ("activities", "activityid")) if name in now.products]
+    return named[0].unionByName(named[1])
+
+
+def q_push_receipts(spark, sf_dir):
+    """Receipts of the contacts' batches, pushed through the data source to a receiver that answers with their lengths."""
+    src = _src(spark, sf_dir)
+    bodies = xml_batches(P.contacts(src, ticket_scope(src, LO, HI)), "contacts")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/receipts-{uuid.uuid4().hex}"
+    return push(bodies, "contacts", "/contacts", "run", folder, lambda endpoint, body, key: (200, f"{key} {len(body)}")).drop("attempts")
+
+
 def q_record_counts(spark, sf_dir):
     src, ws = _ws(spark, sf_dir)
     return record_counts(reformat(src, materialize(ws), LO, HI))
@@ -326,4 +351,6 @@ QUERIES: dict[str, Query] = {
     "hwm_payments": _increment_product("payments"),
     "record_counts": q_record_counts,
     "ticket_changes": q_ticket_changes,
+    "published_dimensions": q_published_dimensions,
+    "push_receipts": q_push_receipts,
 }
