@@ -458,6 +458,8 @@ FROM nb JOIN kc ON nb.timailinglist = kc.timailinglist"""
     q["push_receipts"] = (f"{_with(con)},\n" + payload.replace("\nSELECT (rn - 1) // 100", ",\nsent AS (SELECT (rn - 1) // 100", 1) + ")\n"
                           "SELECT 'contacts' AS entity, batch_id, n_rows, CAST(200 AS INTEGER) AS status, "
                           "'run/contacts/' || batch_id || ' ' || length(body) AS response FROM sent")
+    q["planned_scan"] = """SELECT l_linenumber, count(*) AS n_rows, CAST(sum(l_quantity) AS DOUBLE) AS quantity,
+       min(l_orderkey) AS first_order, max(l_orderkey) AS last_order FROM lineitem WHERE l_quantity > 30 GROUP BY l_linenumber"""
     past = working_set_ctes("o_", lo, ts(HWM_PREV_HI), "show")
     late = working_set_ctes("n_", lo, ts(HWM_NOW), "show")
     q["ticket_changes"] = f"""{_with(past, late, f"past AS ({tickets_sql('o_ws')})", f"late AS ({tickets_sql('n_ws')})")},

@@ -30,6 +30,7 @@ from turnstile.plans.load import xml_batches
 from turnstile.plans.sync import increment_bounds, record_counts, reformat
 from turnstile.plans.working_set import PAYMENT, TICKET, build_working_set, guided_scope, published, receipts_by_transaction
 from turnstile.session import ensure_checkpoint_dir, materialize
+from turnstile.sources.planned import equi_depth, parquet_fetch, planned_scan
 from turnstile.sources.publish import Publication
 from turnstile.sources.push_source import push
 from turnstile.sources.roles import driver_sources
@@ -274,6 +275,16 @@ def q_ticket_changes(spark, sf_dir):
             .agg(F.sum("n").alias("n_rows")))
 
 
+def q_planned_scan(spark, sf_dir):
+    """Line items of more than 30 pieces, read in even splits of the order key with the condition at the store."""
+    path = f"{sf_dir}/lineitem.parquet"
+    lines = spark.read.parquet(path).select("l_orderkey", "l_linenumber", "l_quantity")
+    ddl = ", ".join(f"{name} {kind}" for name, kind in lines.dtypes)
+    rows = planned_scan(spark, parquet_fetch(path), ddl, "l_orderkey", equi_depth(lines, "l_orderkey", 8), "l_linenumber", [("l_quantity", ">", 30)])
+    return rows.groupBy("l_linenumber").agg(F.count("*").alias("n_rows"), F.sum("l_quantity").cast("double").alias("quantity"),
+                                            F.min("l_orderkey").alias("first_order"), F.max("l_orderkey").alias("last_order"))
+
+
 def q_published_dimensions(spark, sf_dir):
     """Dimensions published, replaced and appended to under one root, read back from a pinned version."""
     src = _src(spark, sf_dir)
@@ -353,4 +364,5 @@ QUERIES: dict[str, Query] = {
     "ticket_changes": q_ticket_changes,
     "published_dimensions": q_published_dimensions,
     "push_receipts": q_push_receipts,
+    "planned_scan": q_planned_scan,
 }
