@@ -399,6 +399,7 @@ FROM d"""
     q["payment_backfill"] = (f"{_with(ws_show)}\nSELECT ticode, timailinglist, ptdescr, rcbshiftdate, "
                              f"rcbcachinout, CAST(paymentid AS VARCHAR) AS paymentid FROM s_ws")
     q["working_set"] = f"{_with(ws_show)}\nSELECT {ws_columns('show')} FROM s_ws"
+    q["staged_working_set"] = q["working_set"]
     q["ticket_rollup"] = f"{_with(ws_show)}\n{tickets_sql('s_ws')}"
     # one micro-batch holding every order: the streamed ticket product is the
     # batch roll-up

@@ -40,6 +40,12 @@ PAYMENT_KEYS = ["timailinglist", "ptdescr", "rcbshiftdate", "rcbcachinout"]
 INTERNAL = ["_txn_min_rcb", "_txn_amount"]
 
 
+def working_columns(group_by: str = "show") -> list[str]:
+    """Columns of the working set's rows before the id backfills."""
+    return ["ticode", "tipricetype", "tifullprice", "eveventdate", *(["evcode"] if group_by == "event" else []),
+            "shcode", "tilcode", "timailinglist", "titransactnum", "ptdescr", "rcbshiftdate", "rcbcachinout", "fees", "guideid", "tistatus", *INTERNAL]
+
+
 def minticode_keys(group_by: str = "show") -> list[str]:
     if group_by not in ("show", "event"):
         raise ValueError("group_by must be 'show' or 'event'")
@@ -97,7 +103,13 @@ def build_working_set(src: Mapping[str, DataFrame], lo, hi, group_by: str = "sho
     With ``minima`` the canonical ids are the lowest over all runs merged into
     that table, this one (``run_id``) among them.
     """
-    base = materialize(joined_rows(src, lo, hi, group_by, prune_to_scope))
+    return with_backfills(joined_rows(src, lo, hi, group_by, prune_to_scope), group_by, keep_internal, minima, run_id)
+
+
+def with_backfills(rows: DataFrame, group_by: str = "show", keep_internal: bool = False,
+                   minima: ClassMinima | None = None, run_id: str = "run") -> DataFrame:
+    """Joined rows, written once, with both canonical ids."""
+    base = materialize(rows)
     if minima is not None:
         ws = with_ids(base, minima.merge(run_id, observed_classes(base, group_by)), group_by)
         return ws if keep_internal else ws.drop(*INTERNAL)
@@ -159,13 +171,7 @@ def joined_rows(src: Mapping[str, DataFrame], lo, hi, group_by: str = "show",
     ws = ws.join(rcpt, F.col("titransactnum") == F.col("__txn"), "left")
     fees = sum_by_key(src["calculatedcommission"], "clcticketnum", "clcsum", "fees")
     ws = ws.join(fees, F.col("ticode") == F.col("clcticketnum"), "left")
-    cols = ["ticode", "tipricetype", "tifullprice", "eveventdate"]
-    if group_by == "event":
-        cols.append("evcode")
-    cols += ["shcode", "tilcode", "timailinglist", "titransactnum", "ptdescr",
-             "rcbshiftdate", "rcbcachinout", "fees",
-             "guideid", "tistatus", *INTERNAL]
-    return ws.select(*cols)
+    return ws.select(*working_columns(group_by))
 
 
 def published(ws: DataFrame) -> DataFrame:

@@ -27,8 +27,9 @@ from turnstile.plans import accounts as A
 from turnstile.plans import changes
 from turnstile.plans import products as P
 from turnstile.plans.load import xml_batches
+from turnstile.plans.staging import Staging
 from turnstile.plans.sync import increment_bounds, record_counts, reformat
-from turnstile.plans.working_set import PAYMENT, TICKET, build_working_set, guided_scope, published, receipts_by_transaction
+from turnstile.plans.working_set import PAYMENT, TICKET, build_working_set, guided_scope, published, receipts_by_transaction, with_backfills
 from turnstile.session import ensure_checkpoint_dir, materialize
 from turnstile.sources.planned import equi_depth, parquet_fetch, planned_scan
 from turnstile.sources.publish import Publication
@@ -135,6 +136,16 @@ def q_ids_across_runs(spark, sf_dir):
     return money_as_double(renumbered(renumbered(rows, "minticode", lowered, TICKET), "paymentid", lowered, PAYMENT))
 
 
+def q_staged_working_set(spark, sf_dir):
+    """The working set from tables bucketed by transaction."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    staged = Staging(spark, path, f"staged_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    staged.write(_src(spark, sf_dir))
+    rows = with_backfills(staged.joined_rows(LO, HI))
+    staged.drop()  # the rows are written; the files stay with the checkpoint folder
+    return money_as_double(rows)
+
+
 def q_working_set(spark, sf_dir):
     _, ws = _ws(spark, sf_dir)
     return money_as_double(published(ws))
@@ -335,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "payment_backfill": q_payment_backfill,
     "ids_across_runs": q_ids_across_runs,
     "working_set": q_working_set,
+    "staged_working_set": q_staged_working_set,
     "ticket_rollup": q_ticket_rollup,
     "payment_rollup": q_payment_rollup,
     "dump_working_set": q_dump_working_set,
