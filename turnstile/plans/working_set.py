@@ -153,9 +153,14 @@ def with_ids(rows: DataFrame, lows: DataFrame, group_by: str = "show") -> DataFr
     return attach(rows, lows, PAYMENT, PAYMENT_KEYS, {}, "paymentid", kinds["_txn_min_rcb"])
 
 
+def side_tables(src: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Receipts by transaction and fees by ticket."""
+    return receipts_by_transaction(src), sum_by_key(src["calculatedcommission"], "clcticketnum", "clcsum", "fees")
+
+
 def joined_rows(src: Mapping[str, DataFrame], lo, hi, group_by: str = "show",
-                prune_to_scope: bool = False) -> DataFrame:
-    """The working set's rows before the two id backfills."""
+                prune_to_scope: bool = False, sides: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """The working set's rows before the two id backfills; ``sides`` are :func:`side_tables` that are there already."""
     scope = ticket_scope(src, lo, hi)
     if prune_to_scope:
         scope = materialize(scope)
@@ -167,9 +172,8 @@ def joined_rows(src: Mapping[str, DataFrame], lo, hi, group_by: str = "show",
         src["calculatedcommission"] = src["calculatedcommission"].join(
             tickets, F.col("clcticketnum") == F.col("__scope_ticket"), "left_semi")
     ws = with_guides(src, scope)
-    rcpt = receipts_by_transaction(src).withColumnRenamed("rcbtransactnum", "__txn")
-    ws = ws.join(rcpt, F.col("titransactnum") == F.col("__txn"), "left")
-    fees = sum_by_key(src["calculatedcommission"], "clcticketnum", "clcsum", "fees")
+    rcpt, fees = sides if sides is not None else side_tables(src)
+    ws = ws.join(rcpt.withColumnRenamed("rcbtransactnum", "__txn"), F.col("titransactnum") == F.col("__txn"), "left")
     ws = ws.join(fees, F.col("ticode") == F.col("clcticketnum"), "left")
     return ws.select(*working_columns(group_by))
 

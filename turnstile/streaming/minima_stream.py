@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from turnstile.operators.identity import ID, class_name
-from turnstile.plans.working_set import (PAYMENT, PAYMENT_KEYS, SENTINELS, TICKET, joined_rows, minticode_keys, with_ids)
+from turnstile.plans.working_set import (PAYMENT, PAYMENT_KEYS, SENTINELS, TICKET, joined_rows, minticode_keys, side_tables,
+                                         with_ids)
+from turnstile.session import materialize
 
 CHANGE = f"kind string, class string, old {ID}, new {ID}"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -53,7 +55,8 @@ def class_minimum():
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
             low = min(r["low"] for r in rows)
-            old = self._low.get()[0] if self._low.exists() else None
+            held = self._low.get()
+            old = held[0] if held is not None else None
             if old is None or low < old:
                 self._low.update((low,))
                 yield Row(kind=key[0], **{"class": key[1]}, old=old, new=low)
@@ -86,7 +89,8 @@ def _by_value(fn):
 def start(tickets: DataFrame, static_src: Mapping[str, DataFrame], out_dir: str, checkpoint: str, lo, hi) -> list[StreamingQuery]:
     """Start both queries over a stream of ticket rows; they stop when all files that are there now are done."""
     spark = tickets.sparkSession
-    rows = joined_rows({**static_src, "tickets": tickets}, lo, hi)
+    sides = tuple(materialize(side) for side in side_tables(static_src))  # else every batch of both queries aggregates them
+    rows = joined_rows({**static_src, "tickets": tickets}, lo, hi, sides=sides)
 
     def keep(name: str):
         def process(batch: DataFrame, epoch: int) -> None:
