@@ -422,6 +422,7 @@ def components(edges: DataFrame) -> DataFrame:
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     from turnstile.session import ensure_checkpoint_dir
 
+    flat.small_batches(docs.sparkSession)
     ensure_checkpoint_dir(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: text bytes that one round of array work covers; a longer text is a round of its own
@@ -44,6 +44,16 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *extra: Column) -> DataFr
                        text.alias("_text"), *extra)
 
 
+#: bytes of a batch that goes to a Python worker
+BATCH_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of few bytes in this session from here on, whatever the texts' sizes: a task holds several at
+    once, on both sides of the pipe."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def revive(cls: type, state: dict):
     """An object from its attributes; only those are broadcast, as plain arrays."""
     out = cls.__new__(cls)
