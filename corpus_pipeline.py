@@ -20,13 +20,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.llm import decontaminate, jaccard_join, pii, quality_classifier, sentencepiece_codec
+from turnstile.llm import decontaminate, flat, jaccard_join, pii, quality_classifier, sentencepiece_codec
 from turnstile.llm.queries import model_path
 from turnstile.session import ensure_checkpoint_dir
 
 
 def _carried(docs: DataFrame) -> DataFrame:
-    """Id and text, and the whole row as one column that can't clash with those of a stage."""
+    """Id and text, and the whole row as one column that can't clash with those of a stage.
+
+    Rows go to the workers in small batches: each holds its text twice."""
+    flat.small_batches(docs.sparkSession)
     return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
 
 
