@@ -294,3 +294,26 @@ def digest(docs: DataFrame, tests: DataFrame) -> DataFrame:
     return find(docs, tests).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def _words_sql(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+ORACLE = rf"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_words_sql('text')} AS w FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_words_sql('text')} AS w FROM benchmark),
+phrases AS MATERIALIZED (
+  SELECT DISTINCT item, least(len(w), 13) AS size, md5(array_to_string(w[i + 1:i + 13], ' ')) AS g
+  FROM items, range(greatest(len(w) - 12, 1)) AS x(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM phrases),
+windows AS (
+  SELECT r, i, size, md5(array_to_string(w[i + 1:i + size], ' ')) AS g FROM docs, sizes, range(len(w) - size + 1) AS x(i) WHERE len(w) >= size),
+found AS MATERIALIZED (SELECT r, i, windows.size, item FROM windows JOIN phrases ON windows.g = phrases.g AND windows.size = phrases.size),
+hits AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + size)) AS k FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n > 0 AND 20 * n >= len(w), false) AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""

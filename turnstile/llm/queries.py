@@ -78,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op12_vector_codes, op13_minhash_dedup)}
 
 ORACLES: dict[str, str] = {
-    "op5_warc": warc.ORACLE, "op9_jaccard_join": jaccard_join.ORACLE, "op11_run_detection": run_detection.ORACLE,
-    "op12_vector_codes": vector_codes.ORACLE, "op13_minhash_dedup": minhash_dedup.ORACLE}
+    "op1_substring_dedup": substring_dedup.ORACLE, "op5_warc": warc.ORACLE, "op7_decontaminate": decontaminate.ORACLE,
+    "op9_jaccard_join": jaccard_join.ORACLE, "op11_run_detection": run_detection.ORACLE, "op12_vector_codes": vector_codes.ORACLE,
+    "op13_minhash_dedup": minhash_dedup.ORACLE}

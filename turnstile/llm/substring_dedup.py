@@ -139,3 +139,17 @@ def digest(docs: DataFrame) -> DataFrame:
     """op1: doc_id, n_words, n_removed, kept_sha256."""
     return remove_repeated_windows(docs).select("doc_id", "n_words", "n_removed",
                                                 F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH words AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT r, i, md5(array_to_string(w[i + 1:i + 35], ' ')) AS g FROM words, range(len(w) - 34) AS x(i) WHERE len(w) >= 35),
+again AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY g) > 1),
+gone AS MATERIALIZED (SELECT DISTINCT r, unnest(range(i, i + 35)) AS k FROM again),
+kept AS (
+  SELECT r, string_agg(w[k + 1], ' ' ORDER BY k) AS text FROM words, range(len(w)) AS x(k)
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.r = words.r AND g.k = x.k) GROUP BY r),
+removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (r) LEFT JOIN removed USING (r)
+"""
