@@ -140,3 +140,12 @@ def test_words_of_one_polynomial_hash_differ():
     assert len(set(w.hashes().tolist())) == 2
     s = Sets(pa.array([" ".join([a, "x"] * 3), " ".join([b, "x"] * 3)]), 2)
     assert not set(s.h[:s.first[1]].tolist()) & set(s.h[s.first[1]:].tolist())
+
+
+def test_stored_sketches_keep_order_and_high_bytes():
+    values = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 300, dtype=np.uint64))
+    off = np.array([0, 100, 100, 300])
+    col = flat.strings(minhash_dedup._packed(values), minhash_dedup.KEPT * off, pa.binary())
+    got, first = minhash_dedup._values(col)
+    assert got.tolist() == (values >> np.uint64(24) << np.uint64(24)).tolist() and first.tolist() == off.tolist()
+    assert (minhash_dedup._padded(col, 256)[1] == minhash_dedup._END).all()
