@@ -86,6 +86,7 @@ def test_other_bounds(spark):
 def test_links_share_a_list():
     """Sets that just reach the similarity share the key of a run of retained values."""
     rng, spec = np.random.default_rng(3), minhash_dedup.Spec()
+    wanted = minhash_dedup.key_widths(spec)
     for n in [*range(1, 40), 100, 300, 1000]:
         for _ in range(20):
             union = rng.integers(0, 1 << 63, n, dtype=np.uint64)
@@ -94,7 +95,7 @@ def test_links_share_a_list():
             keys = []
             for own in (np.concatenate([union[:cut], union[other:]]), union[cut:]):
                 values = np.sort(own)[:spec.size]
-                keys.append(set(minhash_dedup.list_keys(values, np.array([0, len(values)]), np.array([len(own)]), spec)[0].tolist()))
+                keys.append(set(minhash_dedup.list_keys(values, np.array([0, len(values)]), np.array([len(own)]), spec, wanted)[0].tolist()))
             assert keys[0] & keys[1]
 
 

@@ -114,13 +114,17 @@ def _values(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return wide.view("<u8").ravel().astype(np.uint64), off // KEPT
 
 
-def list_keys(values: np.ndarray, first: np.ndarray, n: np.ndarray, spec: Spec) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of the runs of retained values whose lists hold a document."""
+def key_widths(spec: Spec) -> list[list[int]]:
+    """Key widths by set size; the last one stands for all greater sizes."""
+    return [[], *(spec.widths(k) for k in range(1, spec.reach + 2))]
+
+
+def list_keys(values: np.ndarray, first: np.ndarray, n: np.ndarray, spec: Spec, wanted: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) of the runs of retained values whose lists hold a document; wanted: :func:`key_widths`."""
     kept = np.minimum(np.diff(first), spec.reach)
     values = values[flat.spread(first[:-1], kept)]
     first = np.concatenate([[0], np.cumsum(kept)])
     row = np.repeat(np.arange(len(kept)), kept)
-    wanted = [[], *(spec.widths(k) for k in range(1, spec.reach + 2))]
     keys, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for width in sorted({w for ws in wanted for w in ws}):
         has = np.array([width in ws for ws in wanted])[np.minimum(n, spec.reach + 1)]
@@ -131,10 +135,12 @@ def list_keys(values: np.ndarray, first: np.ndarray, n: np.ndarray, spec: Spec)
 
 
 def _deal(spec: Spec):
+    wanted = key_widths(spec)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, n = (batch.column(c).to_numpy() for c in ("doc", "n"))
-            key, row = list_keys(*_values(batch.column("sketch")), n, spec)
+            key, row = list_keys(*_values(batch.column("sketch")), n, spec, wanted)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc[row]), pa.array(n[row])], ["key", "doc", "n"])
 
     return run
