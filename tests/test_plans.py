@@ -107,3 +107,28 @@ def test_tickets_are_shuffled_by_transaction_once(spark, no_broadcast):
     # the backfills and the rows read what that plan wrote, not the ticketing tables again
     plan = plan_of(E.queries()["working_set"](spark, SF), "simple")
     assert "titransactnum#" in plan and "hashpartitioning(titransactnum" not in plan and "l_orderkey" not in plan
+
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+         .config("spark.checkpoint.dir", {shared!r}).getOrCreate())
+import __spark_entry__ as E
+for name in {names!r}:
+    print("DONE", name, len(E.queries()[name](spark, {sf!r}).collect()))
+"""
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    names = ["range_lookup", "planned_scan", "push_receipts", "stream_payments", "xml_tickets"]
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = SCRIPT.format(root=str(Path(E.__file__).resolve().parent), shared=str(tmp_path / "ck"), names=names, sf=SF)
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert [line.split()[1] for line in out.stdout.splitlines() if line.startswith("DONE")] == names, out.stderr[-3000:]
