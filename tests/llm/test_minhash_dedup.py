@@ -74,13 +74,12 @@ def test_components(spark, monkeypatch):
     assert minhash_dedup.digest(docs.limit(0)).count() == 0
 
 
-def test_other_bounds(spark):
-    rows = some_rows(random.Random(3))[:400]
+def test_another_bound(spark):
+    rows = some_rows(random.Random(3))[:250]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for k, num, den in ((3, 9, 10), (2, 1, 2)):
-        spec = minhash_dedup.Spec(shingle=k, num=num, den=den)
-        got = sorted((r["doc"], r["n"], r["comp"], r["doc"] == r["comp"]) for r in minhash_dedup.groups(docs, spec=spec).collect())
-        assert got == brute(rows, k, num, den)
+    spec = minhash_dedup.Spec(shingle=3, num=1, den=2)
+    got = sorted((r["doc"], r["n"], r["comp"], r["doc"] == r["comp"]) for r in minhash_dedup.groups(docs, spec=spec).collect())
+    assert got == brute(rows, 3, 1, 2)
 
 
 def test_links_share_a_list():
