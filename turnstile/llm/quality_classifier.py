@@ -34,6 +34,7 @@ from turnstile.llm import flat
 
 BUCKETS, DIM, GRAMS = 1 << 16, 8, (3, 5)
 EPOCHS, BATCH, RATE = 6, 32, 4.0
+ROUND = 1 << 18  # text bytes taken at once: a text has some twenty times its size in features and their work arrays
 _ECHO = 0  # the bucket of an immediate repeat
 
 
@@ -61,7 +62,7 @@ def bags(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Labelled texts as (buckets, shares), both packed."""
-    for batch in flat.rounds(batches):
+    for batch in flat.rounds(batches, limit=ROUND):
         f, row = bags(batch.column("_text"))
         key, count = np.unique(row * BUCKETS + f, return_counts=True)
         cut = np.searchsorted(key // BUCKETS, np.arange(1, batch.num_rows))
@@ -105,15 +106,20 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, seed: int
     return emb @ (out[1] - out[0]), float(bias[1] - bias[0])
 
 
+def _packed(col: pa.Array, kind: type) -> list[np.ndarray]:
+    """The arrays that a binary column holds, where they lie."""
+    data, off = flat.utf8(col)
+    return [data[a:b].view(kind) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+
+
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-    good = np.array(table.column("good").to_pylist(), bool) if table is not None else np.zeros(0, bool)
+    parts = list(batches)  # held once: the documents are views of them
+    good = np.array([g for part in parts for g in part.column("good").to_pylist()], bool)
     weights = np.zeros(BUCKETS, np.float32)
     share = np.clip(good.mean(), 1e-6, 1 - 1e-6) if len(good) else 0.5
     bias = float(np.log(share / (1 - share)))
     if good.any() and not good.all():
-        docs = [(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32))
-                for a, b in zip(table.column("ids").to_pylist(), table.column("shares").to_pylist())]
+        docs = [pair for part in parts for pair in zip(_packed(part.column("ids"), np.int32), _packed(part.column("shares"), np.float32))]
         weights, bias = train(docs, good)
     yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float32).tobytes()]), pa.array([bias])],
                                      ["weights", "bias"])
@@ -124,7 +130,7 @@ def _score(weights: bytes, bias: float):
         table = np.frombuffer(weights, np.float32)
         for batch in batches:
             z = []
-            for part in flat.rounds([batch]):
+            for part in flat.rounds([batch], limit=ROUND):
                 f, row = bags(part.column("_text"))
                 n = np.bincount(row, minlength=part.num_rows)
                 z.append(np.bincount(row, table[f], minlength=part.num_rows) / np.maximum(n, 1) + bias)
